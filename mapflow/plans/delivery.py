@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from mapflow.functions.columns import joined_name, same_text
 from mapflow.operators.windows import keep_extreme, keep_first
+from mapflow.sources.tables import local_rows
 
 # Delivery steps. 0 and 8 mean that a file may arrive.
 EXPECTED, COMPLETED, REDELIVERY = 0, 7, 8
@@ -65,7 +66,7 @@ def status_dimension(spark: SparkSession) -> DataFrame:
         for flow, own in FLOW_STEPS.items()
         for step, text in sorted({**COMMON_STEPS, **own}.items())
     ]
-    return spark.createDataFrame(rows, "flow string, step int, description string")
+    return local_rows(spark, rows, "flow string, step int, description string")
 
 
 def is_open(step: Column) -> Column:

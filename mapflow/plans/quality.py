@@ -13,7 +13,7 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mapflow.sources.tables import Tables
+from mapflow.sources.tables import Tables, local_rows
 
 RESULT_SCHEMA = "check_type string, check_details string, result string, violations bigint, error string"
 MAX_ERROR_TEXT = 300  # fixed value: width of the error column of the log
@@ -138,7 +138,7 @@ def unique_combo_result(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def _per_column(counts: DataFrame, columns: Sequence[str], kind: str, message: str) -> DataFrame:
     """Result rows for each column of ``column_name, violations`` (absent = none)."""
-    listed = df_of_names(counts.sparkSession, columns)
+    listed = local_rows(counts.sparkSession, [(c,) for c in columns], "column_name string")
     joined = listed.join(counts, "column_name", "left").withColumn(
         "violations", F.coalesce(F.col("violations"), F.lit(0))
     )
@@ -153,10 +153,6 @@ def _per_column(counts: DataFrame, columns: Sequence[str], kind: str, message: s
     )
 
 
-def df_of_names(spark: SparkSession, names: Sequence[str]) -> DataFrame:
-    return spark.createDataFrame([(n,) for n in names], "column_name string")
-
-
 def unique_each_result(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     counts = (
         duplicate_values(df, columns)
@@ -193,7 +189,7 @@ def run_checks(
     parts: list[DataFrame] = []
     if "columns" in expectations:
         rows = schema_results(df, expectations["columns"])
-        parts.append(df.sparkSession.createDataFrame(rows, RESULT_SCHEMA))
+        parts.append(local_rows(df.sparkSession, rows, RESULT_SCHEMA))
     if expectations.get("PK"):
         parts.append(primary_key_result(df, expectations["PK"]))
     if expectations.get("unique"):
@@ -206,7 +202,7 @@ def run_checks(
             for check in expectations.get("referential_checks", [])
         ]
     if not parts:
-        return df.sparkSession.createDataFrame([], RESULT_SCHEMA)
+        return local_rows(df.sparkSession, [], RESULT_SCHEMA)
     return reduce(DataFrame.unionByName, parts)
 
 

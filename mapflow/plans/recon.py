@@ -8,13 +8,15 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from mapflow.sources.tables import local_rows
+
 
 def schema_diff(left: DataFrame, right: DataFrame) -> DataFrame:
     """``column_name, side, data_type`` of columns that only one table has."""
     left_names, right_names = set(left.columns), set(right.columns)
     rows = [(c, "LEFT_ONLY", t) for c, t in left.dtypes if c not in right_names]
     rows += [(c, "RIGHT_ONLY", t) for c, t in right.dtypes if c not in left_names]
-    return left.sparkSession.createDataFrame(rows, "column_name string, side string, data_type string")
+    return local_rows(left.sparkSession, rows, "column_name string, side string, data_type string")
 
 
 def null_status(left: Column, right: Column, tolerance: float | None = None) -> Column:

@@ -12,7 +12,7 @@ from mapflow.plans.quality import gate, run_checks
 from mapflow.queries.registry import query
 from mapflow.session import scratch_path
 from mapflow.sources import sinks
-from mapflow.sources.tables import Tables, frame_tables
+from mapflow.sources.tables import Tables, frame_tables, local_rows
 
 RUN_MAPPING = {
     "target": "int_{{ RUN_MONTH }}.segment_nation",
@@ -167,7 +167,7 @@ RATES_SQL = "(VALUES " + ", ".join(f"('{r}', {x}::double)" for r, x in RATES) +
         JOIN region ON n_regionkey = r_regionkey LEFT JOIN {RATES_SQL} ON r_name = area""",
 )
 def mapping_fx_normalize(spark: SparkSession, t: Tables) -> DataFrame:
-    tables = frame_tables({"rates": spark.createDataFrame(RATES, "area string, rate double")}, t)
+    tables = frame_tables({"rates": local_rows(spark, RATES, "area string, rate double")}, t)
     return run_mapping(
         tables,
         {

@@ -11,7 +11,7 @@ from mapflow.plans import delivery, evolve
 from mapflow.queries.registry import query
 from mapflow.queries.scans import TRIGGER_SQL, trigger_rows
 from mapflow.session import scratch_path
-from mapflow.sources.tables import Tables
+from mapflow.sources.tables import Tables, local_rows
 from mapflow.streaming.intake import drop_redelivered, intake_triggers, run_to_parquet
 
 
@@ -162,8 +162,8 @@ ATTRIBUTES = [
     """SELECT o_orderkey, o_orderpriority, o_totalprice FROM orders WHERE o_orderstatus = 'F' AND o_orderpriority = '1-URGENT'""",
 )
 def extract_by_attribute_list(spark: SparkSession, t: Tables) -> DataFrame:
-    listed = spark.createDataFrame(
-        ATTRIBUTES, "SSFTableName string, AttributeName string, XSDVersion string, custom boolean"
+    listed = local_rows(
+        spark, ATTRIBUTES, "SSFTableName string, AttributeName string, XSDVersion string, custom boolean"
     )
     wanted = evolve.attributes_per_table(listed.where("XSDVersion = '2024Q2V1' and not custom"))
     # One row: the attribute names of one table.

@@ -12,7 +12,7 @@ from mapflow.operators.links import propagate_over_links
 from mapflow.operators.rules import attach_best_rule
 from mapflow.plans.mapping import run_mapping
 from mapflow.queries.registry import query
-from mapflow.sources.tables import Tables, frame_tables
+from mapflow.sources.tables import Tables, frame_tables, local_rows
 
 
 def join_mapping(left: tuple, right: tuple, conditions: list[str], how: str | None, outputs: dict) -> dict:
@@ -236,7 +236,7 @@ RULE_MATCH_SQL = """(brand = p_brand OR brand = '*') AND (type = p_type OR type
 
 
 def with_rules(spark: SparkSession, t: Tables) -> Tables:
-    return frame_tables({"rules": spark.createDataFrame(RULES, RULE_COLUMNS)}, t)
+    return frame_tables({"rules": local_rows(spark, RULES, RULE_COLUMNS)}, t)
 
 
 @query(
@@ -539,7 +539,7 @@ def lookup_fallback(spark: SparkSession, t: Tables) -> DataFrame:
         FROM chosen JOIN {RULES_SQL} ON chosen.rule_id = rules.rule_id WHERE item_rule IS NOT NULL""",
 )
 def mapping_rule_assignment(spark: SparkSession, t: Tables) -> DataFrame:
-    rules = spark.createDataFrame(RULES, RULE_COLUMNS)
+    rules = local_rows(spark, RULES, RULE_COLUMNS)
     facts = (
         t("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_returnflag")
         .join(t("part").select("p_partkey", "p_brand", "p_type"), F.col("l_partkey") == F.col("p_partkey"))

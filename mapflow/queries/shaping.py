@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from mapflow.functions.columns import entity_code, is_entity_code
 from mapflow.plans.mapping import filter_impact, run_mapping
 from mapflow.queries.registry import query
-from mapflow.sources.tables import Tables
+from mapflow.sources.tables import Tables, local_rows
 
 
 @query(
@@ -122,8 +122,8 @@ def proj_typed_nulls(spark: SparkSession, t: Tables) -> DataFrame:
 
 @query("proj_dynamic_columns", "SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem")
 def proj_dynamic_columns(spark: SparkSession, t: Tables) -> DataFrame:
-    wanted = spark.createDataFrame(
-        [("lineitem", 1, "l_orderkey"), ("lineitem", 2, "l_linenumber"), ("lineitem", 3, "l_quantity"),
+    wanted = local_rows(
+        spark, [("lineitem", 1, "l_orderkey"), ("lineitem", 2, "l_linenumber"), ("lineitem", 3, "l_quantity"),
          ("lineitem", 4, "l_not_there"), ("orders", 1, "o_orderkey")],
         "table_name string, position int, column_name string",
     )

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from mapflow.sources.tables import local_rows
+
 PROCESS_LOG_SCHEMA = T.StructType(
     [
         T.StructField("RunID", T.LongType()),
@@ -59,7 +61,7 @@ def create_if_absent(
     spark: SparkSession, name: str, schema: T.StructType, path: str | None = None
 ) -> None:
     """Empty table with a fixed schema, left alone if it exists."""
-    writer = spark.createDataFrame([], schema).write.mode("ignore")
+    writer = local_rows(spark, [], schema).write.mode("ignore")
     if path:
         writer = writer.option("path", path)
     writer.saveAsTable(name)
@@ -75,7 +77,7 @@ def append_log(
     if isinstance(records, DataFrame):
         rows = records.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
     else:
-        rows = spark.createDataFrame([tuple(r.get(f.name) for f in schema) for r in records], schema)
+        rows = local_rows(spark, [[r.get(f.name) for f in schema] for r in records], schema)
     rows.write.mode("append").saveAsTable(name)
 
 
@@ -104,7 +106,7 @@ def export_many(
 ) -> DataFrame:
     """Export each named frame; one status row per name."""
     status = [(name, export_parquet(df, folder, name)) for name, df in frames.items()]
-    return spark.createDataFrame(status, "table_name string, exported boolean")
+    return local_rows(spark, status, "table_name string, exported boolean")
 
 
 def content_hash(df: DataFrame) -> Column:
@@ -157,4 +159,4 @@ def comment_table(spark: SparkSession, name: str, summary: str) -> None:
 def column_lineage(spark: SparkSession, name: str) -> DataFrame:
     """Column comments of a stored table as rows."""
     rows = [(c.name, c.description) for c in spark.catalog.listColumns(name)]
-    return spark.createDataFrame(rows, "column_name string, expression string")
+    return local_rows(spark, rows, "column_name string, expression string")

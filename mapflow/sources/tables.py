@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 Tables = Callable[[str], DataFrame]
 
@@ -34,6 +36,18 @@ def frame_tables(frames: Mapping[str, DataFrame], fallback: Tables | None = None
     return resolve
 
 
+def local_rows(spark: SparkSession, rows: Sequence[Sequence], schema: str | T.StructType) -> DataFrame:
+    """A few driver-side rows (rule tables, check results, statuses) as a local relation.
+
+    Coming in as Arrow they stay in the JVM: no Python worker is started, and the
+    known size lets Spark broadcast them.
+    """
+    fields = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    columns = {f.name: [row[i] for row in rows] for i, f in enumerate(fields)}
+    frame = spark.createDataFrame(pa.table(columns))
+    return frame.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in fields])
+
+
 def month_partition(tables: Tables, run_month: str, column: str = "run_month") -> Tables:
     """Restrict tables that carry a month column to one month (prunes partitions)."""
 
