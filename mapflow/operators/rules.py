@@ -1,22 +1,27 @@
 """Joining facts to rule tables whose columns may hold a wildcard.
 
 ``rule.c = fact.c OR rule.c = '*'`` on many columns leaves Spark only a nested
-loop over facts and rules. Every rule has a fixed set of wildcard columns (its
-mask), so for one mask the test is a plain equality. The distinct fact values
-are paired with each mask in use and matched to the rules by one equi-join, and
-the matches are joined back to the facts.
+loop over facts and rules. That is the best plan for a handful of rules, whose
+number is checked. Beyond it every rule is known by its mask, the set of its
+wildcard columns: under one mask the test is a plain equality. The distinct fact
+values are paired with each mask in use and matched to the rules by one
+equi-join, and the matches are joined back to the facts.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 WILDCARD = "*"
 
+# Up to this many rules every fact is tested against each rule where it stands.
+MAX_LOOP_RULES = 64
+
 # `rule.col = <fact expression> or rule.col = '*'`, sides in the usual order.
 _PLAIN_RULE = re.compile(
     r"^\s*(?P<rule>[\w.]+)\s*=\s*(?P<fact>[\w.]+)\s+or\s+(?P=rule)\s*=\s*'\*'\s*$",
@@ -105,11 +110,19 @@ def join_wildcard_rules(
     how: str = "left",
     residual: Sequence[str] = (),
     rule_alias: str = "RULES",
+    max_loop_rules: int = MAX_LOOP_RULES,
 ) -> DataFrame:
     """Join facts to rules; ``wild`` maps a rule column to the fact expression.
 
     ``residual`` conditions may name both sides, the rule side as ``rule_alias``.
     """
+    if rules.limit(max_loop_rules + 1).count() <= max_loop_rules:
+        conditions = [
+            f"({rule_alias}.{rule} = {fact} or {rule_alias}.{rule} = '{WILDCARD}')"
+            for rule, fact in wild.items()
+        ]
+        on = [F.expr(c) for c in [*conditions, *residual]]
+        return facts.join(F.broadcast(rules.alias(rule_alias)), on, how)
     pairs = list(wild.items())
     columns = [(f"_fact{i}", rule) for i, (rule, _) in enumerate(pairs)]
     matched = rule_matches(_combinations(facts, pairs), rules, columns).alias(rule_alias)
@@ -123,12 +136,19 @@ def attach_best_rule(
     wild: Mapping[str, str],
     order: str,
     outputs: Mapping[str, str],
+    max_loop_rules: int = MAX_LOOP_RULES,
 ) -> DataFrame:
     """The matching rule with the lowest ``order`` value, as extra columns.
 
-    The choice is made once per combination of fact values, so no fact row is
-    multiplied by its matching rules. ``outputs`` maps new names to rule columns.
+    ``outputs`` maps new names to rule columns. A few rules become one CASE over
+    them in order, without any join. More are matched once per combination of fact
+    values, so no fact row is multiplied by its matching rules.
     """
+    used = list(dict.fromkeys([order, *wild, *outputs.values()]))
+    listed = rules.select(*used).where(F.col(order).isNotNull())
+    few = listed.limit(max_loop_rules + 1).collect()
+    if len(few) <= max_loop_rules:
+        return _first_rule(facts, rules, sorted(few, key=lambda r: r[order]), wild, outputs)
     pairs = list(wild.items())
     names = [f"_fact{i}" for i in range(len(pairs))]
     columns = list(zip(names, wild, strict=True))
@@ -140,6 +160,32 @@ def attach_best_rule(
     return facts.join(best, _matched_on(pairs), "left").drop(*names)
 
 
+def _first_rule(
+    facts: DataFrame,
+    rules: DataFrame,
+    ordered: Sequence[Row],
+    wild: Mapping[str, str],
+    outputs: Mapping[str, str],
+) -> DataFrame:
+    """Outputs of the first of a few ordered rules that matches."""
+    tests = []
+    for rule in ordered:
+        compared = [
+            F.expr(fact).cast("string") == F.lit(rule[column])
+            for column, fact in wild.items()
+            if rule[column] != WILDCARD
+        ]
+        tests.append(reduce(lambda a, b: a & b, compared, F.lit(True)))
+    place = F.coalesce(*[F.when(test, F.lit(i)) for i, test in enumerate(tests)], F.lit(None).cast("int"))
+    numbered = facts.withColumn("_rule", place)
+    types = {f.name: f.dataType for f in rules.schema}
+    found = {}
+    for new, column in outputs.items():
+        values = F.array(*[F.lit(rule[column]).cast(types[column]) for rule in ordered])
+        found[new] = F.get(values, F.col("_rule")) if ordered else F.lit(None).cast(types[column])
+    return numbered.withColumns(found).drop("_rule")
+
+
 def explain_rules(
     facts: DataFrame, rule: Mapping[str, str], wild: Mapping[str, str]
 ) -> DataFrame:

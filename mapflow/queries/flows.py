@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from mapflow.functions.amounts import exact_sum, hundredths
 from mapflow.functions.columns import entity_code
 from mapflow.operators.windows import keep_first
 from mapflow.plans.mapping import run_chain, run_mapping
-from mapflow.plans.quality import gate, run_checks
+from mapflow.plans.publish import publish
 from mapflow.queries.registry import query
 from mapflow.session import scratch_path
 from mapflow.sources import sinks
@@ -26,18 +27,18 @@ RUN_MAPPING = {
         {"join": {"left_source": "O", "right_source": "C", "condition": ["O.o_custkey = C.c_custkey"]}},
         {"join": {"right_source": "N", "condition": ["C.c_nationkey = N.n_nationkey"]}},
         {"add_variables": {"column_mapping": {
-            "var_amount": "cast(O.o_totalprice as decimal(18,2))",
+            "var_amount": hundredths("O.o_totalprice"),
             "var_urgent": "case when O.o_orderpriority = '1-URGENT' then var_amount end"}}},
         {"aggregation": {"alias": "A", "group": ["C.c_mktsegment", "N.n_name"], "column_mapping": {
-            "n_orders": "count(*)", "amount": "sum(var_amount)", "urgent": "sum(var_urgent)"}}},
+            "n_orders": "count(*)", "amount": exact_sum("var_amount"), "urgent": exact_sum("var_urgent")}}},
     ],
     "expressions": {
         "run_month": "'{{ RUN_MONTH }}'",
         "segment": "A.c_mktsegment",
         "nation": "A.n_name",
         "n_orders": "A.n_orders",
-        "amount": "cast(A.amount as double)",
-        "urgent_share": "try_divide(cast(A.urgent as double), amount)",
+        "amount": "A.amount",
+        "urgent_share": "try_divide(A.urgent, A.amount)",
     },
     "filter_target": ["n_orders > 1 or amount > 100000", "A.c_mktsegment <> 'FURNITURE'"],
     "drop_duplicates": True,
@@ -56,7 +57,8 @@ RUN_MAPPING = {
 )
 def mapping_run(spark: SparkSession, t: Tables) -> DataFrame:
     target = run_mapping(t, RUN_MAPPING, run_month="199808")
-    return gate(target, run_checks(target, {"PK": ["segment", "nation"]}), "segment_nation")
+    checks = {"PK": ["segment", "nation"], "not_null": ["run_month"]}
+    return publish(target, scratch_path(spark, "mapping"), "segment_nation", checks)
 
 
 CHAIN = [
@@ -257,7 +259,7 @@ def mapping_valuation(spark: SparkSession, t: Tables) -> DataFrame:
             ],
             "transformations": [
                 {"aggregation": {"alias": "CL", "source": "L", "group": ["L.l_orderkey"], "column_mapping": {
-                    "claim": "cast(sum(cast(L.l_extendedprice as decimal(18,2)) * cast(L.l_tax as decimal(4,2))) as double)",
+                    "claim": exact_sum(f"{hundredths('L.l_extendedprice')} * {hundredths('L.l_tax')}", 4),
                     "last_ship": "cast(max(L.l_shipdate) as date)"}}},
                 {"join": {"left_source": "O", "right_source": "CL", "condition": ["O.o_orderkey = CL.l_orderkey"]}},
                 {"add_variables": {"column_mapping": {

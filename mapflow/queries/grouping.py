@@ -5,14 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from mapflow.functions.amounts import exact_sum, hundredths
 from mapflow.operators.aggregates import pivot_values
 from mapflow.operators.windows import keep_extreme
 from mapflow.plans.mapping import run_mapping
 from mapflow.queries.registry import query
 from mapflow.sources.tables import Tables
 
-DEC = "cast({} as decimal(18,2))"
-
 
 @query(
     "agg_group",
@@ -28,7 +27,7 @@ def agg_group(spark: SparkSession, t: Tables) -> DataFrame:
             "transformations": [
                 {"aggregation": {"alias": "A", "group": ["L.l_returnflag", "L.l_linestatus"], "column_mapping": {
                     "sum_qty": "sum(L.l_quantity)",
-                    "revenue": "cast(sum(cast(L.l_extendedprice as decimal(18,2)) * (1 - cast(L.l_discount as decimal(4,2)))) as double)",
+                    "revenue": exact_sum(f"{hundredths('L.l_extendedprice')} * {hundredths('1 - L.l_discount')}", 4),
                     "n_lines": "count(*)"}}},
             ],
             "expressions": {c: f"A.{c}" for c in ("l_returnflag", "l_linestatus", "sum_qty", "revenue", "n_lines")},

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from mapflow.functions.amounts import exact_sum, hundredths
 from mapflow.functions.columns import same_text
 from mapflow.operators.hierarchy import roll_up
 from mapflow.operators.joins import join_contains, with_flag, with_lookup_max
@@ -239,43 +240,73 @@ def with_rules(spark: SparkSession, t: Tables) -> Tables:
     return frame_tables({"rules": local_rows(spark, RULES, RULE_COLUMNS)}, t)
 
 
+# Rules drawn from the parts: their size decides which columns are wildcards.
+PART_RULES = """case when p_size % 4 < 2 then p_brand else '*' end AS brand,
+         case when p_size % 3 > 0 then p_type else '*' end AS type,
+         case p_size % 5 when 0 then '1-URGENT' when 1 then '5-LOW' else '*' end AS priority,
+         case when p_size > 25 then 'R' else '*' end AS flag"""
+
+
+def part_rules(t: Tables) -> DataFrame:
+    return (
+        t("part")
+        .selectExpr("p_partkey", "p_size", *[c.strip() for c in PART_RULES.split(",\n")])
+        .groupBy("brand", "type", "priority", "flag")
+        .agg(F.min("p_partkey").alias("rule_id"), F.min("p_size").alias("min_quantity"))
+    )
+
+
+PART_RULES_SQL = f"""(SELECT brand, type, priority, flag, min(p_partkey) AS rule_id, min(p_size) AS min_quantity
+                      FROM (SELECT p_partkey, p_size, {PART_RULES} FROM part) GROUP BY 1, 2, 3, 4) rules"""
+
+
 @query(
     "join_wildcard_rules",
-    f"""SELECT coalesce(rule_id, 0) AS rule_id, coalesce(approach, 'none') AS approach, count(*) AS n_lines,
-               cast(sum(l_quantity) AS bigint) AS quantity
+    f"""SELECT coalesce(rule_id, -1) AS rule_id, count(*) AS n_lines, cast(sum(l_quantity) AS bigint) AS quantity
         FROM lineitem JOIN part ON l_partkey = p_partkey JOIN orders ON l_orderkey = o_orderkey
-        LEFT JOIN {RULES_SQL} ON {RULE_MATCH_SQL} AND l_quantity >= min_quantity GROUP BY 1, 2""",
+        LEFT JOIN {PART_RULES_SQL} ON {RULE_MATCH_SQL} AND l_quantity >= min_quantity GROUP BY 1""",
 )
 def join_wildcard_rules_query(spark: SparkSession, t: Tables) -> DataFrame:
-    return run_mapping(
-        with_rules(spark, t),
-        {
-            "sources": [
-                {"alias": "L", "source": "lineitem",
-                 "columns": ["l_orderkey", "l_partkey", "l_returnflag", "l_quantity"]},
-                {"alias": "P", "source": "part", "columns": ["p_partkey", "p_brand", "p_type"]},
-                {"alias": "O", "source": "orders", "columns": ["o_orderkey", "o_orderpriority"]},
-                {"alias": "R", "source": "rules"},
-            ],
-            "transformations": [
-                {"join": {"right_source": "P", "how": "inner", "condition": ["L.l_partkey = P.p_partkey"]}},
-                {"join": {"right_source": "O", "how": "inner", "condition": ["L.l_orderkey = O.o_orderkey"]}},
-                {"join": {"right_source": "R", "condition": [
-                    "R.brand = P.p_brand or R.brand = '*'",
-                    "R.type = P.p_type or R.type = '*'",
-                    "R.priority = O.o_orderpriority or R.priority = '*'",
-                    "R.flag = L.l_returnflag or R.flag = '*'",
-                    "L.l_quantity >= R.min_quantity",
-                ]}},
-                {"add_variables": {"column_mapping": {"var_rule": "coalesce(R.rule_id, 0)",
-                                                      "var_approach": "coalesce(R.approach, 'none')"}}},
-                {"aggregation": {"alias": "A", "group": ["var_rule", "var_approach"], "column_mapping": {
-                    "n_lines": "count(*)", "quantity": "cast(sum(L.l_quantity) as bigint)"}}},
-            ],
-            "expressions": {"rule_id": "A.var_rule", "approach": "A.var_approach",
-                            "n_lines": "A.n_lines", "quantity": "A.quantity"},
-        },
-    )
+    """Hundreds of rules, matched by mask."""
+    return run_mapping(frame_tables({"rules": part_rules(t)}, t), rule_mapping("R.rule_id", -1))
+
+
+@query(
+    "join_wildcard_few_rules",
+    f"""SELECT coalesce(rule_id, 0) AS rule_id, count(*) AS n_lines, cast(sum(l_quantity) AS bigint) AS quantity
+        FROM lineitem JOIN part ON l_partkey = p_partkey JOIN orders ON l_orderkey = o_orderkey
+        LEFT JOIN {RULES_SQL} ON {RULE_MATCH_SQL} AND l_quantity >= min_quantity GROUP BY 1""",
+)
+def join_wildcard_few_rules(spark: SparkSession, t: Tables) -> DataFrame:
+    """Ten rules, tested where the facts stand."""
+    return run_mapping(with_rules(spark, t), rule_mapping("R.rule_id", 0))
+
+
+def rule_mapping(rule_id: str, default: int) -> dict:
+    return {
+        "sources": [
+            {"alias": "L", "source": "lineitem",
+             "columns": ["l_orderkey", "l_partkey", "l_returnflag", "l_quantity"]},
+            {"alias": "P", "source": "part", "columns": ["p_partkey", "p_brand", "p_type"]},
+            {"alias": "O", "source": "orders", "columns": ["o_orderkey", "o_orderpriority"]},
+            {"alias": "R", "source": "rules"},
+        ],
+        "transformations": [
+            {"join": {"right_source": "P", "how": "inner", "condition": ["L.l_partkey = P.p_partkey"]}},
+            {"join": {"right_source": "O", "how": "inner", "condition": ["L.l_orderkey = O.o_orderkey"]}},
+            {"join": {"right_source": "R", "condition": [
+                "R.brand = P.p_brand or R.brand = '*'",
+                "R.type = P.p_type or R.type = '*'",
+                "R.priority = O.o_orderpriority or R.priority = '*'",
+                "R.flag = L.l_returnflag or R.flag = '*'",
+                "L.l_quantity >= R.min_quantity",
+            ]}},
+            {"add_variables": {"column_mapping": {"var_rule": f"coalesce({rule_id}, {default})"}}},
+            {"aggregation": {"alias": "A", "group": ["var_rule"], "column_mapping": {
+                "n_lines": "count(*)", "quantity": "cast(sum(L.l_quantity) as bigint)"}}},
+        ],
+        "expressions": {"rule_id": "A.var_rule", "n_lines": "A.n_lines", "quantity": "A.quantity"},
+    }
 
 
 # Items of the hierarchy: customers with a balance, whose parent is their number
@@ -336,7 +367,7 @@ def join_role_playing(spark: SparkSession, t: Tables) -> DataFrame:
                 {"add_variables": {"column_mapping": {"var_cn": "CN.n_name", "var_sn": "SN.n_name"}}},
                 {"aggregation": {"alias": "A", "group": ["var_cn", "var_sn"], "column_mapping": {
                     "n_lines": "count(*)",
-                    "price": "cast(sum(cast(L.l_extendedprice as decimal(18,2))) as double)"}}},
+                    "price": exact_sum(hundredths("L.l_extendedprice"))}}},
             ],
             "expressions": {"customer_nation": "A.var_cn", "supplier_nation": "A.var_sn",
                             "n_lines": "A.n_lines", "price": "A.price"},
@@ -539,6 +570,7 @@ def lookup_fallback(spark: SparkSession, t: Tables) -> DataFrame:
         FROM chosen JOIN {RULES_SQL} ON chosen.rule_id = rules.rule_id WHERE item_rule IS NOT NULL""",
 )
 def mapping_rule_assignment(spark: SparkSession, t: Tables) -> DataFrame:
+    """Lowest rule per line and per party with returns; the lower of both applies."""
     rules = local_rows(spark, RULES, RULE_COLUMNS)
     facts = (
         t("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_returnflag")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from mapflow.functions.amounts import exact_sum, hundredths
 from mapflow.operators.aggregates import last_valid_value
 from mapflow.operators.windows import (
     attach_distinct_count,
@@ -80,7 +81,7 @@ def win_min_over(spark: SparkSession, t: Tables) -> DataFrame:
 def win_sum_over(spark: SparkSession, t: Tables) -> DataFrame:
     lines = t("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")
     totals = {
-        "total": F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).cast("double"),
+        "total": F.expr(exact_sum(hundredths("l_extendedprice"))),
         "members": F.count(F.lit(1)),
     }
     return attach_totals(lines, ["l_orderkey"], totals).select(

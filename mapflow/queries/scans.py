@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from mapflow.functions.amounts import exact_sum, hundredths
 from mapflow.plans.mapping import run_mapping
 from mapflow.queries.registry import query
 from mapflow.session import scratch_path
@@ -184,7 +185,7 @@ def sink_export_parquet(spark: SparkSession, t: Tables) -> DataFrame:
         .groupBy("o_orderstatus")
         .agg(
             F.count(F.lit(1)).alias("n_rows"),
-            F.expr("cast(sum(cast(o_totalprice AS decimal(18,2))) AS double)").alias("total"),
+            F.expr(exact_sum(hundredths("o_totalprice"))).alias("total"),
         )
     )
 

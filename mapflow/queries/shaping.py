@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from mapflow.functions.amounts import hundredths
 from mapflow.functions.columns import entity_code, is_entity_code
 from mapflow.plans.mapping import filter_impact, run_mapping
 from mapflow.queries.registry import query
@@ -26,7 +27,7 @@ def proj_target_expressions(spark: SparkSession, t: Tables) -> DataFrame:
             "expressions": {
                 "order_id": "L.l_orderkey",
                 "line_no": "L.l_linenumber",
-                "net_price": "cast(cast(L.l_extendedprice as decimal(18,2)) * (1 - cast(L.l_discount as decimal(4,2))) as double)",
+                "net_price": f"{hundredths('L.l_extendedprice')} * {hundredths('1 - L.l_discount')} / 10000d",
                 "state": "case when L.l_returnflag = 'R' then 'returned' else 'kept' end",
                 "ship_date": "cast(cast(L.l_shipdate as date) as string)",
             },

@@ -15,6 +15,8 @@ DEFAULT_CONF = {
     # where the split costs one more exchange above the join.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Hash instead of sort where every partition's build side was measured small.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 

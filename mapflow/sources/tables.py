@@ -13,9 +13,17 @@ Tables = Callable[[str], DataFrame]
 
 
 def parquet_tables(spark: SparkSession, folder: str) -> Tables:
-    """Tables stored as ``folder/name.parquet``."""
+    """Tables stored as ``folder/name.parquet``; a schema is read from files once."""
     root = folder.rstrip("/")
-    return lambda name: spark.read.parquet(f"{root}/{name}.parquet")
+    schemas: dict[str, T.StructType] = {}
+
+    def resolve(name: str) -> DataFrame:
+        path = f"{root}/{name}.parquet"
+        if name not in schemas:
+            schemas[name] = spark.read.parquet(path).schema
+        return spark.read.schema(schemas[name]).parquet(path)
+
+    return resolve
 
 
 def catalog_tables(spark: SparkSession) -> Tables:
