@@ -75,9 +75,10 @@ def join_contains(
         kind, F.when(F.col("_text") == F.col("_part"), "EXACT").otherwise("CONTAINS")
     )
     return (
-        texts.join(tagged, texts[text] == F.col("_text"))
-        .join(parts, F.col("_part") == parts[part])
-        .drop("_text", "_part")
+        texts.alias("_t")
+        .join(tagged, F.col(f"_t.{text}") == F.col("_text"))
+        .join(parts.alias("_p"), F.col("_part") == F.col(f"_p.{part}"))
+        .select("_t.*", "_p.*", kind)
     )
 
 

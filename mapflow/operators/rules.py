@@ -16,6 +16,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 WILDCARD = "*"
 
@@ -50,15 +51,32 @@ def split_conditions(
     return wild, rest
 
 
-def rule_matches(
-    combinations: DataFrame, rules: DataFrame, columns: Sequence[tuple[str, str]]
-) -> DataFrame:
+def _as_fact_text(value: Column, fact_type: T.DataType) -> Column:
+    """Text of a rule value as the fact would print it, so that '01' meets the number 1."""
+    if isinstance(fact_type, T.StringType):
+        return value.cast("string")
+    return value.try_cast(fact_type).cast("string")
+
+
+def _comparable(rules: DataFrame, facts: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
+    """Rules with a ``_text{i}`` column per pair: wildcard, or text like the fact's."""
+    types = [f.dataType for f in facts.select(*[F.expr(e) for _, e in pairs]).schema]
+    texts = {
+        f"_text{i}": F.when(F.col(rule).cast("string") == WILDCARD, F.lit(WILDCARD)).otherwise(
+            _as_fact_text(F.col(rule), types[i])
+        )
+        for i, (rule, _) in enumerate(pairs)
+    }
+    return rules.withColumns(texts)
+
+
+def rule_matches(combinations: DataFrame, rules: DataFrame, width: int) -> DataFrame:
     """All (combination, rule) pairs that match, each once.
 
-    ``columns`` pairs a column of ``combinations`` with a rule column. Rule columns
-    are text; a null on either side matches nothing but a wildcard.
+    The ``_fact{i}`` columns of the combinations meet the ``_text{i}`` columns of the
+    rules. A null on either side matches nothing but a wildcard.
     """
-    is_wild = [F.coalesce(F.col(rule) == WILDCARD, F.lit(False)) for _, rule in columns]
+    is_wild = [F.coalesce(F.col(f"_text{i}") == WILDCARD, F.lit(False)) for i in range(width)]
     # Bounded by 2 ** number of rule columns, whatever the number of rules.
     masks = [
         tuple(row)
@@ -67,7 +85,7 @@ def rule_matches(
         .collect()
     ]
     if not masks:
-        masks = [tuple(False for _ in columns)]
+        masks = [(False,) * width]
     mask_array = F.array(
         *[F.struct(*[F.lit(w).alias(f"w{i}") for i, w in enumerate(m)]) for m in masks]
     )
@@ -75,18 +93,18 @@ def rule_matches(
         *combinations.columns,
         *[
             F.when(F.col(f"_mask.w{i}"), F.lit(WILDCARD))
-            .otherwise(F.col(fact).cast("string"))
+            .otherwise(F.col(f"_fact{i}").cast("string"))
             .alias(f"_rule{i}")
-            for i, (fact, _) in enumerate(columns)
+            for i in range(width)
         ],
-        *[F.col(f"_mask.w{i}").alias(f"_wild{i}") for i in range(len(columns))],
+        *[F.col(f"_mask.w{i}").alias(f"_wild{i}") for i in range(width)],
     )
     # The flags are part of the key: a fact that holds '*' itself must not meet a
     # rule twice.
     tagged = rules.withColumns({f"_is_wild{i}": w for i, w in enumerate(is_wild)})
-    on = [F.col(f"_rule{i}") == F.col(rule) for i, (_, rule) in enumerate(columns)]
-    on += [F.col(f"_wild{i}") == F.col(f"_is_wild{i}") for i in range(len(columns))]
-    helpers = [f"{p}{i}" for p in ("_rule", "_wild", "_is_wild") for i in range(len(columns))]
+    on = [F.col(f"_rule{i}") == F.col(f"_text{i}") for i in range(width)]
+    on += [F.col(f"_wild{i}") == F.col(f"_is_wild{i}") for i in range(width)]
+    helpers = [f"{p}{i}" for p in ("_rule", "_text", "_wild", "_is_wild") for i in range(width)]
     return keyed.join(tagged, on, "inner").drop(*helpers)
 
 
@@ -116,18 +134,20 @@ def join_wildcard_rules(
 
     ``residual`` conditions may name both sides, the rule side as ``rule_alias``.
     """
+    pairs = list(wild.items())
+    ready = _comparable(rules, facts, pairs)
+    others = [F.expr(c) for c in residual]
     if rules.limit(max_loop_rules + 1).count() <= max_loop_rules:
-        conditions = [
-            f"({rule_alias}.{rule} = {fact} or {rule_alias}.{rule} = '{WILDCARD}')"
-            for rule, fact in wild.items()
+        texts = [F.col(f"{rule_alias}._text{i}") for i in range(len(pairs))]
+        on = [
+            (text == F.expr(fact).cast("string")) | (text == WILDCARD)
+            for text, (_, fact) in zip(texts, pairs, strict=True)
         ]
-        on = [F.expr(c) for c in [*conditions, *residual]]
-        return facts.join(F.broadcast(rules.alias(rule_alias)), on, how)
-    pairs = list(wild.items())
-    columns = [(f"_fact{i}", rule) for i, (rule, _) in enumerate(pairs)]
-    matched = rule_matches(_combinations(facts, pairs), rules, columns).alias(rule_alias)
-    on = [*_matched_on(pairs), *[F.expr(c) for c in residual]]
-    return facts.join(matched, on, how).drop(*[f"_fact{i}" for i in range(len(pairs))])
+        joined = facts.join(F.broadcast(ready.alias(rule_alias)), [*on, *others], how)
+        return joined.drop(*[f"_text{i}" for i in range(len(pairs))])
+    matched = rule_matches(_combinations(facts, pairs), ready, len(pairs)).alias(rule_alias)
+    joined = facts.join(matched, [*_matched_on(pairs), *others], how)
+    return joined.drop(*[f"_fact{i}" for i in range(len(pairs))])
 
 
 def attach_best_rule(
@@ -151,9 +171,8 @@ def attach_best_rule(
         return _first_rule(facts, rules, sorted(few, key=lambda r: r[order]), wild, outputs)
     pairs = list(wild.items())
     names = [f"_fact{i}" for i in range(len(pairs))]
-    columns = list(zip(names, wild, strict=True))
     best = (
-        rule_matches(_combinations(facts, pairs), rules, columns)
+        rule_matches(_combinations(facts, pairs), _comparable(rules, facts, pairs), len(pairs))
         .groupBy(*names)
         .agg(*[F.min_by(rule, order).alias(new) for new, rule in outputs.items()])
     )
@@ -168,11 +187,13 @@ def _first_rule(
     outputs: Mapping[str, str],
 ) -> DataFrame:
     """Outputs of the first of a few ordered rules that matches."""
+    facts_of = [(column, F.expr(fact)) for column, fact in wild.items()]
+    fact_types = [f.dataType for f in facts.select(*[fact for _, fact in facts_of]).schema]
     tests = []
     for rule in ordered:
         compared = [
-            F.expr(fact).cast("string") == F.lit(rule[column])
-            for column, fact in wild.items()
+            fact.cast("string") == _as_fact_text(F.lit(rule[column]), fact_type)
+            for (column, fact), fact_type in zip(facts_of, fact_types, strict=True)
             if rule[column] != WILDCARD
         ]
         tests.append(reduce(lambda a, b: a & b, compared, F.lit(True)))
