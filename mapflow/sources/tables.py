@@ -78,10 +78,15 @@ def read_source(
     filter: str | None = None,  # noqa: A002 - the key users write
     columns: list[str] | str | None = None,
 ) -> DataFrame:
-    """Aliased scan: filter first (it may use unselected columns), then project."""
-    df = underscore_hyphens(tables(source))
+    """Aliased scan: filter first (it may use unselected columns), then project.
+
+    A listed column with a hyphen gets an underscore instead.
+    """
+    df = tables(source)
     if filter:
         df = df.where(filter)
     if columns:
-        df = df.selectExpr(*([columns] if isinstance(columns, str) else columns))
+        listed = [columns] if isinstance(columns, str) else columns
+        plain = [f"`{c}` AS {c.replace('-', '_')}" if "-" in c and c in df.columns else c for c in listed]
+        df = df.selectExpr(*plain)
     return df.alias(alias)

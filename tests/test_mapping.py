@@ -13,7 +13,8 @@ from mapflow.plans.mapping import (
     run_chain,
     run_mapping,
 )
-from mapflow.sources.tables import frame_tables
+from mapflow.sources.mapping_files import load_mapping
+from mapflow.sources.tables import frame_tables, underscore_hyphens
 
 
 @pytest.fixture(scope="module")
@@ -266,8 +267,39 @@ def test_parameters():
 
 
 def test_hyphens_become_underscores(frame):
-    tables = frame_tables({"t": frame([(1,)], "x int").withColumnRenamed("x", "a-b")})
-    assert rows(run_mapping(tables, {"sources": sources(T="t"), "expressions": {"y": "T.a_b"}})) == [(1,)]
+    tables = frame_tables({"t": frame([(1, 2)], "x int, y int").withColumnsRenamed({"x": "a-b", "y": "c"})})
+    source = {"alias": "T", "source": "t", "columns": ["a-b", "c - 1 as d"], "filter": "`a-b` = 1"}
+    assert rows(run_mapping(tables, {"sources": [source], "expressions": {"y": "T.a_b", "d": "T.d"}})) == [(1, 1)]
+    assert underscore_hyphens(tables("t")).columns == ["a_b", "c"]
+
+
+YAML_TEXT = """
+target: t_{{ RUN_MONTH }}
+sources:
+  - alias: T
+    source: t
+    filter: s = 'keep'
+transformations:
+  - add_variables:
+      column_mapping:
+        v: case when T.s = "keep" then 1 else 2 end
+expressions:
+  id: T.id
+  v: v
+  nothing: null
+  text: "Hello World-123_! :)"
+  wrapped: "'x'"
+  empty: ""
+  zero: 0
+  month: '{{ RUN_MONTH }}'
+"""
+
+
+def test_mapping_from_yaml(frame):
+    pytest.importorskip("yaml")
+    tables = frame_tables({"t": frame([(1, "keep"), (2, "no")], "id int, s string")})
+    got = run_mapping(tables, load_mapping(YAML_TEXT), "202501")
+    assert rows(got) == [(1, 1, None, "Hello World-123_! :)", "x", "", 0, "202501")]
 
 
 def test_chain(frame):
