@@ -143,7 +143,14 @@ def mapping_all_entities(spark: SparkSession, t: Tables) -> DataFrame:
         "expressions": {"entity": "A.n_name", "delivery_entity": "A.delivery_entity", "run_month": "A.run_month",
                         "n_orders": "A.n_orders", "top_price": "A.top_price"},
     }
-    return run_mapping(frame_tables({"orders_by_month": orders, "entities": entities}, t), mapping)
+    target = run_mapping(frame_tables({"orders_by_month": orders, "entities": entities}, t), mapping)
+    return publish(
+        target,
+        scratch_path(spark, "entities"),
+        "orders",
+        {"PK": ["delivery_entity", "run_month"]},
+        partition_by=["delivery_entity"],
+    )
 
 
 @query("mapping_no_steps", "SELECT s_suppkey AS id, upper(s_name) AS name FROM supplier WHERE s_acctbal > 0")

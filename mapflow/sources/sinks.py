@@ -89,14 +89,25 @@ def create_empty_like(
 
 
 def export_parquet(
-    df: DataFrame | None, folder: str, file_name: str, partition_by: Iterable[str] = ()
+    df: DataFrame | None,
+    folder: str,
+    file_name: str,
+    partition_by: Iterable[str] = (),
+    replace_partitions: bool = False,
 ) -> bool:
-    """Write ``folder/file_name.parquet``; missing data is refused with ``False``."""
+    """Write ``folder/file_name.parquet``; missing data is refused with ``False``.
+
+    ``replace_partitions`` leaves partitions that ``df`` does not touch in place, so a
+    month can be rerun next to the others. Partitioned output is rebalanced first:
+    small pieces are merged and a hot partition is split over several files.
+    """
     if df is None:
         return False
-    writer = df.write.mode("overwrite")
-    if keys := list(partition_by):
-        writer = writer.partitionBy(*keys)
+    keys = list(partition_by)
+    writer = (df.hint("rebalance", *keys) if keys else df).write.mode("overwrite")
+    if keys:
+        mode = "dynamic" if replace_partitions else "static"
+        writer = writer.partitionBy(*keys).option("partitionOverwriteMode", mode)
     writer.parquet(f"{folder.rstrip('/')}/{file_name}.parquet")
     return True
 

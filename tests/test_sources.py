@@ -65,6 +65,17 @@ def test_export_and_manifest(spark, frame, tmp_path):
     assert fewer != stored["content_hash"]  # copies count
 
 
+def test_one_month_is_replaced_next_to_the_others(spark, frame, tmp_path):
+    def write(data, **how):
+        df = frame(data, "x int, run_month string")
+        assert sinks.export_parquet(df, str(tmp_path), "t", partition_by=["run_month"], **how)
+        return rows(spark.read.parquet(f"{tmp_path}/t.parquet").selectExpr("x", "cast(run_month as string)"))
+
+    write([(1, "202501"), (2, "202502")])
+    assert write([(3, "202502")], replace_partitions=True) == [(1, "202501"), (3, "202502")]
+    assert write([(4, "202503")]) == [(4, "202503")]
+
+
 def test_comments(spark, frame):
     df = sinks.with_comments(frame([(1, 2)], "x int, y int"), {"x": "A.x + 1"})
     sinks.overwrite_table(df, "t_comments")
