@@ -29,26 +29,38 @@ _PLAIN_RULE = re.compile(
     re.IGNORECASE | re.DOTALL,
 )
 
+_PLAIN_EQUALITY = re.compile(r"^\s*(?P<one>[\w.]+)\s*=\s*(?P<other>[\w.]+)\s*$")
+
 
 def split_conditions(
     conditions: Sequence[str], right_alias: str
-) -> tuple[dict[str, str], list[str]]:
-    """Separate plain wildcard conditions from all others.
+) -> tuple[dict[str, str], dict[str, str], list[str]]:
+    """Separate plain wildcard conditions and plain equalities from all others.
 
-    Returns ``{rule column: fact column}`` and the remaining conditions.
+    Returns two ``{rule column: fact column}`` maps and the remaining conditions.
     """
     wild: dict[str, str] = {}
+    exact: dict[str, str] = {}
     rest: list[str] = []
     for condition in conditions:
-        match = _PLAIN_RULE.match(condition)
-        if match:
-            owner, _, column = match["rule"].rpartition(".")
-            fact_owner = match["fact"].rpartition(".")[0]
-            if owner == right_alias and fact_owner != right_alias and column not in wild:
-                wild[column] = match["fact"]
+        kinds = ((wild, _PLAIN_RULE, "rule", "fact"), (exact, _PLAIN_EQUALITY, "one", "other"),
+                 (exact, _PLAIN_EQUALITY, "other", "one"))
+        for found, pattern, rule, fact in kinds:
+            match = pattern.match(condition)
+            if not match:
                 continue
-        rest.append(condition)
-    return wild, rest
+            owner, _, column = match[rule].rpartition(".")
+            outside = match[fact].rpartition(".")[0] != right_alias
+            if owner == right_alias and outside and column not in wild and column not in exact:
+                found[column] = match[fact]
+                break
+        else:
+            rest.append(condition)
+    return wild, exact, rest
+
+
+def _types(df: DataFrame, expressions: Sequence[str]) -> list[T.DataType]:
+    return [f.dataType for f in df.select(*[F.expr(e) for e in expressions]).schema]
 
 
 def _as_fact_text(value: Column, fact_type: T.DataType) -> Column:
@@ -60,7 +72,7 @@ def _as_fact_text(value: Column, fact_type: T.DataType) -> Column:
 
 def _comparable(rules: DataFrame, facts: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     """Rules with a ``_text{i}`` column per pair: wildcard, or text like the fact's."""
-    types = [f.dataType for f in facts.select(*[F.expr(e) for _, e in pairs]).schema]
+    types = _types(facts, [e for _, e in pairs])
     texts = {
         f"_text{i}": F.when(F.col(rule).cast("string") == WILDCARD, F.lit(WILDCARD)).otherwise(
             _as_fact_text(F.col(rule), types[i])
@@ -70,11 +82,14 @@ def _comparable(rules: DataFrame, facts: DataFrame, pairs: Sequence[tuple[str, s
     return rules.withColumns(texts)
 
 
-def rule_matches(combinations: DataFrame, rules: DataFrame, width: int) -> DataFrame:
+def rule_matches(
+    combinations: DataFrame, rules: DataFrame, width: int, exact: Sequence[tuple[str, str]] = ()
+) -> DataFrame:
     """All (combination, rule) pairs that match, each once.
 
     The ``_fact{i}`` columns of the combinations meet the ``_text{i}`` columns of the
-    rules. A null on either side matches nothing but a wildcard.
+    rules. A null on either side matches nothing but a wildcard. ``exact`` pairs a
+    column of the combinations with a rule column that knows no wildcard.
     """
     is_wild = [F.coalesce(F.col(f"_text{i}") == WILDCARD, F.lit(False)) for i in range(width)]
     # Bounded by 2 ** number of rule columns, whatever the number of rules.
@@ -104,6 +119,7 @@ def rule_matches(combinations: DataFrame, rules: DataFrame, width: int) -> DataF
     tagged = rules.withColumns({f"_is_wild{i}": w for i, w in enumerate(is_wild)})
     on = [F.col(f"_rule{i}") == F.col(f"_text{i}") for i in range(width)]
     on += [F.col(f"_wild{i}") == F.col(f"_is_wild{i}") for i in range(width)]
+    on += [F.col(name) == F.col(rule) for name, rule in exact]
     helpers = [f"{p}{i}" for p in ("_rule", "_text", "_wild", "_is_wild") for i in range(width)]
     return keyed.join(tagged, on, "inner").drop(*helpers)
 
@@ -128,15 +144,18 @@ def join_wildcard_rules(
     how: str = "left",
     residual: Sequence[str] = (),
     rule_alias: str = "RULES",
+    exact: Mapping[str, str] | None = None,
     max_loop_rules: int = MAX_LOOP_RULES,
 ) -> DataFrame:
     """Join facts to rules; ``wild`` maps a rule column to the fact expression.
 
-    ``residual`` conditions may name both sides, the rule side as ``rule_alias``.
+    ``exact`` does the same for rule columns without wildcards. ``residual`` conditions
+    may name both sides, the rule side as ``rule_alias``.
     """
     pairs = list(wild.items())
     ready = _comparable(rules, facts, pairs)
     others = [F.expr(c) for c in residual]
+    others += [F.col(f"{rule_alias}.{rule}") == F.expr(fact) for rule, fact in (exact or {}).items()]
     if rules.limit(max_loop_rules + 1).count() <= max_loop_rules:
         texts = [F.col(f"{rule_alias}._text{i}") for i in range(len(pairs))]
         on = [
@@ -145,9 +164,18 @@ def join_wildcard_rules(
         ]
         joined = facts.join(F.broadcast(ready.alias(rule_alias)), [*on, *others], how)
         return joined.drop(*[f"_text{i}" for i in range(len(pairs))])
-    matched = rule_matches(_combinations(facts, pairs), ready, len(pairs)).alias(rule_alias)
-    joined = facts.join(matched, [*_matched_on(pairs), *others], how)
-    return joined.drop(*[f"_fact{i}" for i in range(len(pairs))])
+    # Equalities of one type narrow the matching too; others are only tested above.
+    narrowing = [
+        (rule, fact)
+        for rule, fact in (exact or {}).items()
+        if _types(facts, [fact]) == _types(rules, [rule])
+    ]
+    combinations = _combinations(facts, [*pairs, *narrowing])
+    names = [f"_fact{i}" for i in range(len(pairs) + len(narrowing))]
+    same = [(names[len(pairs) + i], rule) for i, (rule, _) in enumerate(narrowing)]
+    matched = rule_matches(combinations, ready, len(pairs), same).alias(rule_alias)
+    joined = facts.join(matched, [*_matched_on([*pairs, *narrowing]), *others], how)
+    return joined.drop(*names)
 
 
 def attach_best_rule(

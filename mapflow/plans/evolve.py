@@ -3,16 +3,41 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mapflow.operators.windows import keep_extreme
 
 
-def _find(df: DataFrame, name: str | None) -> str | None:
-    """The column of ``df`` with this name in any case."""
-    return next((c for c in df.columns if name and c.lower() == name.lower()), None)
+def _find(names: Iterable[str], wanted: str | None) -> str | None:
+    """The name in the list that equals the wanted one in any case."""
+    return next((n for n in names if wanted and n.lower() == wanted.lower()), None)
+
+
+@dataclass
+class _Layout:
+    """A table and the projection that it will get: output name to column."""
+
+    rows: DataFrame
+    columns: dict[str, Column]
+    log: list[str] = field(default_factory=list)
+
+    def column(self, name: str | None) -> Column | None:
+        found = _find(self.columns, name)
+        return self.columns[found] if found else None
+
+    def without(self, name: str | None) -> None:
+        self.columns.pop(_find(self.columns, name), None)
+
+    def put(self, name: str, column: Column) -> None:
+        self.without(name)
+        self.columns[name] = column
+
+    def rename(self, old: str | None, new: str) -> None:
+        found = _find(self.columns, old)
+        self.columns = {new if n == found else n: c for n, c in self.columns.items()}
 
 
 def evolve_tables(
@@ -21,43 +46,48 @@ def evolve_tables(
     """Apply change rows in order; returns the new tables and the change texts.
 
     ``Add`` gives a null text column, ``Remove`` and ``Rename`` act on one table,
-    ``Move`` brings a column to another table by a left join over a case-insensitive key and drops it
-    at its source. Changes that name an absent table or column are skipped.
+    ``Move`` brings a column to another table by a left join over a case-insensitive
+    key and drops it at its source. Changes that name an absent table or column are
+    skipped. All changes of a table end up in one projection.
     """
-    done = dict(tables)
-    texts: dict[str, list[str]] = {name: [] for name in done}
-    for change in changes:
-        kind, target = change["ChangeType"], change["NewEntityName"]
-        if target not in done:
-            continue
-        df = done[target]
-        old, new = change.get("OldAttributeName"), change.get("NewAttributeName")
-        if kind == "Add":
-            done[target] = df.withColumn(new, F.lit(None).cast("string"))
-            texts[target].append(f"Added {new}")
-        elif kind == "Remove":
-            done[target] = df.drop(old)
-            texts[target].append(f"Removed {old}")
-        elif kind == "Rename":
-            done[target] = df.withColumnRenamed(old, new)
-            texts[target].append(f"Renamed {old} to {new}")
-        elif kind == "Move":
-            origin = change["OldEntityName"]
-            source = done.get(origin)
-            moved = _find(source, old) if source is not None else None
-            if moved is None:
-                continue
-            values = source.select(
-                F.lower(F.col(change["OldEntityKey"]).cast("string")).alias("_move_key"),
-                F.col(moved).alias(new),
+    layouts = {n: _Layout(df, {c: F.col(f"`{c}`") for c in df.columns}) for n, df in tables.items()}
+    for number, change in enumerate(changes):
+        table = layouts.get(change["NewEntityName"])
+        if table is not None:
+            _apply(change, table, layouts, f"_moved{number}")
+    done = {n: t.rows.select(*[c.alias(o) for o, c in t.columns.items()]) for n, t in layouts.items()}
+    return done, {n: t.log or ["No changes done"] for n, t in layouts.items()}
+
+
+def _apply(
+    change: Mapping[str, str | None], table: _Layout, layouts: Mapping[str, _Layout], carrier: str
+) -> None:
+    old, new = change.get("OldAttributeName"), change.get("NewAttributeName")
+    match change["ChangeType"]:
+        case "Add":
+            table.put(new, F.lit(None).cast("string"))
+            table.log.append(f"Added {new}")
+        case "Remove":
+            table.without(old)
+            table.log.append(f"Removed {old}")
+        case "Rename":
+            table.rename(old, new)
+            table.log.append(f"Renamed {old} to {new}")
+        case "Move":
+            origin = layouts.get(change["OldEntityName"])
+            if origin is None or origin.column(old) is None:
+                return
+            values = origin.rows.select(
+                F.lower(origin.column(change["OldEntityKey"]).cast("string")).alias(f"{carrier}_key"),
+                origin.column(old).alias(carrier),
             )
-            key = F.lower(F.col(change["NewEntityKey"]).cast("string"))
-            done[target] = df.join(values, key == F.col("_move_key"), "left").drop("_move_key")
-            done[origin] = done[origin].drop(moved)
-            text = f"Moved {origin}.{old} to {target}.{new}"
-            texts[target].append(text)
-            texts[origin].append(text)
-    return done, {name: lines or ["No changes done"] for name, lines in texts.items()}
+            key = F.lower(table.column(change["NewEntityKey"]).cast("string"))
+            table.rows = table.rows.join(values, key == F.col(f"{carrier}_key"), "left")
+            table.put(new, F.col(carrier))
+            origin.without(old)
+            text = f"Moved {change['OldEntityName']}.{old} to {change['NewEntityName']}.{new}"
+            for affected in (table, origin):
+                affected.log.append(text)
 
 
 def latest_version(attributes: DataFrame) -> DataFrame:
@@ -74,5 +104,5 @@ def attributes_per_table(attributes: DataFrame) -> DataFrame:
 
 def project_attributes(df: DataFrame, attributes: Iterable[str]) -> DataFrame:
     """Only the listed attributes that the table has, in the listed order."""
-    present = [c for c in (_find(df, a) for a in attributes) if c is not None]
+    present = [c for c in (_find(df.columns, a) for a in attributes) if c is not None]
     return df.select(*present)

@@ -76,9 +76,9 @@ def join_frames(
     if how == "cross":
         joined = cross_bounded(left, right)
         return joined.where(_all_of(conditions)) if conditions else joined
-    wild, rest = split_conditions(conditions, right_source)
+    wild, exact, rest = split_conditions(conditions, right_source)
     if wild and how in ("left", "leftouter", "left_outer", "inner"):
-        return join_wildcard_rules(left, right, wild, how, rest, right_source)
+        return join_wildcard_rules(left, right, wild, how, rest, right_source, exact)
     return left.join(right, [F.expr(c) for c in conditions], how)
 
 

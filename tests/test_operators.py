@@ -129,6 +129,20 @@ def test_wildcard_join(frame, seed, how, loop):
     assert len(got.columns) == 9
 
 
+@pytest.mark.parametrize("loop", [0, 64])
+@pytest.mark.parametrize("kind", ["int", "bigint"])
+def test_wildcard_join_with_exact_column(frame, loop, kind):
+    """An equality next to the wildcards, in one type or in two."""
+    facts, rules, matches = rule_case(4, 25)
+    left = frame(facts, "id int, p string, q string, s int").alias("F")
+    right = frame(rules, f"rule int, x string, y string, z string, lowest {kind}")
+    got = join_wildcard_rules(left, right, WILD, "left", [], "R", {"lowest": "F.id"}, loop)
+    expected = [(f[0], r[0]) for f, r in matches if f[0] == r[4]]
+    expected += [(f[0], None) for f in facts if f[0] not in {e[0] for e in expected}]
+    assert sorted(map(str, rows(got.select("F.id", "R.rule")))) == sorted(map(str, expected))
+    assert len(got.columns) == 9
+
+
 @pytest.mark.parametrize("n_rules", [0, 1, 25])
 @pytest.mark.parametrize("loop", [0, 64])
 def test_best_rule(frame, n_rules, loop):
@@ -154,10 +168,14 @@ def test_only_plain_wildcard_conditions_are_taken_apart():
         "F.k = R.k",
         "R.d = upper(F.x) or R.d = '*'",
         "R.e = R.f or R.e = '*'",
+        "R.g = F.z",
+        "R.h = R.i",
+        "R.g = F.y",
     ]
-    wild, rest = split_conditions(conditions, "R")
+    wild, exact, rest = split_conditions(conditions, "R")
     assert wild == {"a": "F.x", "b": "F.y"}
-    assert rest == conditions[2:]
+    assert exact == {"k": "F.k", "g": "F.z"}
+    assert rest == [conditions[i] for i in (2, 4, 5, 7, 8)]
 
 
 def test_join_contains(frame):
