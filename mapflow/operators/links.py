@@ -25,7 +25,8 @@ def propagate_over_links(
     a needy party can only meet others: one winner per item is enough, and the
     pairs of parties on an item are never formed.
 
-    ``links`` holds distinct ``party, item`` pairs under the same column names.
+    ``links`` holds ``party, item`` pairs under the same column names; copies of a pair
+    do no harm.
     """
     rated = parties.where(valid).select(
         F.col(party).alias("_rated"), F.col(value).alias("_value"), F.struct(*recency).alias("_recency")

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from mapflow.functions.amounts import exact_sum, hundredths
 from mapflow.operators.aggregates import pivot_values
-from mapflow.operators.windows import keep_extreme
 from mapflow.plans.mapping import run_mapping
 from mapflow.queries.registry import query
 from mapflow.sources.tables import Tables
@@ -188,16 +187,15 @@ def agg_distinct(spark: SparkSession, t: Tables) -> DataFrame:
        FROM lineitem JOIN first_day ON l_orderkey = k AND l_shipdate = d GROUP BY 1""",
 )
 def agg_min_rejoin(spark: SparkSession, t: Tables) -> DataFrame:
-    lines = t("lineitem").select("l_orderkey", "l_shipdate", "l_quantity", "l_returnflag")
-    return (
-        keep_extreme(lines, ["l_orderkey"], "l_shipdate", largest=False)
-        .groupBy("l_orderkey")
-        .agg(
-            F.expr("max(l_quantity) filter (where l_returnflag = 'R')").alias("returned_qty"),
-            F.expr("max(l_quantity) filter (where l_returnflag = 'A')").alias("accepted_qty"),
-            F.count(F.lit(1)).alias("n_lines"),
-        )
-    )
+    """Aggregate per day, then keep the first day's aggregates: no join back."""
+    values = {
+        "returned_qty": F.expr("max(l_quantity) filter (where l_returnflag = 'R')"),
+        "accepted_qty": F.expr("max(l_quantity) filter (where l_returnflag = 'A')"),
+        "n_lines": F.count(F.lit(1)),
+    }
+    per_day = t("lineitem").groupBy("l_orderkey", "l_shipdate").agg(*[c.alias(n) for n, c in values.items()])
+    first = per_day.groupBy("l_orderkey").agg(F.min_by(F.struct(*values), "l_shipdate").alias("first"))
+    return first.select("l_orderkey", "first.*")
 
 
 @query(

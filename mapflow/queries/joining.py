@@ -490,7 +490,7 @@ def join_link_propagation(spark: SparkSession, t: Tables) -> DataFrame:
         "s_suppkey AS party", "case when s_acctbal >= 6000 then s_acctbal end AS own_rating",
         "s_nationkey AS rating_year",
     )
-    links = t("lineitem").selectExpr("l_suppkey AS party", "l_orderkey AS item").distinct()
+    links = t("lineitem").selectExpr("l_suppkey AS party", "l_orderkey AS item")
     return propagate_over_links(
         parties.withColumnRenamed("party", "id"),
         links.withColumnRenamed("party", "id"),
