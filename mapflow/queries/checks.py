@@ -14,7 +14,7 @@ RESULT = ["check_type", "check_details", "result", "violations"]
 
 @query(
     "dq_column_count",
-    """SELECT 'column_count' AS check_type, '11' AS check_details, 'PASS' AS result, 0 AS violations, count(*) AS n_rows FROM lineitem
+    """SELECT 'column_count' AS check_type, '11' AS check_details, 'PASS' AS result, 0::BIGINT AS violations, count(*) AS n_rows FROM lineitem
        UNION ALL SELECT 'column_count', '5', 'FAIL', 1, count(*) FROM orders""",
 )
 def dq_column_count(spark: SparkSession, t: Tables) -> DataFrame:
@@ -41,7 +41,7 @@ ORDER_TYPES = {
 
 @query(
     "dq_schema_types",
-    """SELECT 'column_count' AS check_type, '6' AS check_details, 'PASS' AS result, 0 AS violations, '' AS error, count(*) AS n_rows FROM orders
+    """SELECT 'column_count' AS check_type, '6' AS check_details, 'PASS' AS result, 0::BIGINT AS violations, '' AS error, count(*) AS n_rows FROM orders
        UNION ALL SELECT 'columns_datatypes', 'o_orderkey,o_custkey,o_orderstatus,o_totalprice,o_orderdate,o_channel', 'FAIL', 4,
          'not found: [(''o_channel'', ''string''), (''o_custkey'', ''int'')]; not expected: [(''o_custkey'', ''bigint''), (''o_orderpriority'', ''string'')]',
          count(*) FROM orders""",
@@ -108,7 +108,7 @@ def dq_not_null(spark: SparkSession, t: Tables) -> DataFrame:
 
 @query(
     "dq_referential",
-    """SELECT CASE WHEN o_totalprice > 490000 THEN NULL ELSE o_custkey END AS value, count(*) AS n_rows FROM orders
+    """SELECT cast(CASE WHEN o_totalprice > 490000 THEN NULL ELSE o_custkey END AS varchar) AS value, count(*) AS n_rows FROM orders
        WHERE o_orderstatus <> 'P' AND (o_totalprice > 490000 OR o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal > 0))
        GROUP BY 1""",
 )
@@ -116,9 +116,10 @@ def dq_referential(spark: SparkSession, t: Tables) -> DataFrame:
     orders = t("orders").selectExpr(
         "o_orderstatus", "case when o_totalprice > 490000 then null else o_custkey end AS party"
     )
-    return quality.missing_values(
+    missing = quality.missing_values(
         orders, "party", t("customer").where("c_acctbal > 0"), "c_custkey", "o_orderstatus <> 'P'"
     )
+    return missing.select(F.col("value").cast("string").alias("value"), "n_rows")
 
 
 GENERIC = {"columns": 1, "PK": ["o_orderkey"], "not_null": ["o_orderkey"]}
@@ -144,8 +145,8 @@ MISSING_SQL = """(SELECT count(DISTINCT o_custkey) FROM orders WHERE o_custkey N
 
 @query(
     "dq_run_all",
-    f"""SELECT CASE WHEN {MISSING_SQL} = 0 THEN 'PASS' ELSE 'FAIL' END AS result, 6 AS n_checks,
-               CASE WHEN {MISSING_SQL} = 0 THEN 0 ELSE 1 END AS n_failed""",
+    f"""SELECT CASE WHEN {MISSING_SQL} = 0 THEN 'PASS' ELSE 'FAIL' END AS result, 6::BIGINT AS n_checks,
+               CASE WHEN {MISSING_SQL} = 0 THEN 0::BIGINT ELSE 1::BIGINT END AS n_failed""",
 )
 def dq_run_all(spark: SparkSession, t: Tables) -> DataFrame:
     merged = quality.merge_expectations(GENERIC, SPECIFIC)
@@ -154,7 +155,7 @@ def dq_run_all(spark: SparkSession, t: Tables) -> DataFrame:
 
 @query(
     "dq_generic_specific",
-    """SELECT 'column_count' AS check_type, '6' AS check_details, 'PASS' AS result, 0 AS violations
+    """SELECT 'column_count' AS check_type, '6' AS check_details, 'PASS' AS result, 0::BIGINT AS violations
        UNION ALL SELECT 'primary_key', 'o_orderkey', 'PASS', count(*) - count(DISTINCT o_orderkey) FROM orders
        UNION ALL SELECT 'unique', 'o_orderkey', 'PASS', count(*) - count(DISTINCT o_orderkey) FROM orders
        UNION ALL SELECT 'not_null', 'o_orderkey', 'PASS', count(*) - count(o_orderkey) FROM orders

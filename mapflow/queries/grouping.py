@@ -220,7 +220,7 @@ def agg_coalesce_priority(spark: SparkSession, t: Tables) -> DataFrame:
                            max(CASE WHEN o_orderstatus = 'F' THEN o_totalprice END) AS turnover FROM orders GROUP BY 1, 2),
             companies AS (SELECT o_custkey AS company, max(o_orderkey) AS last_order, max(CASE WHEN o_orderstatus = 'F' THEN o_totalprice END) AS parent_turnover
                           FROM orders GROUP BY 1)
-       SELECT own.o_custkey, last_order, coalesce(CASE WHEN c_acctbal > 9000 THEN c_acctbal END, parent_turnover, turnover) AS turnover
+       SELECT own.o_custkey, cast(last_order AS varchar) AS last_order, coalesce(CASE WHEN c_acctbal > 9000 THEN c_acctbal END, parent_turnover, turnover) AS turnover
        FROM own LEFT JOIN companies ON own.parent = company LEFT JOIN customer ON own.o_custkey = c_custkey""",
 )
 def agg_parent_selfjoin(spark: SparkSession, t: Tables) -> DataFrame:
@@ -246,7 +246,7 @@ def agg_parent_selfjoin(spark: SparkSession, t: Tables) -> DataFrame:
             ],
             "expressions": {
                 "o_custkey": "OWN.o_custkey",
-                "last_order": "COMPANY.last_order",
+                "last_order": "cast(COMPANY.last_order as string)",
                 "turnover": """coalesce(case when EXT.c_acctbal > 9000 then EXT.c_acctbal end,
                                         COMPANY.parent_turnover, OWN.turnover)""",
             },

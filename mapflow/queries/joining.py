@@ -30,7 +30,7 @@ def join_mapping(left: tuple, right: tuple, conditions: list[str], how: str | No
 
 @query(
     "join_left_multi",
-    """SELECT l_orderkey, l_linenumber, o_custkey, o_totalprice FROM lineitem
+    """SELECT l_orderkey, l_linenumber, cast(o_custkey AS varchar) AS party, o_totalprice FROM lineitem
        LEFT JOIN orders ON l_orderkey = o_orderkey AND l_linestatus = o_orderstatus""",
 )
 def join_left_multi(spark: SparkSession, t: Tables) -> DataFrame:
@@ -42,7 +42,7 @@ def join_left_multi(spark: SparkSession, t: Tables) -> DataFrame:
             ["L.l_orderkey = O.o_orderkey", "L.l_linestatus = O.o_orderstatus"],
             None,
             {"l_orderkey": "L.l_orderkey", "l_linenumber": "L.l_linenumber",
-             "o_custkey": "O.o_custkey", "o_totalprice": "O.o_totalprice"},
+             "party": "cast(O.o_custkey as string)", "o_totalprice": "O.o_totalprice"},
         ),
     )
 
@@ -67,7 +67,7 @@ def join_inner(spark: SparkSession, t: Tables) -> DataFrame:
 
 @query(
     "join_right",
-    """SELECT c_custkey, o_orderkey FROM (SELECT * FROM orders WHERE o_totalprice > 450000)
+    """SELECT c_custkey, cast(o_orderkey AS varchar) AS order_id FROM (SELECT * FROM orders WHERE o_totalprice > 450000)
        RIGHT JOIN customer ON o_custkey = c_custkey""",
 )
 def join_right(spark: SparkSession, t: Tables) -> DataFrame:
@@ -78,7 +78,7 @@ def join_right(spark: SparkSession, t: Tables) -> DataFrame:
             ("C", "customer", None),
             ["O.o_custkey = C.c_custkey"],
             "right_outer",
-            {"c_custkey": "C.c_custkey", "o_orderkey": "O.o_orderkey"},
+            {"c_custkey": "C.c_custkey", "order_id": "cast(O.o_orderkey as string)"},
         ),
     )
 
@@ -169,7 +169,7 @@ def join_cross(spark: SparkSession, t: Tables) -> DataFrame:
 
 @query(
     "join_computed_keys",
-    """SELECT c1.c_custkey, c2.c_custkey AS named_key, n_name FROM customer c1
+    """SELECT c1.c_custkey, cast(c2.c_custkey AS varchar) AS named_key, n_name FROM customer c1
        LEFT JOIN customer c2 ON lpad(cast(c1.c_custkey AS varchar), 9, '0') = substr(c2.c_name, 10)
        LEFT JOIN nation ON CASE WHEN c1.c_acctbal < 0 THEN 'NATION_0' ELSE 'NATION_' || c1.c_nationkey END = trim(n_name)""",
 )
@@ -189,7 +189,7 @@ def join_computed_keys(spark: SparkSession, t: Tables) -> DataFrame:
                     "var_nation": "case when C1.c_acctbal < 0 then 'NATION_0' else concat('NATION_', C1.c_nationkey) end"}}},
                 {"join": {"right_source": "N", "condition": ["var_nation = trim(N.n_name)"]}},
             ],
-            "expressions": {"c_custkey": "C1.c_custkey", "named_key": "C2.c_custkey", "n_name": "N.n_name"},
+            "expressions": {"c_custkey": "C1.c_custkey", "named_key": "cast(C2.c_custkey as string)", "n_name": "N.n_name"},
         },
     )
 
@@ -565,7 +565,7 @@ def lookup_fallback(spark: SparkSession, t: Tables) -> DataFrame:
         chosen AS (
           SELECT l_orderkey, l_linenumber, item_rule, party_rule, least(item_rule, party_rule) AS rule_id
           FROM item_rule LEFT JOIN party ON o_custkey = party)
-        SELECT DISTINCT l_orderkey, l_linenumber, item_rule, party_rule, chosen.rule_id,
+        SELECT DISTINCT l_orderkey, l_linenumber, item_rule, coalesce(party_rule, 0) AS party_rule, chosen.rule_id,
                CASE approach WHEN 'STD' THEN 'SA' WHEN 'FOU' THEN 'FIRB' WHEN 'IRB' THEN 'AIRB' ELSE approach END AS approach
         FROM chosen JOIN {RULES_SQL} ON chosen.rule_id = rules.rule_id WHERE item_rule IS NOT NULL""",
 )
@@ -589,7 +589,7 @@ def mapping_rule_assignment(spark: SparkSession, t: Tables) -> DataFrame:
         .withColumn("rule_id", F.least("item_rule", "party_rule"))
         .join(codes, "rule_id")
         .selectExpr(
-            "l_orderkey", "l_linenumber", "item_rule", "party_rule", "rule_id",
+            "l_orderkey", "l_linenumber", "item_rule", "coalesce(party_rule, 0) AS party_rule", "rule_id",
             "case approach when 'STD' then 'SA' when 'FOU' then 'FIRB' when 'IRB' then 'AIRB' else approach end AS approach",
         )
         .distinct()

@@ -42,13 +42,13 @@ def win_rank_asc(spark: SparkSession, t: Tables) -> DataFrame:
 
 @query(
     "win_conditional_rank",
-    """SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN cast(row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey) AS integer) END AS rank
+    """SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN cast(row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey) AS varchar) END AS rank
        FROM orders""",
 )
 def win_conditional_rank(spark: SparkSession, t: Tables) -> DataFrame:
     orders = t("orders").select("o_custkey", "o_orderkey", "o_orderdate", "o_orderstatus")
     ranked = number_rows(orders, ["o_custkey"], [F.desc("o_orderdate"), F.asc("o_orderkey")], "all_ranks")
-    return ranked.select("o_orderkey", F.expr("case when o_orderstatus = 'F' then all_ranks end").alias("rank"))
+    return ranked.select("o_orderkey", F.expr("case when o_orderstatus = 'F' then cast(all_ranks as string) end").alias("rank"))
 
 
 @query(
