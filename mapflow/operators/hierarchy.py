@@ -14,19 +14,18 @@ def roll_up(
 ) -> DataFrame:
     """Highest existing ancestor of every item, up to ``depth`` levels.
 
-    Adds ``highest_existing``, ``level_text`` and ``is_sub_item``. Only the two key
-    columns travel through the self-joins. A parent key may be hot, the parents
-    joined to are unique, so AQE can split the hot side of every join.
+    Adds ``highest_existing``, ``level_text`` and ``is_sub_item``. The ancestors depend
+    on the parent alone, so the chain is walked once per distinct parent, with key
+    columns only, and joined to the items in the end. A hot parent is one row of the
+    chain; in the last join AQE can split its items.
     """
-    links = items.select(key, parent)
-    chain = items
-    previous = parent
+    chain = items.select(F.col(parent).alias("_parent0")).where("_parent0 is not null").distinct()
     for level in range(1, depth + 1):
-        ancestors = links.select(
+        ancestors = items.select(
             F.col(key).alias(f"_key{level}"), F.col(parent).alias(f"_parent{level}")
         )
-        chain = chain.join(ancestors, F.col(previous) == F.col(f"_key{level}"), "left")
-        previous = f"_parent{level}"
+        chain = chain.join(ancestors, F.col(f"_parent{level - 1}") == F.col(f"_key{level}"), "left")
+    chain = items.join(chain, F.col(parent) == F.col("_parent0"), "left")
     return chain.select(
         *items.columns,
         F.coalesce(*[F.col(f"_key{n}") for n in range(depth, 0, -1)], F.col(key)).alias(

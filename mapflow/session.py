@@ -17,6 +17,10 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # Hash instead of sort where every partition's build side was measured small.
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
+    # Stream state lives on disk, not in the executors' heap.
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
