@@ -40,22 +40,34 @@ class Flow:
         return self.named[alias]
 
 
-def bind_parameters(mapping: Any, run_month: str = "", delivery_entity: str = "") -> Any:
-    """Fill ``{{ RUN_MONTH }}`` and ``{{ DELIVERY_ENTITY }}`` in every text.
+_PLACEHOLDER = re.compile(r"(?P<quote>'?)\{\{\s*(?P<name>\w+)\s*\}\}(?P=quote)")
 
-    An entity placeholder inside quotes keeps the entity as spelled, any other
-    becomes its normal form.
+
+def bind_parameters(mapping: Any, **parameters: str) -> Any:
+    """Fill every ``{{ NAME }}`` of a mapping; names are matched in any case.
+
+    A quoted ``DELIVERY_ENTITY`` keeps the entity as spelled, any other becomes its
+    normal form. A placeholder without a value is refused.
     """
-    if isinstance(mapping, Mapping):
-        return {k: bind_parameters(v, run_month, delivery_entity) for k, v in mapping.items()}
-    if isinstance(mapping, list | tuple):
-        return [bind_parameters(v, run_month, delivery_entity) for v in mapping]
-    if not isinstance(mapping, str):
-        return mapping
-    plain = re.sub("[^a-zA-Z0-9]", "", delivery_entity).lower()
-    text = re.sub(r"\{\{ *RUN_MONTH *\}\}", run_month, mapping)
-    text = re.sub(r"'\{\{ *DELIVERY_ENTITY *\}\}'", f"'{delivery_entity}'", text)
-    return re.sub(r"\{\{ *DELIVERY_ENTITY *\}\}", plain, text)
+    values = {name.upper(): str(value) for name, value in parameters.items()}
+
+    def fill(match: re.Match) -> str:
+        name, quote = match["name"].upper(), match["quote"]
+        if name not in values:
+            raise MappingError(f"no value for the parameter {name}")
+        value = values[name]
+        if name == "DELIVERY_ENTITY" and not quote:
+            value = re.sub("[^a-zA-Z0-9]", "", value).lower()
+        return f"{quote}{value}{quote}"
+
+    def bind(part: Any) -> Any:
+        if isinstance(part, Mapping):
+            return {k: bind(v) for k, v in part.items()}
+        if isinstance(part, list | tuple):
+            return [bind(v) for v in part]
+        return _PLACEHOLDER.sub(fill, part) if isinstance(part, str) else part
+
+    return bind(mapping)
 
 
 def join_frames(
@@ -230,28 +242,25 @@ def to_target(df: DataFrame, mapping: Mapping[str, Any]) -> DataFrame:
     return target.dropDuplicates() if mapping.get("drop_duplicates") else target
 
 
-def run_mapping(
-    tables: Tables,
-    mapping: Mapping[str, Any],
-    run_month: str = "",
-    delivery_entity: str = "",
-) -> DataFrame:
-    """The target of a mapping as a lazy DataFrame."""
-    bound = bind_parameters(mapping, run_month, delivery_entity)
+def run_mapping(tables: Tables, mapping: Mapping[str, Any], **parameters: str) -> DataFrame:
+    """The target of a mapping as a lazy DataFrame.
+
+    ``parameters`` fill the placeholders, as in ``run_month="202501"``.
+    """
+    bound = bind_parameters(mapping, **parameters)
     return to_target(integrate(tables, bound), bound)
 
 
 def run_chain(
     tables: Tables,
     mappings: Sequence[Mapping[str, Any]],
-    run_month: str = "",
-    delivery_entity: str = "",
+    **parameters: str,
 ) -> DataFrame:
     """Mappings that feed each other: a target is a source of the later ones."""
     done: dict[str, DataFrame] = {}
     result = None
     for mapping in mappings:
-        bound = bind_parameters(mapping, run_month, delivery_entity)
+        bound = bind_parameters(mapping, **parameters)
         result = run_mapping(lambda name: done[name] if name in done else tables(name), bound)
         done[bound["target"]] = result
     if result is None:

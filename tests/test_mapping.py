@@ -189,7 +189,7 @@ def test_full_mapping(frame):
         }
     )
     constants = ("NOTNULL", "keeping", None, "Hello World-123_! :)", "", 0, 2)
-    assert rows(run_mapping(tables, FULL, "202501")) == [(2, 3, 11.0, 7.0, *constants), (3, None, 11.0, 8.0, *constants)]
+    assert rows(run_mapping(tables, FULL, run_month="202501")) == [(2, 3, 11.0, 7.0, *constants), (3, None, 11.0, 8.0, *constants)]
 
 
 def test_pivot_mapping_with_several_functions(frame):
@@ -260,12 +260,36 @@ def test_faulty_steps_are_refused(join_tables, steps, message):
 def test_parameters():
     bound = bind_parameters(
         {"target": "int_{{ RUN_MONTH }}.{{ DELIVERY_ENTITY }}_x", "expressions": {"e": "'{{ DELIVERY_ENTITY }}'"}},
-        "202501",
-        "IHUB-FR1",
+        run_month="202501",
+        delivery_entity="IHUB-FR1",
     )
     assert bound == {"target": "int_202501.ihubfr1_x", "expressions": {"e": "'IHUB-FR1'"}}
 
 
+def test_any_parameter_and_missing_ones():
+    assert bind_parameters({"a": ["{{PARAMETER}} {{ run_month }}", 3]}, parameter=5, RUN_MONTH="x") == {"a": ["5 x", 3]}
+    with pytest.raises(MappingError, match="RUN_MONTH"):
+        bind_parameters("{{ RUN_MONTH }}")
+
+
+@pytest.mark.parametrize(
+    ("how", "expected"),
+    [
+        ("inner", [(2, 2)]),
+        ("left_outer", [(1, None), (2, 2)]),
+        ("rightouter", [(None, 3), (2, 2)]),
+        ("full_outer", [(None, 3), (1, None), (2, 2)]),
+        ("outer", [(None, 3), (1, None), (2, 2)]),
+        ("semi", [(2,)]),
+        ("leftanti", [(1,)]),
+    ],
+)
+def test_join_kinds(frame, how, expected):
+    tables = frame_tables({"a": frame([(1,), (2,)], "x int"), "b": frame([(2,), (3,)], "y int")})
+    step = {"right_source": "B", "condition": ["A.x = B.y"], "how": how}
+    assert rows(integrate(tables, {"sources": sources(A="a", B="b"), "transformations": [{"join": step}]})) == expected
+
+
 def test_hyphens_become_underscores(frame):
     tables = frame_tables({"t": frame([(1, 2)], "x int, y int").withColumnsRenamed({"x": "a-b", "y": "c"})})
     source = {"alias": "T", "source": "t", "columns": ["a-b", "c - 1 as d"], "filter": "`a-b` = 1"}
@@ -298,7 +322,7 @@ expressions:
 def test_mapping_from_yaml(frame):
     pytest.importorskip("yaml")
     tables = frame_tables({"t": frame([(1, "keep"), (2, "no")], "id int, s string")})
-    got = run_mapping(tables, load_mapping(YAML_TEXT), "202501")
+    got = run_mapping(tables, load_mapping(YAML_TEXT), run_month="202501")
     assert rows(got) == [(1, 1, None, "Hello World-123_! :)", "x", "", 0, "202501")]
 
 
@@ -308,7 +332,7 @@ def test_chain(frame):
         {"target": "s_{{ RUN_MONTH }}", "sources": sources(T="t"), "expressions": {"y": "T.x + 1"}},
         {"target": "e", "sources": [{"alias": "S", "source": "s_{{ RUN_MONTH }}"}], "expressions": {"z": "S.y * 10"}},
     ]
-    assert rows(run_chain(tables, chain, "202501")) == [(20,), (30,)]
+    assert rows(run_chain(tables, chain, run_month="202501")) == [(20,), (30,)]
 
 
 def test_cross_join_of_a_checked_side(frame):
