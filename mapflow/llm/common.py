@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from mapflow.session import scratch_path
 
 #: White space of the word and equality contracts: space, and tab to carriage return.
-BLANK = r"[\x20\x09-\x0D]"
+BLANKS = [" ", "\t", "\n", "\x0b", "\x0c", "\r"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mapflow.llm import encoding, packing
+from mapflow.llm import encoding, exact_dedup, near_dedup, packing, token_store, toxicity
 from mapflow.llm.common import table, tokenizer_path
+from mapflow.session import scratch_path
 
 WORD_BPE = "word_bpe_49k.json"
 BYTE_BPE = "byte_bpe_50k.json"
@@ -17,12 +18,49 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoding.digests(table(spark, sf_dir, "documents"), tokenizer_path(WORD_BPE))
 
 
+def op3_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "token-store")
+    token_store.write_ids(table(spark, sf_dir, "documents"), tokenizer_path(BYTE_BPE), path)
+    return token_store.read_documents(spark, path)
+
+
+def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.groups(table(spark, sf_dir, "documents"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path(WORD_BPE))
 
 
+def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_groups(table(spark, sf_dir, "documents"), words=2, percent=80)
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classified(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
+    "op3_token_store": op3_token_store,
+    "op6_exact_dedup": op6_exact_dedup,
     "op7_packing": op7_packing,
+    "op8_near_dedup": op8_near_dedup,
+    "op10_toxicity": op10_toxicity,
 }
-ORACLES: dict[str, str] = {}
+#: Equal texts by grouping on the normalised text itself.
+EXACT_DEDUP = r"""
+WITH plain AS (
+    SELECT doc_id, coalesce(text, '') AS original, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS normal
+    FROM documents
+)
+SELECT doc_id,
+       first_value(doc_id) OVER same AS keep_id,
+       count(*) OVER (PARTITION BY normal) AS group_size,
+       doc_id = first_value(doc_id) OVER same AS kept,
+       sha256(normal) AS text_sha256
+FROM plain
+WINDOW same AS (PARTITION BY normal ORDER BY length(original) DESC, doc_id)
+"""
+
+ORACLES: dict[str, str] = {"op6_exact_dedup": EXACT_DEDUP}
