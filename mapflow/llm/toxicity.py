@@ -236,6 +236,16 @@ def _document_counts(texts: DataFrame, only: set[str] | None = None) -> DataFram
     return texts.select("text").mapInArrow(run, "term string, n long").groupBy("term").agg(F.sum("n").alias("n"))
 
 
+def surprise(n: int, of: int, m: int, among: int) -> float:
+    """Log-likelihood ratio that a term met n of `of` times and m of `among` times has two different shares."""
+
+    def part(k: float, total: float, share: float) -> float:
+        return (k * log(share) if k else 0.0) + ((total - k) * log(1 - share) if total > k else 0.0)
+
+    both = (n + m) / (of + among)
+    return 2 * (part(n, of, n / of) + part(m, among, m / among) - part(n, of, both) - part(m, among, both))
+
+
 def learn_lexicon(sample: DataFrame, most_terms: int = MOST_TERMS) -> tuple[dict[str, float], dict[str, float]]:
     """Weights of toxic words and stems: logarithms of how much likelier toxic documents hold them."""
     train = sample.where(F.col("fold") != COEFFICIENT_FOLD)
@@ -244,11 +254,13 @@ def learn_lexicon(sample: DataFrame, most_terms: int = MOST_TERMS) -> tuple[dict
     if not toxic or not clean:
         return {}, {}
     least = max(3, toxic // 50)
-    common = _document_counts(train.where("label = 1")).where(F.col("n") >= least)
+    common = stored(_document_counts(train.where("label = 1")).where(F.col("n") >= least), "candidates")
     met = {r["term"]: r["n"] for r in common.orderBy(F.desc("n"), "term").limit(MOST_CANDIDATES).collect()}
     other = {r["term"]: r["n"] for r in _document_counts(train.where("label = 0"), set(met)).collect()}  # no more than the candidates
     weight = {t: log((n + 0.5) / (toxic + 1)) - log((other.get(t, 0) + 0.5) / (clean + 1)) for t, n in met.items()}
-    strong = {t for t in met if weight[t] >= log(10)}
+    # Among so many terms some are frequent in toxic documents by chance: as few as 1 in 100 trainings may let one in.
+    bound = 2 * log(100 * max(1, common.count()))
+    strong = {t for t, n in met.items() if weight[t] >= log(10) and surprise(n, toxic, other.get(t, 0), clean) >= bound}
 
     def longest(term: str) -> str:
         """The longest stem or word that nearly all of a stem's documents share: no wider than was seen."""
@@ -265,7 +277,8 @@ def learn_lexicon(sample: DataFrame, most_terms: int = MOST_TERMS) -> tuple[dict
 
 
 def train(docs: DataFrame, labels: DataFrame, most_labelled: int = MOST_LABELLED, most_terms: int = MOST_TERMS) -> ToxicityModel:
-    sample = stored(labelled_sample(docs, labels, most_labelled), "labelled")
+    # A text with many copies is one example.
+    sample = stored(labelled_sample(docs, labels, most_labelled).dropDuplicates(["text"]), "labelled")
     words, stems = learn_lexicon(sample, most_terms)
     counts = sample.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("label"), F.lit(0)).alias("toxic")).first()
     share = (counts["toxic"] + 0.5) / (counts["n"] + 1)
