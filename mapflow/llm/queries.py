@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mapflow.llm import encoding, exact_dedup, near_dedup, packing, token_store, toxicity
+from mapflow.llm import encoding, exact_dedup, near_dedup, packing, secrets, token_store, toxicity
 from mapflow.llm.common import table, tokenizer_path
 from mapflow.session import scratch_path
 
@@ -18,6 +18,10 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoding.digests(table(spark, sf_dir, "documents"), tokenizer_path(WORD_BPE))
 
 
+def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.findings(table(spark, sf_dir, "documents"), path="source")
+
+
 def op3_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-store")
     token_store.write_ids(table(spark, sf_dir, "documents"), tokenizer_path(BYTE_BPE), path)
@@ -42,6 +46,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
+    "op2_secrets": op2_secrets,
     "op3_token_store": op3_token_store,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_packing": op7_packing,
