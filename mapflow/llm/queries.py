@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mapflow.llm import encoding, exact_dedup, near_dedup, packing, secrets, token_store, toxicity
+from mapflow.llm import encoding, exact_dedup, language_model, near_dedup, packing, secrets, token_store, toxicity
 from mapflow.llm.common import table, tokenizer_path
 from mapflow.session import scratch_path
 
@@ -40,6 +40,10 @@ def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_groups(table(spark, sf_dir, "documents"), words=2, percent=80)
 
 
+def op9_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.scores(table(spark, sf_dir, "documents"))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classified(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -51,6 +55,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_exact_dedup": op6_exact_dedup,
     "op7_packing": op7_packing,
     "op8_near_dedup": op8_near_dedup,
+    "op9_language_model": op9_language_model,
     "op10_toxicity": op10_toxicity,
 }
 #: Equal texts by grouping on the normalised text itself.
