@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mapflow.llm import encoding, exact_dedup, language_model, near_dedup, neighbours, packing, secrets, token_store, toxicity
+from mapflow.llm import encoding, exact_dedup, language_model, near_dedup, neighbours, packing, repeats, secrets, token_store, toxicity
 from mapflow.llm.common import table, tokenizer_path
 from mapflow.session import scratch_path
 
@@ -29,6 +29,10 @@ def op3_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.read_documents(spark, path)
 
 
+def op4_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.digests(table(spark, sf_dir, "documents"))
+
+
 def op5_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
 
@@ -57,6 +61,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_secrets": op2_secrets,
     "op3_token_store": op3_token_store,
+    "op4_repeats": op4_repeats,
     "op5_neighbours": op5_neighbours,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_packing": op7_packing,
