@@ -43,7 +43,6 @@ from mapflow.llm.common import stored, text_or_empty
 
 WINDOW = 200
 ANCHOR = 64
-REACH = WINDOW - ANCHOR + 1  # windows that hold one place
 SYMBOL = 50
 SHARD_BYTES = 1 << 18
 TASK_BYTES = 1 << 22
@@ -67,20 +66,29 @@ def string_hashes(data: np.ndarray, length: int) -> np.ndarray:
     return values ^ (values >> np.uint64(32))
 
 
-def segments(data: bytes, window: int = WINDOW, anchor: int = ANCHOR) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Runs of windows with one anchor: the anchor's hash, first window and the one after the last."""
+def segments(data: bytes, window: int = WINDOW, anchor: int = ANCHOR) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Runs of windows with one anchor: its hash, first window, the one after the last, whether it stands there twice.
+
+    The smallest hash is sought on its leading bits, with the position in the others, so
+    that the leftmost place wins and each place is known.
+    """
     if len(data) < window:
         none = np.empty(0, np.int64)
-        return none, none, none
-    values, size, reach = string_hashes(np.frombuffer(data, np.uint8), anchor), 1, window - anchor + 1
+        return none, none, none, none.astype(bool)
+    hashes = string_hashes(np.frombuffer(data, np.uint8), anchor)
+    bits = np.uint64(len(hashes).bit_length())
+    least, size, reach = hashes >> bits << bits | np.arange(len(hashes), dtype=np.uint64), 1, window - anchor + 1
     while size * 2 <= reach:
-        values = np.minimum(values[:-size], values[size:])
+        least = np.minimum(least[:-size], least[size:])
         size *= 2
     if size < reach:
         more = reach - size
-        values = np.minimum(values[:-more], values[more:])
-    start = np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]]))
-    return values[start].view(np.int64), start, np.append(start[1:], len(values))
+        least = np.minimum(least[:-more], least[more:])
+    change = np.flatnonzero(np.concatenate([[True], least[1:] != least[:-1]]))
+    value = hashes[least[change] & ((np.uint64(1) << bits) - np.uint64(1))]
+    new = np.flatnonzero(np.concatenate([[True], value[1:] != value[:-1]]))
+    start, places = change[new], np.diff(np.append(new, len(value)))
+    return value[new].view(np.int64), start, np.append(start[1:], len(least)), places > 1
 
 
 # --- merging ----------------------------------------------------------------------
@@ -212,10 +220,8 @@ def _anchors(docs: DataFrame) -> DataFrame:
             with np.errstate(over="ignore"):
                 names = batch.column("text_a").to_numpy().view(np.uint64) * ODD[3] + batch.column("text_b").to_numpy().view(np.uint64)
                 for name, text in zip(names, batch.column("text"), strict=True):
-                    anchor, start, stop = segments(text.as_py().encode())
-                    # Longer than one anchor's reach: it stands here more than once, so it counts twice.
-                    long = stop - start > REACH
-                    anchor, start = np.concatenate([anchor, anchor[long]]), np.concatenate([start, start[long] + 1])
+                    anchor, start, _, twice = segments(text.as_py().encode())
+                    anchor, start = np.concatenate([anchor, anchor[twice]]), np.concatenate([start, start[twice] + 1])
                     place = (start.astype(np.uint64) * ODD[0] ^ name) * ODD[1]
                     anchors.append(anchor)
                     places.append((place ^ (place >> np.uint64(31))).view(np.int64))
@@ -225,7 +231,7 @@ def _anchors(docs: DataFrame) -> DataFrame:
     return _with_texts(docs).mapInArrow(run, "anchor long, place long")
 
 
-SEGMENT_ROWS = "text_a long, text_b long, anchor long, segment long, start int, windows int, bytes binary"
+SEGMENT_ROWS = "text_a long, text_b long, anchor long, segment long, start int, windows int, twice boolean, bytes binary"
 
 
 def _candidates(docs: DataFrame, wanted: np.ndarray) -> DataFrame:
@@ -239,22 +245,22 @@ def _candidates(docs: DataFrame, wanted: np.ndarray) -> DataFrame:
             with np.errstate(over="ignore"):
                 for a, b, text in zip(*(batch.column(c) for c in ("text_a", "text_b", "text")), strict=True):
                     data = text.as_py().encode()
-                    anchor, start, stop = segments(data)
+                    anchor, start, stop, twice = segments(data)
                     slot = anchor.view(np.uint64) >> np.uint64(64 - FILTER_BITS)
                     hit = np.flatnonzero(bits[slot >> np.uint64(3)] >> (slot & np.uint64(7)).astype(np.uint8) & 1)
                     if not len(hit):
                         continue
                     name = (a.as_py(), b.as_py())
-                    for h, i, j in zip(anchor[hit].tolist(), start[hit].tolist(), stop[hit].tolist(), strict=True):
+                    for h, i, j, t in zip(*(x[hit].tolist() for x in (anchor, start, stop, twice)), strict=True):
                         piece = data[i : j + WINDOW - 1]
                         digest = xxhash.xxh3_64_intdigest(piece)
-                        rows.append((*name, h, digest - (1 << 64) if digest >> 63 else digest, i, j - i, piece))
+                        rows.append((*name, h, digest - (1 << 64) if digest >> 63 else digest, i, j - i, t, piece))
             for at in range(0, len(rows), 20_000):
                 columns = list(zip(*rows[at : at + 20_000], strict=True))
-                kinds = [pa.int64()] * 4 + [pa.int32()] * 2 + [pa.binary()]
+                kinds = [pa.int64()] * 4 + [pa.int32()] * 2 + [pa.bool_(), pa.binary()]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
-                    ["text_a", "text_b", "anchor", "segment", "start", "windows", "bytes"],
+                    ["text_a", "text_b", "anchor", "segment", "start", "windows", "twice", "bytes"],
                 )
 
     return _with_texts(docs).mapInArrow(run, SEGMENT_ROWS)
@@ -266,7 +272,7 @@ RANGE_ROWS = "anchor long, segment long, low int, high int"
 def _merged(frame: pd.DataFrame) -> pd.DataFrame:
     """Repeated windows of a task's segments. An anchor's only segment repeats nothing, unless the anchor stands in it twice."""
     alone = frame.groupby("anchor")["segment"].transform("size") == 1
-    several = frame[~alone | (frame["windows"] > REACH)]
+    several = frame[~alone | frame["twice"]]
     rows: list[tuple] = []
     if len(several):
         several = several.sort_values(["anchor", "segment"])
@@ -303,7 +309,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     found = stored(_candidates(docs, _bitmap(docs.sparkSession, stored(twice, "anchors"))), "segments")
     place = F.xxhash64("text_a", "text_b", "start")
     distinct = found.groupBy("anchor", "segment").agg(
-        (F.min(place) != F.max(place)).alias("settled"), F.max("windows").alias("windows"), F.first("bytes").alias("bytes")
+        (F.min(place) != F.max(place)).alias("settled"), F.max("windows").alias("windows"), F.max("twice").alias("twice"), F.first("bytes").alias("bytes")
     )
     distinct = stored(distinct, "distinct-segments")
     size = F.sum(F.length("bytes"))
