@@ -44,9 +44,9 @@ from mapflow.llm.common import stored, text_or_empty
 WINDOW = 200
 ANCHOR = 64
 SYMBOL = 50
-SHARD_BYTES = 1 << 18
-TASK_BYTES = 1 << 22
-MOST_BYTES = 1 << 23
+SHARD_BYTES = 1 << 16
+TASK_BYTES = 1 << 20
+MOST_BYTES = 1 << 22
 FILTER_BITS = 25
 _RANDOM = np.random.default_rng(20240413)
 BYTE_VALUES = _RANDOM.integers(0, 2**63, 256, dtype=np.uint64)
@@ -94,6 +94,14 @@ def segments(data: bytes, window: int = WINDOW, anchor: int = ANCHOR) -> tuple[n
 # --- merging ----------------------------------------------------------------------
 
 
+def stable_order(codes: np.ndarray, order: np.ndarray | None = None) -> np.ndarray:
+    """Stable ascending order of codes below 2^32, from `order` on, by two passes over sixteen bits."""
+    for half in (codes & 0xFFFF, codes >> 16):
+        digits = half.astype(np.uint16)
+        order = np.argsort(digits, kind="stable") if order is None else order[np.argsort(digits[order], kind="stable")]
+    return order
+
+
 def shard_order(symbols: np.ndarray, follows: np.ndarray, depth: int) -> np.ndarray:
     """Suffixes of one shard sorted by their next `depth` symbols; symbol 0 ends a segment.
 
@@ -103,7 +111,10 @@ def shard_order(symbols: np.ndarray, follows: np.ndarray, depth: int) -> np.ndar
     for _ in range(depth):
         keys.append(symbols[at])
         at = follows[at]
-    return np.lexsort(keys[::-1])
+    order = None
+    for key in reversed(keys):
+        order = stable_order(key, order)
+    return order
 
 
 def merge_shards(symbol: list[np.ndarray], before: list[np.ndarray], last: list[np.ndarray], rounds: int) -> np.ndarray:
@@ -131,7 +142,7 @@ def merge_shards(symbol: list[np.ndarray], before: list[np.ndarray], last: list[
         shards = np.concatenate([end_shards, interleave[goes]])
         # One symbol suffices in the first round; later on, an end has too few and is a block apart.
         blocks = np.concatenate([np.full(len(ends), -1 if done else 0), block[goes]])
-        order = np.argsort(symbols, kind="stable")
+        order = stable_order(symbols)
         symbols, blocks, interleave = symbols[order], blocks[order], shards[order]
         border = (symbols[1:] != symbols[:-1]) | (blocks[1:] != blocks[:-1])
         block = np.concatenate([[0], np.cumsum(border)])
