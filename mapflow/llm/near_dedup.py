@@ -11,10 +11,10 @@
 - *Neighbours.* Sets with a common prefix of depth four are neighbours. First each is
   compared with the smallest of its prefix group. What that links becomes one component,
   and pairs within it need no comparison. Then, where a group still spans several
-  components, all pairs between different components are compared.
-- *Adaptive depth.* A region where a group still spans more than `wide` components is
-  taken at depth eight, where all pairs between components are compared, without a limit.
-- *Confirmation.* Every candidate pair is compared on the whole sets: a link needs
+  components, all members of different components are compared, in blocks within tasks.
+- *Adaptive depth.* A region where a group still spans more than `WIDE` components is
+  taken at depth eight, where all members are compared likewise, without a limit.
+- *Confirmation.* Links are confirmed on the whole sets: a link needs
   ``100 * intersection >= percent * union``.
 
 No group is collected, no candidate dropped. Defined results: null, empty or blank texts
@@ -27,6 +27,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -40,6 +41,8 @@ TREES = 32
 DEPTH = 4
 DEEPER = 8
 WIDE = 64
+BLOCK = 1000
+TASK_ROWS = 4000
 TABLE_SIZE = 1_000_000
 FILTER_BITS = 24
 _RANDOM = np.random.default_rng(20240229)
@@ -223,28 +226,93 @@ def links(docs: DataFrame, marked: DataFrame, words: int, percent: int) -> DataF
     pairs = stored(stars.join(sizes, "a").where(_close_in_size(percent)).select("a", "b").distinct(), "star-pairs")
     first_links = stored(confirmed(pairs, docs, words, percent), "star-links")
 
-    # Groups that still span several components: all pairs between those.
+    # Groups that still span several components: what links those, compared within tasks.
     label = components(first_links)
     labelled = stored(
         spread.join(label, "node", "left").select("key", "deep", "node", "n", F.coalesce("component", "node").alias("component")), "labelled"
     )
-    per_component = labelled.select("key", "component").distinct().groupBy("key").agg(F.count(F.lit(1)).alias("parts")).where("parts > 1")
-    open_groups = stored(labelled.join(per_component, "key"), "open-groups")
-    shallow = open_groups.where(F.col("parts") <= WIDE).select("key", "node", "n", "component")
-    deep = open_groups.where(F.col("parts") > WIDE).select(F.col("deep").alias("key"), "node", "n", "component")
-    side = shallow.unionByName(deep)
-    left = side.select("key", F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("component").alias("component_a"))
-    right = side.select("key", F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("component").alias("component_b"))
-    across = (
-        left.join(right, "key")
-        .where((F.col("a") < F.col("b")) & (F.col("component_a") != F.col("component_b")) & _close_in_size(percent))
-        .select("a", "b")
-        .distinct()
-        .join(pairs, ["a", "b"], "left_anti")
+    parts = _parts(labelled)
+    shallow = labelled.join(parts.where(F.col("parts") <= WIDE).select("key"), "key", "left_semi").select("key", "node", "component")
+    deep = labelled.join(parts.where(F.col("parts") > WIDE).select("key"), "key", "left_semi").select(
+        F.col("deep").alias("key"), "node", "component"
     )
+    deep = stored(deep, "deep-groups")
+    deep = deep.join(_parts(deep).select("key"), "key", "left_semi")
+    side = stored(shallow.unionByName(deep), "open-groups")
+    across = across_components(side, docs, words, percent)
     return first_links.unionByName(confirmed(stored(across, "cross-pairs"), docs, words, percent))
 
 
+def _parts(labelled: DataFrame) -> DataFrame:
+    """Number of components of every group that has several."""
+    return labelled.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b"), F.approx_count_distinct("component").alias("parts")).where(
+        "a <> b"
+    )
+
+
+def across_components(side: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """Pairs `a, b` that connect components of a group, enough to join all that some link joins.
+
+    All members of different components are compared, as rows of a matrix and never as rows
+    of a table. A group of more than `BLOCK` members is compared block against block, so
+    memory stays bounded. Sets are taken at 31 bits here and a pair may miss by one
+    shingle; the pairs found are confirmed on the full sets afterwards.
+    """
+    nodes = stored(side.select("node").distinct(), "open-nodes")
+    sets = full_sets(docs, nodes, words).select("node", F.transform("shingles", lambda x: x.bitwiseAND(2**31 - 1).cast("int")).alias("shingles"))
+    blocks = F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks")
+    sizes = side.groupBy("key").agg(F.count(F.lit(1)).alias("members")).select("key", blocks)
+    dealt = side.join(sizes, "key").withColumn("block", F.pmod(F.xxhash64("node", "key"), F.col("blocks")).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    pairs_of_blocks = dealt.select("key", "node", "component", "block", other).select(
+        "key", "node", "component", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")
+    )
+    tasks = max(1, -(-side.count() // TASK_ROWS))
+    spread = pairs_of_blocks.join(sets, "node").withColumn("task", F.pmod(F.xxhash64("key", "low", "high"), F.lit(tasks)))
+
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        found = [links_across(g, percent) for _, g in frame.groupby(["key", "low", "high"], sort=False)]
+        pairs = np.concatenate(found) if found else np.empty((0, 2), np.int64)
+        return pd.DataFrame({"a": pairs.min(1), "b": pairs.max(1)}).drop_duplicates()
+
+    return spread.groupBy("task").applyInPandas(run, "a long, b long").distinct()
+
+
+def links_across(group: pd.DataFrame, percent: int) -> np.ndarray:
+    """One likely link for each two components of a group's members that have some."""
+    nodes, component, block = (group[c].to_numpy() for c in ("node", "component", "block"))
+    sets = group["shingles"].tolist()
+    size = np.array([len(s) for s in sets])
+    values = np.concatenate(sets)
+    rows = np.repeat(np.arange(len(sets)), size)
+    _, column, times = np.unique(values, return_inverse=True, return_counts=True)
+    met = times[column] > 1  # a shingle of one member is shared with none
+    order = np.argsort(column[met], kind="stable")
+    rows, column = rows[met][order], column[met][order]
+    shared = np.zeros((len(sets), len(sets)), np.float32)
+    if len(column):
+        column = np.concatenate([[0], np.cumsum(column[1:] != column[:-1])])
+        for first in range(0, column[-1] + 1, 4096):
+            a, b = np.searchsorted(column, [first, first + 4096])
+            table = np.zeros((len(sets), min(4096, column[-1] + 1 - first)), np.float32)
+            table[rows[a:b], column[a:b] - first] = 1
+            shared += table @ table.T
+    union = size[:, None] + size[None, :] - shared
+    linked = (100 * (shared + 1) >= percent * (union - 1)) & (component[:, None] < component[None, :])
+    low, high = group["low"].iloc[0], group["high"].iloc[0]
+    if low != high:
+        linked &= block[:, None] != block[None, :]
+    a, b = np.nonzero(linked)
+    if not len(a):
+        return np.empty((0, 2), np.int64)
+    ends = np.column_stack([component[a], component[b]])
+    score = (shared / np.maximum(union, 1))[a, b]
+    order = np.lexsort((-score, ends[:, 1], ends[:, 0]))
+    new = np.concatenate([[True], (ends[order][1:] != ends[order][:-1]).any(1)])
+    best = order[new]
+    return np.column_stack([nodes[a[best]], nodes[b[best]]])
+
+
 def near_groups(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id, kept."""
     marked = stored(marks(docs, words), "marks")
