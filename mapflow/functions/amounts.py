@@ -10,8 +10,12 @@ from __future__ import annotations
 
 
 def hundredths(amount: str) -> str:
-    """A two-decimal amount as a whole number of hundredths."""
-    return f"floor(({amount}) * 100 + 0.5d)"
+    """A two-decimal amount as a whole number of hundredths; any other amount is an error."""
+    nearest = f"floor(({amount}) * 100 + 0.5d)"
+    return (
+        f"if(abs(({amount}) * 100 - {nearest}) > 0.001d, "
+        f"cast(raise_error(concat('not a whole number of hundredths: ', {amount})) as bigint), {nearest})"
+    )
 
 
 def exact_sum(whole: str, scale: int = 2) -> str:

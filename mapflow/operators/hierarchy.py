@@ -37,6 +37,7 @@ def roll_up(
 
 
 def _level_text(parent: str, depth: int):
+    # The level texts.
     text = F.when(F.col(f"_key{depth}").isNotNull(), f"level {depth} parent found")
     for level in range(depth, 0, -1):
         wanted = f"_parent{level - 1}" if level > 1 else parent

@@ -11,14 +11,22 @@ from pyspark.sql import functions as F
 MAX_CROSS_ROWS = 10_000
 
 
-def cross_bounded(left: DataFrame, right: DataFrame, max_rows: int = MAX_CROSS_ROWS) -> DataFrame:
-    """Cross join in which ``right`` is broadcast after its size was checked.
+class CrossJoinError(ValueError):
+    """A cross join of two large sides that nobody asked for in so many words."""
 
-    A larger right side is joined as the user asked for, by partition pairs.
+
+def cross_bounded(
+    left: DataFrame, right: DataFrame, max_rows: int = MAX_CROSS_ROWS, all_pairs: bool = False
+) -> DataFrame:
+    """Cross join with a right side of at most ``max_rows`` rows, which is broadcast.
+
+    A larger right side is refused, unless ``all_pairs`` says that every pair is wanted.
     """
-    if right.limit(max_rows + 1).count() <= max_rows:
-        return left.crossJoin(F.broadcast(right))
-    return left.crossJoin(right)
+    if all_pairs:
+        return left.crossJoin(right)
+    if right.limit(max_rows + 1).count() > max_rows:
+        raise CrossJoinError(f"cross join with more than {max_rows} rows: give a condition, or all_pairs")
+    return left.crossJoin(F.broadcast(right))
 
 
 def with_flag(df: DataFrame, others: DataFrame, key: Column, other_key: str, name: str) -> DataFrame:

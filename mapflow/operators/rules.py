@@ -194,15 +194,20 @@ def attach_best_rule(
     """
     used = list(dict.fromkeys([order, *wild, *outputs.values()]))
     listed = rules.select(*used).where(F.col(order).isNotNull())
-    few = listed.limit(max_loop_rules + 1).collect()
+    # Rules of one order value follow each other by all columns used, on either path.
+    texts = [f"_tie{i}" for i in range(len(used))]
+    few = listed.select("*", *[F.col(c).cast("string").alias(t) for c, t in zip(used, texts, strict=True)])
+    few = few.limit(max_loop_rules + 1).collect()
     if len(few) <= max_loop_rules:
-        return _first_rule(facts, rules, sorted(few, key=lambda r: r[order]), wild, outputs)
+        place = lambda r: (r[order], [(r[t] is not None, r[t] or "") for t in texts])
+        return _first_rule(facts, rules, sorted(few, key=place), wild, outputs)
     pairs = list(wild.items())
     names = [f"_fact{i}" for i in range(len(pairs))]
+    first = F.struct(order, *[F.col(c).cast("string") for c in used])
     best = (
         rule_matches(_combinations(facts, pairs), _comparable(rules, facts, pairs), len(pairs))
         .groupBy(*names)
-        .agg(*[F.min_by(rule, order).alias(new) for new, rule in outputs.items()])
+        .agg(*[F.min_by(rule, first).alias(new) for new, rule in outputs.items()])
     )
     return facts.join(best, _matched_on(pairs), "left").drop(*names)
 

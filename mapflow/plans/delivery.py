@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,10 +47,8 @@ FLOW_STEPS = {
     },
 }
 
-# Hours after which an uncompleted delivery is late, and the
-# systems whose missing files are critical.
+# Fixed value: hours after which an uncompleted delivery is late.
 DELAY_HOURS = 36
-CRITICAL_SYSTEMS = ["NME", "FINOB"]
 
 TRIGGER_NAME_PARTS = [
     "dial_consumer_name",
@@ -183,9 +183,13 @@ def delivery_number(expected: DataFrame, log: DataFrame, keys: list[str]) -> Dat
     )
 
 
-def missing_after_deadline(expected: DataFrame, delivered: DataFrame, as_of: str) -> DataFrame:
+def missing_after_deadline(
+    expected: DataFrame, delivered: DataFrame, as_of: str, critical: Sequence[str]
+) -> DataFrame:
     """Expected files whose deadline is reached and that are not delivered.
 
+    ``critical`` names the source systems, in any case, whose missing files are critical.
+
     Both sides carry ``SourceSystem, SourceFileName``; ``Deadline`` is ``yyyy-MM-dd``
     text and ``as_of`` the day of the check. Files without a deadline never count.
     """
@@ -195,17 +199,24 @@ def missing_after_deadline(expected: DataFrame, delivered: DataFrame, as_of: str
     ).distinct()
     on = [F.upper("SourceSystem") == F.col("_system"), F.col("SourceFileName") == F.col("_file")]
     return due.join(seen, on, "left_anti").withColumn(
-        "is_critical", F.upper("SourceSystem").isin(CRITICAL_SYSTEMS).cast("int")
+        "is_critical", F.upper("SourceSystem").isin([c.upper() for c in critical]).cast("int")
     )
 
 
 def carry_forward(missing: DataFrame, processed: DataFrame) -> DataFrame:
-    """Latest processed version (``path``) of each missing static file.
+    """Latest processed version (``carried_path``) of each missing static file.
 
-    Processed files carry ``SourceFileName, path``; the greatest path is the latest.
+    Processed files carry ``SourceFileName, path``. A version belongs to a file if its name
+    is the file's, with or without a date of eight digits and an extension behind it; the
+    greatest path is the latest. Every missing file stays: ``carry_status`` is ``carried``,
+    or ``no processed version`` where nothing can be carried forward.
     """
-    latest = processed.groupBy("SourceFileName").agg(F.max("path").alias("carried_path"))
-    return missing.join(latest, "SourceFileName")
+    base = F.regexp_replace("SourceFileName", r"_\d{8}(\.[A-Za-z0-9]+)?$", "")
+    latest = processed.groupBy(base.alias("_base")).agg(F.max("path").alias("carried_path"))
+    status = F.when(F.col("carried_path").isNull(), "no processed version").otherwise("carried")
+    return (
+        missing.join(latest, base == F.col("_base"), "left").drop("_base").withColumn("carry_status", status)
+    )
 
 
 def delayed(meta: DataFrame, as_of: str, hours: int = DELAY_HOURS) -> DataFrame:
@@ -228,26 +239,26 @@ def missing_tables(expected: DataFrame) -> DataFrame:
     """
     pairs = expected.select("entity", "table_name").distinct()
     entities = pairs.select("entity").distinct()
-    names = [r[0] for r in pairs.select("table_name").distinct().collect()]
-    if not names:
-        return pairs
-    grid = entities.select("entity", F.explode(F.array(*[F.lit(n) for n in names])).alias("table_name"))
-    return grid.subtract(pairs)
+    names = pairs.select("table_name").distinct()
+    return entities.crossJoin(names).subtract(pairs)
 
 
 def run_summary(events: DataFrame) -> DataFrame:
-    """Last status of each component, and whether any failure fails the run.
+    """Last status of each component, and the status of its run.
 
-    Events carry ``run_id, component, status, ts, event_id``.
+    A run is ``Failed`` if anything in it failed, else ``Running`` while some component has
+    only started, else ``Completed``. Events carry ``run_id, component, status, ts, event_id``.
     """
     last = events.groupBy("run_id", "component").agg(
         F.max_by("status", F.struct("ts", "event_id")).alias("last_status"),
         F.max((F.col("status") == "Failed").cast("int")).alias("_failed"),
     )
-    runs = last.groupBy(F.col("run_id").alias("_run")).agg(F.max("_failed").alias("_any"))
+    started = F.max((F.col("last_status") == "Started").cast("int"))
+    runs = last.groupBy(F.col("run_id").alias("_run")).agg(F.max("_failed").alias("_any"), started.alias("_started"))
+    run_status = F.when(F.col("_any") == 1, "Failed").when(F.col("_started") == 1, "Running").otherwise("Completed")
     return (
         last.join(runs, F.col("run_id") == F.col("_run"))
-        .withColumn("run_status", F.when(F.col("_any") == 1, "Failed").otherwise("Completed"))
+        .withColumn("run_status", run_status)
         .select("run_id", "component", "last_status", "run_status")
     )
 

@@ -16,6 +16,10 @@ def _find(names: Iterable[str], wanted: str | None) -> str | None:
     return next((n for n in names if wanted and n.lower() == wanted.lower()), None)
 
 
+class SchemaChangeError(ValueError):
+    """A change that would lose a column."""
+
+
 @dataclass
 class _Layout:
     """A table and the projection that it will get: output name to column."""
@@ -37,6 +41,8 @@ class _Layout:
 
     def rename(self, old: str | None, new: str) -> None:
         found = _find(self.columns, old)
+        if _find((n for n in self.columns if n != found), new):
+            raise SchemaChangeError(f"cannot rename {old} to {new}: there is a column of that name")
         self.columns = {new if n == found else n: c for n, c in self.columns.items()}
 
 
@@ -47,8 +53,10 @@ def evolve_tables(
 
     ``Add`` gives a null text column, ``Remove`` and ``Rename`` act on one table,
     ``Move`` brings a column to another table by a left join over a case-insensitive
-    key and drops it at its source. Changes that name an absent table or column are
-    skipped. All changes of a table end up in one projection.
+    key and drops it at its source; of rows that repeat a key there, the smallest value
+    is taken, so no row is multiplied. Changes that name an absent table, column or key are
+    skipped, with a text where the table itself is there. Renaming onto another column is
+    refused. All changes of a table end up in one projection.
     """
     layouts = {n: _Layout(df, {c: F.col(f"`{c}`") for c in df.columns}) for n, df in tables.items()}
     for number, change in enumerate(changes):
@@ -67,6 +75,8 @@ def _apply(
         case "Add":
             table.put(new, F.lit(None).cast("string"))
             table.log.append(f"Added {new}")
+        case "Remove" | "Rename" if table.column(old) is None:
+            table.log.append(f"Skipped: no column {old}")
         case "Remove":
             table.without(old)
             table.log.append(f"Removed {old}")
@@ -75,11 +85,18 @@ def _apply(
             table.log.append(f"Renamed {old} to {new}")
         case "Move":
             origin = layouts.get(change["OldEntityName"])
-            if origin is None or origin.column(old) is None:
+            needed = [(origin, old), (origin, change.get("OldEntityKey")), (table, change.get("NewEntityKey"))]
+            absent = [name for layout, name in needed if layout is None or layout.column(name) is None]
+            if absent:
+                table.log.append(f"Skipped: nothing to move for {new}, no {', '.join(map(str, absent))}")
                 return
-            values = origin.rows.select(
-                F.lower(origin.column(change["OldEntityKey"]).cast("string")).alias(f"{carrier}_key"),
-                origin.column(old).alias(carrier),
+            values = (
+                origin.rows.select(
+                    F.lower(origin.column(change["OldEntityKey"]).cast("string")).alias(f"{carrier}_key"),
+                    origin.column(old).alias(carrier),
+                )
+                .groupBy(f"{carrier}_key")
+                .agg(F.min(carrier).alias(carrier))
             )
             key = F.lower(table.column(change["NewEntityKey"]).cast("string"))
             table.rows = table.rows.join(values, key == F.col(f"{carrier}_key"), "left")
@@ -90,6 +107,15 @@ def _apply(
                 affected.log.append(text)
 
 
+def changes_since(changes: DataFrame, delivered: DataFrame) -> DataFrame:
+    """The change rows that start from a version some available file was delivered in.
+
+    ``changes`` carries ``OldXSDVersion``, ``delivered`` the files' ``XSDVersion``.
+    """
+    versions = delivered.select(F.col("XSDVersion").alias("OldXSDVersion")).distinct()
+    return changes.join(versions, "OldXSDVersion", "left_semi")
+
+
 def latest_version(attributes: DataFrame) -> DataFrame:
     """Attribute rows of the highest ``XSDVersion`` of each ``SSFTableName``."""
     return keep_extreme(attributes, ["SSFTableName"], "XSDVersion")

@@ -76,9 +76,13 @@ def join_frames(
     condition: Sequence[str] = (),
     left_source: str | None = None,
     how: str = "left",
+    all_pairs: bool = False,
 ) -> DataFrame:
     """Join on SQL conditions, all of which must hold.
 
+    A cross join with conditions is an inner join, so that equalities are join keys. One
+    without is meant for a small right side; ``all_pairs`` allows any.
+
     Rule tables tested by ``rule = fact or rule = '*'`` are matched by equality
     per wildcard mask instead of a nested loop.
     """
@@ -86,8 +90,9 @@ def join_frames(
     right = flow.frame(right_source)
     conditions = [condition] if isinstance(condition, str) else list(condition)
     if how == "cross":
-        joined = cross_bounded(left, right)
-        return joined.where(_all_of(conditions)) if conditions else joined
+        if not conditions:
+            return cross_bounded(left, right, all_pairs=all_pairs)
+        how = "inner"
     wild, exact, rest = split_conditions(conditions, right_source)
     if wild and how in ("left", "leftouter", "left_outer", "inner"):
         return join_wildcard_rules(left, right, wild, how, rest, right_source, exact)

@@ -53,7 +53,7 @@ def schema_results(df: DataFrame, columns: int | Mapping[str, str]) -> list[tupl
                 ",".join(columns),
                 "FAIL" if error else "PASS",
                 len(missing) + len(extra),
-                error[:MAX_ERROR_TEXT],
+                error,
             )
         )
     return rows
@@ -115,7 +115,7 @@ def _verdict(checks: DataFrame, kind: str, details: str, message: str) -> DataFr
         F.when(F.col("violations") == 0, "PASS").otherwise("FAIL").alias("result"),
         F.col("violations").cast("bigint").alias("violations"),
         F.when(F.col("violations") == 0, "")
-        .otherwise(F.substring(F.concat(F.col("violations").cast("string"), F.lit(f" {message}")), 1, MAX_ERROR_TEXT))
+        .otherwise(F.concat(F.col("violations").cast("string"), F.lit(f" {message}")))
         .alias("error"),
     )
 

@@ -12,7 +12,7 @@ from mapflow.queries.registry import query
 from mapflow.queries.scans import TRIGGER_SQL, trigger_rows
 from mapflow.session import scratch_path
 from mapflow.sources.tables import Tables, local_rows
-from mapflow.streaming.intake import drop_redelivered, intake_triggers, run_to_parquet
+from mapflow.streaming.intake import intake_triggers, keep_first_arrivals
 
 
 def expected_deliveries(t: Tables) -> DataFrame:
@@ -172,12 +172,14 @@ def extract_by_attribute_list(spark: SparkSession, t: Tables) -> DataFrame:
     return evolve.project_attributes(delivered, names)
 
 
+# Each change starts from a delivered version; orders came in two, and none in the third.
 CHANGES = [
     {"ChangeType": "Add", "NewEntityName": "orders", "NewAttributeName": "channel"},
     {"ChangeType": "Rename", "NewEntityName": "orders", "OldAttributeName": "o_orderpriority", "NewAttributeName": "priority"},
     {"ChangeType": "Remove", "NewEntityName": "orders", "OldAttributeName": "o_orderdate"},
     {"ChangeType": "Move", "NewEntityName": "orders", "OldEntityName": "customer", "NewAttributeName": "segment",
      "OldAttributeName": "C_MktSegment", "NewEntityKey": "party", "OldEntityKey": "c_name"},
+    {"ChangeType": "Remove", "NewEntityName": "orders", "OldAttributeName": "never_there"},
     {"ChangeType": "Add", "NewEntityName": "not_delivered", "NewAttributeName": "x"},
 ]
 
@@ -185,14 +187,26 @@ CHANGES = [
 @query(
     "schema_evolve",
     """SELECT o_orderkey, o_orderpriority AS priority, c_mktsegment AS segment, 'none' AS channel,
-              'Added channel; Renamed o_orderpriority to priority; Removed o_orderdate; Moved customer.C_MktSegment to orders.segment' AS changes
+              'Added channel; Renamed o_orderpriority to priority; Removed o_orderdate; Moved customer.C_MktSegment to orders.segment; Skipped: no column never_there' AS changes
        FROM orders LEFT JOIN customer ON o_custkey = c_custkey""",
 )
 def schema_evolve(spark: SparkSession, t: Tables) -> DataFrame:
     orders = t("orders").withColumn(
         "party", F.expr("concat('CUSTOMER#', lpad(cast(o_custkey as string), 9, '0'))")
     )
-    done, texts = evolve.evolve_tables({"orders": orders, "customer": t("customer")}, CHANGES)
+    listed = [
+        {"OldXSDVersion": version, "Place": place, **change}
+        for version, changes in (("V1", CHANGES[:2]), ("V2", CHANGES[2:]), ("V3", [{"ChangeType": "Remove", "NewEntityName": "orders", "OldAttributeName": "o_orderkey"}]))
+        for place, change in enumerate(changes)
+    ]
+    names = list(dict.fromkeys(n for change in listed for n in change))
+    kinds = ", ".join(f"{n} {'int' if n == 'Place' else 'string'}" for n in names)
+    table = local_rows(spark, [[change.get(n) for n in names] for change in listed], kinds)
+    delivered = t("orders").selectExpr("case when o_orderkey % 2 = 0 then 'V1' else 'V2' end AS XSDVersion")
+    # The change table is metadata: as many rows as the schema has changed.
+    changes = [r.asDict() for r in evolve.changes_since(table, delivered).orderBy("OldXSDVersion", "Place").collect()]
+    twice = t("customer").unionByName(t("customer").where("c_custkey % 5 = 0"))
+    done, texts = evolve.evolve_tables({"orders": orders, "customer": twice}, changes)
     return done["orders"].select(
         "o_orderkey",
         "priority",
@@ -268,7 +282,7 @@ def status_dimension(spark: SparkSession, t: Tables) -> DataFrame:
 
 
 # A file per customer: system from the segment, deadline from the balance.
-FILES_SQL = """files AS (SELECT CASE c_mktsegment WHEN 'BUILDING' THEN 'nme' WHEN 'MACHINERY' THEN 'FINOB' ELSE 'lrd_static' END AS system,
+FILES_SQL = """files AS (SELECT CASE c_mktsegment WHEN 'BUILDING' THEN 'ledger' WHEN 'MACHINERY' THEN 'RATES' ELSE 'reference' END AS system,
     'file_' || c_custkey AS file, CASE WHEN c_acctbal > 0 THEN '1998-0' || (1 + c_nationkey % 9) || '-15' END AS deadline FROM customer),
   got AS (SELECT DISTINCT 'file_' || o_custkey AS file FROM orders WHERE o_totalprice > 350000),
   missing AS (SELECT * FROM files WHERE deadline <= '1998-06-15' AND file NOT IN (SELECT file FROM got))"""
@@ -276,7 +290,7 @@ FILES_SQL = """files AS (SELECT CASE c_mktsegment WHEN 'BUILDING' THEN 'nme' WHE
 
 def expected_files(t: Tables) -> DataFrame:
     return t("customer").selectExpr(
-        "case c_mktsegment when 'BUILDING' then 'nme' when 'MACHINERY' then 'FINOB' else 'lrd_static' end AS SourceSystem",
+        "case c_mktsegment when 'BUILDING' then 'ledger' when 'MACHINERY' then 'RATES' else 'reference' end AS SourceSystem",
         "concat('file_', c_custkey) AS SourceFileName",
         "case when c_acctbal > 0 then concat('1998-0', 1 + c_nationkey % 9, '-15') end AS Deadline",
     )
@@ -286,14 +300,14 @@ def missing_files(t: Tables) -> DataFrame:
     delivered = t("orders").where("o_totalprice > 350000").selectExpr("concat('file_', o_custkey) AS SourceFileName")
     systems = expected_files(t).select("SourceSystem", "SourceFileName")
     return delivery.missing_after_deadline(
-        expected_files(t), delivered.join(systems, "SourceFileName"), "1998-06-15"
+        expected_files(t), delivered.join(systems, "SourceFileName"), "1998-06-15", critical=["Ledger", "rates"]
     )
 
 
 @query(
     "deadline_missing",
     f"""WITH {FILES_SQL} SELECT system AS "SourceSystem", file AS "SourceFileName", deadline AS "Deadline",
-        CASE WHEN upper(system) IN ('NME', 'FINOB') THEN 1 ELSE 0 END AS is_critical FROM missing""",
+        CASE WHEN system IN ('ledger', 'RATES') THEN 1 ELSE 0 END AS is_critical FROM missing""",
 )
 def deadline_missing(spark: SparkSession, t: Tables) -> DataFrame:
     return missing_files(t)
@@ -302,15 +316,19 @@ def deadline_missing(spark: SparkSession, t: Tables) -> DataFrame:
 @query(
     "static_carry_forward",
     f"""WITH {FILES_SQL}, p AS (SELECT 'file_' || o_custkey AS file, max('processed/' || strftime(o_orderdate, '%Y%m%d') || '_' || o_orderkey) AS path FROM orders GROUP BY 1)
-        SELECT missing.file AS "SourceFileName", path AS carried_path FROM missing JOIN p ON missing.file = p.file WHERE system = 'lrd_static'""",
+        SELECT missing.file AS "SourceFileName", path AS carried_path,
+               CASE WHEN path IS NULL THEN 'no processed version' ELSE 'carried' END AS carry_status
+        FROM missing LEFT JOIN p ON missing.file = p.file WHERE system = 'reference'""",
 )
 def static_carry_forward(spark: SparkSession, t: Tables) -> DataFrame:
     processed = t("orders").selectExpr(
-        "concat('file_', o_custkey) AS SourceFileName",
+        # Two spellings of a processed version: dated with an extension, and plain.
+        """case when o_orderkey % 3 = 0 then concat('file_', o_custkey)
+                else concat('file_', o_custkey, '_', date_format(o_orderdate, 'yyyyMMdd'), '.txt') end AS SourceFileName""",
         "concat('processed/', date_format(o_orderdate, 'yyyyMMdd'), '_', o_orderkey) AS path",
     )
-    static = missing_files(t).where("SourceSystem = 'lrd_static'")
-    return delivery.carry_forward(static, processed).select("SourceFileName", "carried_path")
+    static = missing_files(t).where("SourceSystem = 'reference'")
+    return delivery.carry_forward(static, processed).select("SourceFileName", "carried_path", "carry_status")
 
 
 @query(
@@ -351,15 +369,18 @@ def delivery_missing_tables(spark: SparkSession, t: Tables) -> DataFrame:
 @query(
     "process_log_summary",
     """WITH e AS (SELECT user_id AS run_id, event_type AS component, ts, event_id,
-                    CASE WHEN value > 250 THEN 'Failed' WHEN event_id % 2 = 0 THEN 'Started' ELSE 'Completed' END AS status FROM events),
+                    CASE WHEN value > 300 THEN 'Failed' WHEN event_id % 7 = 0 THEN 'Started' ELSE 'Completed' END AS status FROM events),
             l AS (SELECT *, row_number() OVER (PARTITION BY run_id, component ORDER BY ts DESC, event_id DESC) AS rn,
-                    max(CASE WHEN status = 'Failed' THEN 1 ELSE 0 END) OVER (PARTITION BY run_id) AS failed FROM e)
-       SELECT run_id, component, status AS last_status, CASE WHEN failed = 1 THEN 'Failed' ELSE 'Completed' END AS run_status FROM l WHERE rn = 1""",
+                    max(CASE WHEN status = 'Failed' THEN 1 ELSE 0 END) OVER (PARTITION BY run_id) AS failed FROM e),
+            c AS (SELECT * FROM l WHERE rn = 1)
+       SELECT run_id, component, status AS last_status,
+              CASE WHEN failed = 1 THEN 'Failed' WHEN run_id IN (SELECT run_id FROM c WHERE status = 'Started') THEN 'Running' ELSE 'Completed' END AS run_status
+       FROM c""",
 )
 def process_log_summary(spark: SparkSession, t: Tables) -> DataFrame:
     events = t("events").selectExpr(
         "user_id AS run_id", "event_type AS component", "ts", "event_id",
-        "case when value > 250 then 'Failed' when event_id % 2 = 0 then 'Started' else 'Completed' end AS status",
+        "case when value > 300 then 'Failed' when event_id % 7 = 0 then 'Started' else 'Completed' end AS status",
     )
     return delivery.run_summary(events)
 
@@ -484,14 +505,27 @@ def stream_trigger_intake(spark: SparkSession, t: Tables) -> DataFrame:
     return taken.select("trigger_file_name", "disposition")
 
 
-@query("stream_redelivery_dedup", "SELECT event_id, event_type FROM events")
+@query(
+    "stream_redelivery_dedup",
+    "SELECT event_id, event_type, strftime(ts, '%Y-%m-%d %H:%M:%S') AS first_seen FROM events",
+)
 def stream_redelivery_dedup(spark: SparkSession, t: Tables) -> DataFrame:
-    """Errors and purchases are delivered twice, the second time an hour later."""
-    folder = scratch_path(spark, "deliveries")
+    """Three runs: most events; those that come late, with repeats; repeats of late ones.
+
+    Repeats are an hour younger. Late events are days behind what was taken in before.
+    """
+    folder, target, state = (scratch_path(spark, n) for n in ("deliveries", "kept", "kept-state"))
     first = t("events").select("event_id", "event_type", F.col("ts").cast("timestamp").alias("ts"))
-    again = first.where("event_type in ('error', 'purchase')").withColumn("ts", F.expr("ts + interval 1 hour"))
-    first.unionByName(again).write.parquet(folder)
-    stream = spark.readStream.schema("event_id bigint, event_type string, ts timestamp").parquet(folder)
-    kept = drop_redelivered(stream, ["event_id"], "ts", "40 days")
-    stored = run_to_parquet(kept, scratch_path(spark, "kept"), scratch_path(spark, "kept-state"))
-    return stored.select("event_id", "event_type")
+    again = first.withColumn("ts", F.expr("ts + interval 1 hour"))
+    late = "event_id % 10 = 3"
+    repeated = "event_type in ('error', 'purchase')"
+    runs = [
+        first.where(f"not {late}"),
+        first.where(late).unionByName(again.where(f"not {late} and {repeated}")),
+        again.where(repeated),
+    ]
+    for arrived in runs:
+        arrived.write.mode("append").parquet(folder)
+        stream = spark.readStream.schema("event_id bigint, event_type string, ts timestamp").parquet(folder)
+        kept = keep_first_arrivals(stream, ["event_id"], "ts", target, state)
+    return kept.select("event_id", "event_type", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("first_seen"))

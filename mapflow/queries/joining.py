@@ -318,17 +318,17 @@ HIERARCHY = """SELECT c_custkey AS item,
 
 @query(
     "hierarchy_rollup",
-    f"""WITH cf AS ({HIERARCHY})
-        SELECT a.item, coalesce(d.item, c.item, b.item, a.item) AS highest_existing,
-          CASE WHEN d.item IS NOT NULL THEN 'level 3 parent found'
-               WHEN c.parent IS NOT NULL THEN 'level 3 parent not found'
-               WHEN c.item IS NOT NULL THEN 'level 2 parent found'
-               WHEN b.parent IS NOT NULL THEN 'level 2 parent not found'
-               WHEN b.item IS NOT NULL THEN 'level 1 parent found'
-               WHEN a.parent IS NOT NULL THEN 'level 1 parent not found'
-               ELSE 'level 0 parent found' END AS level_text,
-          CASE WHEN b.item IS NOT NULL THEN 1 ELSE 0 END AS is_sub_item
-        FROM cf a LEFT JOIN cf b ON a.parent = b.item LEFT JOIN cf c ON b.parent = c.item LEFT JOIN cf d ON c.parent = d.item""",
+    f"""WITH RECURSIVE node AS ({HIERARCHY}),
+        climb(item, steps, reached, above) AS (
+          SELECT item, 0, item, parent FROM node
+          UNION ALL
+          SELECT climb.item, steps + 1, node.item, node.parent FROM climb JOIN node ON climb.above = node.item WHERE steps < 3),
+        top AS (SELECT item, max(steps) AS steps, arg_max(reached, steps) AS reached, arg_max(coalesce(above, -1), steps) AS above
+                FROM climb GROUP BY item)
+        SELECT item, reached AS highest_existing,
+               'level ' || CASE WHEN steps < 3 AND above >= 0 THEN (steps + 1) || ' parent not found' ELSE steps || ' parent found' END AS level_text,
+               CASE WHEN steps > 0 THEN 1 ELSE 0 END AS is_sub_item
+        FROM top""",
 )
 def hierarchy_rollup(spark: SparkSession, t: Tables) -> DataFrame:
     items = t("customer").where("c_acctbal >= 0").selectExpr(

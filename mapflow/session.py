@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -42,8 +41,8 @@ def build_session(app: str = "mapflow", master: str | None = None, **conf: str)
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, for checkpoints and hand-over tables.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only a local session may
-    fall back to a folder of this machine.
+    The cluster names it in ``spark.checkpoint.dir``. A local session without that
+    setting uses a folder of its warehouse.
     """
     context = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None)
@@ -52,7 +51,8 @@ def shared_dir(spark: SparkSession) -> str:
         if configured is None:
             if not context.master.startswith("local"):
                 raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-            configured = tempfile.mkdtemp(prefix="mapflow-")
+            warehouse = spark.conf.get("spark.sql.warehouse.dir")
+            configured = f"{warehouse.rstrip('/')}/_scratch/{context.applicationId}"
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(configured)
     return configured

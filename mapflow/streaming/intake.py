@@ -6,10 +6,15 @@ stop. Progress lives in the checkpoint folder.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from mapflow.plans.delivery import match_triggers
+from mapflow.operators.windows import keep_first
+from mapflow.plans.delivery import is_open, match_triggers
+from mapflow.session import durable
 from mapflow.sources.landing import TRIGGER_SCHEMA
 
 
@@ -27,14 +32,20 @@ def intake_triggers(
     leaves no duplicates. Returns all triggers taken in so far with ``disposition``
     ``LOAD`` or ``ARCHIVE``.
     """
+    # What may be delivered is looked up once, not again for every micro-batch; and the
+    # result can be read with the right columns before any file has arrived.
+    open_deliveries = durable(meta.where(is_open(F.col("FileDeliveryStep"))))
+    disposition = F.when(F.col("SourceFileName").isNotNull(), "LOAD").otherwise("ARCHIVE")
+    nothing = spark.createDataFrame([], TRIGGER_SCHEMA)
+    nothing = match_triggers(nothing, open_deliveries).withColumn("disposition", disposition)
+    nothing.write.mode("overwrite").parquet(f"{target}/batch_id=-1")
     stream = (
         spark.readStream.schema(TRIGGER_SCHEMA).option("maxFilesPerTrigger", max_files).json(folder)
     )
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        disposition = F.when(F.col("SourceFileName").isNotNull(), "LOAD").otherwise("ARCHIVE")
         (
-            match_triggers(batch, meta)
+            match_triggers(batch, open_deliveries)
             .withColumn("disposition", disposition)
             .write.mode("overwrite")
             .parquet(f"{target}/batch_id={batch_id}")
@@ -50,25 +61,33 @@ def intake_triggers(
     return spark.read.parquet(target).drop("batch_id")
 
 
-def drop_redelivered(
-    stream: DataFrame, keys: list[str], event_time: str, within: str
+def keep_first_arrivals(
+    stream: DataFrame, keys: list[str], order: str, target: str, checkpoint: str
 ) -> DataFrame:
-    """Keep the first arrival of each key; repeats within the given time are dropped.
+    """Store the first arrival of each key, however late it is; repeats of a stored key go.
 
-    State holds a key only until the watermark has passed it by ``within``.
+    Nothing is judged by its event time: a batch is compared with the keys stored by
+    earlier batches, so a late first arrival is kept and a late repeat is not. Within a
+    batch the row with the lowest ``order`` is the first. Only key columns of the target
+    are read. Every batch replaces its own folder, so one repeated after a failure leaves
+    no duplicates. Takes in what has arrived since the last run and returns all stored rows.
     """
-    return stream.withWatermark(event_time, within).dropDuplicatesWithinWatermark(keys)
+    spark = stream.sparkSession
+    schema = stream.schema
+    spark.createDataFrame([], schema).write.mode("overwrite").parquet(f"{target}/batch_id=-1")
 
+    def store(batch: DataFrame, batch_id: int) -> None:
+        first = keep_first(batch, keys, [F.col(order), F.xxhash64(*batch.columns)])
+        before = spark.read.schema(T.StructType([*schema, T.StructField("batch_id", T.LongType())])).parquet(target)
+        known = before.where(F.col("batch_id") < batch_id).select(*[F.col(k).alias(f"_known_{k}") for k in keys])
+        same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_known_{k}")) for k in keys])
+        first.join(known, same, "left_anti").write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
 
-def run_to_parquet(stream: DataFrame, target: str, checkpoint: str) -> DataFrame:
-    """Run a stream over everything available and read the stored result."""
     query = (
-        stream.writeStream.format("parquet")
-        .outputMode("append")
-        .option("path", target)
+        stream.writeStream.foreachBatch(store)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
-    return stream.sparkSession.read.schema(stream.schema).parquet(target)
+    return spark.read.schema(schema).parquet(target)

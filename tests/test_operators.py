@@ -160,6 +160,14 @@ def test_best_rule(frame, n_rules, loop):
     }
 
 
+@pytest.mark.parametrize("loop", [0, 64])
+def test_rules_of_one_order_value_have_one_order(frame, loop):
+    facts = frame([(1, "a")], "id int, p string").alias("F")
+    rules = frame([(5, "*", "late"), (5, "a", "early"), (5, "*", "first"), (5, None, "none")], "place int, x string, name string")
+    got = attach_best_rule(facts, rules, {"x": "F.p"}, "place", {"best": "name"}, max_loop_rules=loop)
+    assert [r["best"] for r in got.collect()] == ["first"]
+
+
 def test_only_plain_wildcard_conditions_are_taken_apart():
     conditions = [
         "R.a = F.x or R.a = '*'",

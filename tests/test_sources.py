@@ -11,7 +11,7 @@ from mapflow.plans.publish import publish
 from mapflow.plans.quality import QualityError
 from mapflow.session import shared_dir
 from mapflow.sources import landing, sinks
-from mapflow.streaming.intake import drop_redelivered, intake_triggers, run_to_parquet
+from mapflow.streaming.intake import intake_triggers, keep_first_arrivals
 
 
 def test_formats(spark, frame, tmp_path):
@@ -129,18 +129,22 @@ def test_intake_takes_every_trigger_once(spark, frame, tmp_path):
 
 
 def test_redelivery_across_runs(spark, frame, tmp_path):
+    """A first arrival is kept however late it is, a repeat goes however late it is; null keys are one key."""
     schema = "id int, ts timestamp"
 
-    def deliver(ids):
-        df = frame([(i,) for i in ids], "id int").withColumn("ts", F.lit("2024-01-01 10:00:00").cast("timestamp"))
+    def deliver(*arrivals):
+        df = frame(list(arrivals), "id int, ts string").withColumn("ts", F.col("ts").cast("timestamp"))
         df.write.mode("append").parquet(f"{tmp_path}/in")
 
     def run():
         stream = spark.readStream.schema(schema).parquet(f"{tmp_path}/in")
-        kept = drop_redelivered(stream, ["id"], "ts", "2 days")
-        return [r[0] for r in rows(run_to_parquet(kept, f"{tmp_path}/out", f"{tmp_path}/state"))]
-
-    deliver([1, 2, 2])
-    assert run() == [1, 2]
-    deliver([2, 3])
-    assert run() == [1, 2, 3]
+        kept = keep_first_arrivals(stream, ["id"], "ts", f"{tmp_path}/out", f"{tmp_path}/state")
+        return rows(kept.selectExpr("id", "date_format(ts, 'MM-dd')"))
+
+    (tmp_path / "in").mkdir()
+    assert run() == []
+    deliver((1, "2024-03-10"), (2, "2024-03-11"), (2, "2024-03-09"), (None, "2024-03-01"))
+    assert run() == [(None, "03-01"), (1, "03-10"), (2, "03-09")]
+    deliver((3, "2024-01-02"), (1, "2024-05-01"), (2, "2024-01-01"), (None, "2024-03-02"))
+    assert run() == [(None, "03-01"), (1, "03-10"), (2, "03-09"), (3, "01-02")]
+    assert run() == [(None, "03-01"), (1, "03-10"), (2, "03-09"), (3, "01-02")]
