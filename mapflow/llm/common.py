@@ -36,3 +36,24 @@ def tokenizer_path(name: str) -> str:
 def fold(modulus: int, column: str = "doc_id") -> Column:
     """crc32 of an id as text, modulo a number of folds."""
     return F.crc32(F.col(column).cast("string").cast("binary")) % modulus
+
+
+FILTER_BITS = 24
+
+
+def hash_bitmap(keys: DataFrame) -> Column:
+    """A 2 MB bitmap of hash slots as one literal value, whatever the number of rows; `keys` has one column `hash`."""
+    slot = F.shiftrightunsigned("hash", 64 - FILTER_BITS)
+    words = keys.select(slot.alias("slot")).groupBy((F.col("slot") / 64).cast("long").alias("id")).agg(
+        F.expr("bit_or(shiftleft(1L, int(slot % 64)))").alias("bits")
+    )
+    every = keys.sparkSession.range(2**FILTER_BITS // 64).join(words, "id", "left")
+    pair = F.struct("id", F.coalesce("bits", F.lit(0)).alias("bits"))
+    return every.agg(F.transform(F.array_sort(F.collect_list(pair)), lambda x: x["bits"]).alias("bits")).scalar()
+
+
+def may_hold(bitmap: Column, value: Column) -> Column:
+    """Whether a hash is possibly among the bitmap's; never false for one that is."""
+    slot = F.shiftrightunsigned(value, 64 - FILTER_BITS)
+    word = F.get(bitmap, F.floor(slot / 64).cast("int"))
+    return word.bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), (slot % 64).cast("int"))) != 0

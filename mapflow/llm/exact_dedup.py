@@ -28,7 +28,7 @@ from math import ceil, log2
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mapflow.llm.common import BLANKS, stored, text_or_empty
+from mapflow.llm.common import BLANKS, hash_bitmap, may_hold, stored, text_or_empty
 
 BUCKET_ENTRIES = 65_536
 MOST_BITS = 24
@@ -89,13 +89,14 @@ def compared(docs: DataFrame, index: DataFrame) -> DataFrame:
     """Chains that more than one row has met, with their texts compared byte by byte.
 
     Per link: key, text_sha256, group_size. Two different texts under one key and one
-    sha256 are an error, never one group.
+    sha256 are an error, never one group. A bitmap of fixed size keeps most texts of other
+    keys out of the shuffle.
     """
-    # Stored first, so that Spark knows its size and moves no text where it is small.
     chains = stored(index.groupBy("key").agg(F.sum("group_size").alias("met")).where("met > 1").select("key"), "chains")
     plain = normalised(text_or_empty())
     links = (
         docs.select(F.xxhash64(plain).alias("key"), plain.alias("plain"))
+        .where(may_hold(hash_bitmap(chains.select(F.col("key").alias("hash"))), F.col("key")))
         .join(chains, "key", "left_semi")
         .groupBy("key", "plain")
         .agg(F.count(F.lit(1)).alias("group_size"))
@@ -123,8 +124,8 @@ def groups(docs: DataFrame, capacity: int = BUCKET_ENTRIES) -> DataFrame:
 def deduplicate(docs: DataFrame, capacity: int = BUCKET_ENTRIES) -> DataFrame:
     """The rows that stay, with all their columns; of rows that repeat one doc_id and text, any one.
 
-    Dropped and repeated rows are stored with their sizes known, so texts are only
-    shuffled where there are too many of them to send around.
+    A bitmap of fixed size passes over most rows that are neither dropped nor repeated, so
+    their texts need not be shuffled; the joins decide about the rest.
     """
     found = stored(groups(docs, capacity), "groups")
     name = lambda column: f"__{column}"  # noqa: E731 - apart from whatever columns documents bring
@@ -132,10 +133,15 @@ def deduplicate(docs: DataFrame, capacity: int = BUCKET_ENTRIES) -> DataFrame:
     again = stored(found.where("kept").groupBy("doc_id", "text_sha256").count().where("count > 1").drop("count"), "repeated")
     marked = docs.withColumn(name("sha"), F.sha2(normalised(text_or_empty()).cast("binary"), 256))
 
+    hashed = F.xxhash64(F.col("doc_id").cast("long"), F.col(name("sha")))
+    either = dropped.unionByName(again).select(F.xxhash64("doc_id", "text_sha256").alias("hash"))
+    possible = may_hold(hash_bitmap(either), hashed)
+    untouched, rest = marked.where(~possible), marked.where(possible)
+
     def same(other: DataFrame) -> Column:
-        return marked["doc_id"].cast("long").eqNullSafe(other["doc_id"]) & (marked[name("sha")] == other["text_sha256"])
+        return rest["doc_id"].cast("long").eqNullSafe(other["doc_id"]) & (rest[name("sha")] == other["text_sha256"])
 
-    kept = marked.join(dropped, same(dropped), "left_anti")
+    kept = rest.join(dropped, same(dropped), "left_anti")
     once = kept.join(again, same(again), "left_anti")
     more = kept.join(again, same(again), "left_semi").dropDuplicates(["doc_id", name("sha")])
-    return once.unionByName(more).drop(name("sha"))
+    return untouched.unionByName(once).unionByName(more).drop(name("sha"))

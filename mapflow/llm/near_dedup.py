@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mapflow.llm.common import stored, text_or_empty
+from mapflow.llm.common import hash_bitmap, may_hold, stored, text_or_empty
 from mapflow.llm.components import components
 
 MINIMA = 128
@@ -43,7 +43,7 @@ DEEPER = 8
 WIDE = 64
 BLOCK = 1000
 TASK_ROWS = 4000
-TABLE_SIZE = 1_000_000
+TABLE_SIZE = 200_000
 FILTER_BITS = 24
 _RANDOM = np.random.default_rng(20240229)
 FACTORS = _RANDOM.integers(0, 2**63, MINIMA, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -330,4 +330,8 @@ def near_groups(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame
 def deduplicate(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """One document of each component, all its columns. Rows that repeat a kept doc_id stay."""
     dropped = stored(near_groups(docs, words, percent).where(~F.col("kept")).select("doc_id").distinct(), "near-dropped")
-    return docs.join(dropped, docs["doc_id"].cast("long") == dropped["doc_id"], "left_anti")
+    number = F.col("doc_id").cast("long")
+    # Most kept documents pass by a bitmap instead of a join, without a shuffle of their texts.
+    possible = F.coalesce(may_hold(hash_bitmap(dropped.select(F.xxhash64("doc_id").alias("hash"))), F.xxhash64(number)), F.lit(False))
+    rest = docs.where(possible)
+    return docs.where(~possible).unionByName(rest.join(dropped, rest["doc_id"].cast("long") == dropped["doc_id"], "left_anti"))

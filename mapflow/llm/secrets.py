@@ -27,7 +27,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mapflow.llm.common import stored, text_or_empty
+from mapflow.llm.common import hash_bitmap, may_hold, stored, text_or_empty
 
 SHORTEST = 12
 RUN = r"[A-Za-z0-9_+/.@-]{12,}+={0,2}"
@@ -178,7 +178,10 @@ def redact(docs: DataFrame, path: str | None = None, mark: str = "[SECRET]") ->
         .agg(F.array_sort(F.collect_set("candidate"), longest).alias("__secrets"))
     )
     secrets = stored(secrets, "secrets")
-    joined = docs.join(secrets, F.xxhash64(text_or_empty()) == F.col("__secret_key"), "left")
+    # Texts whose hash falls in no slot of a fixed bitmap hold no secret, and need no join.
+    key = F.xxhash64(text_or_empty())
+    possible = may_hold(hash_bitmap(secrets.select(F.col("__secret_key").alias("hash"))), key)
+    joined = docs.where(possible).join(secrets, key == F.col("__secret_key"), "left")
     clean = F.when(F.col("__secrets").isNull(), F.col("text")).otherwise(
         F.aggregate("__secrets", F.col("text"), lambda text, secret: F.replace(text, secret, F.lit(mark)))
     )
@@ -186,7 +189,7 @@ def redact(docs: DataFrame, path: str | None = None, mark: str = "[SECRET]") ->
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         changed["n_chars"] = F.when(F.col("__secrets").isNull(), F.col("n_chars")).otherwise(F.length(clean).cast(kind))
-    return joined.withColumns(changed).select(*docs.columns)
+    return docs.where(~possible).unionByName(joined.withColumns(changed).select(*docs.columns))
 
 
 def findings(docs: DataFrame, path: str | None = None) -> DataFrame:

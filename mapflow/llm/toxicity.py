@@ -52,7 +52,7 @@ DISGUISES = str.maketrans("013457@$", "oieastas")
 MARKS = "\"“”„«»‘’‹›'"
 REPORTING = {"said", "says", "quote", "quoted", "quotes", "called", "word", "words", "term", "wrote", "writes", "reported"}
 MOST_STATES = 20_000
-TABLE_SIZE = 500_000
+TABLE_SIZE = 300_000
 
 
 def allowed_edits(length: int) -> int:
