@@ -1,0 +1,255 @@
+"""Secrets, neighbours, language model and toxicity."""
+
+from __future__ import annotations
+
+import random
+import zlib
+from collections import Counter
+from math import log10
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from mapflow.llm import language_model, neighbours, secrets, toxicity
+from tests.llm.texts import prose
+
+HEX = "0123456789abcdef"
+
+
+def hexes(rng: random.Random, n: int) -> str:
+    return "".join(rng.choices(HEX, k=n))
+
+
+def secret_rows():
+    rng = random.Random(6)
+    rows, planted = [], {}
+    for n in range(60):
+        words = prose(400 + n, 40).split()
+        kind = n % 4
+        if kind == 0:
+            value = hexes(rng, 32)
+            words.insert(20, f"token = \"{value}\"")
+            planted[n] = value
+        elif kind == 1:
+            value = hexes(rng, 20)
+            words.insert(10, f"password={value}")
+            planted[n] = value
+        elif kind == 2:
+            words.insert(5, str(rng.randrange(10**15, 10**16)))
+        else:
+            words.insert(7, f"mail.{rng.randrange(100)}@host{n}.example.com")
+        rows.append((n, " ".join(words)))
+    return rows, planted
+
+
+def test_secrets_are_told_from_other_numbers(documents):
+    rows, planted = secret_rows()
+    found = secrets.scan(documents([*rows, (99, None), (98, ""), (97, "1" * 50_000)]), path="source").collect()
+    hit = {r["doc_id"]: r["candidate"] for r in found if r["secret"]}
+    assert hit == planted
+    assert {r["doc_id"] for r in found} == {n for n, _ in rows} | {97}
+
+
+def test_redaction_keeps_rows_and_columns(documents):
+    rows, planted = secret_rows()
+    rows += [(0, rows[0][1]), (None, rows[1][1]), (200, None)]
+    docs = documents(rows)
+    out = secrets.redact(docs, path="source")
+    assert out.columns == docs.columns
+    got = out.collect()
+    assert len(got) == len(rows)
+    assert not any(value in (r["text"] or "") for r in got for value in planted.values())
+    for r in got:
+        assert (r["n_chars"] is None and r["text"] is None) or r["n_chars"] == len(r["text"])
+        if r["doc_id"] is not None and r["doc_id"] < 60 and r["doc_id"] not in planted:
+            assert r["text"] == dict(rows)[r["doc_id"]]
+
+
+def test_repeated_candidates_and_labelled_findings(documents):
+    value = "a1b2c3d4e5f6a7b8"
+    docs = documents([(1, f"key {value} and {value}, again ({value})"), (2, "nothing")])
+    (row,) = secrets.scan(docs).collect()
+    assert (row["candidate"], row["occurrences"], row["score"]) == (value, 3, 0.5)  # no labels: cannot tell
+    labelled = secrets.weak_labels(secrets.shaped(secrets.candidates(documents(secret_rows()[0])), []))
+    (row,) = secrets.scan(docs, labelled=labelled).collect()
+    assert row["secret"]
+    assert secrets.findings(documents([])).collect() == []
+
+
+def test_secret_scan_runs_without_python_on_executors(documents):
+    plan = secrets.findings(documents(secret_rows()[0]))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+
+
+def vectors(seed: int, n: int, width: int = 16):
+    rng = np.random.default_rng(seed)
+    return [(i, [float(x) for x in v]) for i, v in enumerate(rng.normal(size=(n, width)) * rng.uniform(0.5, 2, (n, 1)))]
+
+
+def exact_neighbours(rows, k, modulus):
+    out = {}
+    for i, q in rows:
+        if i % modulus == 0:
+            scored = sorted((-float(np.dot(q, v)), j) for j, v in rows if j != i)
+            out[i] = [j for _, j in scored[:k]]
+    return out
+
+
+def table_of(spark, rows):
+    schema = "vec_id long, embedding array<double>, score string, leaf int"
+    return spark.createDataFrame([(i, v, "s", 1) for i, v in rows], schema).repartition(3)
+
+
+def test_neighbours_recall_order_and_scores(spark):
+    rows = vectors(1, 1500)
+    got = neighbours.nearest(table_of(spark, rows), F.col("vec_id") % 20 == 0, k=10, leaf_rows=50).collect()
+    expected = exact_neighbours(rows, 10, 20)
+    found = {}
+    for r in sorted(got, key=lambda r: (r["query_id"], r["rank"])):
+        found.setdefault(r["query_id"], []).append(r)
+    assert set(found) == set(expected)
+    recall = np.mean([len({r["vec_id"] for r in found[i]} & set(expected[i])) / 10 for i in expected])
+    assert recall >= 0.9
+    by_id = dict(rows)
+    for i, near in found.items():
+        assert [r["rank"] for r in near] == list(range(1, 11))
+        assert near == sorted(near, key=lambda r: (-r["score"], r["vec_id"]))
+        assert all(abs(r["score"] - np.dot(by_id[i], by_id[r["vec_id"]])) < 1e-12 for r in near)
+
+
+def test_neighbours_with_odd_and_equal_vectors(spark):
+    rows = [(i, [1.0, 2.0]) for i in range(60)] + [(100, [2.0, 0.5]), (120, [0.0, 1.0])]
+    odd = [(200, None), (201, []), (202, [0.0, 0.0]), (203, [1.0, None]), (204, [float("nan"), 1.0]), (205, [1.0, 2.0, 3.0]), (None, [1.0, 1.0])]
+    got = neighbours.nearest(table_of(spark, rows + odd + rows[:3]), F.col("vec_id") % 20 == 0, k=4).collect()
+    found = {}
+    for r in sorted(got, key=lambda r: (r["query_id"], r["rank"])):
+        found.setdefault(r["query_id"], []).append(r["vec_id"])
+    assert found == exact_neighbours(rows, 4, 20)
+    few = neighbours.nearest(table_of(spark, rows[:3]), F.col("vec_id") == 0, k=20).collect()
+    assert [r["vec_id"] for r in few] == [1, 2]
+    assert neighbours.nearest(table_of(spark, odd), F.col("vec_id") > 0).collect() == []
+
+
+def held_out(doc, folds):
+    return doc is not None and zlib.crc32(str(doc).encode()) % folds == 0
+
+
+def test_language_model_counts_and_base_scores(documents, odd_rows):
+    rows = odd_rows + [(n, prose(n, 60)) for n in range(30, 90)]
+    got = language_model.scores(documents(rows)).collect()
+    split = lambda text: [*(text or "").encode().lower().split(), None]
+    counts = Counter(w for doc, text in rows if doc is not None and not held_out(doc, 10) for w in split(text))
+    n, v = sum(counts.values()), len(counts)
+    expected = sorted(
+        (str(doc), held_out(doc, 10), len(split(text)), sum(counts[w] > 0 for w in split(text)), n,
+         round(sum(log10((counts[w] + 0.1) / (n + 0.1 * (v + 1))) for w in split(text)), 3))
+        for doc, text in rows
+    )
+    assert expected == sorted(
+        (str(r["doc_id"]), r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"], round(r["base_score"], 3)) for r in got
+    )
+    outside = [r for r in got if r["held_out"]]
+    assert sum(r["score"] for r in outside) > sum(r["base_score"] for r in outside)
+
+
+def test_language_model_without_training(documents):
+    (row,) = language_model.scores(documents([(None, "a b")])).collect()
+    assert (row["train_tokens"], row["n_tokens"], row["n_known"], row["score"]) == (0, 3, 0, row["base_score"])
+    assert language_model.scores(documents([])).collect() == []
+
+
+def test_interpolated_tables_are_probabilities():
+    rng = np.random.default_rng(0)
+    size = language_model.CLASSES**2 + language_model.FAR * language_model.NEAR * language_model.CLASSES
+    counts = np.zeros((2, size), np.int64)
+    for part in (0, 1):
+        np.add.at(counts[part], rng.integers(0, 40, 5000) * language_model.CLASSES + rng.integers(0, 40, 5000), 1)
+        history = rng.integers(0, 60, 5000)
+        np.add.at(counts[part], language_model.CLASSES**2 + history * language_model.CLASSES + rng.integers(0, 40, 5000), 1)
+    lower, upper, left = language_model.interpolated(counts)
+    assert np.allclose(lower.sum(1), 1, atol=1e-3)
+    assert np.allclose(upper.sum(1) + left, 1, atol=1e-3)
+
+
+def test_mixture_weights_find_the_better_estimate():
+    buckets = np.array([1, 1, 2, 2])
+    weights = language_model.mixture_weights(np.array([0.9, 0.8, 0.01, 0.02]), np.full(4, 0.1), np.full(4, 10.0), buckets)
+    assert weights[1] > 0.99 and weights[2] < 0.01 and weights[5] == weights[2]
+
+
+def toxic_table(n=400):
+    rng = random.Random(12)
+    rows, labels = [], []
+    for doc in range(n):
+        words = prose(1000 + doc, 50).split()
+        bad = doc % 4 == 0
+        if bad:
+            for word in rng.sample(["grumbleface", "snotwaffle", "dolthead", "Wurmkopf"], 2):
+                words.insert(rng.randrange(50), word + ("er" if word == "Wurmkopf" and rng.random() < 0.5 else ""))
+        rows.append((doc, " ".join(words)))
+        labels.append((doc, int(bad)))
+    return rows, labels
+
+
+@pytest.fixture(scope="module")
+def toxic(spark, documents):
+    rows, labels = toxic_table()
+    docs = documents([*rows, (900, None), (901, ""), (None, "snotwaffle dolthead")])
+    return docs, spark.createDataFrame(labels, "doc_id long, toxic int"), dict(labels)
+
+
+def test_toxic_documents_are_told(toxic):
+    docs, labels, truth = toxic
+    got = toxicity.classified(docs, labels).collect()
+    assert len(got) == docs.count()
+    for r in got:
+        assert 0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.5)
+        assert r["held_out"] == held_out(r["doc_id"], 5)
+        if r["doc_id"] in truth:
+            assert r["predicted"] == truth[r["doc_id"]]
+    assert {r["predicted"] for r in got if r["doc_id"] in (900, 901)} == {0}
+    kept = toxicity.without_toxic(docs, labels)
+    assert kept.columns == docs.columns
+    assert {r["doc_id"] for r in kept.collect()} == {d for d, bad in truth.items() if not bad} | {900, 901}
+
+
+def test_misspelled_and_quoted_terms(toxic):
+    model = toxicity.train(*toxic[:2])
+    plain = prose(5, 20)
+    assert [h[1:3] for h in model.hits(f"{plain} grumblface {plain}")] == [(1, False)]
+    assert [h[0] for h in model.hits(f"{plain} sn0tw4ffle {plain}")] == ["snotwaffle"]
+    abuse = model.score(f"{plain} you dolthead and snotwaffle {plain}")
+    quoted = model.score(f'{plain} he said "dolthead and snotwaffle" {plain}')
+    assert quoted < 0.5 < abuse
+    assert model.hits(None) == model.hits("") == []
+
+
+def test_labels_of_one_kind_or_none(spark, documents):
+    docs = documents([(1, "a b"), (2, None)])
+    for rows in ([], [(1, 0)], [(1, 1)], [(None, 1), (2, None)]):
+        got = toxicity.classified(docs, spark.createDataFrame(rows, "doc_id long, toxic int")).collect()
+        assert len({r["score"] for r in got}) == 1
+    assert toxicity.classified(documents([]), spark.createDataFrame([], "doc_id long, toxic int")).collect() == []
+
+
+def distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        row, before = [i], row
+        for j, y in enumerate(b, 1):
+            row.append(min(before[j] + 1, row[-1] + 1, before[j - 1] + (x != y)))
+    return row[-1]
+
+
+def test_lexicon_automaton_equals_edit_distance():
+    rng = random.Random(3)
+    terms = sorted({"".join(rng.choices("abc", k=rng.randint(2, 11))) for _ in range(40)})
+    lexicon = toxicity.FuzzyLexicon(terms, ["bbca"])
+    for _ in range(600):
+        word = "".join(rng.choices("abcd", k=rng.randint(1, 11)))
+        near = [(d, t) for t in terms if (d := distance(word, t)) <= toxicity.allowed_edits(len(t))]
+        best = min(near, default=None)
+        if word.startswith("bbca") and (best is None or best[0]):
+            best = (0, "bbca")
+        assert lexicon.match(word) == ((best[1], best[0]) if best else None)
