@@ -107,23 +107,27 @@ def last_weekday(months: DataFrame, holidays: DataFrame, weekday: int) -> DataFr
 
 
 def schedule_calendar(months: DataFrame, holidays: DataFrame) -> DataFrame:
-    """``month, schedule, snapshot_date`` for every known schedule code."""
-    parts = {
-        "M-1": last_business_day(months, holidays),
-        "M+1": first_business_day_next(months, holidays),
-        "M-F": last_weekday(months, holidays, 4),
-        "M-T": last_weekday(months, holidays, 1),
-    }
-    result = None
-    for code, part in parts.items():
-        tagged = part.select("month", F.lit(code).alias("schedule"), "snapshot_date")
-        result = tagged if result is None else result.unionByName(tagged)
-    return result
-
-
-def snapshot_dates(schedules: DataFrame, holidays: DataFrame) -> DataFrame:
-    """Add ``SnapshotDate`` (text, empty for an unknown code) to ``month, schedule`` rows."""
-    calendar = schedule_calendar(schedules.select("month"), holidays)
+    """``month, schedule, snapshot_date`` for every known schedule code, from one list of days."""
+    span = F.sequence(F.col("month"), F.last_day(F.add_months(F.col("month"), 1)))
+    days = months.select("month").distinct().select("month", F.explode(span).alias("day"))
+    own, business = "day <= last_day(month)", "weekday(day) < 5"
+    picked = days.join(holidays, days.day == holidays.holiday, "left_anti").groupBy("month").agg(
+        F.expr(f"max(day) filter (where {own} and {business} and day > date_sub(last_day(day), 7)) AS m1"),
+        F.expr(f"min(day) filter (where not ({own}) and {business}) AS n1"),
+        F.expr(f"max(day) filter (where {own} and weekday(day) = 4) AS friday"),
+        F.expr(f"max(day) filter (where {own} and weekday(day) = 1) AS tuesday"),
+    )
+    return picked.selectExpr(
+        "month", "stack(4, 'M-1', m1, 'M+1', n1, 'M-F', friday, 'M-T', tuesday) AS (schedule, snapshot_date)"
+    ).where("snapshot_date is not null")
+
+
+def snapshot_dates(schedules: DataFrame, holidays: DataFrame, months: DataFrame | None = None) -> DataFrame:
+    """Add ``SnapshotDate`` (text, empty for an unknown code) to ``month, schedule`` rows.
+
+    ``months`` may give their distinct months, where those are known or stored.
+    """
+    calendar = schedule_calendar(schedules if months is None else months, holidays)
     return schedules.join(calendar, ["month", "schedule"], "left").select(
         *schedules.columns,
         F.coalesce(F.col("snapshot_date").cast("string"), F.lit("")).alias("SnapshotDate"),

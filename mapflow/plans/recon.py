@@ -95,6 +95,18 @@ def step_funnel(steps: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, counts)
 
 
+def flag_funnel(df: DataFrame, steps: Mapping[str, Column]) -> DataFrame:
+    """``step, n_rows`` of nested steps over one joined frame: one pass, an aggregate for each step."""
+    counted = df.agg(*[c.alias(f"_{i}") for i, c in enumerate(steps.values())])
+    rows = F.array(
+        *[
+            F.struct(F.lit(i + 1).alias("step_no"), F.lit(name).alias("step"), F.col(f"_{i}").alias("n_rows"))
+            for i, name in enumerate(steps)
+        ]
+    )
+    return counted.select(F.inline(rows))
+
+
 def transition_class(old: Column, new: Column, valid: Column) -> Column:
     """How a value changed: valid rows should keep it, others should be corrected."""
     return (

@@ -217,30 +217,28 @@ def mapping_fx_normalize(spark: SparkSession, t: Tables) -> DataFrame:
 def mapping_rating_waterfall(spark: SparkSession, t: Tables) -> DataFrame:
     orders = t("orders").select("o_custkey", "o_orderstatus", "o_orderpriority", "o_totalprice", "o_orderdate", "o_orderkey")
     latest = keep_first(orders, ["o_custkey", "o_orderstatus"], [F.desc("o_orderdate"), F.desc("o_orderkey")])
-    sources = [{"alias": "C", "source": "customer"}]
-    joins = []
-    for alias, status in (("F", "F"), ("O", "O"), ("P", "P")):
-        sources.append(
-            {"alias": alias, "source": "latest", "filter": f"o_orderstatus = '{status}'",
-             "columns": ["o_custkey", "o_orderpriority as model", "o_totalprice as score"]}
-        )
-        joins.append({"join": {"right_source": alias, "condition": [f"C.c_custkey = {alias}.o_custkey"]}})
+    # One row for each party and status is left; side by side they are one row for each party.
+    statuses = {"f": "F", "o": "O", "p": "P"}
+    best = latest.groupBy("o_custkey").agg(
+        *[F.expr(f"max(o_orderpriority) filter (where o_orderstatus = '{s}') AS model_{n}") for n, s in statuses.items()],
+        *[F.expr(f"max(o_totalprice) filter (where o_orderstatus = '{s}') AS score_{n}") for n, s in statuses.items()],
+    )
     return run_mapping(
-        frame_tables({"latest": latest}, t),
+        frame_tables({"best": best}, t),
         {
-            "sources": sources,
+            "sources": [{"alias": "C", "source": "customer"}, {"alias": "B", "source": "best"}],
             "transformations": [
-                *joins,
+                {"join": {"left_source": "C", "right_source": "B", "condition": ["C.c_custkey = B.o_custkey"]}},
                 {"add_variables": {"column_mapping": {
-                    "var_winner": """case when F.score > 250000 then 'final' when O.score is not null then 'open'
-                                          when P.score is not null then 'pending' else 'none' end"""}}},
+                    "var_winner": """case when B.score_f > 250000 then 'final' when B.score_o is not null then 'open'
+                                          when B.score_p is not null then 'pending' else 'none' end"""}}},
             ],
             "expressions": {
                 "party": "C.c_custkey",
                 "winner": "var_winner",
-                "model": """case when C.c_acctbal < 0 then 'D' else case var_winner when 'final' then F.model
-                            when 'open' then O.model else P.model end end""",
-                "score": "case var_winner when 'final' then F.score when 'open' then O.score else P.score end",
+                "model": """case when C.c_acctbal < 0 then 'D' else case var_winner when 'final' then B.model_f
+                            when 'open' then B.model_o else B.model_p end end""",
+                "score": "case var_winner when 'final' then B.score_f when 'open' then B.score_o else B.score_p end",
             },
         },
     )

@@ -10,7 +10,7 @@ from mapflow.functions.columns import month_end
 from mapflow.plans import delivery, evolve
 from mapflow.queries.registry import query
 from mapflow.queries.scans import TRIGGER_SQL, trigger_rows
-from mapflow.session import scratch_path
+from mapflow.session import durable, scratch_path
 from mapflow.sources.tables import Tables, local_rows
 from mapflow.streaming.intake import intake_triggers, keep_first_arrivals
 
@@ -479,7 +479,8 @@ def cal_snapshot_date(spark: SparkSession, t: Tables) -> DataFrame:
                when '5-LOW' then 'M-T' else 'M+2' end"""
         ).alias("schedule"),
     )
-    return calendar.snapshot_dates(schedules, holidays_of(schedules)).drop("month")
+    months = durable(schedules.select("month").distinct())  # a few rows, used for days and holidays
+    return calendar.snapshot_dates(schedules, holidays_of(months), months).drop("month")
 
 
 @query(

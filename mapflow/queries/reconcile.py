@@ -163,12 +163,17 @@ def profile_distribution(spark: SparkSession, t: Tables) -> DataFrame:
        UNION ALL SELECT 4, 'suppliers', count(DISTINCT l_suppkey) FROM j WHERE l_returnflag = 'R'""",
 )
 def profile_step_funnel(spark: SparkSession, t: Tables) -> DataFrame:
-    lines, orders = t("lineitem"), t("orders").where("o_orderstatus = 'F'")
-    closed = lines.join(orders, lines.l_orderkey == orders.o_orderkey)
-    returned = closed.where("l_returnflag = 'R'")
-    return recon.step_funnel(
-        {"lines": lines, "closed orders": closed, "returned": returned,
-         "suppliers": returned.select("l_suppkey").distinct()}
+    closed = t("orders").where("o_orderstatus = 'F'").select(F.col("o_orderkey"), F.lit(True).alias("closed"))
+    lines = t("lineitem").join(closed, F.col("l_orderkey") == F.col("o_orderkey"), "left")
+    returned = "closed and l_returnflag = 'R'"
+    return recon.flag_funnel(
+        lines,
+        {
+            "lines": F.count(F.lit(1)),
+            "closed orders": F.expr("count_if(closed)"),
+            "returned": F.expr(f"count_if({returned})"),
+            "suppliers": F.expr(f"count(distinct case when {returned} then l_suppkey end)"),
+        },
     )
 
 
