@@ -260,14 +260,16 @@ def across_components(side: DataFrame, docs: DataFrame, words: int, percent: int
     """
     nodes = stored(side.select("node").distinct(), "open-nodes")
     sets = full_sets(docs, nodes, words).select("node", F.transform("shingles", lambda x: x.bitwiseAND(2**31 - 1).cast("int")).alias("shingles"))
-    blocks = F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks")
-    sizes = side.groupBy("key").agg(F.count(F.lit(1)).alias("members")).select("key", blocks)
-    dealt = side.join(sizes, "key").withColumn("block", F.pmod(F.xxhash64("node", "key"), F.col("blocks")).cast("int"))
+    sizes = side.groupBy("key").agg(F.count(F.lit(1)).alias("members"))
+    sizes = stored(sizes.withColumn("blocks", F.ceil(F.col("members") / BLOCK).cast("int")), "group-sizes")
+    dealt = side.join(sizes.drop("members"), "key").withColumn("block", F.pmod(F.xxhash64("node", "key"), F.col("blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     pairs_of_blocks = dealt.select("key", "node", "component", "block", other).select(
         "key", "node", "component", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")
     )
-    tasks = max(1, -(-side.count() // TASK_ROWS))
+    # A member goes to as many pairs of blocks as its group has blocks.
+    n_rows = sizes.agg(F.coalesce(F.sum(F.col("members") * F.col("blocks")), F.lit(0))).first()[0]
+    tasks = max(1, -(-n_rows // TASK_ROWS))
     spread = pairs_of_blocks.join(sets, "node").withColumn("task", F.pmod(F.xxhash64("key", "low", "high"), F.lit(tasks)))
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
