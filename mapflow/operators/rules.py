@@ -16,6 +16,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
+
+from mapflow.operators.joins import cross_bounded
 from pyspark.sql import types as T
 
 WILDCARD = "*"
@@ -240,14 +242,20 @@ def _first_rule(
     return numbered.withColumns(found).drop("_rule")
 
 
-def explain_rules(
-    facts: DataFrame, rule: Mapping[str, str], wild: Mapping[str, str]
-) -> DataFrame:
-    """Per fact and rule column: ``MATCH``, ``WILDCARD`` or ``NO_MATCH`` for one rule."""
+def explain_rules(facts: DataFrame, rules: DataFrame, wild: Mapping[str, str], rule_id: str) -> DataFrame:
+    """Per fact, rule and rule column: ``MATCH``, ``WILDCARD`` or ``NO_MATCH``, and ``matches`` over all columns.
+
+    Every pair is a row, as a diagnosis asks for: give the facts to be explained. The
+    rules are a small table; more than ``MAX_CROSS_ROWS`` of them are refused.
+    """
+    wanted = rules.select(F.col(rule_id).alias("rule_id"), *[F.col(c).cast("string").alias(f"_rule_{c}") for c in wild])
+    pairs = cross_bounded(facts, wanted)
     verdicts = {
-        f"{column}_result": F.lit("WILDCARD")
-        if rule[column] == WILDCARD
-        else F.when(F.expr(expression).cast("string") == rule[column], "MATCH").otherwise("NO_MATCH")
+        f"{column}_result": F.when(F.col(f"_rule_{column}") == WILDCARD, "WILDCARD")
+        .when(F.expr(expression).cast("string") == F.col(f"_rule_{column}"), "MATCH")
+        .otherwise("NO_MATCH")
         for column, expression in wild.items()
     }
-    return facts.withColumns(verdicts)
+    failed = [F.col(name) == "NO_MATCH" for name in verdicts]
+    matches = ~reduce(lambda a, b: a | b, failed, F.lit(False))
+    return pairs.withColumns(verdicts).withColumn("matches", matches).drop(*[f"_rule_{c}" for c in wild])

@@ -8,6 +8,7 @@ bounded look-ups that a step documents (pivot values, wildcard masks).
 
 from __future__ import annotations
 
+import logging
 import re
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
@@ -40,6 +41,7 @@ class Flow:
         return self.named[alias]
 
 
+LOG = logging.getLogger(__name__)
 _PLACEHOLDER = re.compile(r"(?P<quote>'?)\{\{\s*(?P<name>\w+)\s*\}\}(?P=quote)")
 
 
@@ -181,9 +183,12 @@ def filter_rows(
 ) -> DataFrame:
     """Keep rows that meet all conditions; no conditions keep everything.
 
-    ``log_reductions`` is accepted for compatibility; ``filter_impact`` gives the
-    counts of all conditions in one pass.
+    ``log_reductions`` logs the rows left after each condition, at the price of a job
+    of its own (``filter_impact``) while the plan is built.
     """
+    if log_reductions:
+        for row in filter_impact(flow.current, list(conditions)).collect():
+            LOG.info("filter: %s", row.asDict())
     return flow.current.where(_all_of(conditions)) if conditions else flow.current
 
 

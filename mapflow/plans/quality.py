@@ -36,6 +36,17 @@ def merge_expectations(
     return merged
 
 
+def find_expectations(
+    files: Mapping[str, Mapping[str, Any]], schema: str, table: str, source_system: str = ""
+) -> dict[str, Any]:
+    """A table's expectations from named ones, ``schema/table``; absent files count as empty.
+
+    The generic file of a source system has ``[]`` where the table's name has the system.
+    """
+    generic = files.get(f"{schema}/{table.replace(source_system, '[]')}") if source_system else None
+    return merge_expectations(generic, files.get(f"{schema}/{table}"))
+
+
 def schema_results(df: DataFrame, columns: int | Mapping[str, str]) -> list[tuple]:
     """Column count, and exact names and types where they are given."""
     wanted = columns if isinstance(columns, int) else len(columns)

@@ -162,7 +162,8 @@ def dq_run_all(spark: SparkSession, t: Tables) -> DataFrame:
        UNION ALL SELECT 'not_null', 'o_custkey', 'PASS', count(*) - count(o_custkey) FROM orders""",
 )
 def dq_generic_specific(spark: SparkSession, t: Tables) -> DataFrame:
-    merged = quality.merge_expectations(GENERIC, SPECIFIC)
+    files = {"staging/[]_orders": GENERIC, "staging/shop_orders": SPECIFIC}
+    merged = quality.find_expectations(files, "staging", "shop_orders", "shop")
     return order_checks(t, merged, functional=False).select(*RESULT)
 
 

@@ -12,9 +12,9 @@ from pyspark.sql import functions as F
 from mapflow.operators.joins import key_presence
 from mapflow.operators.rules import explain_rules
 from mapflow.plans import recon
-from mapflow.queries.joining import RULES
+from mapflow.queries.joining import RULE_COLUMNS, RULES, RULES_SQL
 from mapflow.queries.registry import query
-from mapflow.sources.tables import Tables
+from mapflow.sources.tables import Tables, local_rows
 
 NEW_PRICE = "case when o_orderpriority = '1-URGENT' then o_totalprice + 10 when o_orderpriority = '2-HIGH' then null else o_totalprice end"
 NEW_SQL = f"""new AS (SELECT o_orderkey, {NEW_PRICE} AS o_totalprice, o_orderstatus
@@ -116,18 +116,30 @@ def recon_mismatch_rows(spark: SparkSession, t: Tables) -> DataFrame:
     return recon.mismatched_rows(old_orders(t), new_orders(t), ["o_orderkey"], "o_totalprice")
 
 
+DIAGNOSED = """SELECT p_partkey, p_brand, p_type, CASE p_size % 5 WHEN 0 THEN '1-URGENT' WHEN 1 THEN '5-LOW' ELSE '2-HIGH' END AS p_priority,
+                      CASE WHEN p_size % 3 = 0 THEN 'R' ELSE 'N' END AS p_flag FROM part"""
+
+
+def diagnosis_sql(column: str, fact: str) -> str:
+    return f"CASE WHEN {column} = '*' THEN 'WILDCARD' WHEN {column} = {fact} THEN 'MATCH' ELSE 'NO_MATCH' END AS {column}_result"
+
+
 @query(
     "recon_rule_diagnosis",
-    """SELECT p_partkey, CASE WHEN p_brand = 'Brand#1' THEN 'MATCH' ELSE 'NO_MATCH' END AS brand_result,
-              CASE WHEN p_type = 'ECONOMY' THEN 'MATCH' ELSE 'NO_MATCH' END AS type_result, 'WILDCARD' AS priority_result FROM part""",
+    f"""WITH facts AS ({DIAGNOSED}), told AS (
+          SELECT p_partkey, rule_id, {diagnosis_sql('brand', 'p_brand')}, {diagnosis_sql('type', 'p_type')},
+                 {diagnosis_sql('priority', 'p_priority')}, {diagnosis_sql('flag', 'p_flag')} FROM facts CROSS JOIN {RULES_SQL})
+        SELECT *, 'NO_MATCH' NOT IN (brand_result, type_result, priority_result, flag_result) AS matches FROM told""",
 )
 def recon_rule_diagnosis(spark: SparkSession, t: Tables) -> DataFrame:
-    _, brand, kind, priority, *_ = RULES[0]
-    wild = {"brand": "p_brand", "type": "p_type", "priority": "p_name"}
-    rule = {"brand": brand, "type": kind, "priority": priority}
-    return explain_rules(t("part"), rule, wild).select(
-        "p_partkey", "brand_result", "type_result", "priority_result"
+    facts = t("part").selectExpr(
+        "p_partkey", "p_brand", "p_type",
+        "case p_size % 5 when 0 then '1-URGENT' when 1 then '5-LOW' else '2-HIGH' end AS p_priority",
+        "if(p_size % 3 = 0, 'R', 'N') AS p_flag",
     )
+    wild = {"brand": "p_brand", "type": "p_type", "priority": "p_priority", "flag": "p_flag"}
+    told = explain_rules(facts, local_rows(spark, RULES, RULE_COLUMNS), wild, "rule_id")
+    return told.drop("p_brand", "p_type", "p_priority", "p_flag")
 
 
 @query(

@@ -13,7 +13,7 @@ from mapflow.plans.mapping import run_mapping
 from mapflow.queries.registry import query
 from mapflow.session import scratch_path
 from mapflow.sources import landing, sinks
-from mapflow.sources.tables import Tables, read_source, underscore_hyphens
+from mapflow.sources.tables import Tables, local_rows, read_source, underscore_hyphens
 
 
 def table_name(label: str) -> str:
@@ -193,13 +193,15 @@ def sink_export_parquet(spark: SparkSession, t: Tables) -> DataFrame:
 @query(
     "sink_export_many",
     """SELECT 'customer' AS table_name, true AS exported, count(*) AS n_rows FROM customer
+       UNION ALL SELECT 'broken', false, 0
        UNION ALL SELECT 'lineitem', true, count(*) FROM lineitem
        UNION ALL SELECT 'not_delivered', false, 0""",
 )
 def sink_export_many(spark: SparkSession, t: Tables) -> DataFrame:
     folder = scratch_path(spark, "export")
-    frames = {"customer": t("customer"), "lineitem": t("lineitem"), "not_delivered": None}
-    status = sinks.export_many(spark, frames, folder)
+    broken = t("orders").select(F.expr("if(o_orderkey > 0, raise_error('unreadable'), 'x') AS x"))
+    frames = {"customer": t("customer"), "broken": broken, "lineitem": t("lineitem"), "not_delivered": None}
+    status = sinks.export_many(spark, frames, folder, {"lineitem": F.col("l_shipdate").cast("date")})
     counts = None
     for name in ("customer", "lineitem"):
         counted = spark.read.parquet(f"{folder}/{name}.parquet").agg(
@@ -269,13 +271,20 @@ def sink_column_lineage(spark: SparkSession, t: Tables) -> DataFrame:
     return sinks.column_lineage(spark, name).join(counts, "column_name")
 
 
-@query("sink_empty_like", "SELECT o_orderkey, o_totalprice FROM orders")
+@query(
+    "sink_empty_like",
+    """SELECT 'o_orderkey' AS column_name, 'bigint' AS data_type, 0 AS n_rows, count(*) AS n_source_rows FROM orders
+       UNION ALL SELECT 'o_totalprice', 'double', 0, count(*) FROM orders
+       UNION ALL SELECT 'o_orderstatus', 'string', 0, count(*) FROM orders""",
+)
 def sink_empty_like(spark: SparkSession, t: Tables) -> DataFrame:
     name = table_name("empty")
-    columns = ["o_orderkey", "o_totalprice"]
+    columns = ["o_orderkey", "o_totalprice", "o_orderstatus"]
     sinks.create_empty_like(t("orders"), columns, name, path=scratch_path(spark, "empty"))
     empty = spark.table(name)
-    return empty.unionByName(t("orders").select(*columns))
+    schema = local_rows(spark, empty.dtypes, "column_name string, data_type string")
+    stored = empty.agg(F.count(F.lit(1)).cast("int").alias("n_rows"))
+    return schema.crossJoin(stored).crossJoin(t("orders").agg(F.count(F.lit(1)).alias("n_source_rows")))
 
 
 @query(

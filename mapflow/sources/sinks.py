@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -113,11 +115,27 @@ def export_parquet(
 
 
 def export_many(
-    spark: SparkSession, frames: Mapping[str, DataFrame | None], folder: str
+    spark: SparkSession,
+    frames: Mapping[str, DataFrame | None],
+    folder: str,
+    snapshots: Mapping[str, Column] | None = None,
 ) -> DataFrame:
-    """Export each named frame; one status row per name."""
-    status = [(name, export_parquet(df, folder, name)) for name, df in frames.items()]
-    return local_rows(spark, status, "table_name string, exported boolean")
+    """Export each named frame; one status row per name, with the error of one that failed.
+
+    A failing export does not keep the others from being written. ``snapshots`` gives the
+    snapshot column of tables that get a manifest, taken from what was written.
+    """
+    status = []
+    for name, df in frames.items():
+        try:
+            exported = export_parquet(df, folder, name)
+            if exported and name in (snapshots or {}):
+                written = spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
+                write_manifest(export_manifest(written, name, snapshots[name]), folder, name)
+            status.append((name, exported, "" if exported else "no data"))
+        except (PySparkException, Py4JJavaError) as failure:
+            status.append((name, False, str(failure).strip().splitlines()[0]))
+    return local_rows(spark, status, "table_name string, exported boolean, error string")
 
 
 def content_hash(df: DataFrame) -> Column:

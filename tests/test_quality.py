@@ -103,3 +103,11 @@ def test_long_errors_are_cut_in_the_log_only(frame):
     assert all(f"'column_{i}'" in row["error"] for i in range(60))
     (logged,) = quality.dq_log(results, "202501", "t").where("check_type = 'columns_datatypes'").collect()
     assert logged["error"] == row["error"][: quality.MAX_ERROR_TEXT]
+
+
+def test_expectations_are_found_by_name():
+    files = {"staging/[]_sales": {"columns": 3, "not_null": ["a"]}, "staging/shop_sales": {"columns": 4, "not_null": ["b"]}}
+    assert quality.find_expectations(files, "staging", "shop_sales", "shop") == {"columns": 4, "not_null": ["a", "b"]}
+    assert quality.find_expectations(files, "staging", "web_sales", "web") == {"columns": 3, "not_null": ["a"]}
+    assert quality.find_expectations(files, "staging", "shop_sales") == {"columns": 4, "not_null": ["b"]}
+    assert quality.find_expectations(files, "other", "shop_sales", "shop") == {}

@@ -54,9 +54,11 @@ def test_log_is_created_once_and_appended(spark):
 
 def test_export_and_manifest(spark, frame, tmp_path):
     df = frame([(1, "2024-01-31"), (2, "2024-02-29"), (2, "2024-02-29")], "x int, day string")
-    status = sinks.export_many(spark, {"good": df, "none": None}, str(tmp_path))
-    assert rows(status) == [("good", True), ("none", False)]
-    sinks.write_manifest(sinks.export_manifest(df, "good", F.col("day")), str(tmp_path), "good")
+    faulty = df.select(F.expr("cast(raise_error('no such day') as int) AS x"))
+    frames = {"good": df, "none": None, "faulty": faulty, "last": df}
+    status = {r["table_name"]: r for r in sinks.export_many(spark, frames, str(tmp_path), {"good": F.col("day")}).collect()}
+    assert {name: r["exported"] for name, r in status.items()} == {"good": True, "none": False, "faulty": False, "last": True}
+    assert status["good"]["error"] == "" and status["faulty"]["error"] not in ("", "no data")
     stored = spark.read.json(f"{tmp_path}/good_manifest.json").first().asDict()
     assert (stored["record_count"], stored["column_count"], stored["snapshot_date"]) == (3, 2, "2024-01-31")
     again = spark.read.parquet(f"{tmp_path}/good.parquet").repartition(3)
