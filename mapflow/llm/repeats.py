@@ -88,7 +88,8 @@ def segments(data: bytes, window: int = WINDOW, anchor: int = ANCHOR) -> tuple[n
     value = hashes[least[change] & ((np.uint64(1) << bits) - np.uint64(1))]
     new = np.flatnonzero(np.concatenate([[True], value[1:] != value[:-1]]))
     start, places = change[new], np.diff(np.append(new, len(value)))
-    return value[new].view(np.int64), start, np.append(start[1:], len(least)), places > 1
+    # The smallest hashes have small leading bits; spread them again, since slots are leading bits.
+    return (value[new] * ODD[7]).view(np.int64), start, np.append(start[1:], len(least)), places > 1
 
 
 # --- merging ----------------------------------------------------------------------
