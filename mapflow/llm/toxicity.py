@@ -9,8 +9,10 @@
   letter, and most words end in the empty state after a few. Stems are met without edits.
 - *Context window.* A hit inside quotation marks, or within a few words of one that
   reports speech, counts as quoted, not as abuse.
-- *Score.* Logistic regression on three sums of term weights: met exactly, met with edits
-  or disguised letters, and quoted. Terms come from some training folds and the
+- *Misspellings.* A term met with edits or disguised letters counts for a part of its weight,
+  unless clean documents show that ordinary words are as near to it.
+- *Score.* Logistic regression on three sums of term weights: all that is not quoted, of it
+  what is misspelled, and what is quoted. Terms come from some training folds and the
   coefficients from another, so that terms met by chance do not count as proof.
 
 The labelled documents are a sample of at most `most_labelled` rows (smallest hash of
@@ -51,6 +53,9 @@ LETTERS = re.compile(r"[^\W\d_]+")
 DISGUISES = str.maketrans("013457@$", "oieastas")
 MARKS = "\"“”„«»‘’‹›'"
 REPORTING = {"said", "says", "quote", "quoted", "quotes", "called", "word", "words", "term", "wrote", "writes", "reported"}
+INSIDE_WORD = re.compile(r"(?<=\w)['’](?=\w)")  # an apostrophe quotes nothing
+MISSPELLED = 0.8  # part of a term's weight
+CHANCE = 0.001  # of the clean documents
 MOST_STATES = 20_000
 TABLE_SIZE = 300_000
 
@@ -143,6 +148,7 @@ class ToxicityModel:
     stems: dict[str, float]
     intercept: float
     coefficients: tuple[float, float, float]
+    misspelled: dict[str, float] = field(default_factory=dict)
     lexicon: FuzzyLexicon | None = field(default=None, repr=False)
 
     def __getstate__(self) -> dict:
@@ -175,23 +181,24 @@ class ToxicityModel:
                 continue
             first, last = max(0, i - WINDOW), min(len(spans), i + WINDOW + 1)
             before, after = text[spans[first][0] : start], text[end : spans[last - 1][1]]
+            before, after = INSIDE_WORD.sub("", before), INSIDE_WORD.sub("", after)
             marked = any(mark in before for mark in MARKS) and any(mark in after for mark in MARKS)
             reported = any(w in REPORTING for _, _, w in spans[first:i])
             out.append((*known[word], marked or reported, start))
         return out
 
     def features(self, text: str | None) -> list[float]:
-        """Logarithms of the summed weights of exact, inexact and quoted hits."""
+        """Logarithms of the summed weights of hits, of misspelled ones among them, and of quoted ones."""
         exact = inexact = quoted = 0.0
         for term, edits, said, _ in self.hits(text):
             weight = self.words.get(term) or self.stems.get(term, 0.0)
             if said:
                 quoted += weight
             elif edits:
-                inexact += weight
+                inexact += self.misspelled.get(term, 0.0)
             else:
                 exact += weight
-        return [log1p(exact), log1p(inexact), log1p(quoted)]
+        return [log1p(exact + inexact), log1p(inexact), log1p(quoted)]
 
     def score(self, text: str | None) -> float:
         total = self.intercept + sum(c * x for c, x in zip(self.coefficients, self.features(text), strict=True))
@@ -276,6 +283,23 @@ def learn_lexicon(sample: DataFrame, most_terms: int = MOST_TERMS) -> tuple[dict
     return {t: w for w, t, whole in ranked if whole}, {t: w for w, t, whole in ranked if not whole}
 
 
+def learn_misspellings(sample: DataFrame, model: ToxicityModel) -> dict[str, float]:
+    """Weights of terms met with edits: none for those that more than `CHANCE` of clean documents come near to."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: Counter[str] = Counter()
+        for batch in batches:
+            for text in batch.column("text"):
+                counts.update({term for term, edits, *_ in model.hits(text.as_py()) if edits})
+        yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], ["term", "n"])
+
+    clean = sample.where((F.col("fold") != COEFFICIENT_FOLD) & (F.col("label") == 0))
+    n = clean.count()
+    near = clean.select("text").mapInArrow(run, "term string, n long").groupBy("term").agg(F.sum("n").alias("n"))
+    met = {r["term"]: r["n"] for r in near.collect()}  # no more than the lexicon
+    return {t: MISSPELLED * w for t, w in model.words.items() if met.get(t, 0) <= CHANCE * n}
+
+
 def train(docs: DataFrame, labels: DataFrame, most_labelled: int = MOST_LABELLED, most_terms: int = MOST_TERMS) -> ToxicityModel:
     # A text with many copies is one example.
     sample = stored(labelled_sample(docs, labels, most_labelled).dropDuplicates(["text"]), "labelled")
@@ -283,6 +307,7 @@ def train(docs: DataFrame, labels: DataFrame, most_labelled: int = MOST_LABELLED
     counts = sample.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("label"), F.lit(0)).alias("toxic")).first()
     share = (counts["toxic"] + 0.5) / (counts["n"] + 1)
     model = ToxicityModel(words, stems, log(share / (1 - share)), (0.0, 0.0, 0.0))
+    model.misspelled = learn_misspellings(sample, model)
     rows = sample.where(F.col("fold") == COEFFICIENT_FOLD)
     if rows.select("label").distinct().count() < 2:
         rows = sample
@@ -298,7 +323,7 @@ def train(docs: DataFrame, labels: DataFrame, most_labelled: int = MOST_LABELLED
     vectors = points.select(F.col("label").cast("double").alias("label"), array_to_vector("x").alias("features"))
     fitted = LogisticRegression(regParam=1e-3, maxIter=50, standardization=False).fit(vectors)
     coefficients = tuple(max(0.0, float(c)) for c in fitted.coefficients)  # a hit never speaks for a text
-    return ToxicityModel(words, stems, float(fitted.intercept), coefficients)
+    return ToxicityModel(words, stems, float(fitted.intercept), coefficients, model.misspelled)
 
 
 def score_column(model: ToxicityModel) -> Column:

@@ -222,6 +222,7 @@ def test_misspelled_and_quoted_terms(toxic):
     abuse = model.score(f"{plain} you dolthead and snotwaffle {plain}")
     quoted = model.score(f'{plain} he said "dolthead and snotwaffle" {plain}')
     assert quoted < 0.5 < abuse
+    assert model.score(f"{plain} you dolthed and sn0twaffle {plain}") > model.score(plain)
     assert model.hits(None) == model.hits("") == []
 
 
