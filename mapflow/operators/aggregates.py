@@ -25,11 +25,16 @@ def pivot_values(
 
     All columns come from one aggregation with filtered aggregates; combinations
     that do not occur are null. Without ``functions`` the values are looked up
-    (as many as there will be columns) and aggregated with ``min``.
+    (as many as there will be columns) and aggregated with ``min``; more than
+    ``spark.sql.pivotMaxValues`` of them are refused.
     """
     if functions is None:
         found = df.select(F.col(pivot_col).cast("string").alias("v")).distinct()
-        functions = {r["v"]: "min" for r in found.where("v is not null").orderBy("v").collect()}
+        most = int(df.sparkSession.conf.get("spark.sql.pivotMaxValues"))
+        values = [r["v"] for r in found.where("v is not null").limit(most + 1).collect()]
+        if len(values) > most:
+            raise ValueError(f"{pivot_col} has more than {most} values: name the columns")
+        functions = dict.fromkeys(sorted(values), "min")
     columns = []
     for value, function in functions.items():
         quoted = str(value).replace("\\", "\\\\").replace("'", "\\'")

@@ -110,7 +110,8 @@ def _number_across_partitions(
     The checkpoint fixes the partitioning, which both uses below rely on.
     """
     key_cols = [F.col(k) for k in keys]
-    sort = [*key_cols, *order]
+    # The hash last: rows equal in all the rest can then be cut apart too.
+    sort = [*key_cols, *order, F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])]
     placed = durable(
         df.repartitionByRange(*sort)
         .sortWithinPartitions(*sort)

@@ -160,6 +160,16 @@ def test_best_rule(frame, n_rules, loop):
     }
 
 
+def test_discovered_pivot_is_bounded(spark):
+    spark.conf.set("spark.sql.pivotMaxValues", 5)
+    try:
+        with pytest.raises(ValueError, match="more than 5"):
+            pivot_values(spark.range(6).selectExpr("id", "id AS v", "1 AS g"), ["g"], "v", "id")
+        assert len(pivot_values(spark.range(5).selectExpr("id", "id AS v", "1 AS g"), ["g"], "v", "id").columns) == 6
+    finally:
+        spark.conf.unset("spark.sql.pivotMaxValues")
+
+
 @pytest.mark.parametrize("loop", [0, 64])
 def test_rules_of_one_order_value_have_one_order(frame, loop):
     facts = frame([(1, "a")], "id int, p string").alias("F")
