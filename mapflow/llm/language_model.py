@@ -1,22 +1,27 @@
 """Operator 9: language-model scores by deleted interpolation.
 
 Tokens are words (stretches without white space, A-Z lower-cased) and one end for each
-document. Histories are put into classes, as is usual where counts of every history would
-be too thin: the most frequent words are classes of their own, all others share one.
+document. Estimates of word trigrams and bigrams are mixed with a model of classes, in
+which the most frequent words are classes of their own and all others share one:
 
-    P(w | u, v) = P(class(w) | u, v) * P(w | class(w))
-    P(class | u, v) = a * ML(class | u, v) + (1 - a) * (b * ML(class | v) + (1 - b) * ML(class))
+    P(w | u, v) = a * ML(w | u, v) + (1 - a) * (b * ML(w | v) + (1 - b) * C(w | u, v))
+    C(w | u, v) = P(class(w) | u, v) * P(w | class(w))
+    P(class | u, v) = c * ML(class | u, v) + (1 - c) * (d * ML(class | v) + (1 - d) * ML(class))
     P(w | class) = (1 - m) * ML(w | class) + m / (types of the class + 1)
 
-The maximum-likelihood estimates come from the training documents. The weights a and b
-depend on how often the history was seen, in buckets of powers of two. They and m are
-learned by expectation-maximisation on held-out counts: estimates from nine tenths of the
-training documents, counts from the other tenth.
+The maximum-likelihood estimates come from the training documents. The weights a, b, c
+and d depend on how often the history was seen, in buckets of powers of two. They and m
+are learned by expectation-maximisation on held-out counts: estimates from nine tenths of
+the training documents, counts from the other tenth. For a and b those counts are summed
+by bucket and by the quotient of the two estimates (steps of 1/16 of its binary logarithm,
+which is all that the method needs), so the driver sees a table of fixed size.
 
-What grows with the corpus stays in Spark: the vocabulary is counted in tasks, then
-summed by word; words outside the `KNOWN` most frequent are scored by a join with it. The
-count tables of classes have fixed sizes, (2^10)^2 and 2^4 * 2^6 * 2^10 cells, and are
-summed in Spark before the driver sees them.
+What grows with the corpus stays in Spark: the vocabulary and all distinct bigrams and
+trigrams are counted in tasks, then summed; histories meet their counts by joins, and
+documents the values of their trigrams. Words outside the `KNOWN` most frequent are scored
+by a join with the vocabulary. In these tables words and trigrams are named by 64-bit
+hashes. The count tables of classes have fixed sizes, (2^10)^2 and 2^4 * 2^6 * 2^10 cells,
+and are summed in Spark before the driver sees them.
 
 Defined results: a null or empty text is its end alone. Without any training token, scores
 are the base scores. A row without doc_id is scored and not learned from; held_out false.
@@ -31,8 +36,9 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mapflow.llm.common import fold, stored, text_or_empty
@@ -47,6 +53,24 @@ FAR, NEAR = 16, 64  # classes of the word before the last and of the last word i
 BUCKETS = 40
 END = b"\n"  # no word is white space
 ROUNDS = 25
+STEPS = 16  # of a quotient's binary logarithm
+NEVER = -100_000  # step of the quotient 0
+BUFFER = 500_000
+TABLE_SIZE = 200_000
+ODD = np.uint64(0x9E3779B97F4A7C15)
+
+
+class _WordHashes(dict):
+    """Spark's xxhash64 of the words a worker has met, emptied when full."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) > TABLE_SIZE:
+            self.clear()
+        value = self[word] = xxhash.xxh64_intdigest(word, 42)
+        return value
+
+
+_HASHES = _WordHashes()
 
 
 def tokens(text: str | None) -> list[bytes]:
@@ -183,8 +207,8 @@ def _conditional(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.divide(counts, seen[..., None], out=np.zeros(counts.shape), where=seen[..., None] > 0), seen
 
 
-def interpolated(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Tables for scoring: P(class | v); a * ML(class | u, v); 1 - a for each history of two."""
+def interpolated(counts: np.ndarray, parts: int = 2) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Tables for scoring: P(class | v); c * ML(class | u, v); 1 - c for each history of two. One part: without the deleted counts."""
     cells = CLASSES * CLASSES
     two = counts[:, :cells].reshape(2, CLASSES, CLASSES)
     three = counts[:, cells:].reshape(2, FAR * NEAR, CLASSES)
@@ -214,9 +238,9 @@ def interpolated(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray
     estimate, seen = _conditional(three[0])
     h, w = np.nonzero(three[1])
     a = mixture_weights(estimate[h, w], coarse[h % NEAR, w], three[1][h, w].astype(float), _bucket(seen)[h])
-    estimate, seen = _conditional(three.sum(0))
+    estimate, seen = _conditional(three[:parts].sum(0))
     a = a[_bucket(seen)]
-    return mixed_two(two.sum(0), b).astype("f4"), (a[:, None] * estimate).astype("f4"), (1 - a).astype("f4")
+    return mixed_two(two[:parts].sum(0), b).astype("f4"), (a[:, None] * estimate).astype("f4"), (1 - a).astype("f4")
 
 
 def unseen_share(rare: DataFrame) -> float:
@@ -233,6 +257,119 @@ def unseen_share(rare: DataFrame) -> float:
     return float(1 - mixture_weights(likely, even, times, np.zeros(len(rows), np.int64))[0]) if times.sum() else 0.5
 
 
+def _grams(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Per token the name of its trigram and the hashes of the three words; what stands before a document counts as ends."""
+    end = _HASHES[END]
+    hashes = np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))
+    padded = np.concatenate([np.array([end, end], np.uint64), hashes])
+    key = np.zeros(len(words), np.uint64)
+    with np.errstate(over="ignore"):
+        for k in range(3):
+            key = key * ODD + padded[k : k + len(words)]
+            key = (key ^ (key >> np.uint64(31))) * ODD
+            key ^= key >> np.uint64(29)
+    return tuple(x.view(np.int64) for x in (key, padded[:-2].copy(), padded[1:-1].copy(), hashes))
+
+
+def _class_values(tables: tuple[np.ndarray, np.ndarray, np.ndarray], two: np.ndarray, three: np.ndarray) -> np.ndarray:
+    """P(class | u, v) of the cells of some tokens."""
+    lower, upper, left = tables
+    return upper.reshape(-1)[three] + left[three // CLASSES] * lower.reshape(-1)[two]
+
+
+def trigrams(docs: DataFrame, known: Broadcast, tables: Broadcast) -> DataFrame:
+    """Every distinct trigram of all documents: key, u, v, w, counts in both training parts, and its class's P by estimated and by all counts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = known.value
+        end = int(_class_of(words.codes([END]), CLASSES)[0])
+        held: list[tuple] = []
+        size = 0
+
+        def out() -> pa.RecordBatch:
+            key, u, v, w, part, by_estimated, by_all = (np.concatenate(x) for x in zip(*held, strict=True))
+            _, first, at = np.unique(key, return_index=True, return_inverse=True)
+            counts = [np.bincount(at[part == p], minlength=len(first)) for p in (0, 1)]
+            columns = [*(x[first] for x in (key, u, v, w)), *counts, by_estimated[first], by_all[first]]
+            return pa.RecordBatch.from_arrays(list(map(pa.array, columns)), ["key", "u", "v", "w", "estimated", "deleted", "c_est", "c_all"])
+
+        for batch in batches:
+            for text, number in zip(batch.column("text"), batch.column("fold").to_pylist(), strict=True):
+                found = tokens(text.as_py())
+                two, three = _histories(_class_of(words.codes(found), CLASSES), end)
+                part = 2 if number == HELD_OUT else int(number == WEIGHTS_FOLD)
+                held.append((*_grams(found), np.full(len(found), part), *(_class_values(t, two, three) for t in tables.value)))
+                size += len(found)
+                if size > BUFFER:
+                    yield out()
+                    held.clear()
+                    size = 0
+        if held:
+            yield out()
+
+    schema = "key long, u long, v long, w long, estimated long, deleted long, c_est float, c_all float"
+    sums = [F.sum("estimated").alias("estimated"), F.sum("deleted").alias("deleted"), F.max("c_est").alias("c_est"), F.max("c_all").alias("c_all")]
+    return _folded(docs).select("text", "fold").mapInArrow(run, schema).groupBy("key", "u", "v", "w").agg(*sums)
+
+
+def _bucket_column(seen: Column) -> Column:
+    return F.least(F.ceil(F.log2(seen + 1)), F.lit(BUCKETS - 1)).cast("int")
+
+
+def _share(count: str, of: str) -> Column:
+    return F.when(F.col(of) > 0, F.col(count) / F.col(of)).otherwise(0.0)
+
+
+def held_out_weights(counted: DataFrame, upper: Column, lower: Column, seen: str) -> np.ndarray:
+    """Weights of the upper estimate by bucket of the history's count, from the deleted counts of all n-grams."""
+    step = F.when(upper > 0, F.round(STEPS * F.log2(upper / lower)).cast("int")).otherwise(NEVER)
+    cells = (
+        counted.where("deleted > 0")
+        .groupBy(_bucket_column(F.col(seen)).alias("bucket"), F.greatest(F.lit(-1000), F.least(F.lit(1000), step)).alias("step"), (upper > 0).alias("met"))
+        .agg(F.sum("deleted").alias("times"))
+        .collect()  # at most BUCKETS * 2002 rows
+    )
+    quotient = np.array([2.0 ** (r["step"] / STEPS) if r["met"] else 0.0 for r in cells])
+    times = np.array([float(r["times"]) for r in cells])
+    return mixture_weights(quotient, np.ones(len(cells)), times, np.array([r["bucket"] for r in cells], np.int64))
+
+
+def trigram_values(grams: DataFrame, within: DataFrame) -> DataFrame:
+    """`key, value`: log10 P(w | u, v) of every trigram. `within` has P(w | class) by hash, from estimated and from all counts."""
+    every = F.col("estimated") + F.col("deleted")
+
+    def summed(df: DataFrame, names: list[str], mark: str) -> DataFrame:
+        return df.groupBy(*names).agg(F.sum("estimated").alias(f"{mark}_est"), F.sum(every).alias(f"{mark}_all"))
+
+    histories = summed(grams, ["u", "v"], "h")
+    pairs = grams.groupBy("v", "w").agg(F.sum("estimated").alias("estimated"), F.sum("deleted").alias("deleted"))
+    pairs = stored(pairs, "bigrams")
+    pairs = pairs.join(summed(pairs, ["v"], "v"), "v").join(within, "w").select(
+        "v", "w", F.col("estimated").alias("p_est"), every.alias("p_all"), "v_est", "v_all", "w_est", "w_all"
+    )
+    counted = grams.join(pairs, ["v", "w"]).join(histories, ["u", "v"])
+    counted = stored(
+        counted.select(
+            "key", "estimated", "deleted", "h_est", "h_all", "p_est", "p_all", "v_est", "v_all",
+            (F.col("c_est") * F.col("w_est")).alias("c_est"), (F.col("c_all") * F.col("w_all")).alias("c_all"),
+        ),
+        "trigram-counts",
+    )
+    least = lambda name: F.greatest(F.col(name), F.lit(1e-30))
+
+    def mixed(weights: np.ndarray, upper: Column, lower: Column, seen: str) -> Column:
+        weight = F.get(F.array(*(F.lit(float(x)) for x in weights)), _bucket_column(F.col(seen)))
+        weight = F.when(F.col(seen) > 0, weight).otherwise(0.0)
+        return weight * upper + (1 - weight) * lower
+
+    b = held_out_weights(counted, _share("p_est", "v_est"), least("c_est"), "v_est")
+    lower = mixed(b, _share("p_est", "v_est"), least("c_est"), "v_est")
+    a = held_out_weights(counted, _share("estimated", "h_est"), lower, "h_est")
+    counted = counted.withColumn("both", every)
+    lower = mixed(b, _share("p_all", "v_all"), least("c_all"), "v_all")
+    return counted.select("key", F.log10(mixed(a, _share("both", "h_all"), lower, "h_all")).alias("value"))
+
+
 def scores(docs: DataFrame) -> DataFrame:
     """Per row: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     spark = docs.sparkSession
@@ -249,23 +386,30 @@ def scores(docs: DataFrame) -> DataFrame:
     even = unseen_share(rare_words)
     rest = rare_words.agg(F.coalesce(F.sum(F.col("estimated") + F.col("deleted")), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
     rare_mass, rare_types = max(1, int(rest["n"])), int(rest["v"])
-    tables = context.broadcast(interpolated(class_counts(docs, shared)))  # 9 MB, whatever the corpus
+    counts = class_counts(docs, shared)
+    tables = context.broadcast((interpolated(counts, 1), interpolated(counts)))  # 18 MB, whatever the corpus
+    alone = F.col("alone").isNotNull()  # classes of their own
+    total = F.col("estimated") + F.col("deleted")
+    estimated_mass = rare_words.agg(F.coalesce(F.sum("estimated"), F.lit(0))).first()[0]
+    spread = lambda count, mass: F.when(alone, 1.0).otherwise((1 - even) * count / max(1, mass) + even / (rare_types + 1))
+    within = vocab.join(F.broadcast(classed.withColumn("alone", F.lit(True))), "word", "left").select(
+        F.xxhash64("word").alias("w"), spread(F.col("estimated"), estimated_mass).alias("w_est"), spread(total, rare_mass).alias("w_all")
+    )
+    grams = stored(trigrams(docs, shared, tables), "trigrams")
+    unseen = F.lit(even / (rare_types + 1))
+    # Words of no training document are in no vocabulary.
+    new_words = grams.select("w").distinct().join(within, "w", "left_anti").select("w", unseen.alias("w_est"), unseen.alias("w_all"))
+    values = trigram_values(grams, stored(within.dropDuplicates(["w"]).unionByName(new_words), "words-within"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = shared.value
-        lower, upper, left = tables.value
-        upper = upper.reshape(-1)
-        end = int(_class_of(words.codes([END]), CLASSES)[0])
         base = np.log10((words.counts + ADDED) / divisor)
-        within = np.log10((1 - even) * words.counts / rare_mass + even / (rare_types + 1))
-        within[: CLASSES - 1] = 0.0
         for batch in batches:
             rows: list[dict] = []
             for text in batch.column("text"):
                 found = tokens(text.as_py())
                 codes = words.codes(found)
-                two, three = _histories(_class_of(codes, CLASSES), end)
-                p = upper[three] + left[three // CLASSES] * lower.reshape(-1)[two]
+                keys, times = np.unique(_grams(found)[0], return_counts=True)
                 seen = codes[codes >= 0]
                 other = Counter(found[i] for i in np.flatnonzero(codes < 0).tolist())
                 rows.append(
@@ -273,13 +417,15 @@ def scores(docs: DataFrame) -> DataFrame:
                         "n_tokens": len(found),
                         "n_known": len(seen),
                         "base": float(base[seen].sum()),
-                        "model": float(np.log10(np.maximum(p, 1e-30).astype(np.float64)).sum() + within[seen].sum()),
+                        "keys": keys,
+                        "times": times,
                         "others": [{"word": w, "times": k} for w, k in other.items()],
                     }
                 )
             kind = pa.struct(
                 [
-                    ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base", pa.float64()), ("model", pa.float64()),
+                    ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base", pa.float64()),
+                    ("keys", pa.list_(pa.int64())), ("times", pa.list_(pa.int64())),
                     ("others", pa.list_(pa.struct([("word", pa.binary()), ("times", pa.int64())]))),
                 ]
             )
@@ -298,8 +444,8 @@ def scores(docs: DataFrame) -> DataFrame:
     first = stored(
         marked.mapInArrow(
             run,
-            "doc_id long, row_id long, held_out boolean, n_tokens long, n_known long, base double, model double, "
-            "others array<struct<word: binary, times: long>>",
+            "doc_id long, row_id long, held_out boolean, n_tokens long, n_known long, base double, "
+            "keys array<long>, times array<long>, others array<struct<word: binary, times: long>>",
         ),
         "scored",
     )
@@ -312,14 +458,16 @@ def scores(docs: DataFrame) -> DataFrame:
             "row_id",
             F.when(count > 0, F.col("times")).otherwise(0).alias("known"),
             (F.col("times") * F.log10((count + ADDED) / divisor)).alias("base"),
-            (F.col("times") * F.log10((1 - even) * count / rare_mass + even / (rare_types + 1))).alias("model"),
         )
         .groupBy("row_id")
-        .agg(F.sum("known").alias("more_known"), F.sum("base").alias("more_base"), F.sum("model").alias("more_model"))
+        .agg(F.sum("known").alias("more_known"), F.sum("base").alias("more_base"))
     )
+    # Every trigram of a document meets its value; a row for each distinct one, so a common trigram has one side to split.
+    each = first.select("row_id", F.explode(F.arrays_zip("keys", "times")).alias("gram")).select("row_id", F.col("gram.keys").alias("key"), "gram.times")
+    summed = each.join(values, "key").groupBy("row_id").agg(F.sum(F.col("times") * F.col("value")).alias("model"))
     base = F.col("base") + F.coalesce("more_base", F.lit(0.0))
-    model = F.col("model") + F.coalesce("more_model", F.lit(0.0))
-    return first.drop("others").join(met, "row_id", "left").select(
+    model = F.col("model")
+    return first.drop("others", "keys", "times").join(met, "row_id", "left").join(summed, "row_id").select(
         "doc_id",
         "held_out",
         "n_tokens",

@@ -153,6 +153,35 @@ def test_language_model_counts_and_base_scores(documents, odd_rows):
     assert sum(r["score"] for r in outside) > sum(r["base_score"] for r in outside)
 
 
+def test_word_pairs_outside_the_classes_are_learned(documents):
+    rng = random.Random(21)
+    pairs = [(f"left{k}", f"right{k}") for k in range(1500)]  # 3,000 words: most have no class of their own
+    rows = [(n, " ".join(x for p in rng.sample(pairs, 40) for x in p)) for n in range(600)]
+    outside = [n for n in range(600, 700) if held_out(n, 10)][:2]
+    chosen = rng.sample(pairs, 100)
+    left, right = zip(*chosen, strict=True)
+    rows += [(outside[0], " ".join(x for p in chosen for x in p)), (outside[1], " ".join([*left, *right]))]
+    got = {r["doc_id"]: r for r in language_model.scores(documents(rows)).collect()}
+    together, apart = got[outside[0]], got[outside[1]]
+    assert abs(together["base_score"] - apart["base_score"]) < 1e-6
+    assert together["score"] > apart["score"] + 100
+
+
+def test_every_distinct_trigram_is_counted(spark, documents, odd_rows):
+    rows = odd_rows + [(n, prose(n, 60)) for n in range(30, 60)]
+    docs = documents(rows)
+    known = spark.sparkContext.broadcast(language_model.known_words(language_model.vocabulary(docs)))
+    counts = language_model.class_counts(docs, known)
+    tables = spark.sparkContext.broadcast((language_model.interpolated(counts, 1), language_model.interpolated(counts)))
+    got = language_model.trigrams(docs, known, tables).collect()
+    expected = Counter()
+    for doc, text in rows:
+        words = [b"\n", b"\n", *language_model.tokens(text)]
+        for gram in zip(words, words[1:], words[2:], strict=False):
+            expected[gram] += doc is not None and not held_out(doc, 10)
+    assert sorted(r["estimated"] + r["deleted"] for r in got) == sorted(expected.values())
+
+
 def test_language_model_without_training(documents):
     (row,) = language_model.scores(documents([(None, "a b")])).collect()
     assert (row["train_tokens"], row["n_tokens"], row["n_known"], row["score"]) == (0, 3, 0, row["base_score"])
