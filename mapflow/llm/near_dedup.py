@@ -4,16 +4,16 @@
   shingles of `words` neighbouring words (fewer words: the whole sequence as one shingle).
   Documents with one set are one class and enter the forest once, whatever their number.
 - *Signature.* 128 minima, each under a hash function of its own.
-- *Forest.* Each of 32 trees is an order of the signatures that begins at its own four
-  minima and goes on round the signature, so a prefix can be taken at any depth. Two sets
-  of similarity s share a tree's first four with chance s^4; at 0.8 all 32 trees miss them
-  with chance 5e-8.
+- *Forest.* Each of 32 trees is an order of the signatures by its own four minima. Two
+  sets of similarity s share those with chance s^4; at 0.8 all 32 trees miss them with
+  chance 5e-8.
 - *Neighbours.* Sets with a common prefix of depth four are neighbours. First each is
   compared with the smallest of its prefix group. What that links becomes one component,
   and pairs within it need no comparison. Then, where a group still spans several
   components, all members of different components are compared, in blocks within tasks.
-- *Adaptive depth.* A region where a group still spans more than `WIDE` components is
-  taken at depth eight, where all members are compared likewise, without a limit.
+- *Wide groups.* The members of all groups that still span more than `WIDE` components
+  meet by an exact rule instead: sets with a link share one of their rarest shingles
+  (prefix filter, see `by_rare_shingles`). This leaves out no pair that a link joins.
 - *Confirmation.* Links are confirmed on the whole sets: a link needs
   ``100 * intersection >= percent * union``.
 
@@ -39,7 +39,6 @@ from mapflow.llm.components import components
 MINIMA = 128
 TREES = 32
 DEPTH = 4
-DEEPER = 8
 WIDE = 64
 BLOCK = 1000
 TASK_ROWS = 4000
@@ -92,12 +91,12 @@ def signature(values: np.ndarray) -> np.ndarray:
     return least.astype("<u4")
 
 
-def prefix_keys(minima: np.ndarray, depth: int) -> np.ndarray:
-    """One 64-bit key for each tree, of its first `depth` minima."""
+def prefix_keys(minima: np.ndarray) -> np.ndarray:
+    """One 64-bit key for each tree, of its minima."""
     keys = np.arange(TREES, dtype=np.uint64)
     starts = np.arange(TREES) * (MINIMA // TREES)
-    for k in range(depth):
-        keys = _mixed(keys * ODD + minima[(starts + k) % MINIMA])
+    for k in range(DEPTH):
+        keys = _mixed(keys * ODD + minima[starts + k])
     return keys.view(np.int64)
 
 
@@ -125,30 +124,29 @@ def marks(docs: DataFrame, words: int) -> DataFrame:
 
 
 def forest(nodes: DataFrame) -> DataFrame:
-    """Per set and tree: node, n (set size), key at the first depth and at the deeper one."""
+    """Per set and tree: node, n (set size), key."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            near, deep = [], []
+            keys = []
             with np.errstate(over="ignore"):
                 for data in batch.column("minima"):
                     minima = np.frombuffer(data.as_py(), "<u4").astype(np.uint64)
-                    near.append(prefix_keys(minima, DEPTH))
-                    deep.append(prefix_keys(minima, DEEPER))
-            if not near:
+                    keys.append(prefix_keys(minima))
+            if not keys:
                 continue
             for at in range(0, batch.num_rows, 2000):
-                n = len(near[at : at + 2000])
+                n = len(keys[at : at + 2000])
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.repeat(batch.column(c).slice(at, n).to_numpy(zero_copy_only=False), TREES), pa.int64())
                         for c in ("node", "n")
                     ]
-                    + [pa.array(np.concatenate(k[at : at + 2000]), pa.int64()) for k in (near, deep)],
-                    ["node", "n", "key", "deep"],
+                    + [pa.array(np.concatenate(keys[at : at + 2000]), pa.int64())],
+                    ["node", "n", "key"],
                 )
 
-    return nodes.select("node", "n", "minima").mapInArrow(run, "node long, n long, key long, deep long")
+    return nodes.select("node", "n", "minima").mapInArrow(run, "node long, n long, key long")
 
 
 def _slot() -> Column:
@@ -220,7 +218,7 @@ def links(docs: DataFrame, marked: DataFrame, words: int, percent: int) -> DataF
 
     # Each set against the smallest of its prefix group.
     firsts = trees.groupBy("key").agg(F.min("node").alias("a"), F.count(F.lit(1)).alias("met")).where("met > 1")
-    spread = stored(trees.join(firsts.select("key", "a"), "key").select("key", "deep", "a", "node", "n"), "met")
+    spread = stored(trees.join(firsts.select("key", "a"), "key").select("key", "a", "node", "n"), "met")
     sizes = spread.where("node = a").select("a", F.col("n").alias("n_a")).distinct()
     stars = spread.where("node <> a").select("a", F.col("node").alias("b"), F.col("n").alias("n_b")).distinct()
     pairs = stored(stars.join(sizes, "a").where(_close_in_size(percent)).select("a", "b").distinct(), "star-pairs")
@@ -229,16 +227,13 @@ def links(docs: DataFrame, marked: DataFrame, words: int, percent: int) -> DataF
     # Groups that still span several components: what links those, compared within tasks.
     label = components(first_links)
     labelled = stored(
-        spread.join(label, "node", "left").select("key", "deep", "node", "n", F.coalesce("component", "node").alias("component")), "labelled"
+        spread.join(label, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component")), "labelled"
     )
-    parts = _parts(labelled)
-    shallow = labelled.join(parts.where(F.col("parts") <= WIDE).select("key"), "key", "left_semi").select("key", "node", "component")
-    deep = labelled.join(parts.where(F.col("parts") > WIDE).select("key"), "key", "left_semi").select(
-        F.col("deep").alias("key"), "node", "component"
-    )
-    deep = stored(deep, "deep-groups")
-    deep = deep.join(_parts(deep).select("key"), "key", "left_semi")
-    side = stored(shallow.unionByName(deep), "open-groups")
+    parts = stored(_parts(labelled), "parts")
+    narrow = labelled.join(parts.where(F.col("parts") <= WIDE).select("key"), "key", "left_semi")
+    wide = labelled.join(parts.where(F.col("parts") > WIDE).select("key"), "key", "left_semi").select("node", "component").distinct()
+    rare = by_rare_shingles(stored(wide, "wide-nodes"), docs, words, percent)
+    side = stored(narrow.unionByName(rare), "open-groups")
     across = across_components(side, docs, words, percent)
     return first_links.unionByName(confirmed(stored(across, "cross-pairs"), docs, words, percent))
 
@@ -250,6 +245,24 @@ def _parts(labelled: DataFrame) -> DataFrame:
     )
 
 
+def by_rare_shingles(nodes: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """`key, node, component`: groups of nodes by shingles, such that any two with a link have a group in common.
+
+    A link needs ``percent`` of the larger set in common. Let shingles be ordered, the rarest
+    among these nodes first: of the first ``n - ceil(percent * n / 100) + 1`` shingles of
+    each set two linked sets share one, else too few are left.
+    """
+    each = full_sets(docs, nodes, words).select("node", F.explode("shingles").alias("key"))
+    each = stored(each, "wide-shingles")
+    times = each.groupBy("key").agg(F.count(F.lit(1)).alias("times"))
+    ordered = each.join(times, "key").groupBy("node").agg(F.array_sort(F.collect_list(F.struct("times", "key"))).alias("ordered"))
+    n = F.size("ordered")
+    first = F.slice("ordered", F.lit(1), (n - F.ceil(n * percent / 100) + 1).cast("int"))
+    rare = ordered.select("node", F.explode(first).alias("rare")).where("rare.times > 1").select(F.col("rare.key").alias("key"), "node")
+    rare = stored(rare.join(nodes, "node").select("key", "node", "component"), "rare-shingles")
+    return rare.join(_parts(rare).select("key"), "key", "left_semi")
+
+
 def across_components(side: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
     """Pairs `a, b` that connect components of a group, enough to join all that some link joins.
 

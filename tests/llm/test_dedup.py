@@ -118,6 +118,25 @@ def test_near_groups_at_the_deeper_prefix(documents, monkeypatch):
     assert sorted((tuple(r) for r in got), key=str) == near_expected(rows, 2, 80)
 
 
+def test_pairs_in_wide_groups_are_all_found(documents, monkeypatch):
+    """Pairs just above the threshold that share prefixes of four minima but none of eight, each among texts that are a little farther."""
+    monkeypatch.setattr(near_dedup, "WIDE", 1)
+    rows = []
+    for seed in (102, 199, 255, 486):
+        words = [f"shared{k}" for k in range(220)] + [f"own{seed}x{k}" for k in range(80)]
+
+        def changed(rng, n, mark, words=words):
+            other = list(words)
+            for k in rng.sample(range(2, 298), n):
+                other[k] = f"{mark}x{k}"
+            return " ".join(other)
+
+        rows += [(100 * len(rows) + n, changed(random.Random(1000 * seed + n), 25, f"far{seed}x{n}")) for n in range(40)]
+        rows += [(10**6 + 2 * seed, " ".join(words)), (10**6 + 2 * seed + 1, changed(random.Random(seed), 16, f"new{seed}"))]
+    got = near_dedup.near_groups(documents(rows), 2, 80).collect()
+    assert sorted((tuple(r) for r in got), key=str) == near_expected(rows, 2, 80)
+
+
 def test_near_deduplicate(documents, odd_rows):
     docs = documents(odd_rows)
     out = near_dedup.deduplicate(docs)
