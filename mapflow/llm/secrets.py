@@ -1,7 +1,8 @@
 """Operator 2: secret scan with a random forest that removes false positives. Native: no Python on executors.
 
-- *Candidates.* Every run of at least twelve characters of the usual secret alphabets
-  that holds a digit, in whole texts.
+- *Candidates.* In whole texts: every run of at least twelve characters of the usual
+  secret alphabets that holds a digit; everything in an issuer's format; and the whole value
+  (six characters and more, of any kind but blanks) assigned to a credential's name.
 - *Features.* Length; character transitions (changes between lower case, upper case,
   digits and marks) and the share of each class; distinct characters; dictionary coverage
   (the part of the candidate made of the corpus's own frequent words); words of the path
@@ -41,19 +42,38 @@ THRESHOLD = 0.5
 #: Formats that issuers publish, and names of credentials.
 ISSUED = r"^(?:AKIA[A-Z0-9]{16}|ASIA[A-Z0-9]{16}|gh[pousr]_[A-Za-z0-9]{36}|glpat-[A-Za-z0-9_-]{20}|xox[abpr]-[A-Za-z0-9-]{10,}|AIza[A-Za-z0-9_-]{35})$"
 CREDENTIAL = r"(?i)^(?:pass(?:word|wd|phrase)?|pwd|secret|token|api_?key|access_?key|auth|credentials?|bearer)$"
-HARMLESS = r"^[0-9.+/_-]+$|@|^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$|^[0-9]{4}-[0-9]{2}-[0-9]{2}"
+E_MAIL = r"^[A-Za-z0-9_.+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+$"
+HARMLESS = r"^[0-9.+/_-]+$|^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$|^[0-9]{4}-[0-9]{2}-[0-9]{2}"
+ISSUED_INSIDE = f"(?<![A-Za-z0-9]){ISSUED[1:-1]}(?![A-Za-z0-9])"
+NAME = "(?i:" + CREDENTIAL.removeprefix("(?i)^").removesuffix("$").replace("api_?key", "api[_-]?key").replace("access_?key", "access[_-]?key") + ")[\"'`]?"
+SIGN = "[:=]+>?"
+ASSIGNED = f"(?<![A-Za-z]){NAME} ?{SIGN} ?"
+QUOTED_VALUE = ASSIGNED + r"[\"'`]([^\s\"'`]{6,})[\"'`]\S*$"
+PLAIN_VALUE = ASSIGNED + r"([^\s\"'`=:]\S{4,}[^\s\"'`,;.)\]}])[\"'`,;.)\]}]*$"
 SHAPE = ["length", "lower", "upper", "digit", "mark", "changes", "hex", "distinct", "covered"]
 
 
+def _named(near: Column) -> Column:
+    """Whether a credential's name stands among the words before."""
+    return F.exists(near, lambda w: F.regexp_replace(w, "^before ", "").rlike(CREDENTIAL))
+
+
 def candidates(docs: DataFrame, path: str | None = None) -> DataFrame:
     """Per text and distinct candidate: doc_id, text_key, candidate, occurrences, near (neighbouring words, the path's too)."""
     place = F.coalesce(F.col(path).cast("string"), F.lit("")) if path else F.lit("")
 
     def hits(words: Column) -> Column:
-        """Long words with a digit, and their neighbours. `words` is a variable, so a text is split once."""
+        """Long words with a digit, issued ones and assigned ones, and their neighbours. `words` is a variable, so a text is split once."""
+        back = lambda i, k, pattern: F.coalesce(F.when(i >= k, F.get(words, i - k)).rlike(pattern), F.lit(False))
+        assigned = lambda i: (
+            F.get(words, i).rlike(f"{NAME}{SIGN}")
+            | back(i, 1, f"{NAME}{SIGN}$")
+            | (back(i, 1, f"^{SIGN}$") & back(i, 2, f"{NAME}$"))
+            | (F.get(words, i).rlike(f"^{SIGN}") & back(i, 1, f"{NAME}$"))
+        )
         at = F.filter(
             F.sequence(F.lit(0), F.size(words) - 1),
-            lambda i: (F.length(F.get(words, i)) >= SHORTEST) & F.get(words, i).rlike("[0-9]"),
+            lambda i: ((F.length(F.get(words, i)) >= SHORTEST) & F.get(words, i).rlike("[0-9]")) | F.get(words, i).rlike(ISSUED_INSIDE) | assigned(i),
         )
         before = lambda i: F.slice(words, F.greatest(i - NEIGHBOURS + 1, F.lit(1)), F.least(i, F.lit(NEIGHBOURS)))
         after = lambda i: F.slice(words, i + 2, F.lit(NEIGHBOURS))
@@ -66,9 +86,16 @@ def candidates(docs: DataFrame, path: str | None = None) -> DataFrame:
         place.alias("place"),
         F.explode(F.flatten(F.transform(split, hits))).alias("hit"),
     )
-    runs = met.select("doc_id", "text_key", "place", "hit.word", "hit.before", "hit.after").select(
-        "*", F.explode(F.regexp_extract_all("word", F.lit(RUN), F.lit(0))).alias("candidate")
-    )
+    met = met.select("doc_id", "text_key", "place", "hit.word", "hit.before", "hit.after")
+    # The name may stand up to two words before the value.
+    context = F.concat_ws(" ", F.array_join(F.slice("before", F.greatest(F.size("before") - 1, F.lit(1)), F.lit(2)), " "), "word")
+    quoted, plain = (F.regexp_extract(context, pattern, 1) for pattern in (QUOTED_VALUE, PLAIN_VALUE))
+    value = F.when(quoted != "", quoted).otherwise(plain)
+    met = met.withColumn("value", F.when(F.contains("word", value), value).otherwise(""))
+    long = F.filter(F.regexp_extract_all("word", F.lit(RUN), F.lit(0)), lambda c: c.rlike("[0-9]"))
+    issued = F.regexp_extract_all("word", F.lit(ISSUED_INSIDE), F.lit(0))
+    more = F.filter(F.concat(issued, F.array("value")), lambda c: c != "")
+    runs = met.select("*", F.explode(F.concat(long, F.array_except(more, long))).alias("candidate"))
     own = F.replace("word", F.col("candidate"), F.lit(" "))
 
     def named(part: str, text: Column) -> Column:
@@ -80,9 +107,10 @@ def candidates(docs: DataFrame, path: str | None = None) -> DataFrame:
         named("after ", F.array_join("after", " ")),
         named("path ", F.col("place")),
     )
+    # A name such as db_password is no credential's name by itself.
+    near = F.when((F.col("candidate") == F.col("value")) & ~_named(near), F.array_append(near, F.lit("before credential"))).otherwise(near)
     return (
-        runs.where(F.col("candidate").rlike("[0-9]"))
-        .select("doc_id", "text_key", "candidate", near.alias("near"))
+        runs.select("doc_id", "text_key", "candidate", near.alias("near"))
         .groupBy("doc_id", "text_key", "candidate")
         .agg(F.count(F.lit(1)).alias("occurrences"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("near")))).alias("near"))
     )
@@ -123,8 +151,8 @@ def shaped(found: DataFrame, known: list[str]) -> DataFrame:
 
 def weak_labels(found: DataFrame) -> DataFrame:
     """Findings that a format settles, with `label` 1 (secret) or 0."""
-    named = F.exists("near", lambda w: F.regexp_replace(w, "^before ", "").rlike(CREDENTIAL))
-    harmless = F.col("candidate").rlike(HARMLESS)
+    named = _named(F.col("near"))
+    harmless = F.col("candidate").rlike(HARMLESS) | (F.col("candidate").rlike(E_MAIL) & ~named)
     label = F.when(F.col("candidate").rlike(ISSUED), 1).when(harmless, 0).when(named, 1)
     return found.withColumn("label", label).where("label is not null")
 
