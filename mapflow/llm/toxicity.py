@@ -1,7 +1,8 @@
 """Operator 10: toxicity by a fuzzy lexicon and context windows.
 
 - *Lexicon.* Learned from labelled documents: whole words, and stems shared by words,
-  that are far more frequent in toxic documents than in others. At most `most_terms`.
+  that are far more frequent in toxic documents than in others, by more than chance, and met
+  in `LEAST_MET` of them. At most `most_terms`.
 - *Matching.* The lexicon is a trie. A Levenshtein automaton for the word at hand would
   accept all terms within a few edits; here the automaton of the whole trie is built the
   other way round: a state is the set of (trie node, edits spent) pairs still possible, and
@@ -44,6 +45,7 @@ HELD_OUT = 0
 COEFFICIENT_FOLD = 4
 MOST_LABELLED = 10_000
 MOST_TERMS = 500
+LEAST_MET = 3  # toxic documents, however many there are
 MOST_CANDIDATES = 20_000
 STEM_LENGTHS = range(4, 9)
 WINDOW = 6
@@ -222,7 +224,7 @@ def _terms(text: str) -> set[str]:
     return {w for w in words if 3 <= len(w) <= 24} | {w[:k] + "-" for w in words for k in STEM_LENGTHS if len(w) > k}
 
 
-def _document_counts(texts: DataFrame, only: set[str] | None = None) -> DataFrame:
+def _document_counts(texts: DataFrame) -> DataFrame:
     """`term, n`: documents that hold a term, counted within each task first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -233,8 +235,7 @@ def _document_counts(texts: DataFrame, only: set[str] | None = None) -> DataFram
 
         for batch in batches:
             for text in batch.column("text"):
-                found = _terms(text.as_py())
-                counts.update(found if only is None else found & only)
+                counts.update(_terms(text.as_py()))
                 if len(counts) > 200_000:
                     yield out()
                     counts.clear()
@@ -243,12 +244,13 @@ def _document_counts(texts: DataFrame, only: set[str] | None = None) -> DataFram
     return texts.select("text").mapInArrow(run, "term string, n long").groupBy("term").agg(F.sum("n").alias("n"))
 
 
-def surprise(n: int, of: int, m: int, among: int) -> float:
-    """Log-likelihood ratio that a term met n of `of` times and m of `among` times has two different shares."""
+def surprise(of: int, among: int) -> Column:
+    """Log-likelihood ratio that a term met `n` of `of` times and `m` of `among` times has two different shares."""
 
-    def part(k: float, total: float, share: float) -> float:
-        return (k * log(share) if k else 0.0) + ((total - k) * log(1 - share) if total > k else 0.0)
+    def part(k: Column, total: int, share: Column) -> Column:
+        return F.when(k > 0, k * F.log(share)).otherwise(0.0) + F.when(k < total, (total - k) * F.log(1 - share)).otherwise(0.0)
 
+    n, m = F.col("n"), F.col("m")
     both = (n + m) / (of + among)
     return 2 * (part(n, of, n / of) + part(m, among, m / among) - part(n, of, both) - part(m, among, both))
 
@@ -260,14 +262,15 @@ def learn_lexicon(sample: DataFrame, most_terms: int = MOST_TERMS) -> tuple[dict
     toxic, clean = sizes.get(1, 0), sizes.get(0, 0)
     if not toxic or not clean:
         return {}, {}
-    least = max(3, toxic // 50)
-    common = stored(_document_counts(train.where("label = 1")).where(F.col("n") >= least), "candidates")
-    met = {r["term"]: r["n"] for r in common.orderBy(F.desc("n"), "term").limit(MOST_CANDIDATES).collect()}
-    other = {r["term"]: r["n"] for r in _document_counts(train.where("label = 0"), set(met)).collect()}  # no more than the candidates
-    weight = {t: log((n + 0.5) / (toxic + 1)) - log((other.get(t, 0) + 0.5) / (clean + 1)) for t, n in met.items()}
+    common = stored(_document_counts(train.where("label = 1")).where(F.col("n") >= LEAST_MET), "candidates")
     # Among so many terms some are frequent in toxic documents by chance: as few as 1 in 100 trainings may let one in.
     bound = 2 * log(100 * max(1, common.count()))
-    strong = {t for t, n in met.items() if weight[t] >= log(10) and surprise(n, toxic, other.get(t, 0), clean) >= bound}
+    other = _document_counts(train.where("label = 0")).withColumnRenamed("n", "m")
+    ratio = F.log((F.col("n") + 0.5) / (toxic + 1)) - F.log((F.col("m") + 0.5) / (clean + 1))
+    rated = common.join(other, "term", "left").fillna(0, ["m"]).select("term", "n", ratio.alias("weight"), surprise(toxic, clean).alias("surprise"))
+    rated = rated.where((F.col("weight") >= log(10)) & (F.col("surprise") >= bound))
+    strong = {r["term"]: r for r in rated.orderBy(F.desc("surprise"), "term").limit(MOST_CANDIDATES).collect()}
+    met, weight = ({t: r[name] for t, r in strong.items()} for name in ("n", "weight"))
 
     def longest(term: str) -> str:
         """The longest stem or word that nearly all of a stem's documents share: no wider than was seen."""

@@ -270,6 +270,13 @@ def test_misspelled_and_quoted_terms(toxic):
     assert model.hits(None) == model.hits("") == []
 
 
+def test_rare_terms_are_learned_from_many_labels(spark):
+    """A term of 15 in 1,000 toxic documents, and of no other."""
+    rows = [(prose(5000 + n, 12) + (" snotwaffle" if n % 4 == 0 and n < 60 else ""), int(n % 4 == 0), 1) for n in range(4000)]
+    words, stems = toxicity.learn_lexicon(spark.createDataFrame(rows, "text string, label int, fold int"))
+    assert any("snotwaffle".startswith(t) for t in (*words, *stems))
+
+
 def test_labels_of_one_kind_or_none(spark, documents):
     docs = documents([(1, "a b"), (2, None)])
     for rows in ([], [(1, 0)], [(1, 1)], [(None, 1), (2, None)]):
