@@ -33,6 +33,14 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+class WordNumbers(dict):
+    """Numbers of words in order of first sight."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = number = len(self)
+        return number
+
+
 def fold(modulus: int, column: str = "doc_id") -> Column:
     """crc32 of an id as text, modulo a number of folds."""
     return F.crc32(F.col(column).cast("string").cast("binary")) % modulus
