@@ -15,10 +15,11 @@ branches of rarer words are better. The frontier is expanded in two rounds, each
 2. every other branch whose bound reaches that limit (all, where fewer than `top` survive). What
    stays closed lies below the limit, so ties of the last place are inside.
 
-A round reads the corpus once for each length. A position takes part if the words before its last
-one are an open prefix and its last word is a frequent one, both told by one bitmap of fixed size;
-a false positive is counted in vain, never wrongly. Phrases are counted in tasks, by exact names,
-then summed in Spark. A last reading counts the right parts that scores need, and notes for each
+The corpus is read twice: to count words, and to write it down as numbered words in slices, where
+words below `least` part the pieces (no candidate holds one, and none always stands beside one). A
+round goes over the slices once for each length. A position takes part if the words before its last
+one are an open prefix, told by a bitmap of fixed size; a false positive is counted in vain, never
+wrongly. Phrases are counted in tasks, by exact names, then summed in Spark. A last reading counts the right parts that scores need, and notes for each
 candidate whether one and the same word always stands before or after it: just then a longer
 candidate is as frequent. Nothing but bitmaps reaches the driver.
 
@@ -29,6 +30,7 @@ candidates have no rows; an empty table gives an empty result. Further columns d
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -46,14 +48,17 @@ TOP = 2000
 #: Share of the occurrences of frequent words whose branches open in the first round.
 FIRST_SHARE = 1 / 8
 #: Bytes of text that are taken together, and phrases that a task counts before it hands them on.
-SLICE_BYTES = 4_000_000
-HELD = 300_000
+SLICE_BYTES = 2_000_000
+HELD = 100_000
+#: Bytes of text that wait in a task for their slices to fill, and rows that are read at a time.
+WAITING_BYTES = 4 * SLICE_BYTES
+ROWS = 500
 UNKNOWN = "und"
 #: Rows of a table with a few rows for each language, up to which it is broadcast.
 MOST_BROADCAST = 100_000
 #: A-Z become a-z, every mark or line end that closes a piece becomes a full stop.
 _NORMAL = bytes(b + 32 if 0x41 <= b <= 0x5A else 0x2E if chr(b) in ".,;:!?\n\x0b\x0c\r" else b for b in range(256))
-#: What a bitmap's entries are: prefixes to extend, words that may follow, phrases to count.
+#: What a bitmap's entries are: prefixes to extend, frequent words, phrases to count.
 OPEN, FREQUENT, NEEDED = range(3)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xD6E8FEB86659FD93)
@@ -87,18 +92,15 @@ class Bitmap:
 
 
 class Slice:
-    """Words of texts of one language as numbers in the order of the texts; 0 parts the pieces."""
-
-    def __init__(self, lang: str, words: list[bytes]):
-        number = WordNumbers({b".": 0})
-        self.lang, self.words = lang, words
-        self.ids = np.fromiter(map(number.__getitem__, words), np.int64, len(words))
-        self.vocabulary = list(number)
-        self.hashes = _word_hashes(self.vocabulary)
-        places = np.arange(len(words))
-        ends = np.where(self.ids == 0, places, len(words))
+    """Texts of one language as numbers of their words; 0 parts the pieces."""
+
+    def __init__(self, lang: str, vocabulary: list[bytes], ids: np.ndarray):
+        self.lang, self.vocabulary, self.ids = lang, vocabulary, ids
+        self.hashes = _word_hashes(vocabulary)
+        places = np.arange(len(ids))
+        ends = np.where(ids == 0, places, len(ids))
         #: Words from here to the end of the piece.
-        self.room = np.minimum.accumulate(ends[::-1])[::-1] - places if len(words) else places
+        self.room = np.minimum.accumulate(ends[::-1])[::-1] - places if len(ids) else places
 
     def starts(self, size: int) -> np.ndarray:
         """Positions with `size` words of one piece from there on."""
@@ -119,18 +121,17 @@ class Slice:
             _, first, names, counts = np.unique(keys, return_index=True, return_inverse=True, return_counts=True)
         return starts[first], names, counts
 
-    def phrase(self, start: int, size: int) -> bytes:
-        return b" ".join(self.words[start : start + size])
+    def phrases(self, starts: np.ndarray, size: int) -> Iterator[bytes]:
+        word = self.vocabulary.__getitem__
+        for numbers in zip(*(self.ids[starts + i].tolist() for i in range(size)), strict=True):
+            yield b" ".join(map(word, numbers))
 
     def growing(self, size: int, bitmap: Bitmap) -> Iterator[tuple[bytes, int]]:
-        """Phrases whose first words are an open prefix and whose last word is frequent, with counts."""
-        frequent = bitmap.has(_finished(self.hashes, self.lang, FREQUENT, 1))
+        """Phrases whose first words are an open prefix, with counts."""
         starts = self.starts(size)
-        starts = starts[frequent[self.ids[starts + size - 1]]]
         starts = starts[bitmap.has(self.slots(starts, OPEN, size - 1))]
         first, _, counts = self.named(starts, size)
-        for start, n in zip(first.tolist(), counts.tolist(), strict=True):
-            yield self.phrase(start, size), n
+        yield from zip(self.phrases(first, size), counts.tolist(), strict=True)
 
     def needed(self, size: int, bitmap: Bitmap) -> Iterator[tuple[bytes, int, bytes | None, bytes | None]]:
         """Phrases to count, with the one word that stands before all of them, and the one after; null if there is none."""
@@ -146,60 +147,106 @@ class Slice:
         for beside in (around[starts], around[starts + size + 1]):
             least, most = np.minimum.reduceat(beside[order], groups), np.maximum.reduceat(beside[order], groups)
             near.append(np.where(least == most, least, 0).tolist())
-        for start, n, before, after in zip(first.tolist(), counts.tolist(), *near, strict=True):
-            yield self.phrase(start, size), n, self.vocabulary[before] if before else None, self.vocabulary[after] if after else None
+        for phrase, n, before, after in zip(self.phrases(first, size), counts.tolist(), *near, strict=True):
+            yield phrase, n, self.vocabulary[before] if before else None, self.vocabulary[after] if after else None
 
 
-def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[Slice]:
+def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[bytes]]]:
+    """Words of texts of one language, some `SLICE_BYTES` at a time."""
+    waiting: dict[str, list[bytes]] = {}
+    sizes: dict[str, int] = {}
     for batch in batches:
-        langs = batch.column("lang").dictionary_encode()
-        codes = langs.indices.to_numpy()
-        for code, lang in enumerate(langs.dictionary.to_pylist()):
-            texts = batch.column("text").take(pa.array(np.flatnonzero(codes == code))).cast(pa.binary())
-            held: list[bytes] = []
-            size = 0
-            for text in texts:
-                held.append(text.as_py())
-                size += len(held[-1])
-                if size >= SLICE_BYTES:
-                    yield Slice(lang, split_words(b".".join(held)))
-                    held, size = [], 0
-            if held:
-                yield Slice(lang, split_words(b".".join(held)))
-
-
-def _counted(
-    docs: DataFrame, find: Callable[[Slice], Iterable[tuple[bytes, int]]]
-) -> DataFrame:
-    """Sums of what `find` counts in the slices: lang, phrase, f."""
+        for at in range(0, len(batch), ROWS):
+            part = batch.slice(at, ROWS)
+            texts = part.column("text").cast(pa.binary())
+            for lang, text in zip(part.column("lang").to_pylist(), texts, strict=True):
+                data = text.as_py()
+                waiting.setdefault(lang, []).append(data)
+                sizes[lang] = sizes.get(lang, 0) + len(data)
+                if sizes[lang] >= SLICE_BYTES:
+                    del sizes[lang]
+                    yield lang, split_words(b".".join(waiting.pop(lang)))
+            if sum(sizes.values()) >= WAITING_BYTES:
+                sizes.clear()
+                while waiting:
+                    lang, held = waiting.popitem()
+                    yield lang, split_words(b".".join(held))
+    while waiting:
+        lang, held = waiting.popitem()
+        yield lang, split_words(b".".join(held))
+
+
+def _sums(pairs: Iterable[tuple[str, Iterable[tuple[bytes, int]]]]) -> Iterator[pa.RecordBatch]:
+    """Counts of phrases (lang, phrase, f), added up as far as `HELD` of them go."""
+    held: dict[tuple[str, bytes], int] = {}
+
+    def rows() -> pa.RecordBatch:
+        keys = list(held)
+        columns = [pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.binary()), pa.array(list(held.values()), pa.int64())]
+        return pa.RecordBatch.from_arrays(columns, ["lang", "phrase", "f"])
+
+    for lang, counts in pairs:
+        for phrase, n in counts:
+            key = lang, phrase
+            held[key] = held.get(key, 0) + n
+        if len(held) > HELD:
+            yield rows()
+            held = {}
+    if held:
+        yield rows()
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[tuple[str, bytes], int] = {}
 
-        def rows() -> pa.RecordBatch:
-            keys = list(held)
-            columns = [pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.binary()), pa.array(list(held.values()), pa.int64())]
-            return pa.RecordBatch.from_arrays(columns, ["lang", "phrase", "f"])
+def _word_counts(docs: DataFrame) -> DataFrame:
+    """All words of each language with their counts; the empty word stands for their number."""
 
-        for part in _slices(batches):
-            lang = part.lang
-            for phrase, n in find(part):
-                key = lang, phrase
-                held[key] = held.get(key, 0) + n
-            if len(held) > HELD:
-                yield rows()
-                held = {}
-        if held:
-            yield rows()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def counts() -> Iterator[tuple[str, Iterable[tuple[bytes, int]]]]:
+            for lang, words in _read(batches):
+                found = Counter(words)
+                found.pop(b".", None)
+                found[b""] = sum(found.values())
+                yield lang, found.items()
+
+        return _sums(counts())
 
     return docs.mapInArrow(run, "lang string, phrase binary, f long").groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
 
 
-def _words(part: Slice) -> Iterator[tuple[bytes, int]]:
-    """All words of a slice; the empty one stands for their number."""
-    counts = np.bincount(part.ids, minlength=len(part.vocabulary))
-    yield b"", int(counts[1:].sum())
-    yield from zip(part.vocabulary[1:], counts[1:].tolist(), strict=True)
+def _sliced(docs: DataFrame, words: DataFrame) -> DataFrame:
+    """The corpus as slices of numbered frequent words: lang, vocabulary, ids."""
+    bits = _bitmap(words.select("lang", "phrase", F.lit(FREQUENT).alias("kind")))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for lang, words in _read(batches):
+            number = WordNumbers({b".": 0})
+            ids = np.fromiter(map(number.__getitem__, words), np.int64, len(words))
+            vocabulary = list(number)
+            kept = Bitmap(bits.value).has(_finished(_word_hashes(vocabulary), lang, FREQUENT, 1))
+            kept[0] = True
+            anew = np.where(kept, np.cumsum(kept) - 1, 0).astype("<u4")
+            listed = b" ".join(vocabulary[i] for i in np.flatnonzero(kept).tolist())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([lang], pa.string()), pa.array([listed], pa.binary()), pa.array([anew[ids].tobytes()], pa.binary())],
+                ["lang", "vocabulary", "ids"],
+            )
+
+    return stored(docs.mapInArrow(run, "lang string, vocabulary binary, ids binary"), "phrase-slices")
+
+
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[Slice]:
+    for batch in batches:
+        for i in range(len(batch)):
+            lang, vocabulary, ids = (batch.column(c)[i].as_py() for c in ("lang", "vocabulary", "ids"))
+            yield Slice(lang, vocabulary.split(b" "), np.frombuffer(ids, "<u4").astype(np.int64))
+
+
+def _counted(slices: DataFrame, find: Callable[[Slice], Iterable[tuple[bytes, int]]]) -> DataFrame:
+    """Sums of what `find` counts in the slices: lang, phrase, f."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _sums((part.lang, find(part)) for part in _slices(batches))
+
+    return slices.mapInArrow(run, "lang string, phrase binary, f long").groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
 
 
 def _bitmap(rows: DataFrame) -> Broadcast:
@@ -221,14 +268,13 @@ def _bitmap(rows: DataFrame) -> Broadcast:
     return spark.sparkContext.broadcast(np.array(words, np.int64).view(np.uint64))
 
 
-def _grown(docs: DataFrame, first: DataFrame, words: DataFrame, least: int, longest: int) -> DataFrame:
+def _grown(slices: DataFrame, first: DataFrame, least: int, longest: int) -> DataFrame:
     """Candidates that begin with one of the words `first`, length by length: lang, phrase, f, size."""
     found = None
     frontier = first
     for size in range(2, longest + 1):
-        rows = frontier.select("lang", "phrase", F.lit(OPEN).alias("kind")).union(words.select("lang", "phrase", F.lit(FREQUENT)))
-        bits = _bitmap(rows)
-        counted = _counted(docs, lambda part, size=size, bits=bits: part.growing(size, Bitmap(bits.value)))
+        bits = _bitmap(frontier.select("lang", "phrase", F.lit(OPEN).alias("kind")))
+        counted = _counted(slices, lambda part, size=size, bits=bits: part.growing(size, Bitmap(bits.value)))
         frontier = stored(counted.where(F.col("f") >= least).withColumn("size", F.lit(size)), f"phrases-{size}")
         found = frontier if found is None else found.union(frontier)
         if frontier.isEmpty():
@@ -236,7 +282,7 @@ def _grown(docs: DataFrame, first: DataFrame, words: DataFrame, least: int, long
     return found
 
 
-def _neighboured(docs: DataFrame, needed: DataFrame, longest: int) -> DataFrame:
+def _neighboured(slices: DataFrame, needed: DataFrame, longest: int) -> DataFrame:
     """Counts of the needed phrases, and whether one word always stands before or after: lang, phrase, f, held."""
     bits = _bitmap(needed.select("lang", "phrase", F.lit(NEEDED).alias("kind")))
 
@@ -268,7 +314,7 @@ def _neighboured(docs: DataFrame, needed: DataFrame, longest: int) -> DataFrame:
     def one(name: str) -> Column:
         return (F.count(name) == F.count(F.lit(1))) & (F.min(name) == F.max(name))
 
-    counted = docs.mapInArrow(run, "lang string, phrase binary, f long, before binary, after binary")
+    counted = slices.mapInArrow(run, "lang string, phrase binary, f long, before binary, after binary")
     return counted.groupBy("lang", "phrase").agg(F.sum("f").alias("f"), (one("before") | one("after")).alias("held"))
 
 
@@ -294,11 +340,11 @@ def _cuts(candidates: DataFrame) -> DataFrame:
     return cut.withColumns({"left": _part(1, F.col("cut")), "right": _part(F.col("cut") + 1, F.col("size") - F.col("cut"))})
 
 
-def _scored(docs: DataFrame, candidates: DataFrame, words: DataFrame, totals: DataFrame, longest: int) -> DataFrame:
+def _scored(slices: DataFrame, candidates: DataFrame, words: DataFrame, totals: DataFrame, longest: int) -> DataFrame:
     """Candidates that no longer one replaces, with l, r, n and the score of their lowest cut."""
     cuts = stored(_cuts(candidates), "phrase-cuts")
     parts = cuts.select("lang", F.col("right").alias("phrase")).union(candidates.where(F.col("size") < longest).select("lang", "phrase"))
-    counts = stored(_neighboured(docs, parts.distinct(), longest), "phrase-counts")
+    counts = stored(_neighboured(slices, parts.distinct(), longest), "phrase-counts")
     known = words.select("lang", "phrase", "f").union(counts.select("lang", "phrase", "f"))
     left, right = (known.select("lang", F.col("phrase").alias(side), F.col("f").alias(n)) for side, n in (("left", "l"), ("right", "r")))
     exact = {c: F.col(c).cast("decimal(38,0)") for c in ("a", "l", "r", "n")}
@@ -346,11 +392,12 @@ def phrases(
         raise ValueError("a phrase has two words and stands somewhere")
     plain = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit(UNKNOWN)).alias("lang"), text_or_empty(text).alias("text"))
     is_total = F.col("phrase") == F.lit(b"")
-    counts = stored(_counted(plain, _words).where(is_total | (F.col("f") >= least)), "phrase-words")
+    counts = stored(_word_counts(plain).where(is_total | (F.col("f") >= least)), "phrase-words")
     totals = counts.where(is_total).select("lang", F.col("f").alias("n"))
     words = stored(_first_words(counts.where(~is_total)), "phrase-first-words")
-    early = _grown(plain, words.where("early"), words, least, longest)
-    some = stored(_ranked(_scored(plain, early, words, totals, longest), top), "phrases-early")
+    slices = _sliced(plain, words)
+    early = _grown(slices, words.where("early"), least, longest)
+    some = stored(_ranked(_scored(slices, early, words, totals, longest), top), "phrases-early")
     limits = some.where(F.col("rank") == top).select("lang", F.col("score").alias("limit"))
     bound = F.call_function("div", F.lit(1000).cast("decimal(38,0)") * F.col("n").cast("decimal(38,0)"), F.col("f").cast("decimal(38,0)"))
     late = (
@@ -363,7 +410,7 @@ def phrases(
     late = stored(late, "phrase-late-words")
     if late.isEmpty():
         return _named(some)
-    rest = _scored(plain, _grown(plain, late, words, least, longest), words, totals, longest)
+    rest = _scored(slices, _grown(slices, late, least, longest), words, totals, longest)
     every = some.drop("rank").unionByName(rest).dropDuplicates(["lang", "phrase"])
     return _named(_ranked(every, top))
 
