@@ -40,7 +40,7 @@ from pyspark.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from mapflow.llm.common import FILTER_BITS, WordNumbers, hash_bitmap, stored, text_or_empty
+from mapflow.llm.common import FILTER_BITS, WordNumbers, stored, text_or_empty
 
 LEAST = 100
 LONGEST = 5
@@ -49,7 +49,7 @@ TOP = 2000
 FIRST_SHARE = 1 / 8
 #: Bytes of text that are taken together, and phrases that a task counts before it hands them on.
 SLICE_BYTES = 2_000_000
-HELD = 100_000
+HELD = 50_000
 #: Bytes of text that wait in a task for their slices to fill, and rows that are read at a time.
 WAITING_BYTES = 4 * SLICE_BYTES
 ROWS = 500
@@ -263,9 +263,14 @@ def _bitmap(rows: DataFrame) -> Broadcast:
         return pa.array(np.array(out, np.uint64).view(np.int64))
 
     spark = rows.sparkSession
-    keys = rows.select(F.arrow_udf(hashed, "long")("lang", "phrase", "kind").alias("hash"))
-    words = spark.range(1).select(hash_bitmap(keys).alias("bits")).first()[0]
-    return spark.sparkContext.broadcast(np.array(words, np.int64).view(np.uint64))
+    slot = F.shiftrightunsigned(F.arrow_udf(hashed, "long")("lang", "phrase", "kind"), 64 - FILTER_BITS)
+    words = rows.select(slot.alias("slot")).groupBy(F.shiftright("slot", 6).alias("word")).agg(
+        F.expr("bit_or(shiftleft(1L, int(slot % 64)))").alias("bits")
+    )
+    filled = words.toArrow()
+    bits = np.zeros(1 << (FILTER_BITS - 6), np.int64)
+    bits[filled["word"].to_numpy()] = filled["bits"].to_numpy()
+    return spark.sparkContext.broadcast(bits.view(np.uint64))
 
 
 def _grown(slices: DataFrame, first: DataFrame, least: int, longest: int) -> DataFrame:
