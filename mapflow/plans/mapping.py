@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 
 from mapflow.operators.aggregates import pivot_values
 from mapflow.operators.joins import cross_bounded
-from mapflow.operators.rules import join_wildcard_rules, split_conditions
+from mapflow.operators.conditions import analyse
+from mapflow.operators.rules import attach_best_rule, join_rules
 from mapflow.sources.tables import Tables, read_source
 
 
@@ -85,8 +86,8 @@ def join_frames(
     A cross join with conditions is an inner join, so that equalities are join keys. One
     without is meant for a small right side; ``all_pairs`` allows any.
 
-    Rule tables tested by ``rule = fact or rule = '*'`` are matched by equality
-    per wildcard mask instead of a nested loop.
+    Conditions with alternatives, as rule tables have them (``rule = fact or rule = '*'``), are
+    matched by equality, whatever their spelling and the kind of join.
     """
     left = flow.frame(left_source) if left_source else flow.current
     right = flow.frame(right_source)
@@ -95,12 +96,30 @@ def join_frames(
         if not conditions:
             return cross_bounded(left, right, all_pairs=all_pairs)
         how = "inner"
-    wild, exact, rest = split_conditions(conditions, right_source)
-    if wild and how in ("left", "leftouter", "left_outer", "inner"):
-        return join_wildcard_rules(left, right, wild, how, rest, right_source, exact)
+    if any(re.search(r"\b(or|in)\b", c, re.IGNORECASE) for c in conditions):
+        taken, rest = analyse(conditions, left, right)
+        if any(c.has_choice for c in taken):
+            return join_rules(left, right, taken, how, rest, right_source)
     return left.join(right, [F.expr(c) for c in conditions], how)
 
 
+def best_rule(
+    flow: Flow,
+    right_source: str,
+    condition: Sequence[str],
+    order: str,
+    column_mapping: Mapping[str, str],
+    left_source: str | None = None,
+) -> DataFrame:
+    """Columns of the matching rule with the lowest ``order``; null where no rule matches.
+
+    ``column_mapping`` maps new names to columns of the rules. Rows are not multiplied.
+    """
+    left = flow.frame(left_source) if left_source else flow.current
+    conditions = [condition] if isinstance(condition, str) else list(condition)
+    return attach_best_rule(left, flow.frame(right_source), conditions, order, column_mapping, right_source)
+
+
 def add_variables(flow: Flow, column_mapping: Mapping[str, str]) -> DataFrame:
     """Derived columns; each may use the ones before it.
 
@@ -194,6 +213,7 @@ def filter_rows(
 
 STEPS: dict[str, Callable[..., DataFrame]] = {
     "join": join_frames,
+    "best_rule": best_rule,
     "add_variables": add_variables,
     "aggregation": aggregate,
     "pivot": pivot,

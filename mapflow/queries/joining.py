@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -267,7 +269,7 @@ PART_RULES_SQL = f"""(SELECT brand, type, priority, flag, min(p_partkey) AS rule
         LEFT JOIN {PART_RULES_SQL} ON {RULE_MATCH_SQL} AND l_quantity >= min_quantity GROUP BY 1""",
 )
 def join_wildcard_rules_query(spark: SparkSession, t: Tables) -> DataFrame:
-    """Hundreds of rules, matched by mask."""
+    """Hundreds of rules, matched by walking their tree."""
     return run_mapping(frame_tables({"rules": part_rules(t)}, t), rule_mapping("R.rule_id", -1))
 
 
@@ -552,6 +554,111 @@ def lookup_fallback(spark: SparkSession, t: Tables) -> DataFrame:
     )
 
 
+# Parts as facts with two candidates for a priority; conditions in several spellings.
+RULE_FACTS = """SELECT p_partkey, p_brand, p_type, p_size,
+                       CASE p_size % 5 WHEN 0 THEN '1-URGENT' WHEN 1 THEN '5-LOW' ELSE '2-HIGH' END AS first_priority,
+                       CASE p_size % 7 WHEN 0 THEN '1-URGENT' WHEN 1 THEN '5-LOW' END AS second_priority FROM part"""
+RULE_SPELLINGS = [
+    "R.brand in (P.p_brand, '*')",
+    "'*' = R.type or upper(P.p_type) = upper(R.type)",
+    "R.priority = P.first_priority or R.priority = P.second_priority or R.priority = '*'",
+    "(R.flag = 'R' and R.min_quantity = P.p_size) or (R.flag = '*' and P.p_size % 3 = 0)",
+]
+RULE_KINDS = {"inner": "JOIN", "left": "LEFT JOIN", "right": "RIGHT JOIN", "full": "FULL JOIN", "left_semi": "SEMI JOIN", "left_anti": "ANTI JOIN"}
+
+
+def rule_kind_sql(kind: str, join: str) -> str:
+    rule = "0" if kind in ("left_semi", "left_anti") else "coalesce(R.rule_id, 0)"
+    return f"""SELECT '{kind}' AS kind, count(*) AS n, cast(sum(coalesce(P.p_partkey, 0)) AS bigint) AS parts, cast(sum({rule}) AS bigint) AS rules
+               FROM ({RULE_FACTS}) AS P {join} {PART_RULES_SQL.removesuffix(' rules')} AS R ON {' AND '.join(f'({c})' for c in RULE_SPELLINGS)}"""
+
+
+@query("join_rule_kinds", " UNION ALL ".join(rule_kind_sql(k, j) for k, j in RULE_KINDS.items()))
+def join_rule_kinds(spark: SparkSession, t: Tables) -> DataFrame:
+    """Every kind of join between parts and hundreds of rules, by conditions in several spellings."""
+    facts = t("part").selectExpr(
+        "p_partkey", "p_brand", "p_type", "p_size",
+        "case p_size % 5 when 0 then '1-URGENT' when 1 then '5-LOW' else '2-HIGH' end AS first_priority",
+        "case p_size % 7 when 0 then '1-URGENT' when 1 then '5-LOW' end AS second_priority",
+    )
+    tables = frame_tables({"rules": part_rules(t), "facts": facts})
+    found = []
+    for kind in RULE_KINDS:
+        rule = "0" if kind in ("left_semi", "left_anti") else "coalesce(R.rule_id, 0)"
+        mapping = {
+            "sources": [{"alias": "P", "source": "facts"}, {"alias": "R", "source": "rules"}],
+            "transformations": [
+                {"join": {"right_source": "R", "how": kind, "condition": RULE_SPELLINGS}},
+                {"aggregation": {"alias": "A", "group": [f"'{kind}'"], "column_mapping": {
+                    "n": "count(*)", "parts": "cast(sum(coalesce(P.p_partkey, 0)) as bigint)", "rules": f"cast(sum({rule}) as bigint)"}}},
+            ],
+            "expressions": {"kind": f"'{kind}'", "n": "A.n", "parts": "A.parts", "rules": "A.rules"},
+        }
+        found.append(run_mapping(tables, mapping))
+    return reduce(DataFrame.unionByName, found)
+
+
+RULE_LEVEL_MATCH = """(brand = p_brand OR brand = '*') AND (upper(type) = upper(p_type) OR type = '*')
+         AND (priority = o_orderpriority OR priority = o_shippriority OR priority = '*') AND (flag = l_returnflag OR flag = l_linestatus OR flag = '*')"""
+
+
+@query(
+    "mapping_rule_levels",
+    f"""WITH lines AS (
+          SELECT l_orderkey, l_linenumber, o_custkey, p_brand, p_type, o_orderpriority, cast(o_custkey % 9 AS varchar) AS o_shippriority, l_returnflag, l_linestatus
+          FROM lineitem JOIN part ON l_partkey = p_partkey JOIN orders ON l_orderkey = o_orderkey),
+        cases AS (SELECT DISTINCT p_brand, p_type, o_orderpriority, o_shippriority, l_returnflag, l_linestatus FROM lines),
+        found AS (SELECT cases.*, min(rule_id) AS item_rule, arg_min(min_quantity, rule_id) AS item_quantity, arg_min(brand, rule_id) AS item_brand
+                  FROM cases LEFT JOIN {PART_RULES_SQL} ON {RULE_LEVEL_MATCH} GROUP BY ALL),
+        items AS (SELECT * FROM lines JOIN found USING (p_brand, p_type, o_orderpriority, o_shippriority, l_returnflag, l_linestatus)),
+        parties AS (SELECT o_custkey AS party, min(item_rule) AS party_rule, arg_min(item_quantity, item_rule) AS party_quantity,
+                           arg_min(item_brand, item_rule) AS party_brand FROM items GROUP BY 1)
+        SELECT DISTINCT l_orderkey, l_linenumber, least(item_rule, party_rule) AS rule_id, item_rule,
+               CASE WHEN party_rule <= item_rule THEN party_quantity ELSE item_quantity END AS quantity,
+               CASE WHEN CASE WHEN party_rule <= item_rule THEN party_brand ELSE item_brand END = '*' THEN 'any brand' ELSE 'one brand' END AS scope
+        FROM items JOIN parties ON o_custkey = party WHERE item_rule IS NOT NULL AND least(item_rule, party_rule) < item_rule""",
+)
+def mapping_rule_levels(spark: SparkSession, t: Tables) -> DataFrame:
+    """The lowest rule of each line and of each party, and the attributes of the lower one where the party's wins."""
+    return run_mapping(
+        frame_tables({"rules": part_rules(t)}, t),
+        {
+            "sources": [
+                {"alias": "L", "source": "lineitem", "columns": ["l_orderkey", "l_linenumber", "l_partkey", "l_returnflag", "l_linestatus"]},
+                {"alias": "P", "source": "part", "columns": ["p_partkey", "p_brand", "p_type"]},
+                {"alias": "O", "source": "orders", "columns": ["o_orderkey", "o_orderpriority", "o_custkey"]},
+                {"alias": "R", "source": "rules"},
+            ],
+            "transformations": [
+                {"join": {"right_source": "P", "how": "inner", "condition": ["L.l_partkey = P.p_partkey"]}},
+                {"join": {"right_source": "O", "how": "inner", "condition": ["L.l_orderkey = O.o_orderkey"]}},
+                {"best_rule": {"alias": "I", "right_source": "R", "order": "rule_id", "condition": [
+                    "R.brand in (P.p_brand, '*')",
+                    "upper(R.type) = upper(P.p_type) or R.type = '*'",
+                    "R.priority = O.o_orderpriority or R.priority = cast(O.o_custkey % 9 as string) or R.priority = '*'",
+                    "L.l_returnflag = R.flag or L.l_linestatus = R.flag or R.flag = '*'",
+                ], "column_mapping": {"item_rule": "rule_id", "item_quantity": "min_quantity", "item_brand": "brand"}}},
+                {"aggregation": {"alias": "Y", "group": ["I.o_custkey"], "column_mapping": {
+                    "party_rule": "min(I.item_rule)", "party_quantity": "min_by(I.item_quantity, I.item_rule)",
+                    "party_brand": "min_by(I.item_brand, I.item_rule)"}}},
+                {"join": {"left_source": "I", "right_source": "Y", "how": "inner", "condition": ["I.o_custkey = Y.o_custkey"]}},
+                {"add_variables": {"column_mapping": {
+                    "var_brand": "case when Y.party_rule <= I.item_rule then Y.party_brand else I.item_brand end"}}},
+            ],
+            "expressions": {
+                "l_orderkey": "I.l_orderkey",
+                "l_linenumber": "I.l_linenumber",
+                "item_rule": "I.item_rule",
+                "rule_id": "least(I.item_rule, Y.party_rule)",
+                "quantity": "case when Y.party_rule <= I.item_rule then Y.party_quantity else I.item_quantity end",
+                "scope": "case when var_brand = '*' then 'any brand' else 'one brand' end",
+            },
+            "filter_target": ["item_rule is not null", "rule_id < item_rule"],
+            "drop_duplicates": True,
+        },
+    )
+
+
 @query(
     "mapping_rule_assignment",
     f"""WITH facts AS (

@@ -10,9 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mapflow.operators.joins import key_presence
-from mapflow.operators.rules import explain_rules
+from mapflow.operators.rules import explain_rules, nearest_rules
 from mapflow.plans import recon
-from mapflow.queries.joining import RULE_COLUMNS, RULES, RULES_SQL
+from mapflow.queries.joining import PART_RULES_SQL, RULE_COLUMNS, RULES, RULES_SQL, part_rules
 from mapflow.queries.registry import query
 from mapflow.sources.tables import Tables, local_rows
 
@@ -142,6 +142,30 @@ def recon_rule_diagnosis(spark: SparkSession, t: Tables) -> DataFrame:
     return told.drop("p_brand", "p_type", "p_priority", "p_flag")
 
 
+NEAREST = ("brand", "p_brand"), ("type", "p_type"), ("priority", "p_priority"), ("flag", "p_flag")
+
+
+@query(
+    "recon_rule_nearest",
+    f"""WITH told AS (
+          SELECT p_partkey, rule_id, {' + '.join(f"coalesce(({r} = {f} OR {r} = '*')::int, 0) * {1 << i}" for i, (r, f) in enumerate(NEAREST))} AS met
+          FROM (SELECT p_partkey, p_brand, p_type, CASE p_size % 5 WHEN 0 THEN '1-URGENT' WHEN 1 THEN '5-LOW' ELSE '2-HIGH' END AS p_priority,
+                       CASE WHEN p_size % 3 = 0 THEN 'R' ELSE 'N' END AS p_flag FROM part) CROSS JOIN {PART_RULES_SQL})
+        SELECT p_partkey, rule_id, cast(met AS bigint) AS met, cast(bit_count(met) AS int) AS n_met, cast(place AS int) AS place
+        FROM (SELECT *, row_number() OVER (PARTITION BY p_partkey ORDER BY bit_count(met) DESC, rule_id) AS place FROM told) WHERE place <= 3""",
+)
+def recon_rule_nearest(spark: SparkSession, t: Tables) -> DataFrame:
+    """The three rules each part comes nearest to, and which conditions it meets there."""
+    facts = t("part").selectExpr(
+        "p_partkey", "p_brand", "p_type",
+        "case p_size % 5 when 0 then '1-URGENT' when 1 then '5-LOW' else '2-HIGH' end AS p_priority",
+        "if(p_size % 3 = 0, 'R', 'N') AS p_flag",
+    )
+    nearest = nearest_rules(facts, part_rules(t), dict(NEAREST), "rule_id", 3)
+    offers = [F.col(f).eqNullSafe(F.col(n)) for (_, f), n in zip(NEAREST, nearest.columns, strict=False)]
+    return facts.join(nearest, offers).select("p_partkey", "rule_id", "met", "n_met", "place")
+
+
 @query(
     "recon_duplicate_keys",
     """SELECT l_orderkey, l_linenumber, count(*) AS n_rows, count(DISTINCT l_partkey) AS distinct_l_partkey,

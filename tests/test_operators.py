@@ -13,7 +13,6 @@ from mapflow.operators import joins, windows
 from mapflow.operators.aggregates import last_valid_value, pivot_values
 from mapflow.operators.hierarchy import roll_up
 from mapflow.operators.links import propagate_over_links
-from mapflow.operators.rules import attach_best_rule, join_wildcard_rules, split_conditions
 
 
 def hot_rows(n=600, seed=1):
@@ -92,74 +91,6 @@ def test_keep_extreme_keeps_ties(frame, largest):
     assert {r["id"] for r in got.collect()} == {r[0] for r in data if r[2] == best[r[1]]}
 
 
-VALUES = ["a", "b", "c", None, "*"]
-
-
-def rule_case(seed, n_rules):
-    pick = random.Random(seed)
-    facts = [(i, pick.choice(VALUES), pick.choice(VALUES), pick.randrange(3)) for i in range(80)]
-    rules = [
-        (i, pick.choice(["a", "b", "*", None]), pick.choice(["a", "c", "*"]), pick.choice(["0", "01", "x", "*"]), pick.randrange(60))
-        for i in range(n_rules)
-    ]
-    matches = [
-        (f, r)
-        for f in facts
-        for r in rules
-        if all(r[j] == "*" or (None not in (r[j], f[j]) and r[j].lstrip("0") == str(f[j]).lstrip("0")) for j in (1, 2, 3))
-    ]
-    return facts, rules, matches
-
-
-WILD = {"x": "F.p", "y": "F.q", "z": "F.s"}
-
-
-@pytest.mark.parametrize("seed", [1, 2])
-@pytest.mark.parametrize("how", ["inner", "left"])
-@pytest.mark.parametrize("loop", [0, 64])
-def test_wildcard_join(frame, seed, how, loop):
-    facts, rules, matches = rule_case(seed, 25)
-    left = frame(facts, "id int, p string, q string, s int").alias("F")
-    right = frame(rules, "rule int, x string, y string, z string, lowest int")
-    got = join_wildcard_rules(left, right, WILD, how, ["F.id >= R.lowest"], "R", max_loop_rules=loop)
-    expected = [(f[0], r[0]) for f, r in matches if f[0] >= r[4]]
-    if how == "left":
-        expected += [(f[0], None) for f in facts if f[0] not in {e[0] for e in expected}]
-    assert sorted(map(str, rows(got.select("F.id", "R.rule")))) == sorted(map(str, expected))
-    assert len(got.columns) == 9
-
-
-@pytest.mark.parametrize("loop", [0, 64])
-@pytest.mark.parametrize("kind", ["int", "bigint"])
-def test_wildcard_join_with_exact_column(frame, loop, kind):
-    """An equality next to the wildcards, in one type or in two."""
-    facts, rules, matches = rule_case(4, 25)
-    left = frame(facts, "id int, p string, q string, s int").alias("F")
-    right = frame(rules, f"rule int, x string, y string, z string, lowest {kind}")
-    got = join_wildcard_rules(left, right, WILD, "left", [], "R", {"lowest": "F.id"}, loop)
-    expected = [(f[0], r[0]) for f, r in matches if f[0] == r[4]]
-    expected += [(f[0], None) for f in facts if f[0] not in {e[0] for e in expected}]
-    assert sorted(map(str, rows(got.select("F.id", "R.rule")))) == sorted(map(str, expected))
-    assert len(got.columns) == 9
-
-
-@pytest.mark.parametrize("n_rules", [0, 1, 25])
-@pytest.mark.parametrize("loop", [0, 64])
-def test_best_rule(frame, n_rules, loop):
-    facts, rules, matches = rule_case(3, n_rules)
-    left = frame(facts, "id int, p string, q string, s int").alias("F")
-    right = frame(rules, "rule int, x string, y string, z string, lowest int")
-    outputs = {"best": "rule", "best_lowest": "lowest"}
-    got = attach_best_rule(left, right, WILD, "rule", outputs, max_loop_rules=loop)
-    best = {f[0]: None for f in facts}
-    for f, r in matches:
-        best[f[0]] = r[0] if best[f[0]] is None else min(best[f[0]], r[0])
-    lowest = {r[0]: r[4] for r in rules}
-    assert {r["id"]: (r["best"], r["best_lowest"]) for r in got.collect()} == {
-        k: (v, lowest.get(v)) for k, v in best.items()
-    }
-
-
 def test_discovered_pivot_is_bounded(spark):
     spark.conf.set("spark.sql.pivotMaxValues", 5)
     try:
@@ -170,32 +101,6 @@ def test_discovered_pivot_is_bounded(spark):
         spark.conf.unset("spark.sql.pivotMaxValues")
 
 
-@pytest.mark.parametrize("loop", [0, 64])
-def test_rules_of_one_order_value_have_one_order(frame, loop):
-    facts = frame([(1, "a")], "id int, p string").alias("F")
-    rules = frame([(5, "*", "late"), (5, "a", "early"), (5, "*", "first"), (5, None, "none")], "place int, x string, name string")
-    got = attach_best_rule(facts, rules, {"x": "F.p"}, "place", {"best": "name"}, max_loop_rules=loop)
-    assert [r["best"] for r in got.collect()] == ["first"]
-
-
-def test_only_plain_wildcard_conditions_are_taken_apart():
-    conditions = [
-        "R.a = F.x or R.a = '*'",
-        "R.b = F.y OR\n R.b = '*'",
-        "R.c = F.x or R.c = F.y or R.c = '*'",
-        "F.k = R.k",
-        "R.d = upper(F.x) or R.d = '*'",
-        "R.e = R.f or R.e = '*'",
-        "R.g = F.z",
-        "R.h = R.i",
-        "R.g = F.y",
-    ]
-    wild, exact, rest = split_conditions(conditions, "R")
-    assert wild == {"a": "F.x", "b": "F.y"}
-    assert exact == {"k": "F.k", "g": "F.z"}
-    assert rest == [conditions[i] for i in (2, 4, 5, 7, 8)]
-
-
 def test_join_contains(frame):
     pick = random.Random(5)
     word = lambda n: "".join(pick.choice("ab") for _ in range(n))
