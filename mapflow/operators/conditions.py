@@ -30,6 +30,9 @@ _LEXEME = re.compile(
     r"--[^\n]*|\s+|'(?:[^'\\]|\\.|'')*'|\"(?:[^\"\\]|\\.)*\"|`[^`]*`(?:\.`[^`]*`)*|[\w.]+|<=>|<>|!=|<=|>=|==|\|\||.", re.DOTALL
 )
 _COMPARE = {"=", "==", "<=>", "<>", "!=", "<", ">", "<=", ">=", "not", "like", "rlike", "ilike", "in", "is", "between", "exists"}
+#: Words beside qualified names that are no columns.
+_WORDS = {"case", "when", "then", "else", "end", "and", "or", "not", "is", "null", "true", "false", "in", "as", "cast", "string", "int", "upper",
+          "lower", "trim", "ltrim", "rtrim", "coalesce", "substr", "substring", "concat", "nvl", "left", "right", "like"}
 _TEXT = re.compile(r"'((?:[^'\\])*)'")
 
 Lexemes = list[str]
@@ -148,15 +151,27 @@ class Condition:
 class _Sides:
     """Which of two frames an expression can be computed from."""
 
-    def __init__(self, facts: DataFrame, rules: DataFrame):
+    def __init__(self, facts: DataFrame, rules: DataFrame, rule_alias: str | None):
+        self.rule_alias = rule_alias.lower() if rule_alias else None
         # What can be computed from no column at all is a constant.
         self.frames = {"fact": facts, "rule": rules, "none": facts.select()}
         self.known: dict[str, tuple[str, dict[str, T.DataType]]] = {}
 
+    def _possible(self, text: str) -> list[tuple[str, DataFrame]]:
+        """Frames to try; only one where every name says by its qualifier whose it is."""
+        names = {x.lower() for x in _lexemes(text) if re.match(r"[a-z_`]", x, re.IGNORECASE)}
+        qualified = {n for n in names if "." in n}
+        if self.rule_alias and qualified and names - qualified <= _WORDS:
+            of_rules = {n.replace("`", "").startswith(f"{self.rule_alias}.") for n in qualified}
+            if len(of_rules) == 1:
+                side = "rule" if of_rules.pop() else "fact"
+                return [(side, self.frames[side])]
+        return list(self.frames.items())
+
     def of(self, text: str) -> tuple[str, dict[str, T.DataType]]:
         if text not in self.known:
             types = {}
-            for side, df in self.frames.items():
+            for side, df in self._possible(text):
                 try:
                     types[side] = df.select(F.expr(text).alias("x")).schema["x"].dataType
                 except AnalysisException:
@@ -201,12 +216,15 @@ def _grouped(text: str, sides: _Sides) -> Condition | None:
     return Condition(text, listed) if any(g.keys or not g.free for g in listed) else None
 
 
-def analyse(conditions: Sequence[str], facts: DataFrame, rules: DataFrame) -> tuple[list[Condition], list[str]]:
+def analyse(
+    conditions: Sequence[str], facts: DataFrame, rules: DataFrame, rule_alias: str | None = None
+) -> tuple[list[Condition], list[str]]:
     """Conditions that can be met by tokens, and the rest as written.
 
-    Both frames must resolve the names as they are qualified in the conditions.
+    Both frames must resolve the names as they are qualified in the conditions. What is known
+    as ``rule_alias`` belongs to the rules alone, which spares most of the analyzer's trials.
     """
-    sides = _Sides(facts, rules)
+    sides = _Sides(facts, rules, rule_alias)
     taken, rest = [], []
     for text in [c for condition in conditions for c in conjuncts(condition)]:
         condition = _grouped(text, sides)

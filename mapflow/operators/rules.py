@@ -169,7 +169,7 @@ def _conditions(facts: DataFrame, rules: DataFrame, wild: Mapping[str, str] | Se
     """Conditions of ``{rule column: fact expression}``, or of texts that must all be taken apart."""
     if isinstance(wild, Mapping):
         wild = [f"{alias}.`{rule}` = ({fact}) or {alias}.`{rule}` = '{WILDCARD}'" for rule, fact in wild.items()]
-    taken, rest = C.analyse(wild, facts, rules.alias(alias))
+    taken, rest = C.analyse(wild, facts, rules.alias(alias), alias)
     if rest:
         raise ValueError(f"not conditions between a rule and a fact: {rest}")
     return taken

@@ -97,7 +97,7 @@ def join_frames(
             return cross_bounded(left, right, all_pairs=all_pairs)
         how = "inner"
     if any(re.search(r"\b(or|in)\b", c, re.IGNORECASE) for c in conditions):
-        taken, rest = analyse(conditions, left, right)
+        taken, rest = analyse(conditions, left, right, right_source)
         if any(c.has_choice for c in taken):
             return join_rules(left, right, taken, how, rest, right_source)
     return left.join(right, [F.expr(c) for c in conditions], how)
