@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 # A side may be broadcast without keys only up to this many rows.
 MAX_CROSS_ROWS = 10_000
 
+# Characters of the stretches by which texts and parts meet.
+GRAM = 3
+
 
 class CrossJoinError(ValueError):
     """A cross join of two large sides that nobody asked for in so many words."""
@@ -49,36 +52,36 @@ def with_lookup_max(
     return df.join(summary, key == F.col("_lookup"), "left").drop("_lookup")
 
 
+def grams_of(df: DataFrame, text: str, size: int) -> DataFrame:
+    """``text, _gram``: each text with its distinct stretches of ``size`` characters."""
+    starts = F.sequence(F.lit(1), F.length(text) - size + 1)
+    pieces = F.transform(starts, lambda i: F.substring(F.col(text), i, F.lit(size)))
+    return df.where(F.length(text) >= size).select(text, F.explode(F.array_distinct(pieces)).alias("_gram"))
+
+
 def join_contains(
     texts: DataFrame, text: str, parts: DataFrame, part: str, kind: str = "match_kind"
 ) -> DataFrame:
     """Pairs in which ``text`` contains ``part``, tagged ``EXACT`` or ``CONTAINS``.
 
-    Instead of testing all pairs, every distinct text is cut into its distinct
-    substrings of the lengths that occur among the parts, and these meet the
-    distinct parts by equality. Each surviving pair is a result, so the work
-    grows with text lengths and the result, not with the product of both sides.
-    Meant for names and codes.
+    Instead of testing all pairs, distinct texts and parts are indexed by their stretches of
+    ``GRAM`` characters (fewer if a part is shorter). A part meets the texts that hold the one
+    of its stretches which the fewest texts hold, and those are tested. A text emits no more
+    rows than it has characters, whatever the lengths of the parts. Every text contains an
+    empty part.
     """
     needles = parts.select(F.col(part).alias("_part")).where("_part is not null").distinct()
-    # One number per length, at most the longest part.
-    lengths = [r[0] for r in needles.select(F.length("_part")).distinct().collect()]
     haystack = texts.select(F.col(text).alias("_text")).where("_text is not null").distinct()
-    if not lengths:
-        lengths = [0]
-    cuts = haystack.select(
-        "_text", F.explode(F.array(*[F.lit(n) for n in sorted(lengths)])).alias("_n")
-    ).where(F.length("_text") >= F.col("_n"))
-    starts = F.sequence(F.lit(1), F.length("_text") - F.col("_n") + 1)
-    pieces = cuts.select(
-        "_text",
-        F.explode(
-            F.array_distinct(
-                F.transform(starts, lambda i: F.substring(F.col("_text"), i, F.col("_n")))
-            )
-        ).alias("_piece"),
-    )
-    pairs = pieces.join(needles, F.col("_piece") == F.col("_part")).select("_text", "_part")
+    shortest = needles.agg(F.min(F.nullif(F.length("_part"), F.lit(0)))).first()[0]
+    held = grams_of(haystack, "_text", min(GRAM, shortest or GRAM))
+    asked = grams_of(needles, "_part", min(GRAM, shortest or GRAM))
+    times = held.join(asked.select("_gram").distinct(), "_gram", "left_semi").groupBy("_gram").agg(F.count(F.lit(1)).alias("_n"))
+    # A stretch that no text holds has no count: its part is in no text.
+    weighed = asked.join(times, "_gram", "left").withColumn("_n", F.coalesce("_n", F.lit(0)))
+    rarest = weighed.groupBy("_part").agg(F.min(F.struct("_n", "_gram")).alias("_rarest")).where("_rarest._n > 0")
+    met = held.join(rarest.select("_part", F.col("_rarest._gram").alias("_gram")), "_gram")
+    empty = haystack.join(F.broadcast(needles.where("_part = ''").limit(1)), F.length("_text") >= F.length("_part"))
+    pairs = met.where(F.contains("_text", F.col("_part"))).select("_text", "_part").unionByName(empty)
     tagged = pairs.withColumn(
         kind, F.when(F.col("_text") == F.col("_part"), "EXACT").otherwise("CONTAINS")
     )

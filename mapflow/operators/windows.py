@@ -14,9 +14,6 @@ from pyspark.sql import functions as F
 
 from mapflow.session import durable
 
-# A group up to this many rows may be numbered by one task.
-MAX_GROUP_ROWS = 1_000_000
-
 # monotonically_increasing_id() keeps the partition number above these bits.
 _ROW_BITS = 33
 
@@ -80,34 +77,25 @@ def keep_extreme(
     )
 
 
-def number_rows(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[Column],
-    name: str,
-    max_group_rows: int = MAX_GROUP_ROWS,
-) -> DataFrame:
+def number_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column], name: str) -> DataFrame:
     """``row_number() over (partition by keys order by order)`` kept for every row.
 
-    Groups are measured first. While every group fits one task the plain window
-    is used; otherwise the rows are numbered across range partitions.
+    Rows equal in ``order`` follow each other by a hash of all their columns, so the numbers are
+    the same whatever the number of rows, tasks or partitions.
     """
-    largest = (
-        df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("n")).first()["n"]
-    )
-    if (largest or 0) <= max_group_rows:
-        return df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
-    return _number_across_partitions(df, keys, order, name)
+    running = running_totals(df, keys, order, F.lit(1), name)
+    return running.withColumn(name, F.col(name).cast("int"))
 
 
-def _number_across_partitions(
-    df: DataFrame, keys: Sequence[str], order: Sequence[Column], name: str
+def running_totals(
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column], weight: Column, name: str
 ) -> DataFrame:
-    """Row numbers from a range partitioning by (keys, order).
+    """``sum(weight)`` (a whole number) of each row and those before it among the rows of its key.
 
-    Each partition holds one run of consecutive rows per key. A row's number is
-    its place in the run plus the lengths of the key's runs in earlier partitions.
-    The checkpoint fixes the partitioning, which both uses below rely on.
+    Rows are range-partitioned by (keys, order), so a hot key spreads over many tasks. Each
+    partition holds one run of consecutive rows per key; a row's total is that within its run
+    plus the totals of the key's runs in earlier partitions. The checkpoint fixes the
+    partitioning, which both uses below rely on.
     """
     key_cols = [F.col(k) for k in keys]
     # The hash last: rows equal in all the rest can then be cut apart too.
@@ -117,9 +105,10 @@ def _number_across_partitions(
         .sortWithinPartitions(*sort)
         .withColumn("_place", F.monotonically_increasing_id())
         .withColumn("_part", F.shiftright("_place", _ROW_BITS))
+        .withColumn("_weight", weight.cast("bigint"))
     )
     run = ["_part", *keys]
-    lengths = placed.groupBy(*run).agg(F.count(F.lit(1)).alias("_length"))
+    lengths = placed.groupBy(*run).agg(F.sum("_weight").alias("_length"))
     # At most one run per key and partition: this window is bounded by the
     # number of partitions.
     earlier = Window.partitionBy(*keys).orderBy("_part").rowsBetween(
@@ -138,12 +127,32 @@ def _number_across_partitions(
     )
     on = [F.col("_part") == F.col("_offset_part")]
     on += [F.col(k).eqNullSafe(F.col(f"_key{i}")) for i, k in enumerate(keys)]
-    place_in_run = F.row_number().over(Window.partitionBy(*run).orderBy("_place"))
+    so_far = Window.partitionBy(*run).orderBy("_place").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return (
-        placed.withColumn("_in_run", place_in_run)
+        placed.withColumn("_in_run", F.sum("_weight").over(so_far))
         .join(F.broadcast(offsets), on, "left")
         .select(
             *df.columns,
-            (F.col("_in_run") + F.coalesce(F.col("_offset"), F.lit(0))).cast("int").alias(name),
+            (F.col("_in_run") + F.coalesce(F.col("_offset"), F.lit(0))).alias(name),
         )
     )
+
+
+def exact_median(df: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:
+    """The median of a numeric column per key as a double, nulls left out: the middle value, or the mean of the middle two.
+
+    Values are counted before anything else, so what is ranked are distinct values with their
+    counts, and a key with many of them spreads over many tasks. Null where a key has no value.
+    """
+    counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
+    ranked = running_totals(counts, keys, [F.asc(value)], F.col("_n"), "_upto")
+    sizes = df.groupBy(*keys).agg(F.count(value).alias("_size"))
+    named = sizes.withColumnsRenamed({k: f"_median_key{i}" for i, k in enumerate(keys)})
+    same = [F.col(k).eqNullSafe(F.col(f"_median_key{i}")) for i, k in enumerate(keys)] or F.lit(True)
+    low, high = F.floor((F.col("_size") + 1) / 2), F.floor(F.col("_size") / 2) + 1
+    first = F.col("_upto") - F.col("_n") + 1
+    middle = ranked.join(named, same).where((first <= high) & (F.col("_upto") >= low))
+    number = F.col(value).cast("double")
+    found = middle.groupBy(*keys).agg(((F.min(number) + F.max(number)) / 2).alias(name))
+    missing = sizes.where("_size = 0").select(*keys, F.lit(None).cast("double").alias(name))
+    return found.unionByName(missing)

@@ -10,17 +10,20 @@ from __future__ import annotations
 
 import logging
 import re
+from collections import Counter
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
+from graphlib import CycleError, TopologicalSorter
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from mapflow.operators.aggregates import pivot_values
 from mapflow.operators.joins import cross_bounded
 from mapflow.operators.conditions import analyse
 from mapflow.operators.rules import attach_best_rule, join_rules
+from mapflow.session import stored
 from mapflow.sources.tables import Tables, read_source
 
 
@@ -28,6 +31,34 @@ class MappingError(ValueError):
     """A mapping that cannot be run, with the step that is at fault."""
 
 
+class StepCounts:
+    """Rows after each step of a mapping, counted while the target is written.
+
+    Give one to `run_mapping`, run an action on the target, then ask for ``rows``. The counts
+    are Spark's observed metrics: no further job, and no further pass. A step whose rows are
+    computed in several places of the plan is counted in one of them. Where nothing reaches a
+    step because a later one needs no rows, Spark may leave it out: its count is null.
+    """
+
+    def __init__(self) -> None:
+        self._seen: list[tuple[str, list[str], Observation]] = []
+
+    def watch(self, df: DataFrame, step: str, tests: Mapping[str, Column] | None = None) -> DataFrame:
+        """The frame with its rows counted under ``step``, for each test those that meet it."""
+        counted = tests or {"": F.lit(True)}
+        observation = Observation(f"{len(self._seen)} {step}")
+        self._seen.append((step, list(counted), observation))
+        return df.observe(observation, *[F.count_if(test).alias(f"n{i}") for i, test in enumerate(counted.values())])
+
+    def rows(self) -> list[tuple[int, str, str, int | None]]:
+        """Place, step, condition and number of rows, in the order of the mapping; ends with the action."""
+        out = []
+        for step, tests, observation in self._seen:
+            found = observation.get
+            out += [(step, test, found.get(f"n{i}")) for i, test in enumerate(tests)]
+        return [(place, *row) for place, row in enumerate(out)]
+
+
 @dataclass
 class Flow:
     """Running state: the current frame and every frame that has an alias."""
@@ -35,6 +66,7 @@ class Flow:
     current: DataFrame
     named: dict[str, DataFrame]
     variables: set[str] = field(default_factory=set)
+    counts: StepCounts | None = None
 
     def frame(self, alias: str) -> DataFrame:
         if alias not in self.named:
@@ -202,9 +234,13 @@ def filter_rows(
 ) -> DataFrame:
     """Keep rows that meet all conditions; no conditions keep everything.
 
-    ``log_reductions`` logs the rows left after each condition, at the price of a job
-    of its own (``filter_impact``) while the plan is built.
+    ``log_reductions`` reports the rows left after each condition: with the run, where that
+    counts its steps (`StepCounts`), else in the log, by a job of its own (``filter_impact``)
+    while the plan is built.
     """
+    if log_reductions and conditions and flow.counts:
+        left = {c: F.expr(_all_of(conditions[: i + 1])) for i, c in enumerate(conditions)}
+        return flow.counts.watch(flow.current, "filter", left).where(_all_of(conditions))
     if log_reductions:
         for row in filter_impact(flow.current, list(conditions)).collect():
             LOG.info("filter: %s", row.asDict())
@@ -238,24 +274,26 @@ def apply_step(flow: Flow, step: Mapping[str, Mapping[str, Any]]) -> Flow:
         raise MappingError(f"step {kind} needs an alias")
     start = source or arguments.get("left_source")
     if start:
-        flow = Flow(flow.frame(start), flow.named)
+        flow = Flow(flow.frame(start), flow.named, counts=flow.counts)
     try:
         result = STEPS[kind](flow, **arguments)
     except TypeError as error:
         if "argument" in str(error):
             raise MappingError(f"step {kind}: {error}") from error
         raise
+    if flow.counts:
+        result = flow.counts.watch(result, kind)
     named = flow.named
     if alias:
         result = result.alias(alias)
         named = {**named, alias: result}
-    return Flow(result, named, flow.variables)
+    return Flow(result, named, flow.variables, flow.counts)
 
 
-def integrate(tables: Tables, mapping: Mapping[str, Any]) -> DataFrame:
+def integrate(tables: Tables, mapping: Mapping[str, Any], counts: StepCounts | None = None) -> DataFrame:
     """Sources and steps of a mapping, before its target expressions."""
     named = {s["alias"]: read_source(tables, **s) for s in mapping["sources"]}
-    flow = Flow(next(iter(named.values())), named)
+    flow = Flow(next(iter(named.values())), named, counts=counts)
     for step in mapping.get("transformations") or []:
         flow = apply_step(flow, step)
     return flow.current
@@ -272,13 +310,44 @@ def to_target(df: DataFrame, mapping: Mapping[str, Any]) -> DataFrame:
     return target.dropDuplicates() if mapping.get("drop_duplicates") else target
 
 
-def run_mapping(tables: Tables, mapping: Mapping[str, Any], **parameters: str) -> DataFrame:
+def run_mapping(
+    tables: Tables, mapping: Mapping[str, Any], counts: StepCounts | None = None, **parameters: str
+) -> DataFrame:
     """The target of a mapping as a lazy DataFrame.
 
-    ``parameters`` fill the placeholders, as in ``run_month="202501"``.
+    ``parameters`` fill the placeholders, as in ``run_month="202501"``. ``counts`` are filled
+    when the target is written.
     """
     bound = bind_parameters(mapping, **parameters)
-    return to_target(integrate(tables, bound), bound)
+    target = to_target(integrate(tables, bound, counts), bound)
+    return counts.watch(target, "target") if counts else target
+
+
+def order_chain(mappings: Sequence[Mapping[str, Any]]) -> list[Mapping[str, Any]]:
+    """Bound mappings such that each follows those it reads; targets are told apart by name."""
+    by_target = {m["target"]: m for m in mappings}
+    if len(by_target) < len(mappings):
+        raise MappingError("two mappings of a chain have one target")
+    graph = {t: {s["source"] for s in m["sources"]} & set(by_target) for t, m in by_target.items()}
+    try:
+        return [by_target[t] for t in TopologicalSorter(graph).static_order()]
+    except CycleError as error:
+        raise MappingError(f"mappings read each other: {' <- '.join(error.args[1])}") from error
+
+
+def _reads(mapping: Mapping[str, Any]) -> Counter:
+    """How often a mapping's steps start from or join each of its source tables, once at least."""
+    steps = [arguments for step in mapping.get("transformations") or [] for arguments in step.values()]
+    used: Counter = Counter()
+    if steps and not (steps[0].get("source") or steps[0].get("left_source")):
+        used[mapping["sources"][0]["alias"]] += 1
+    for arguments in steps:
+        used.update({arguments[k] for k in ("source", "left_source") if k in arguments})
+        used.update([arguments["right_source"]] if "right_source" in arguments else [])
+        branches = arguments.get("column_mapping")
+        for entry in branches if isinstance(branches, list | tuple) else ():
+            used.update([entry] if isinstance(entry, str) else entry)
+    return sum((Counter({s["source"]: max(1, used[s["alias"]])}) for s in mapping["sources"]), Counter())
 
 
 def run_chain(
@@ -286,16 +355,28 @@ def run_chain(
     mappings: Sequence[Mapping[str, Any]],
     **parameters: str,
 ) -> DataFrame:
-    """Mappings that feed each other: a target is a source of the later ones."""
-    done: dict[str, DataFrame] = {}
-    result = None
-    for mapping in mappings:
-        bound = bind_parameters(mapping, **parameters)
-        result = run_mapping(lambda name: done[name] if name in done else tables(name), bound)
-        done[bound["target"]] = result
-    if result is None:
+    """Mappings that feed each other, in any order: a target is a source of others.
+
+    A target that is read more than once is written to the shared folder and computed once; all
+    others stay part of their reader's plan. Returns the last listed target that none reads;
+    mappings it does not need are not run.
+    """
+    bound = [bind_parameters(mapping, **parameters) for mapping in mappings]
+    if not bound:
         raise MappingError("empty chain")
-    return result
+    ordered = order_chain(bound)
+    reads = sum((_reads(m) for m in bound), Counter())
+    wanted = [m["target"] for m in bound if not reads[m["target"]]][-1]
+    needed = {wanted}
+    for mapping in reversed(ordered):
+        if mapping["target"] in needed:
+            needed.update(s["source"] for s in mapping["sources"])
+    reads = sum((_reads(m) for m in ordered if m["target"] in needed), Counter())
+    done: dict[str, DataFrame] = {}
+    for mapping in (m for m in ordered if m["target"] in needed):
+        result = run_mapping(lambda name: done[name] if name in done else tables(name), mapping)
+        done[mapping["target"]] = stored(result, "chain") if reads[mapping["target"]] > 1 else result
+    return done[wanted]
 
 
 def filter_impact(df: DataFrame, conditions: Sequence[str]) -> DataFrame:

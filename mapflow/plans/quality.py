@@ -1,4 +1,4 @@
-"""Data-quality checks compiled to few passes; violations stay DataFrames.
+"""Data-quality checks compiled to one pass; violations stay DataFrames.
 
 Expectations are a dictionary with ``columns`` (a number, or name to type), ``PK``,
 ``not_null``, ``unique`` and ``referential_checks``.
@@ -7,11 +7,13 @@ Expectations are a dictionary with ``columns`` (a number, or name to type), ``PK
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from mapflow.sources.tables import Tables, local_rows
 
@@ -118,75 +120,104 @@ def missing_values(
     return values.join(known, F.col("value") == F.col("_known"), "left_anti")
 
 
-def _verdict(checks: DataFrame, kind: str, details: str, message: str) -> DataFrame:
-    """Result row from a one-row frame with the column ``violations``."""
-    return checks.select(
-        F.lit(kind).alias("check_type"),
-        F.lit(details).alias("check_details"),
-        F.when(F.col("violations") == 0, "PASS").otherwise("FAIL").alias("result"),
-        F.col("violations").cast("bigint").alias("violations"),
-        F.when(F.col("violations") == 0, "")
-        .otherwise(F.concat(F.col("violations").cast("string"), F.lit(f" {message}")))
-        .alias("error"),
-    )
-
-
 def primary_key_result(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Repeated combinations plus combinations with a null."""
-    some_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-    violations = (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .agg(F.coalesce(F.count_if((F.col("_n") > 1) | some_null), F.lit(0)).alias("violations"))
-    )
-    return _verdict(violations, "primary_key", ",".join(keys), "keys repeated or with nulls")
+    return run_checks(df, {"PK": keys})
 
 
-def unique_combo_result(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    violations = duplicate_keys(df, columns).agg(F.count(F.lit(1)).alias("violations"))
-    return _verdict(violations, "unique_combination", ",".join(columns), "combinations repeated")
+def unique_each_result(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    return run_checks(df, {"unique": columns})
 
 
-def _per_column(counts: DataFrame, columns: Sequence[str], kind: str, message: str) -> DataFrame:
-    """Result rows for each column of ``column_name, violations`` (absent = none)."""
-    listed = local_rows(counts.sparkSession, [(c,) for c in columns], "column_name string")
-    joined = listed.join(counts, "column_name", "left").withColumn(
-        "violations", F.coalesce(F.col("violations"), F.lit(0))
-    )
-    return joined.select(
-        F.lit(kind).alias("check_type"),
-        F.col("column_name").alias("check_details"),
-        F.when(F.col("violations") == 0, "PASS").otherwise("FAIL").alias("result"),
-        F.col("violations").cast("bigint").alias("violations"),
-        F.when(F.col("violations") == 0, "")
-        .otherwise(F.concat(F.col("violations").cast("string"), F.lit(f" {message}")))
-        .alias("error"),
-    )
+def not_null_result(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    return run_checks(df, {"not_null": columns})
 
 
-def unique_each_result(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    counts = (
-        duplicate_values(df, columns)
-        .groupBy("column_name")
-        .agg(F.count(F.lit(1)).alias("violations"))
-    )
-    return _per_column(counts, columns, "unique", "values repeated")
+@dataclass(frozen=True)
+class _Check:
+    """A check as what it takes from a row: a key, or nothing, and how keys are judged."""
 
+    kind: str
+    details: str
+    message: str
+    #: The row's key, and whether the row takes part.
+    key: Column
+    when: Column
+    #: Violations of a key by its columns: n (rows), empty (some part is null), known (in the reference).
+    wrong: str
+    #: Whether each row of a wrong key counts, or the key.
+    each_row: bool = False
 
-def not_null_result(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    counts = null_counts(df, columns).withColumnRenamed("n_nulls", "violations")
-    return _per_column(counts, columns, "not_null", "nulls")
 
+def _key(df: DataFrame, columns: Sequence[str], kind: T.DataType | None = None) -> Column:
+    """One text for the values of some columns, equal where they are equal, nulls included.
 
-def referential_result(df: DataFrame, check: Mapping[str, str], tables: Tables) -> DataFrame:
+    ``kind`` is the type in which they are compared, if not their own.
+    """
+    parts = []
+    for c in columns:
+        value = F.col(c).cast(kind) if kind else F.col(c)
+        if isinstance(df.select(value).schema[0].dataType, T.FloatType | T.DoubleType):
+            value = value + F.lit(0.0)  # one zero
+        text = value.cast("string")
+        parts.append(F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-")))
+    return F.concat(*parts)
+
+
+def _row_checks(df: DataFrame, expectations: Mapping[str, Any]) -> list[_Check]:
+    out = []
+    if keys := expectations.get("PK"):
+        some_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+        key = F.concat(F.when(some_null, "0").otherwise("1"), _key(df, keys))
+        out.append(_Check("primary_key", ",".join(keys), "keys repeated or with nulls", key, F.lit(True), "n > 1 or key like '0%'"))
+    for c in expectations.get("unique") or []:
+        out.append(_Check("unique", c, "values repeated", _key(df, [c]), F.lit(True), "n > 1"))
+    for c in expectations.get("not_null") or []:
+        out.append(_Check("not_null", c, "nulls", F.lit(""), F.col(c).isNull(), "true", each_row=True))
+    return out
+
+
+def _reference(df: DataFrame, check: Mapping[str, str], tables: Tables) -> tuple[_Check, DataFrame]:
+    """A referential check, and the keys of its reference table."""
     schema, table = check.get("reference_schema"), check["reference_table"]
     reference = tables(f"{schema}.{table}" if schema else table)
-    missing = missing_values(
-        df, check["column"], reference, check["reference_column"], check.get("filter")
-    )
-    details = f"{check['column']} in {table}.{check['reference_column']}"
-    return _verdict(
-        missing.agg(F.count(F.lit(1)).alias("violations")), "referential", details, "values not found"
+    column, other = check["column"], check["reference_column"]
+    types = [df.select(column).schema[0].dataType, reference.select(other).schema[0].dataType]
+    both = df.select(F.coalesce(*[F.lit(None).cast(t) for t in types])).schema[0].dataType
+    key, known = _key(df, [column], both), _key(reference, [other], both)
+    details = f"{column} in {table}.{other}"
+    when = F.coalesce(F.expr(check["filter"]), F.lit(False)) if check.get("filter") else F.lit(True)
+    return _Check("referential", details, "values not found", key, when, "n > 0 and not known"), reference.where(
+        F.col(other).isNotNull()
+    ).select(known.alias("key"))
+
+
+def _judged(df: DataFrame, checks: Sequence[_Check], references: Mapping[int, DataFrame]) -> DataFrame:
+    """Result rows of all checks from one pass over the rows and one over each reference.
+
+    Rows become (check, key) for each check that takes something from them; these are counted
+    before they are shuffled, next to the keys of the references under their check's number.
+    """
+    taken = [
+        F.when(c.when, F.struct(F.lit(i).alias("check"), c.key.alias("key"), F.lit(False).alias("known")))
+        for i, c in enumerate(checks)
+    ]
+    entries = df.select(F.inline(F.array_compact(F.array(*taken))))
+    for i, known in references.items():
+        entries = entries.unionByName(known.select(F.lit(i).alias("check"), "key", F.lit(True).alias("known")))
+    keys = entries.groupBy("check", "key").agg(F.count_if(~F.col("known")).alias("n"), F.bool_or("known").alias("known"))
+    wrong = F.coalesce(*[F.when(F.col("check") == i, F.expr(c.wrong)) for i, c in enumerate(checks)])
+    each_row = F.coalesce(*[F.when(F.col("check") == i, F.lit(c.each_row)) for i, c in enumerate(checks)])
+    counts = keys.where(wrong).groupBy("check").agg(F.sum(F.when(each_row, F.col("n")).otherwise(F.lit(1))).alias("violations"))
+    rows = [(i, c.kind, c.details, c.message) for i, c in enumerate(checks)]
+    listed = local_rows(df.sparkSession, rows, "check int, check_type string, check_details string, message string")
+    violations = F.coalesce("violations", F.lit(0)).cast("bigint")
+    return listed.join(counts, "check", "left").select(
+        "check_type",
+        "check_details",
+        F.when(violations == 0, "PASS").otherwise("FAIL").alias("result"),
+        violations.alias("violations"),
+        F.when(violations == 0, "").otherwise(F.concat(violations.cast("string"), F.lit(" "), "message")).alias("error"),
     )
 
 
@@ -196,22 +227,21 @@ def run_checks(
     tables: Tables | None = None,
     functional: bool = False,
 ) -> DataFrame:
-    """One result row per check. Referential checks run only when ``functional``."""
+    """One result row per check, whatever their number from one pass over the table.
+
+    Referential checks run only when ``functional``; each takes one pass over its reference.
+    """
     parts: list[DataFrame] = []
     if "columns" in expectations:
         rows = schema_results(df, expectations["columns"])
         parts.append(local_rows(df.sparkSession, rows, RESULT_SCHEMA))
-    if expectations.get("PK"):
-        parts.append(primary_key_result(df, expectations["PK"]))
-    if expectations.get("unique"):
-        parts.append(unique_each_result(df, expectations["unique"]))
-    if expectations.get("not_null"):
-        parts.append(not_null_result(df, expectations["not_null"]))
+    checks, references = _row_checks(df, expectations), {}
     if functional and tables is not None:
-        parts += [
-            referential_result(df, check, tables)
-            for check in expectations.get("referential_checks", [])
-        ]
+        for check in expectations.get("referential_checks", []):
+            judged, references[len(checks)] = _reference(df, check, tables)
+            checks.append(judged)
+    if checks:
+        parts.append(_judged(df, checks, references))
     if not parts:
         return local_rows(df.sparkSession, [], RESULT_SCHEMA)
     return reduce(DataFrame.unionByName, parts)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from mapflow.functions.amounts import exact_sum, hundredths
 from mapflow.functions.columns import entity_code
 from mapflow.operators.windows import keep_first
-from mapflow.plans.mapping import run_chain, run_mapping
+from mapflow.plans.mapping import StepCounts, run_chain, run_mapping
 from mapflow.plans.publish import publish
 from mapflow.queries.registry import query
 from mapflow.session import scratch_path
@@ -118,6 +118,82 @@ def mapping_chain(spark: SparkSession, t: Tables) -> DataFrame:
     return run_chain(t, CHAIN)
 
 
+# A target with two readers, whose targets meet again; listed out of order.
+DIAMOND = [
+    {
+        "target": "int.customers",
+        "sources": [{"alias": "S", "source": "int.spending"}, {"alias": "L", "source": "int.latest"}],
+        "transformations": [{"join": {"left_source": "S", "right_source": "L", "condition": ["S.party = L.party"]}}],
+        "expressions": {"party": "S.party", "spent": "S.spent", "latest": "L.latest", "top": "L.top"},
+        "filter_target": ["spent > 1000"],
+    },
+    {
+        "target": "int.spending",
+        "sources": [{"alias": "B", "source": "int.bought"}],
+        "transformations": [{"aggregation": {"alias": "A", "group": ["B.party"], "column_mapping": {"spent": "cast(sum(B.cents) as bigint)"}}}],
+        "expressions": {"party": "A.party", "spent": "A.spent"},
+    },
+    {
+        "target": "int.latest",
+        "sources": [{"alias": "B", "source": "int.bought"}],
+        "transformations": [{"aggregation": {"alias": "A", "group": ["B.party"], "column_mapping": {
+            "latest": "max(B.day)", "top": "max(B.cents)"}}}],
+        "expressions": {"party": "A.party", "latest": "A.latest", "top": "A.top"},
+    },
+    {
+        "target": "int.bought",
+        "sources": [{"alias": "O", "source": "orders", "filter": "o_orderstatus <> 'P'"},
+                    {"alias": "C", "source": "customer", "columns": ["c_custkey", "c_acctbal"]}],
+        "transformations": [{"join": {"left_source": "O", "right_source": "C", "how": "inner", "condition": ["O.o_custkey = C.c_custkey"]}}],
+        "expressions": {"party": "C.c_custkey", "cents": "cast(round(O.o_totalprice * 100) as bigint)", "day": "cast(O.o_orderdate as date)"},
+        "filter_target": ["C.c_acctbal > 0"],
+    },
+]
+
+
+@query(
+    "mapping_diamond",
+    """WITH b AS (SELECT c_custkey AS party, cast(round(o_totalprice * 100) AS bigint) AS cents, cast(o_orderdate AS date) AS day
+                  FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderstatus <> 'P' AND c_acctbal > 0)
+       SELECT party, cast(sum(cents) AS bigint) AS spent, max(day) AS latest, max(cents) AS top FROM b GROUP BY 1 HAVING sum(cents) > 1000""",
+)
+def mapping_diamond(spark: SparkSession, t: Tables) -> DataFrame:
+    """Four mappings in any order; what two of them read is computed once."""
+    return run_chain(t, DIAMOND)
+
+
+COUNTED = {
+    "sources": [
+        {"alias": "L", "source": "lineitem", "columns": ["l_orderkey", "l_quantity", "l_returnflag"]},
+        {"alias": "O", "source": "orders", "columns": ["o_orderkey", "o_custkey", "o_orderstatus"]},
+    ],
+    "transformations": [
+        {"filter": {"conditions": ["L.l_returnflag in ('A', 'R')", "L.l_quantity > 10"], "log_reductions": True}},
+        {"join": {"right_source": "O", "how": "inner", "condition": ["L.l_orderkey = O.o_orderkey", "O.o_orderstatus = 'F'"]}},
+        {"aggregation": {"alias": "A", "group": ["O.o_custkey"], "column_mapping": {"n": "count(*)"}}},
+    ],
+    "expressions": {"party": "A.o_custkey", "n": "A.n"},
+    "filter_target": ["n > 3"],
+}
+
+
+@query(
+    "mapping_step_counts",
+    """WITH l AS (SELECT * FROM lineitem WHERE l_returnflag IN ('A', 'R')), f AS (SELECT * FROM l WHERE l_quantity > 10),
+            j AS (SELECT o_custkey FROM f JOIN orders ON l_orderkey = o_orderkey WHERE o_orderstatus = 'F'),
+            a AS (SELECT o_custkey, count(*) AS n FROM j GROUP BY 1)
+       SELECT 0 AS place, 'filter' AS step, 'L.l_returnflag in (''A'', ''R'')' AS condition, count(*) AS n_rows FROM l
+       UNION ALL SELECT 1, 'filter', 'L.l_quantity > 10', count(*) FROM f UNION ALL SELECT 2, 'filter', '', count(*) FROM f
+       UNION ALL SELECT 3, 'join', '', count(*) FROM j UNION ALL SELECT 4, 'aggregation', '', count(*) FROM a
+       UNION ALL SELECT 5, 'target', '', count(*) FROM a WHERE n > 3""",
+)
+def mapping_step_counts(spark: SparkSession, t: Tables) -> DataFrame:
+    """Rows after every step and every condition, counted while the target is written."""
+    counts = StepCounts()
+    run_mapping(t, COUNTED, counts).write.parquet(scratch_path(spark, "counted"))
+    return local_rows(spark, counts.rows(), "place int, step string, condition string, n_rows bigint")
+
+
 @query(
     "mapping_all_entities",
     """SELECT n_name AS entity, lower(regexp_replace(n_name, '[^a-zA-Z0-9]', '', 'g')) AS delivery_entity,

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from mapflow.functions.amounts import exact_sum, hundredths
 from mapflow.operators.aggregates import pivot_values
+from mapflow.operators.windows import exact_median
 from mapflow.plans.mapping import run_mapping
 from mapflow.queries.registry import query
 from mapflow.sources.tables import Tables
@@ -62,6 +63,17 @@ def agg_functions(spark: SparkSession, t: Tables) -> DataFrame:
     )
 
 
+@query(
+    "agg_median_exact",
+    """WITH v AS (SELECT l_returnflag, l_extendedprice AS x, row_number() OVER (PARTITION BY l_returnflag ORDER BY l_extendedprice) AS i,
+                         count(*) OVER (PARTITION BY l_returnflag) AS n FROM lineitem WHERE l_extendedprice IS NOT NULL)
+       SELECT l_returnflag, (min(x) + max(x)) / 2 AS median_price FROM v WHERE i IN ((n + 1) // 2, n // 2 + 1) GROUP BY 1""",
+)
+def agg_median_exact(spark: SparkSession, t: Tables) -> DataFrame:
+    """Few groups, each with about as many values as rows."""
+    return exact_median(t("lineitem"), ["l_returnflag"], "l_extendedprice", "median_price")
+
+
 @query(
     "agg_count_distinct",
     """SELECT l_returnflag, count(DISTINCT l_suppkey) AS suppliers, count(DISTINCT l_partkey) AS parts

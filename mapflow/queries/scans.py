@@ -134,6 +134,21 @@ def sink_overwrite_evolve(spark: SparkSession, t: Tables) -> DataFrame:
     return spark.table(name).withColumn("change", F.lit(text))
 
 
+@query(
+    "sink_replace_self",
+    """SELECT c_custkey, c_mktsegment, round(c_acctbal * 2) AS twice, 'added twice; removed c_acctbal; retyped ' AS change FROM customer WHERE c_acctbal > 0""",
+)
+def sink_replace_self(spark: SparkSession, t: Tables) -> DataFrame:
+    """A table replaced by rows computed from itself."""
+    name, folder = table_name("self"), scratch_path(spark, "self")
+    sinks.replace_versioned(t("customer").select("c_custkey", "c_mktsegment", "c_acctbal"), name, folder)
+    sinks.replace_versioned(spark.table(name).where("c_acctbal > 0"), name, folder, ["c_mktsegment"])
+    doubled = spark.table(name).selectExpr("c_custkey", "c_mktsegment", "round(c_acctbal * 2) AS twice")
+    change = sinks.replace_versioned(doubled, name, folder)
+    text = "; ".join(f"{kind} {','.join(columns)}" for kind, columns in change.items())
+    return spark.table(name).withColumn("change", F.lit(text))
+
+
 @query(
     "sink_append_log",
     """SELECT event_id AS "RunID", 'staging' AS "Workflow", event_type AS "Component",

@@ -67,3 +67,14 @@ def durable(df: DataFrame) -> DataFrame:
     """Cut the lineage with a reliable checkpoint, which outlives lost executors."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """Write a table to the shared folder and read it back.
+
+    Lineage ends and lost executors cost nothing, as with `durable`; readers still scan only
+    the columns and rows they need.
+    """
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Mapping
 
 from py4j.protocol import Py4JJavaError
@@ -45,7 +46,8 @@ def overwrite_table(
 ) -> dict[str, list[str]]:
     """Create or replace a table; returns how its schema changed.
 
-    The written frame must not read the table it replaces.
+    The written frame must not read the table it replaces; see `replace_versioned` for one that
+    does.
     """
     spark = df.sparkSession
     exists = spark.catalog.tableExists(name)
@@ -59,6 +61,28 @@ def overwrite_table(
     return change
 
 
+def replace_versioned(
+    df: DataFrame, name: str, folder: str, partition_by: Iterable[str] = ()
+) -> dict[str, list[str]]:
+    """Replace what the view ``name`` shows by a new version below ``folder``; returns how its schema changed.
+
+    A version is a table of its own, written in full beside the others, then the view is pointed at it: the frame
+    may read the view itself, readers at work keep the version they began with, and a write
+    that is killed leaves the view as it was. Old versions are the user's to delete.
+    """
+    spark = df.sparkSession
+    version = uuid.uuid4().hex
+    exists = spark.catalog.tableExists(name)
+    change = schema_change(spark.table(name).schema if exists else T.StructType(), df.schema)
+    writer = df.write.option("path", f"{folder.rstrip('/')}/version-{version}")
+    if keys := list(partition_by):
+        writer = writer.partitionBy(*keys)
+    writer.saveAsTable(f"{name}_{version}")
+    columns = ", ".join(f"`{c}`" for c in df.columns)
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {columns} FROM {name}_{version}")
+    return change
+
+
 def create_if_absent(
     spark: SparkSession, name: str, schema: T.StructType, path: str | None = None
 ) -> None:

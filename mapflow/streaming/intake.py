@@ -6,13 +6,9 @@ stop. Progress lives in the checkpoint folder.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from mapflow.operators.windows import keep_first
 from mapflow.plans.delivery import is_open, match_triggers
 from mapflow.session import durable
 from mapflow.sources.landing import TRIGGER_SCHEMA
@@ -66,25 +62,37 @@ def keep_first_arrivals(
 ) -> DataFrame:
     """Store the first arrival of each key, however late it is; repeats of a stored key go.
 
-    Nothing is judged by its event time: a batch is compared with the keys stored by
-    earlier batches, so a late first arrival is kept and a late repeat is not. Within a
-    batch the row with the lowest ``order`` is the first. Only key columns of the target
-    are read. Every batch replaces its own folder, so one repeated after a failure leaves
-    no duplicates. Takes in what has arrived since the last run and returns all stored rows.
+    Which keys have arrived is kept in Spark's keyed state store, below ``checkpoint``: a batch
+    looks up and writes its own keys, whatever the history. Nothing is judged by its event time,
+    so a late first arrival is kept and a late repeat is not. Within a batch the row with the
+    lowest ``order`` is the first, nulls before all, rows of one ``order`` by their hash. Null
+    keys are equal to each other. Every batch replaces its own folder, so one repeated after a
+    failure leaves no duplicates. Takes in what has arrived since the last run and returns all
+    stored rows.
     """
     spark = stream.sparkSession
     schema = stream.schema
     spark.createDataFrame([], schema).write.mode("overwrite").parquet(f"{target}/batch_id=-1")
+    # In a stream the current time is that of the batch, and the same if the batch is repeated.
+    # A key is new where the time it was first seen, the oldest in its state, is the batch's.
+    now = F.current_timestamp()
+    rows = stream.select(
+        *[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)],
+        F.struct(*[F.col(f"`{c}`") for c in stream.columns]).alias("_row"),
+        F.struct(F.col(order), F.xxhash64(*stream.columns)).alias("_place"),
+        now.alias("_now"),
+    )
+    first = rows.groupBy(*[f"_key{i}" for i in range(len(keys))]).agg(
+        F.first("_now").alias("_since"), F.min_by("_row", "_place").alias("_row")
+    )
+    arrived = first.where(F.col("_since") == now).select("_row.*")
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        first = keep_first(batch, keys, [F.col(order), F.xxhash64(*batch.columns)])
-        before = spark.read.schema(T.StructType([*schema, T.StructField("batch_id", T.LongType())])).parquet(target)
-        known = before.where(F.col("batch_id") < batch_id).select(*[F.col(k).alias(f"_known_{k}") for k in keys])
-        same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_known_{k}")) for k in keys])
-        first.join(known, same, "left_anti").write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
+        batch.write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
 
     query = (
-        stream.writeStream.foreachBatch(store)
+        arrived.writeStream.foreachBatch(store)
+        .outputMode("update")
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import statistics
 from collections import defaultdict
 
 import pytest
@@ -32,11 +33,10 @@ def by_key(data):
     return groups
 
 
-@pytest.mark.parametrize("limit", [0, 1_000_000])
-def test_number_rows(spark, frame, limit):
+def test_number_rows(spark, frame):
     data = hot_rows()
     df = frame(data, "id int, k string, v int").repartition(5)
-    got = windows.number_rows(df, ["k"], [F.desc("v"), F.asc("id")], "rank", max_group_rows=limit)
+    got = windows.number_rows(df, ["k"], [F.desc("v"), F.asc("id")], "rank")
     expected = []
     for group in by_key(data).values():
         ordered = sorted(group, key=lambda r: (-r[2], r[0]))
@@ -48,11 +48,42 @@ def test_number_rows(spark, frame, limit):
 def test_number_rows_of_one_key_across_partitions(spark):
     """One key over many range partitions still counts from 1 without gaps."""
     df = spark.range(0, 5000, 1, 7).select(F.lit(1).alias("k"), F.col("id"))
-    got = windows.number_rows(df, ["k"], [F.desc("id")], "rank", max_group_rows=0)
+    got = windows.number_rows(df, ["k"], [F.desc("id")], "rank")
     wrong = got.where(F.col("rank") != 5000 - F.col("id")).count()
     assert (got.count(), wrong) == (5000, 0)
 
 
+@pytest.mark.parametrize("parts", [1, 9])
+def test_ties_are_numbered_alike_in_any_partitioning(spark, frame, parts):
+    df = frame([(i, "k", i % 2) for i in range(40)], "id int, k string, v int")
+    spark.conf.set("spark.sql.shuffle.partitions", parts)
+    try:
+        got = {r["id"]: r["rank"] for r in windows.number_rows(df.repartition(parts), ["k"], [F.asc("v")], "rank").collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", 4)
+    hashed = {r["id"]: r["h"] for r in df.select("id", F.xxhash64("id", "k", "v").alias("h")).collect()}
+    ordered = sorted(hashed, key=lambda i: (i % 2, hashed[i]))
+    assert got == {i: place for place, i in enumerate(ordered, 1)}
+
+
+def test_exact_median(frame):
+    pick = random.Random(8)
+    data = [(pick.choice(["a", "a", "b", None]), pick.choice([None, *range(200)])) for _ in range(300)]
+    data += [("one", 5), ("two", 4), ("two", 9), ("none", None), ("same", 3), ("same", 3)]
+    expected = {}
+    for key in {k for k, _ in data}:
+        values = [v for k, v in data if k == key and v is not None]
+        expected[key] = statistics.median(values) if values else None
+    got = windows.exact_median(frame(data, "k string, v int").repartition(5), ["k"], "v", "middle").collect()
+    assert {r["k"]: r["middle"] for r in got} == expected and len(got) == len(expected)
+
+
+def test_median_of_one_group_with_many_values(spark):
+    df = spark.range(0, 30_001, 1, 5).select(F.lit("k").alias("k"), ((F.col("id") * 7919) % 30_001).alias("v"))
+    assert [tuple(r) for r in windows.exact_median(df, ["k"], "v", "m").collect()] == [("k", 15_000.0)]
+    assert [tuple(r) for r in windows.exact_median(df, [], "v", "m").collect()] == [(15_000.0,)]
+
+
 def test_attach_totals_counts_null_keys_as_one_group(frame):
     data = hot_rows()
     df = frame(data, "id int, k string, v int")
@@ -114,6 +145,15 @@ def test_join_contains(frame):
     assert sorted(map(str, rows(got))) == sorted(map(str, expected))
 
 
+def test_substring_index_emits_a_row_per_character_at_most(frame):
+    texts = frame([(1, "abcabcabcabc"), (2, "xyz" * 30)], "t int, text string")
+    parts = frame([(1, "cabca"), (2, "zzz"), (3, "abc"), (4, "yzxyzxyzx")], "p int, part string")
+    grams = joins.grams_of(texts.select(F.col("text").alias("_text")), "_text", 3)
+    assert {r["_text"]: r["n"] for r in grams.groupBy("_text").agg(F.count("_gram").alias("n")).collect()} == {"abcabcabcabc": 3, "xyz" * 30: 3}
+    got = joins.join_contains(texts, "text", parts, "part")
+    assert sorted((r["t"], r["p"]) for r in got.collect()) == [(1, 1), (1, 3), (2, 4)]
+
+
 def test_links_do_not_form_pairs(frame):
     pick = random.Random(7)
     parties = [(i, pick.choice([None, None, 1, 2, 3]), pick.randrange(5)) for i in range(30)]

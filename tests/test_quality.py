@@ -1,99 +1,148 @@
+"""Checks against counting in Python, on drawn tables of parcels."""
+
 from __future__ import annotations
 
+import random
+from collections import Counter
+
 import pytest
 from conftest import rows
 
 from mapflow.plans import quality
 from mapflow.sources.tables import frame_tables
 
-TYPES = {"PK1": "bigint", "PK2": "bigint", "PK3": "bigint", "Type": "string"}
+PARCELS = "route int, stop smallint, weight double, depot string, zone decimal(6,2)"
+NAMES = ["route", "stop", "weight", "depot", "zone"]
+
+
+def parcels(seed, n):
+    draw = random.Random(seed)
+    return [
+        (
+            draw.choice([None, *range(n)]),
+            draw.randrange(4),
+            draw.choice([0.0, -0.0, 1.5, None, float(draw.randrange(50))]),
+            draw.choice(["Gent", "Oslo", "Graz", "", None, "1:1", "1"]),
+            draw.choice([None, 1, 2, 3]),
+        )
+        for _ in range(n)
+    ]
 
 
-def lookup(column, condition=None):
-    check = {"column": "Type", "reference_schema": "", "reference_table": "reference", "reference_column": column}
-    return {"referential_checks": [{**check, "filter": condition} if condition else check]}
+DEPOTS = [("Gent", 1), ("Graz", 2), ("Graz", 2), (None, None), ("", 7)]
 
 
-@pytest.fixture(scope="module")
-def table(frame):
-    data = [(2, 2, None, "A"), (2, 1, 3, "B"), (3, 3, 3, None)]
-    return frame(data, "PK1 bigint, PK2 bigint, PK3 bigint, Type string")
+def violations(data, kind, columns, condition=lambda row: True, known=()):
+    """What a check of one kind finds in rows."""
+    taken = [tuple(row[NAMES.index(c)] for c in columns) for row in data if condition(row)]
+    counts = Counter(taken)
+    return {
+        "primary_key": sum(n > 1 or None in key for key, n in counts.items()),
+        "unique": sum(n > 1 for n in counts.values()),
+        "not_null": sum(None in key for key in taken),
+        "referential": sum(key[0] is None or key[0] not in known for key in counts),
+    }[kind]
 
 
 @pytest.fixture(scope="module")
-def tables(frame):
-    data = [("A", "A"), ("B", None), ("C", "C"), ("D", "D")]
-    return frame_tables({"reference": frame(data, "Lookup1 string, Lookup2 string")})
-
-
-@pytest.mark.parametrize(
-    ("expectations", "verdict"),
-    [
-        ({"columns": 4}, True),
-        ({"columns": 5}, False),
-        ({"columns": TYPES}, True),
-        ({"columns": {**TYPES, "Type": "int"}}, False),
-        ({"columns": {**TYPES, "Extra": "int"}}, False),
-        ({"PK": ["PK1", "PK2"]}, True),
-        ({"PK": ["PK1"]}, False),
-        ({"PK": ["PK1", "PK2", "PK3"]}, False),
-        ({"unique": ["PK2"]}, True),
-        ({"unique": ["PK1", "PK2"]}, False),
-        ({"not_null": ["PK1"]}, True),
-        ({"not_null": ["Type"]}, False),
-        (lookup("Lookup1", "Type is not null"), True),
-        (lookup("Lookup2", "Type is not null"), False),
-        (lookup("Lookup1"), False),
-        ({}, None),
-    ],
-)
-def test_checks(table, tables, expectations, verdict):
-    assert quality.passed(quality.run_checks(table, expectations, tables, functional=True)) is verdict
-
-
-def test_referential_checks_need_functional(table, tables):
-    assert quality.passed(quality.run_checks(table, lookup("Lookup2"), tables)) is None
-
-
-def test_violations_are_rows(table, tables):
-    assert rows(quality.duplicate_keys(table, ["PK1"])) == [(2, 2)]
-    assert rows(quality.duplicate_values(table, ["PK1", "PK3"])) == [("PK1", "2", 2), ("PK3", "3", 2)]
-    assert rows(quality.null_counts(table, ["PK1", "PK3", "Type"])) == [("PK1", 0), ("PK3", 1), ("Type", 1)]
-    missing = quality.missing_values(table, "Type", tables("reference"), "Lookup2")
-    assert rows(missing) == [(None, 1), ("B", 1)]
-
-
-def test_nulls_count_as_equal(frame):
-    df = frame([(None,), (None,), (1,)], "x int")
-    assert rows(quality.duplicate_keys(df, ["x"])) == [(None, 2)]
-    assert rows(quality.duplicate_values(df, ["x"])) == [("x", None, 2)]
-    assert quality.passed(quality.unique_combo_result(df, ["x"])) is False
+def depots(frame):
+    return frame_tables({"geo.depots": frame(DEPOTS, "city string, area bigint")})
+
+
+def reference(column, other, condition=None):
+    check = {"column": column, "reference_schema": "geo", "reference_table": "depots", "reference_column": other}
+    return check | ({"filter": condition} if condition else {})
+
+
+@pytest.mark.parametrize(("seed", "n"), [(1, 60), (2, 4), (3, 0)])
+def test_every_check_agrees_with_counting(frame, depots, seed, n):
+    data = parcels(seed, n)
+    expectations = {
+        "PK": ["route", "stop"],
+        "unique": ["weight", "depot", "zone"],
+        "not_null": ["route", "depot", "stop"],
+        "referential_checks": [
+            reference("depot", "city"),
+            reference("depot", "city", "depot is not null and stop > 1"),
+            reference("zone", "area"),
+        ],
+    }
+    got = quality.run_checks(frame(data, PARCELS), expectations, depots, functional=True)
+    cities, areas = {d[0] for d in DEPOTS}, {d[1] for d in DEPOTS}
+    expected = [
+        ("primary_key", "route,stop", violations(data, "primary_key", ["route", "stop"])),
+        *[("unique", c, violations(data, "unique", [c])) for c in ("weight", "depot", "zone")],
+        *[("not_null", c, violations(data, "not_null", [c])) for c in ("route", "depot", "stop")],
+        ("referential", "depot in depots.city", violations(data, "referential", ["depot"], known=cities - {None})),
+        ("referential", "depot in depots.city",
+         violations(data, "referential", ["depot"], lambda r: r[3] is not None and r[1] > 1, cities)),
+        ("referential", "zone in depots.area", violations(data, "referential", ["zone"], known=areas - {None})),
+    ]
+    found = [(r["check_type"], r["check_details"], r["violations"], r["result"], r["error"]) for r in got.collect()]
+    assert sorted(f[:3] for f in found) == sorted(expected)
+    assert all((v == 0) == (result == "PASS") == (error == "") for _, _, v, result, error in found)
+
+
+def test_one_pass_over_the_table_and_one_over_each_reference(spark, tmp_path, frame):
+    frame(parcels(5, 30), PARCELS).write.parquet(f"{tmp_path}/parcels")
+    frame(DEPOTS, "city string, area bigint").write.parquet(f"{tmp_path}/depots")
+    expectations = {
+        "PK": ["route"], "unique": ["weight", "depot"], "not_null": ["stop", "zone"],
+        "referential_checks": [reference("depot", "city")],
+    }
+    tables = frame_tables({"geo.depots": spark.read.parquet(f"{tmp_path}/depots")})
+    results = quality.run_checks(spark.read.parquet(f"{tmp_path}/parcels"), expectations, tables, functional=True)
+    plan = results._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count(" Relation [") == 2 and results.count() == 6
+
+
+def test_columns_by_number_and_by_type(frame):
+    df = frame([(1, "x")], "width int, label string")
+    results = {(r["check_type"], r["check_details"]): r for r in quality.run_checks(df, {"columns": {"label": "string", "width": "bigint", "lid": "int"}}).collect()}
+    assert results["column_count", "3"]["violations"] == 1
+    assert results["columns_datatypes", "label,width,lid"]["violations"] == 3
+    assert quality.passed(quality.run_checks(df, {"columns": 2})) is True
+    assert quality.passed(quality.run_checks(df, {"columns": {"label": "string", "width": "int"}})) is True
+
+
+def test_nothing_to_check_is_no_verdict(frame, depots):
+    df = frame(parcels(4, 5), PARCELS)
+    assert quality.passed(quality.run_checks(df, {})) is None
+    referential_only = {"referential_checks": [reference("depot", "area")]}
+    assert quality.passed(quality.run_checks(df, referential_only, depots)) is None
+
+
+def test_violations_are_rows(frame):
+    data = [(7, 1, "k"), (7, 2, "k"), (8, None, None), (8, None, "m")]
+    df = frame(data, "crate int, slot int, mark string")
+    assert rows(quality.duplicate_keys(df, ["crate", "slot"])) == [(8, None, 2)]
+    assert rows(quality.duplicate_values(df, ["crate", "mark"])) == [("crate", "7", 2), ("crate", "8", 2), ("mark", "k", 2)]
+    assert rows(quality.null_counts(df, ["mark", "slot"])) == [("mark", 1), ("slot", 2)]
+    assert rows(quality.missing_values(df, "mark", frame([("m",), ("m",)], "known string"), "known", "crate > 7")) == [(None, 1)]
 
 
 def test_merge():
-    generic = {"columns": {"a": "int"}, "PK": ["a"], "not_null": ["a"]}
-    specific = {"columns": {"b": "int"}, "not_null": ["b", "a"], "unique": ["b"]}
-    assert quality.merge_expectations(generic, specific) == {
-        "columns": {"b": "int"}, "PK": ["a"], "not_null": ["a", "b"], "unique": ["b"],
+    common = {"columns": 4, "PK": ["crate"], "not_null": ["slot"]}
+    own = {"columns": {"crate": "int"}, "not_null": ["mark", "slot"], "unique": ["mark"]}
+    assert quality.merge_expectations(common, own) == {
+        "columns": {"crate": "int"}, "PK": ["crate"], "not_null": ["slot", "mark"], "unique": ["mark"],
     }
-    assert quality.merge_expectations(None, specific)["unique"] == ["b"]
+    assert quality.merge_expectations(None, own)["unique"] == ["mark"]
 
 
-def test_log_and_gate(table, tables):
-    results = quality.run_checks(table, {"PK": ["PK1"], "not_null": ["PK1"]})
-    assert rows(quality.dq_log(results, "202501", "t").select("check_type", "result", "error")) == [
+def test_log_and_gate(frame):
+    df = frame([(7, 1), (7, 2), (9, 3)], "crate int, slot int")
+    results = quality.run_checks(df, {"PK": ["crate"], "not_null": ["slot"]})
+    assert rows(quality.dq_log(results, "202406", "crates").select("check_type", "result", "error")) == [
         ("not_null", "PASS", ""), ("primary_key", "FAIL", "1 keys repeated or with nulls"),
     ]
-    none = quality.run_checks(table, {})
-    assert rows(quality.dq_log(none, "202501", "t").select("check_type", "result")) == [("none", "NA")]
-    assert quality.gate(table, none, "t") is table
-    with pytest.raises(quality.QualityError, match="primary_key"):
-        quality.gate(table, results, "t")
-
-
-def test_no_violations_after_cleaning(table):
-    clean = table.where("Type is not null").dropDuplicates(["PK1"])
-    assert quality.passed(quality.run_checks(clean, {"PK": ["PK1"], "not_null": ["Type"]})) is True
+    none = quality.run_checks(df, {})
+    assert rows(quality.dq_log(none, "202406", "crates").select("check_type", "result")) == [("none", "NA")]
+    assert quality.gate(df, none, "crates") is df
+    with pytest.raises(quality.QualityError, match="crates.*primary_key"):
+        quality.gate(df, results, "crates")
+    clean = df.dropDuplicates(["crate"])
+    assert quality.gate(clean, quality.run_checks(clean, {"PK": ["crate"]}), "crates") is clean
 
 
 def test_long_errors_are_cut_in_the_log_only(frame):
@@ -101,13 +150,13 @@ def test_long_errors_are_cut_in_the_log_only(frame):
     results = quality.run_checks(wide, {"columns": {f"column_{i}": "int" for i in range(60)}})
     (row,) = results.where("check_type = 'columns_datatypes'").collect()
     assert all(f"'column_{i}'" in row["error"] for i in range(60))
-    (logged,) = quality.dq_log(results, "202501", "t").where("check_type = 'columns_datatypes'").collect()
+    (logged,) = quality.dq_log(results, "202406", "t").where("check_type = 'columns_datatypes'").collect()
     assert logged["error"] == row["error"][: quality.MAX_ERROR_TEXT]
 
 
 def test_expectations_are_found_by_name():
-    files = {"staging/[]_sales": {"columns": 3, "not_null": ["a"]}, "staging/shop_sales": {"columns": 4, "not_null": ["b"]}}
-    assert quality.find_expectations(files, "staging", "shop_sales", "shop") == {"columns": 4, "not_null": ["a", "b"]}
-    assert quality.find_expectations(files, "staging", "web_sales", "web") == {"columns": 3, "not_null": ["a"]}
-    assert quality.find_expectations(files, "staging", "shop_sales") == {"columns": 4, "not_null": ["b"]}
-    assert quality.find_expectations(files, "other", "shop_sales", "shop") == {}
+    files = {"landing/[]_crates": {"columns": 3, "not_null": ["crate"]}, "landing/quay_crates": {"columns": 4, "not_null": ["slot"]}}
+    assert quality.find_expectations(files, "landing", "quay_crates", "quay") == {"columns": 4, "not_null": ["crate", "slot"]}
+    assert quality.find_expectations(files, "landing", "rail_crates", "rail") == {"columns": 3, "not_null": ["crate"]}
+    assert quality.find_expectations(files, "landing", "quay_crates") == {"columns": 4, "not_null": ["slot"]}
+    assert quality.find_expectations(files, "other", "quay_crates", "quay") == {}

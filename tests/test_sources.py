@@ -150,3 +150,40 @@ def test_redelivery_across_runs(spark, frame, tmp_path):
     deliver((3, "2024-01-02"), (1, "2024-05-01"), (2, "2024-01-01"), (None, "2024-03-02"))
     assert run() == [(None, "03-01"), (1, "03-10"), (2, "03-09"), (3, "01-02")]
     assert run() == [(None, "03-01"), (1, "03-10"), (2, "03-09"), (3, "01-02")]
+
+
+def test_a_batch_looks_up_its_own_keys_only(spark, frame, tmp_path):
+    """State is written for the keys of a batch, not for all that were ever stored; nothing stored is read again."""
+    (tmp_path / "in").mkdir()
+
+    def run(ids):
+        frame([(i, i % 7, f"r{i}") for i in ids], "id int, place int, text string").coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        stream = spark.readStream.schema("id int, place int, text string").parquet(f"{tmp_path}/in")
+        return keep_first_arrivals(stream, ["id"], "place", f"{tmp_path}/out", f"{tmp_path}/state")
+
+    assert run(range(500)).count() == 500
+    before = {p.name for p in (tmp_path / "out").iterdir()}
+    for path in (tmp_path / "out").rglob("*.parquet"):
+        path.write_bytes(b"not to be read")
+    run([3, 4, 500, 501, 501])
+    (batch,) = {p.name for p in (tmp_path / "out").iterdir()} - before
+    new = spark.read.parquet(f"{tmp_path}/out/{batch}")
+    assert sorted(r["id"] for r in new.collect()) == [500, 501]
+
+
+def test_a_table_is_replaced_by_rows_of_its_own(spark, frame, tmp_path):
+    name, folder = "default.own_rows", str(tmp_path / "versions")
+    first = frame([(1, "01"), (2, "02")], "id int, month string")
+    assert sinks.replace_versioned(first, name, folder, ["month"])["added"] == ["id", "month"]
+    reading = spark.table(name)
+    assert sinks.replace_versioned(reading.selectExpr("id + 10 AS id", "month"), name, folder, ["month"]) == {"added": [], "removed": [], "retyped": []}
+    assert rows(spark.table(name)) == [(11, "01"), (12, "02")]
+    assert rows(reading) == [(1, "01"), (2, "02")]  # who began before keeps what it began with
+
+
+def test_a_failed_replacement_leaves_the_table(spark, frame, tmp_path):
+    name, folder = "default.kept_rows", str(tmp_path / "versions")
+    sinks.replace_versioned(frame([(1,), (0,)], "id int"), name, folder)
+    with pytest.raises(Exception, match="DIVIDE_BY_ZERO"):
+        sinks.replace_versioned(spark.table(name).selectExpr("1 / id AS id"), name, folder)
+    assert rows(spark.table(name)) == [(0,), (1,)]
