@@ -11,6 +11,7 @@ A group opens as many sequences as its tokens need, and one more whenever nothin
 from __future__ import annotations
 
 import heapq
+import math
 import zlib
 from collections.abc import Iterator
 
@@ -60,27 +61,68 @@ def pieces(docs: DataFrame, path: str, end_id: int = 2, window: int = WINDOW) ->
     ).mapInArrow(run, PIECE)
 
 
+class _Levels:
+    """Sequences by their fill: a heap of costs for each number of tokens, and a tree of the least over the levels."""
+
+    def __init__(self, window: int):
+        self.size = 1 << window.bit_length()
+        self.heaps: list[list[tuple[float, int]]] = [[] for _ in range(window + 1)]
+        self.least: list[tuple[float, int]] = [_NONE] * (2 * self.size)
+
+    def _renew(self, level: int) -> None:
+        heap, least = self.heaps[level], self.least
+        at = level + self.size
+        least[at] = heap[0] if heap else _NONE
+        while at > 1:
+            at >>= 1
+            left, right = least[2 * at], least[2 * at + 1]
+            least[at] = left if left <= right else right
+
+    def put(self, level: int, entry: tuple[float, int]) -> None:
+        heapq.heappush(self.heaps[level], entry)
+        if self.heaps[level][0] is entry:
+            self._renew(level)
+
+    def take(self, level: int) -> None:
+        """Remove the cheapest sequence of a level."""
+        heapq.heappop(self.heaps[level])
+        self._renew(level)
+
+    def cheapest(self, most: int) -> tuple[float, int]:
+        """The cheapest sequence of at most `most` tokens."""
+        found, least = _NONE, self.least
+        a, b = self.size, self.size + most + 1
+        while a < b:
+            if a & 1:
+                found = min(found, least[a])
+                a += 1
+            if b & 1:
+                b -= 1
+                found = min(found, least[b])
+            a, b = a >> 1, b >> 1
+        return found
+
+
+_NONE = (math.inf, -1)
+
+
 def deal(lengths: np.ndarray, window: int = WINDOW, balance: int = BALANCE) -> tuple[np.ndarray, np.ndarray]:
     """Sequence and offset for each of a group's pieces, given longest first."""
-    heap = [(0.0, s) for s in range(-(-int(lengths.sum()) // window))]
-    used = [0] * len(heap)
+    levels = _Levels(window)
+    used = [0] * -(-int(lengths.sum()) // window)
+    levels.heaps[0] = [(0.0, s) for s in range(len(used))]
+    levels._renew(0)
     sequence, offset = np.empty(len(lengths), "i8"), np.empty(len(lengths), "i8")
-    full = window - int(lengths.min()) if len(lengths) else 0
     for i, length in enumerate(lengths.tolist()):
-        aside = []
-        while heap and used[heap[0][1]] + length > window:
-            aside.append(heapq.heappop(heap))
-        if heap:
-            cost, chosen = heapq.heappop(heap)
-        else:
+        cost, chosen = levels.cheapest(window - length)
+        if chosen < 0:
             cost, chosen = 0.0, len(used)
             used.append(0)
+        else:
+            levels.take(used[chosen])
         sequence[i], offset[i] = chosen, used[chosen]
         used[chosen] += length
-        aside.append((cost + length + length * length / balance, chosen))
-        for item in aside:
-            if used[item[1]] <= full:  # else not even the shortest piece fits
-                heapq.heappush(heap, item)
+        levels.put(used[chosen], (cost + length + length * length / balance, chosen))
     return sequence, offset
 
 
