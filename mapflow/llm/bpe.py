@@ -9,8 +9,9 @@ concatenated. Three kinds of certain cuts are used, coarse to fine:
 2. the pre-tokenizer's own pieces;
 3. byte pairs that occur in no token (`ForcedBoundaryBPE.fragments`).
 
-Since words repeat, every encoded stretch of kind 1 is remembered in a bounded table,
-which outlives a batch and is emptied when full: results never depend on it.
+Since words repeat, every encoded piece (stretch, for texts that need the file's own
+pre-tokenizer) is remembered in a bounded table, and so are the fragments of those that hold
+cuts. The tables outlive a batch and are emptied when full: results never depend on them.
 
 Defined results: a null text counts as empty and has no ids; texts that contain the
 name of an added token get that token's id, as in the library.
@@ -37,7 +38,10 @@ PLAIN_STRETCH = re.compile(r" ?\S+|\s+(?!\S)|\s+")
 SHORT_FORMS = "'s|'t|'re|'ve|'m|'ll|'d"
 WORDS = re.compile(SHORT_FORMS + r"|[^\W\d_]+|\d|(?:[^\s\w]|_)+")
 SPACED_WORDS = re.compile(SHORT_FORMS + r"| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+")
-TABLE_SIZE = 1_000_000
+#: Both with the white space between, as the second takes it, over whole texts.
+PLAIN_PIECE = re.compile(SPACED_WORDS.pattern.removesuffix(r"|\s+") + r"|\s+(?!\S)|\s+")
+TABLE_SIZE = 500_000
+FRAGMENTS = 100_000
 #: Above every byte symbol (256 bytes, of which fewer than 256 are shown as characters from 256 on).
 SEPARATOR = 512
 
@@ -49,6 +53,18 @@ def byte_symbols() -> list[str]:
     return [chr(b) if b in shown else chr(256 + hidden.index(b)) for b in range(256)]
 
 
+class _Fragments(dict):
+    """Ids of fragments by one of the file's models, the merges of each done once while it is remembered."""
+
+    def __init__(self, model):
+        super().__init__()
+        self.tokenize = model.tokenize
+
+    def __missing__(self, fragment: str) -> list[int]:
+        self[fragment] = ids = [t.id for t in self.tokenize(fragment)]
+        return ids
+
+
 class ForcedBoundaryBPE:
     """Encoder and decoder for one tokenizer file (BPE over byte symbols)."""
 
@@ -81,6 +97,8 @@ class ForcedBoundaryBPE:
         self.inside_table, self.ending_table = self._table(self.inside), self._table(self.ending)
         self.table_size = table_size
         self.table: dict[str, bytes] = {}
+        self.inner_ids = _Fragments(self.inner)
+        self.final_ids = _Fragments(self.final) if self.suffix else self.inner_ids
 
     def _pairs(self, vocab: Iterable[str]) -> tuple[set[str], set[str]]:
         """Symbol pairs that stand inside some token; those before a word's end apart."""
@@ -138,24 +156,24 @@ class ForcedBoundaryBPE:
         pieces = [self._words(s) for s in stretches]
         words = [w for piece in pieces for w in piece]
         uncut = iter(self._uncut(words).tolist() if words else ())
-        inner, final, code = self.inner.tokenize, self.final.tokenize, self.code
+        inner, final, whole, code = self.inner_ids, self.final_ids, self.final.tokenize, self.code
         for stretch, piece in zip(stretches, pieces, strict=True):
             ids: list[int] = []
             for word in piece:
                 if next(uncut):
-                    ids += [t.id for t in final(word)]
+                    ids += [t.id for t in whole(word)]
                     continue
                 *before, end = self.fragments(word)
                 for fragment in before:
-                    ids += [t.id for t in inner(fragment)]
-                ids += [t.id for t in final(end)]
+                    ids += inner[fragment]
+                ids += final[end]
             self.table[stretch] = array(code, ids).tobytes()
 
     def _stretches(self, text: str) -> list[str]:
         if self.normalizer is None:
-            return (PLAIN_STRETCH if PLAIN.fullmatch(text) else STRETCH).findall(text)
+            return (PLAIN_PIECE if PLAIN.fullmatch(text) else STRETCH).findall(text)
         if PLAIN.fullmatch(text):
-            return text.lower().split()
+            return WORDS.findall(text.lower())
         return [x for x in self.normalizer.normalize_str(text).split(" ") if x]
 
     def _parts(self, text: str) -> list[str | bytes]:
@@ -173,8 +191,9 @@ class ForcedBoundaryBPE:
         """Ids of each text as little-endian unsigned integers of `dtype`."""
         parts = [self._parts(text) if text else [] for text in texts]
         table = self.table
-        if len(table) > self.table_size:
-            table.clear()
+        for held, most in ((table, self.table_size), (self.inner_ids, FRAGMENTS), (self.final_ids, FRAGMENTS)):
+            if len(held) > most:
+                held.clear()
         missing = [s for s in set().union(*parts) if s not in table]
         table.update((s, s) for s in missing if isinstance(s, bytes))
         self._learn([s for s in missing if isinstance(s, str)])
