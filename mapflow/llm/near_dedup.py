@@ -42,7 +42,8 @@ DEPTH = 4
 WIDE = 64
 BLOCK = 1000
 TASK_ROWS = 4000
-TABLE_SIZE = 200_000
+TABLE_SIZE = 100_000
+SETS = 500  # full sets that are handed on at a time
 FILTER_BITS = 24
 _RANDOM = np.random.default_rng(20240229)
 FACTORS = _RANDOM.integers(0, 2**63, MINIMA, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -172,8 +173,8 @@ def full_sets(docs: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
         for batch in batches:
             slot = batch.column("slot").to_numpy()
             rows = np.flatnonzero(wanted[slot >> 3] >> (slot & 7).astype(np.uint8) & 1)
-            if len(rows):
-                part = batch.take(pa.array(rows))
+            for at in range(0, len(rows), SETS):
+                part = batch.take(pa.array(rows[at : at + SETS]))
                 with np.errstate(over="ignore"):
                     sets = [shingles(t.as_py(), words).view(np.int64) for t in part.column("text")]
                 ends = np.cumsum([0, *map(len, sets)]).astype(np.int32)

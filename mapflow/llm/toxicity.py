@@ -58,8 +58,8 @@ REPORTING = {"said", "says", "quote", "quoted", "quotes", "called", "word", "wor
 INSIDE_WORD = re.compile(r"(?<=\w)['’](?=\w)")  # an apostrophe quotes nothing
 MISSPELLED = 0.8  # part of a term's weight
 CHANCE = 0.001  # of the clean documents
-MOST_STATES = 20_000
-TABLE_SIZE = 300_000
+MOST_STATES = 4_000
+TABLE_SIZE = 100_000
 
 
 def allowed_edits(length: int) -> int:
@@ -88,7 +88,8 @@ class FuzzyLexicon:
                 self.room[node] = max(self.room[node], edits)
             ends[node] = term
         self.start = self._closed({(0, 0)})
-        self.steps: dict[tuple[frozenset, str], frozenset] = {}
+        #: States met so far, each kept once, with the steps from it.
+        self.states: dict[frozenset, tuple[frozenset, dict[str, frozenset]]] = {}
         self.table: dict[str, tuple[str, int] | None] = {}
 
     def _closed(self, pairs: set[tuple[int, int]]) -> frozenset:
@@ -111,18 +112,23 @@ class FuzzyLexicon:
                 reached.add((child, spent if key == letter else spent + 1))
         return self._closed(reached)
 
+    def _next(self, state: frozenset, letter: str) -> frozenset:
+        if len(self.states) > MOST_STATES:
+            self.states.clear()
+        _, steps = self.states.setdefault(state, (state, {}))
+        following = steps.get(letter)
+        if following is None:
+            found = self._step(state, letter)
+            following = steps[letter] = self.states.setdefault(found, (found, {}))[0]
+        return following
+
     def match(self, word: str) -> tuple[str, int] | None:
         """The nearest term and its edits (of equals the first in order); a stem counts without edits."""
         if word in self.table:
             return self.table[word]
         state, stem = self.start, None
         for letter in word:
-            following = self.steps.get((state, letter))
-            if following is None:
-                if len(self.steps) > MOST_STATES:
-                    self.steps.clear()
-                following = self.steps[state, letter] = self._step(state, letter)
-            state = following
+            state = self._next(state, letter)
             if not state:
                 break
             if self.stem_at:
