@@ -48,11 +48,11 @@ TOP = 2000
 #: Share of the occurrences of frequent words whose branches open in the first round.
 FIRST_SHARE = 1 / 8
 #: Bytes of text that are taken together, and phrases that a task counts before it hands them on.
-SLICE_BYTES = 2_000_000
-HELD = 50_000
+SLICE_BYTES = 1_000_000
+HELD = 150_000
 #: Bytes of text that wait in a task for their slices to fill, and rows that are read at a time.
 WAITING_BYTES = 4 * SLICE_BYTES
-ROWS = 500
+ROWS = 100
 UNKNOWN = "und"
 #: Rows of a table with a few rows for each language, up to which it is broadcast.
 MOST_BROADCAST = 100_000
@@ -213,7 +213,7 @@ def _word_counts(docs: DataFrame) -> DataFrame:
 
 
 def _sliced(docs: DataFrame, words: DataFrame) -> DataFrame:
-    """The corpus as slices of numbered frequent words: lang, vocabulary, ids."""
+    """The corpus as slices of numbered frequent words: lang, vocabulary, ids, whether these have 16 bits (else 32)."""
     bits = _bitmap(words.select("lang", "phrase", F.lit(FREQUENT).alias("kind")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -223,21 +223,22 @@ def _sliced(docs: DataFrame, words: DataFrame) -> DataFrame:
             vocabulary = list(number)
             kept = Bitmap(bits.value).has(_finished(_word_hashes(vocabulary), lang, FREQUENT, 1))
             kept[0] = True
-            anew = np.where(kept, np.cumsum(kept) - 1, 0).astype("<u4")
+            small = int(kept.sum()) <= 1 << 16
+            anew = np.where(kept, np.cumsum(kept) - 1, 0).astype("<u2" if small else "<u4")
             listed = b" ".join(vocabulary[i] for i in np.flatnonzero(kept).tolist())
             yield pa.RecordBatch.from_arrays(
-                [pa.array([lang], pa.string()), pa.array([listed], pa.binary()), pa.array([anew[ids].tobytes()], pa.binary())],
-                ["lang", "vocabulary", "ids"],
+                [pa.array([lang], pa.string()), pa.array([listed], pa.binary()), pa.array([anew[ids].tobytes()], pa.binary()), pa.array([small])],
+                ["lang", "vocabulary", "ids", "small"],
             )
 
-    return stored(docs.mapInArrow(run, "lang string, vocabulary binary, ids binary"), "phrase-slices")
+    return stored(docs.mapInArrow(run, "lang string, vocabulary binary, ids binary, small boolean"), "phrase-slices")
 
 
 def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[Slice]:
     for batch in batches:
         for i in range(len(batch)):
-            lang, vocabulary, ids = (batch.column(c)[i].as_py() for c in ("lang", "vocabulary", "ids"))
-            yield Slice(lang, vocabulary.split(b" "), np.frombuffer(ids, "<u4").astype(np.int64))
+            lang, vocabulary, ids, small = (batch.column(c)[i].as_py() for c in ("lang", "vocabulary", "ids", "small"))
+            yield Slice(lang, vocabulary.split(b" "), np.frombuffer(ids, "<u2" if small else "<u4").astype(np.int64))
 
 
 def _counted(slices: DataFrame, find: Callable[[Slice], Iterable[tuple[bytes, int]]]) -> DataFrame:
