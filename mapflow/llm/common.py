@@ -26,6 +26,19 @@ def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
+def unused_name(docs: DataFrame, name: str) -> str:
+    """`name`, lengthened until no column of `docs` is called so."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def own_columns(docs: DataFrame) -> list[Column]:
+    """All columns by name, whatever characters the names hold."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in docs.columns]
+
+
 def tokenizer_path(name: str) -> str:
     """Place of a public tokenizer file; the same on every machine of the cluster."""
     import public_tokenizers

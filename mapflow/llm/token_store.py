@@ -24,11 +24,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from mapflow.llm.bpe import encoded, encoder
-from mapflow.llm.common import text_or_empty
+from mapflow.llm.common import hash_bitmap, may_hold, stored, text_or_empty
 
 BITS = 8
 RANK_BLOCK = 512
 SEGMENT_IDS = 1_000_000
+ENCODED = 256  # texts whose ids are handed on at a time
+BEGINNING = 64  # characters by which the rows of a repeated doc_id are dealt
 LEVEL = pa.struct([("chunks", pa.binary()), ("bitmap", pa.binary()), ("ranks", pa.binary())])
 SEGMENT = pa.schema(
     [("shard", pa.int32()), ("segment", pa.int32()), ("n_ids", pa.int64()), ("docs", pa.list_(pa.int64())), ("ends", pa.list_(pa.int64())), ("levels", pa.list_(LEVEL))]
@@ -94,40 +96,55 @@ def write_ids(docs: DataFrame, tokenizer: str, path: str, end_id: int = 0, segme
     """Encode documents, end each with `end_id`, and write them below `path` in ascending doc_id order.
 
     A null or empty text is the end id alone. Rows of one doc_id follow each other by
-    text; a null doc_id comes first. One shuffle, of the texts, by ranges of doc_id.
+    text; a null doc_id comes first; equal rows stay. No documents: no segments. Texts are
+    encoded where they are read and only their ids are shuffled. The rows of a doc_id that
+    repeats bring their text along as well, for its order, and are dealt to tasks by how
+    it begins, so that such a doc_id may fill any number of them.
     """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = encoder(tokenizer)
         end = np.array([end_id], bpe.dtype).tobytes()
+        for batch in batches:
+            texts = batch.column("text").to_pylist()
+            for at in range(0, len(texts), ENCODED):
+                part = batch.slice(at, ENCODED)
+                ids = [coded + end for coded in encoded(tokenizer, texts[at : at + ENCODED])]
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("order"), pa.array(ids, pa.binary())], ["doc_id", "order", "ids"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind = encoder(tokenizer).dtype
         shard, segment = TaskContext.get().partitionId(), 0
-        ids: list[int | None] = []
+        docs_in: list[int | None] = []
         data: list[bytes] = []
         size = 0
 
         def flush() -> pa.RecordBatch:
-            ends = np.cumsum([len(d) // bpe.dtype.itemsize for d in data]).tolist()
-            levels = to_levels(np.frombuffer(b"".join(data), bpe.dtype))
-            row = {"shard": shard, "segment": segment, "n_ids": ends[-1], "docs": ids, "ends": ends, "levels": levels}
+            ends = np.cumsum([len(d) // kind.itemsize for d in data]).tolist()
+            levels = to_levels(np.frombuffer(b"".join(data), kind))
+            row = {"shard": shard, "segment": segment, "n_ids": ends[-1], "docs": docs_in, "ends": ends, "levels": levels}
             return pa.RecordBatch.from_pylist([row], SEGMENT)
 
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            for doc, coded in zip(batch.column("doc_id").to_pylist(), encoded(tokenizer, texts), strict=True):
-                ids.append(doc)
-                data.append(coded + end)
-                size += len(data[-1]) // bpe.dtype.itemsize
+            for doc, ids in zip(batch.column("doc_id").to_pylist(), batch.column("ids").to_pylist(), strict=True):
+                docs_in.append(doc)
+                data.append(ids)
+                size += len(ids) // kind.itemsize
                 if size >= segment_ids:
                     yield flush()
-                    ids, data, size, segment = [], [], 0, segment + 1
-        if ids:
+                    docs_in, data, size, segment = [], [], 0, segment + 1
+        if docs_in:
             yield flush()
 
     spark = docs.sparkSession
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
+    several = texts.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.xxhash64("doc_id").alias("hash"))
+    order = F.when(may_hold(hash_bitmap(several), F.xxhash64("doc_id")), F.col("text")).otherwise("")
+    # Written once: finding the ranges reads the rows a first time, and must not encode them again.
+    ids = stored(texts.select("doc_id", order.alias("order"), "text").mapInArrow(encode, "doc_id long, order string, ids binary"), "encoded")
     (
-        docs.select(F.col("doc_id").cast("long"), text_or_empty().alias("text"))
-        .repartitionByRange("doc_id")
-        .sortWithinPartitions("doc_id", "text")
+        ids.repartitionByRange("doc_id", F.substring("order", 1, BEGINNING))
+        .sortWithinPartitions("doc_id", "order")
         .mapInArrow(run, SEGMENT_DDL)
         .write.parquet(f"{path}/segments")
     )
@@ -151,9 +168,9 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
         for batch in batches:
             for at in range(batch.num_rows):  # a segment is some megabytes: one at a time
                 row = batch.slice(at, 1).to_pylist()[0]
-                codes = Codes(row["levels"])
+                ids = Codes(row["levels"]).run(0, row["n_ids"])
                 starts = [0, *row["ends"][:-1]]
-                sums = [zlib.crc32(codes.run(a, b)) for a, b in zip(starts, row["ends"], strict=True)]
+                sums = [zlib.crc32(ids[a:b]) for a, b in zip(starts, row["ends"], strict=True)]
                 n = len(starts)
                 yield pa.RecordBatch.from_arrays(
                     [
