@@ -28,7 +28,7 @@ from math import ceil, log2
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mapflow.llm.common import BLANKS, hash_bitmap, may_hold, stored, text_or_empty
+from mapflow.llm.common import BLANKS, hash_bitmap, may_hold, own_columns, stored, text_or_empty, unused_name
 
 BUCKET_ENTRIES = 65_536
 MOST_BITS = 24
@@ -128,20 +128,20 @@ def deduplicate(docs: DataFrame, capacity: int = BUCKET_ENTRIES) -> DataFrame:
     their texts need not be shuffled; the joins decide about the rest.
     """
     found = stored(groups(docs, capacity), "groups")
-    name = lambda column: f"__{column}"  # noqa: E731 - apart from whatever columns documents bring
-    dropped = stored(found.where(~F.col("kept")).select("doc_id", "text_sha256").distinct(), "dropped")
-    again = stored(found.where("kept").groupBy("doc_id", "text_sha256").count().where("count > 1").drop("count"), "repeated")
-    marked = docs.withColumn(name("sha"), F.sha2(normalised(text_or_empty()).cast("binary"), 256))
-
-    hashed = F.xxhash64(F.col("doc_id").cast("long"), F.col(name("sha")))
-    either = dropped.unionByName(again).select(F.xxhash64("doc_id", "text_sha256").alias("hash"))
-    possible = may_hold(hash_bitmap(either), hashed)
+    sha = unused_name(docs, "text_sha")  # apart from whatever columns documents bring
+    id_name, sha_name = unused_name(docs, "found_id"), unused_name(docs, "found_sha")
+    named = lambda rows: rows.select(F.col("doc_id").alias(id_name), F.col("text_sha256").alias(sha_name))
+    dropped = stored(named(found.where(~F.col("kept"))).distinct(), "dropped")
+    again = stored(named(found.where("kept").groupBy("doc_id", "text_sha256").count().where("count > 1")), "repeated")
+    marked = docs.withColumn(sha, F.sha2(normalised(text_or_empty()).cast("binary"), 256))
+
+    number = F.col("doc_id").cast("long")
+    either = dropped.unionByName(again).select(F.xxhash64(id_name, sha_name).alias("hash"))
+    possible = may_hold(hash_bitmap(either), F.xxhash64(number, F.col(sha)))
     untouched, rest = marked.where(~possible), marked.where(possible)
 
-    def same(other: DataFrame) -> Column:
-        return rest["doc_id"].cast("long").eqNullSafe(other["doc_id"]) & (rest[name("sha")] == other["text_sha256"])
-
-    kept = rest.join(dropped, same(dropped), "left_anti")
-    once = kept.join(again, same(again), "left_anti")
-    more = kept.join(again, same(again), "left_semi").dropDuplicates(["doc_id", name("sha")])
-    return untouched.unionByName(once).unionByName(more).drop(name("sha"))
+    same = number.eqNullSafe(F.col(id_name)) & (F.col(sha) == F.col(sha_name))
+    kept = rest.join(dropped, same, "left_anti")
+    once = kept.join(again, same, "left_anti")
+    more = kept.join(again, same, "left_semi").dropDuplicates(["doc_id", sha])
+    return untouched.unionByName(once).unionByName(more).select(*own_columns(docs))

@@ -4,22 +4,26 @@
   shingles of `words` neighbouring words (fewer words: the whole sequence as one shingle).
   Documents with one set are one class and enter the forest once, whatever their number.
 - *Signature.* 128 minima, each under a hash function of its own.
-- *Forest.* Each of 32 trees is an order of the signatures by its own four minima. Two
-  sets of similarity s share those with chance s^4; at 0.8 all 32 trees miss them with
-  chance 5e-8.
-- *Neighbours.* Sets with a common prefix of depth four are neighbours. First each is
-  compared with the smallest of its prefix group. What that links becomes one component,
-  and pairs within it need no comparison. Then, where a group still spans several
-  components, all members of different components are compared, in blocks within tasks.
-- *Wide groups.* The members of all groups that still span more than `WIDE` components
-  meet by an exact rule instead: sets with a link share one of their rarest shingles
-  (prefix filter, see `by_rare_shingles`). This leaves out no pair that a link joins.
+- *Forest.* Each of 32 trees is an order of the signatures by its own four minima and the
+  four after them. Two sets of similarity s share those four with chance s^4; at 0.8 all
+  32 trees miss them with chance 5e-8. Sets with these four in common make a region.
+- *Neighbours.* Regions of two sets are compared as they are, in all trees. The others are
+  sorted by the whole order, in eight of the trees, and next neighbours are candidates, which
+  share the longest prefix that either shares with any set. How long it must be is the
+  region's own: at least four, and deeper as long as more than `WIDE` sets share it.
+  So each set has at most two candidates in a tree, whatever the size of its region.
+- *Completion.* Components of what was confirmed need no more comparison within. Members of
+  regions that still span several meet by an exact rule: sets with a link share one of
+  their rarest shingles, and at the first they share enough must be left of both (see
+  `by_rare_shingles`). This leaves out no pair that a link joins, so the forest's own
+  recall (see README) decides about the work and not about the result.
 - *Confirmation.* Links are confirmed on the whole sets: a link needs
   ``100 * intersection >= percent * union``.
 
 No group is collected, no candidate dropped. Defined results: null, empty or blank texts
 have an empty set, no links and component_id = doc_id. Rows that share a doc_id are taken
-for one document. A row without doc_id takes no part: component_id null, kept true.
+for one document. A row without doc_id takes no part: component_id null, kept true. No
+documents: no rows. Ties do not occur, as the smallest doc_id stays; other columns are handed on.
 """
 
 from __future__ import annotations
@@ -33,15 +37,18 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mapflow.llm.common import hash_bitmap, may_hold, stored, text_or_empty
+from mapflow.llm.common import hash_bitmap, may_hold, stored, text_or_empty, unused_name
 from mapflow.llm.components import components
 
 MINIMA = 128
 TREES = 32
+ORDERS = 8  # trees whose sorted orders are read
 DEPTH = 4
 WIDE = 64
-BLOCK = 1000
-TASK_ROWS = 4000
+SORTED_ROWS = 1_000_000  # of a sorted partition that are looked at together
+BLOCK = 5000
+TASK_ROWS = 50_000
+TILE = 1000
 TABLE_SIZE = 100_000
 SETS = 500  # full sets that are handed on at a time
 FILTER_BITS = 24
@@ -92,13 +99,16 @@ def signature(values: np.ndarray) -> np.ndarray:
     return least.astype("<u4")
 
 
-def prefix_keys(minima: np.ndarray) -> np.ndarray:
-    """One 64-bit key for each tree, of its minima."""
+def prefix_keys(minima: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each tree a 64-bit key of its minima, and the four minima after them at 16 bits each."""
     keys = np.arange(TREES, dtype=np.uint64)
     starts = np.arange(TREES) * (MINIMA // TREES)
     for k in range(DEPTH):
         keys = _mixed(keys * ODD + minima[starts + k])
-    return keys.view(np.int64)
+    deeper = np.zeros(TREES, np.uint64)
+    for k in range(DEPTH, 2 * DEPTH):
+        deeper = (deeper << np.uint64(16)) | (minima[(starts + k) % MINIMA] & np.uint64(0xFFFF))
+    return keys.view(np.int64), deeper.view(np.int64)
 
 
 def marks(docs: DataFrame, words: int) -> DataFrame:
@@ -125,29 +135,63 @@ def marks(docs: DataFrame, words: int) -> DataFrame:
 
 
 def forest(nodes: DataFrame) -> DataFrame:
-    """Per set and tree: node, n (set size), key."""
+    """Per set and tree: node, n (set size), key, and the deeper part of the order (in the first `ORDERS` trees)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sorted_trees = np.arange(TREES) < ORDERS
         for batch in batches:
-            keys = []
-            with np.errstate(over="ignore"):
-                for data in batch.column("minima"):
-                    minima = np.frombuffer(data.as_py(), "<u4").astype(np.uint64)
-                    keys.append(prefix_keys(minima))
-            if not keys:
-                continue
             for at in range(0, batch.num_rows, 2000):
-                n = len(keys[at : at + 2000])
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.repeat(batch.column(c).slice(at, n).to_numpy(zero_copy_only=False), TREES), pa.int64())
-                        for c in ("node", "n")
-                    ]
-                    + [pa.array(np.concatenate(keys[at : at + 2000]), pa.int64())],
-                    ["node", "n", "key"],
-                )
+                part = batch.slice(at, 2000)
+                with np.errstate(over="ignore"):
+                    found = [prefix_keys(np.frombuffer(data.as_py(), "<u4").astype(np.uint64)) for data in part.column("minima")]
+                keys, deeper = (np.concatenate(x) for x in zip(*found, strict=True))
+                n = part.num_rows
+                columns = [pa.array(np.repeat(part.column(c).to_numpy(zero_copy_only=False), TREES), pa.int64()) for c in ("node", "n")]
+                deep = pa.array(deeper, pa.int64(), mask=~np.tile(sorted_trees, n))
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(keys, pa.int64()), deep], ["node", "n", "key", "deep"])
+
+    return nodes.select("node", "n", "minima").mapInArrow(run, "node long, n long, key long, deep long")
+
+
+def order_neighbours(key: np.ndarray, deep: np.ndarray, wide: int) -> np.ndarray:
+    """Positions whose row is a candidate with the one before, in rows sorted by key and deeper part."""
+    apart = (deep[1:] ^ deep[:-1]).view(np.uint64)
+    common = DEPTH + sum((apart >> np.uint64(shift) == 0).astype(np.int64) for shift in (48, 32, 16, 0))
+    common[key[1:] != key[:-1]] = 0
+    chosen = common == 2 * DEPTH
+    for depth in range(DEPTH, 2 * DEPTH):
+        region = np.concatenate([[0], np.cumsum(common < depth)])
+        chosen |= (common == depth) & (np.bincount(region)[region[1:]] <= wide)
+    return np.flatnonzero(chosen) + 1
+
+
+def neighbours(regions: DataFrame) -> DataFrame:
+    """Pairs `a, b, n_a, n_b` of sets next to each other in the sorted orders of the forest."""
+    wide = WIDE
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ("key", "deep", "node", "n")
+        held: list[list[np.ndarray]] = []
+        size = 0
+
+        def out() -> pa.RecordBatch:
+            key, deep, node, n = (np.concatenate(x) for x in zip(*held, strict=True))
+            held[:] = [[x[-1:] for x in (key, deep, node, n)]]  # goes on beside the rows that follow
+            at = order_neighbours(key, deep, wide)
+            return pa.RecordBatch.from_arrays([pa.array(x) for x in (node[at - 1], node[at], n[at - 1], n[at])], ["a", "b", "n_a", "n_b"])
 
-    return nodes.select("node", "n", "minima").mapInArrow(run, "node long, n long, key long")
+        for batch in batches:
+            held.append([batch.column(c).to_numpy() for c in names])
+            size += batch.num_rows
+            if size > SORTED_ROWS:
+                yield out()
+                size = 1
+        if size > 1:
+            yield out()
+
+    rows = regions.where("deep is not null").select("key", "deep", "node", "n")
+    # Ranges of the whole order, so a large region may fill any number of tasks.
+    return rows.repartitionByRange("key", "deep", "node").sortWithinPartitions("key", "deep", "node").mapInArrow(run, "a long, b long, n_a long, n_b long")
 
 
 def _slot() -> Column:
@@ -216,117 +260,95 @@ def links(docs: DataFrame, marked: DataFrame, words: int, percent: int) -> DataF
         .select("node", F.col("n_shingles").alias("n"), "minima")
     )
     trees = stored(forest(nodes), "forest")
+    one = F.struct("node", "n")
+    met = trees.groupBy("key").agg(F.min(one).alias("low"), F.max(one).alias("high"), F.count(F.lit(1)).alias("met")).where("met > 1")
+    met = stored(met, "met")
+    alone = met.where("met = 2").select(F.col("low.node").alias("a"), F.col("high.node").alias("b"), F.col("low.n").alias("n_a"), F.col("high.n").alias("n_b"))
+    regions = stored(trees.join(met.where("met > 2").select("key"), "key", "left_semi"), "regions")
+    pairs = alone.unionByName(neighbours(regions)).where(_close_in_size(percent) & (F.col("a") != F.col("b")))
+    pairs = stored(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "neighbours")
+    first_links = stored(confirmed(pairs, docs, words, percent), "neighbour-links")
 
-    # Each set against the smallest of its prefix group.
-    firsts = trees.groupBy("key").agg(F.min("node").alias("a"), F.count(F.lit(1)).alias("met")).where("met > 1")
-    spread = stored(trees.join(firsts.select("key", "a"), "key").select("key", "a", "node", "n"), "met")
-    sizes = spread.where("node = a").select("a", F.col("n").alias("n_a")).distinct()
-    stars = spread.where("node <> a").select("a", F.col("node").alias("b"), F.col("n").alias("n_b")).distinct()
-    pairs = stored(stars.join(sizes, "a").where(_close_in_size(percent)).select("a", "b").distinct(), "star-pairs")
-    first_links = stored(confirmed(pairs, docs, words, percent), "star-links")
-
-    # Groups that still span several components: what links those, compared within tasks.
     label = components(first_links)
-    labelled = stored(
-        spread.join(label, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component")), "labelled"
-    )
-    parts = stored(_parts(labelled), "parts")
-    narrow = labelled.join(parts.where(F.col("parts") <= WIDE).select("key"), "key", "left_semi")
-    wide = labelled.join(parts.where(F.col("parts") > WIDE).select("key"), "key", "left_semi").select("node", "component").distinct()
-    rare = by_rare_shingles(stored(wide, "wide-nodes"), docs, words, percent)
-    side = stored(narrow.unionByName(rare), "open-groups")
-    across = across_components(side, docs, words, percent)
-    return first_links.unionByName(confirmed(stored(across, "cross-pairs"), docs, words, percent))
-
-
-def _parts(labelled: DataFrame) -> DataFrame:
-    """Number of components of every group that has several."""
-    return labelled.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b"), F.approx_count_distinct("component").alias("parts")).where(
-        "a <> b"
-    )
+    labelled = regions.join(label, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
+    labelled = stored(labelled, "labelled")
+    open_nodes = stored(labelled.join(_several(labelled), "key", "left_semi").select("node", "component").distinct(), "open-nodes")
+    more = by_rare_shingles(open_nodes, docs, words, percent).join(pairs, ["a", "b"], "left_anti")
+    return first_links.unionByName(confirmed(stored(more, "rare-pairs"), docs, words, percent))
+
+
+def _several(labelled: DataFrame) -> DataFrame:
+    """Keys whose rows lie in several components."""
+    return labelled.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("key")
 
 
 def by_rare_shingles(nodes: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """`key, node, component`: groups of nodes by shingles, such that any two with a link have a group in common.
+    """Pairs `a, b` of nodes of different components, among them all that have a link.
 
     A link needs ``percent`` of the larger set in common. Let shingles be ordered, the rarest
     among these nodes first: of the first ``n - ceil(percent * n / 100) + 1`` shingles of
-    each set two linked sets share one, else too few are left.
-    """
-    each = full_sets(docs, nodes, words).select("node", F.explode("shingles").alias("key"))
-    each = stored(each, "wide-shingles")
-    times = each.groupBy("key").agg(F.count(F.lit(1)).alias("times"))
-    ordered = each.join(times, "key").groupBy("node").agg(F.array_sort(F.collect_list(F.struct("times", "key"))).alias("ordered"))
-    n = F.size("ordered")
-    first = F.slice("ordered", F.lit(1), (n - F.ceil(n * percent / 100) + 1).cast("int"))
-    rare = ordered.select("node", F.explode(first).alias("rare")).where("rare.times > 1").select(F.col("rare.key").alias("key"), "node")
-    rare = stored(rare.join(nodes, "node").select("key", "node", "component"), "rare-shingles")
-    return rare.join(_parts(rare).select("key"), "key", "left_semi")
-
-
-def across_components(side: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """Pairs `a, b` that connect components of a group, enough to join all that some link joins.
-
-    All members of different components are compared, as rows of a matrix and never as rows
-    of a table. A group of more than `BLOCK` members is compared block against block, so
-    memory stays bounded. Sets are taken at 31 bits here and a pair may miss by one
-    shingle; the pairs found are confirmed on the full sets afterwards.
+    each set two linked sets share one, else too few are left. At the first shingle they
+    share, all they share is still to come, so the rest of either set must be as large as
+    ``percent * (n_a + n_b) / (100 + percent)``: pairs are taken at shingles where it is.
     """
-    nodes = stored(side.select("node").distinct(), "open-nodes")
-    sets = full_sets(docs, nodes, words).select("node", F.transform("shingles", lambda x: x.bitwiseAND(2**31 - 1).cast("int")).alias("shingles"))
-    sizes = side.groupBy("key").agg(F.count(F.lit(1)).alias("members"))
-    sizes = stored(sizes.withColumn("blocks", F.ceil(F.col("members") / BLOCK).cast("int")), "group-sizes")
-    dealt = side.join(sizes.drop("members"), "key").withColumn("block", F.pmod(F.xxhash64("node", "key"), F.col("blocks")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    pairs_of_blocks = dealt.select("key", "node", "component", "block", other).select(
-        "key", "node", "component", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")
+    each = full_sets(docs, nodes, words).select("node", F.xxhash64("shingles").alias("set"), F.size("shingles").alias("n"), F.explode("shingles").alias("key"))
+    each = stored(each, "open-shingles")
+    times = each.groupBy("key").agg(F.count(F.lit(1)).alias("times")).where("times > 1")
+    # Shingles of one set alone come first in its order, and are only counted.
+    shared = each.join(times, "key").groupBy("node", "set", "n").agg(F.array_sort(F.collect_list(F.struct("times", "key"))).alias("shared"))
+    own = F.col("n") - F.size("shared")
+    within = F.greatest(F.col("n") - F.ceil(F.col("n") * percent / 100) + 1 - own, F.lit(0)).cast("int")
+    rare = (
+        shared.select("node", "n", own.alias("own"), F.slice("shared", F.lit(1), within).alias("rare"))
+        .join(nodes, "node")
+        .select("node", "component", "n", "own", F.posexplode("rare").alias("at", "rare"))
+        .select(F.col("rare.key").alias("key"), "node", "component", "n", (F.col("n") - F.col("own") - F.col("at")).alias("left"))
     )
-    # A member goes to as many pairs of blocks as its group has blocks.
-    n_rows = sizes.agg(F.coalesce(F.sum(F.col("members") * F.col("blocks")), F.lit(0))).first()[0]
-    tasks = max(1, -(-n_rows // TASK_ROWS))
-    spread = pairs_of_blocks.join(sets, "node").withColumn("task", F.pmod(F.xxhash64("key", "low", "high"), F.lit(tasks)))
+    rare = stored(rare, "rare-shingles")
+    rare = stored(rare.join(_several(rare), "key", "left_semi"), "open-keys")
+    sizes = rare.groupBy("key").agg(F.count(F.lit(1)).alias("members")).where(F.col("members") > BLOCK)
+    sizes = sizes.select("key", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks"))
+    dealt = rare.join(sizes, "key", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    dealt = dealt.withColumn("block", F.pmod(F.xxhash64("node", "key"), F.col("blocks")).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    dealt = dealt.select("*", other).withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")})
+    # A member of a key with more than BLOCK goes to as many pairs of blocks as there are blocks.
+    dealt = stored(dealt.select("key", "low", "high", "block", "node", "component", "n", "left"), "dealt-keys")
+    tasks = max(1, -(-dealt.count() // TASK_ROWS))
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
-        found = [links_across(g, percent) for _, g in frame.groupby(["key", "low", "high"], sort=False)]
-        pairs = np.concatenate(found) if found else np.empty((0, 2), np.int64)
-        return pd.DataFrame({"a": pairs.min(1), "b": pairs.max(1)}).drop_duplicates()
-
-    return spread.groupBy("task").applyInPandas(run, "a long, b long").distinct()
-
-
-def links_across(group: pd.DataFrame, percent: int) -> np.ndarray:
-    """One likely link for each two components of a group's members that have some."""
-    nodes, component, block = (group[c].to_numpy() for c in ("node", "component", "block"))
-    sets = group["shingles"].tolist()
-    size = np.array([len(s) for s in sets])
-    values = np.concatenate(sets)
-    rows = np.repeat(np.arange(len(sets)), size)
-    _, column, times = np.unique(values, return_inverse=True, return_counts=True)
-    met = times[column] > 1  # a shingle of one member is shared with none
-    order = np.argsort(column[met], kind="stable")
-    rows, column = rows[met][order], column[met][order]
-    shared = np.zeros((len(sets), len(sets)), np.float32)
-    if len(column):
-        column = np.concatenate([[0], np.cumsum(column[1:] != column[:-1])])
-        for first in range(0, column[-1] + 1, 4096):
-            a, b = np.searchsorted(column, [first, first + 4096])
-            table = np.zeros((len(sets), min(4096, column[-1] + 1 - first)), np.float32)
-            table[rows[a:b], column[a:b] - first] = 1
-            shared += table @ table.T
-    union = size[:, None] + size[None, :] - shared
-    linked = (100 * (shared + 1) >= percent * (union - 1)) & (component[:, None] < component[None, :])
-    low, high = group["low"].iloc[0], group["high"].iloc[0]
-    if low != high:
-        linked &= block[:, None] != block[None, :]
-    a, b = np.nonzero(linked)
-    if not len(a):
-        return np.empty((0, 2), np.int64)
-    ends = np.column_stack([component[a], component[b]])
-    score = (shared / np.maximum(union, 1))[a, b]
-    order = np.lexsort((-score, ends[:, 1], ends[:, 0]))
-    new = np.concatenate([[True], (ends[order][1:] != ends[order][:-1]).any(1)])
-    best = order[new]
-    return np.column_stack([nodes[a[best]], nodes[b[best]]])
+        frame = frame.sort_values(["key", "low", "high"], kind="stable")
+        name = frame[["key", "low", "high"]].to_numpy()
+        starts = np.flatnonzero(np.concatenate([[True], (name[1:] != name[:-1]).any(1)]))
+        node, component, n, left, block = (frame[c].to_numpy() for c in ("node", "component", "n", "left", "block"))
+        found = [np.empty((0, 2), np.int64)]
+        for start, stop in zip(starts.tolist(), [*starts[1:].tolist(), len(frame)], strict=True):
+            across = block[start:stop] if name[start, 1] != name[start, 2] else None
+            found += possible_links(node[start:stop], component[start:stop], n[start:stop], left[start:stop], across, percent)
+        pairs = np.unique(np.concatenate(found), axis=0)
+        return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
+
+    task = F.pmod(F.xxhash64("key", "low", "high"), F.lit(tasks)).alias("task")
+    return dealt.select("*", task).groupBy("task").applyInPandas(run, "a long, b long").distinct()
+
+
+def possible_links(node: np.ndarray, component: np.ndarray, n: np.ndarray, left: np.ndarray, block: np.ndarray | None, percent: int) -> list[np.ndarray]:
+    """Pairs (smaller node first) of members of a shingle, of different components and of different blocks if those are given."""
+    fit = np.flatnonzero((100 + percent) * left >= percent * n)  # else too little is left whatever the other
+    out = []
+    for first in range(0, len(fit), TILE):
+        x = fit[first : first + TILE]
+        for second in range(first, len(fit), TILE):
+            y = fit[second : second + TILE]
+            good = (100 + percent) * np.minimum(left[x][:, None], left[y]) >= percent * (n[x][:, None] + n[y])
+            good &= component[x][:, None] != component[y]
+            if block is not None:
+                good &= block[x][:, None] != block[y]
+            i, j = np.nonzero(good)
+            if len(i):
+                pairs = np.column_stack([node[x[i]], node[y[j]]])
+                out.append(np.unique(np.sort(pairs, axis=1), axis=0))
+    return out
 
 
 def near_groups(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
@@ -345,9 +367,9 @@ def near_groups(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame
 
 def deduplicate(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """One document of each component, all its columns. Rows that repeat a kept doc_id stay."""
-    dropped = stored(near_groups(docs, words, percent).where(~F.col("kept")).select("doc_id").distinct(), "near-dropped")
+    gone = unused_name(docs, "gone")
+    dropped = stored(near_groups(docs, words, percent).where(~F.col("kept")).select(F.col("doc_id").alias(gone)).distinct(), "near-dropped")
     number = F.col("doc_id").cast("long")
     # Most kept documents pass by a bitmap instead of a join, without a shuffle of their texts.
-    possible = F.coalesce(may_hold(hash_bitmap(dropped.select(F.xxhash64("doc_id").alias("hash"))), F.xxhash64(number)), F.lit(False))
-    rest = docs.where(possible)
-    return docs.where(~possible).unionByName(rest.join(dropped, rest["doc_id"].cast("long") == dropped["doc_id"], "left_anti"))
+    possible = F.coalesce(may_hold(hash_bitmap(dropped.select(F.xxhash64(gone).alias("hash"))), F.xxhash64(number)), F.lit(False))
+    return docs.where(~possible).unionByName(docs.where(possible).join(dropped, number == F.col(gone), "left_anti"))

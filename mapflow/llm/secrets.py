@@ -16,7 +16,8 @@
 Defined results: null and empty texts have no findings; a candidate that a text repeats
 is one finding with its number of occurrences; without labelled findings of both kinds
 nothing can be told apart, and every candidate keeps the share of positive labels as its
-score (0.5 without any labels).
+score (0.5 without any labels). `documents` without rows has no findings. Columns of any other
+name are handed on as they are.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mapflow.llm.common import hash_bitmap, may_hold, stored, text_or_empty
+from mapflow.llm.common import hash_bitmap, may_hold, own_columns, stored, text_or_empty, unused_name
 
 SHORTEST = 12
 RUN = r"[A-Za-z0-9_+/.@-]{12,}+={0,2}"
@@ -47,7 +48,9 @@ HARMLESS = r"^[0-9.+/_-]+$|^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-f
 ISSUED_INSIDE = f"(?<![A-Za-z0-9]){ISSUED[1:-1]}(?![A-Za-z0-9])"
 NAME = "(?i:" + CREDENTIAL.removeprefix("(?i)^").removesuffix("$").replace("api_?key", "api[_-]?key").replace("access_?key", "access[_-]?key") + ")[\"'`]?"
 SIGN = "[:=]+>?"
-ASSIGNED = f"(?<![A-Za-z]){NAME} ?{SIGN} ?"
+#: A name begins after anything but a letter, or at a change of case (clientSecret).
+NAME_START = "(?:(?<![A-Za-z])|(?<=[a-z])(?=[A-Z]))"
+ASSIGNED = f"{NAME_START}{NAME} ?{SIGN} ?"
 QUOTED_VALUE = ASSIGNED + r"[\"'`]([^\s\"'`]{6,})[\"'`]\S*$"
 PLAIN_VALUE = ASSIGNED + r"([^\s\"'`=:]\S{4,}[^\s\"'`,;.)\]}])[\"'`,;.)\]}]*$"
 SHAPE = ["length", "lower", "upper", "digit", "mark", "changes", "hex", "distinct", "covered"]
@@ -196,28 +199,50 @@ def scan(docs: DataFrame, path: str | None = None, labelled: DataFrame | None =
     )
 
 
+def _quoted(value: Column) -> Column:
+    """A pattern for the value itself, between the borders of a word where it begins or ends like one."""
+    plain = F.concat(F.lit(r"\Q"), F.replace(value, F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E"))
+    before = F.when(value.rlike("^[A-Za-z0-9]"), F.lit("(?<![A-Za-z0-9])")).otherwise("")
+    after = F.when(value.rlike("[A-Za-z0-9]$"), F.lit("(?![A-Za-z0-9])")).otherwise("")
+    return F.concat(before, plain, after)
+
+
+def without_secret(text: Column, secret: Column, mark: str) -> Column:
+    """The text with a secret replaced wherever it was found.
+
+    Values with a digit and twelve characters or more, and those in an issuer's format, are too random for a
+    word and go wherever they stand by themselves; any other only where it is assigned to a credential's name.
+    """
+    put = mark.replace("\\", "\\\\").replace("$", "\\$")
+    random = secret.rlike(ISSUED) | (secret.rlike(f"^{RUN}$") & secret.rlike("[0-9]"))
+    assigned = F.concat(F.lit(f"({NAME_START}{NAME}\\s*{SIGN}\\s*[\"'`]?)"), _quoted(secret))
+    there = F.regexp_replace(text, assigned, F.lit("$1" + put))
+    return F.when(random, F.regexp_replace(text, _quoted(secret), F.lit(put))).otherwise(there)
+
+
 def redact(docs: DataFrame, path: str | None = None, mark: str = "[SECRET]") -> DataFrame:
     """All rows and columns, secrets in `text` replaced by a mark; a `n_chars` column follows the text."""
     found = scan(docs, path).where("secret")
     longest = lambda a, b: F.when(F.length(a) != F.length(b), F.length(b) - F.length(a)).when(a < b, -1).when(a > b, 1).otherwise(0)
+    key_name, list_name = unused_name(docs, "secret_key"), unused_name(docs, "secrets")
     secrets = (
-        found.select(F.col("text_key").alias("__secret_key"), "candidate")
-        .groupBy("__secret_key")
-        .agg(F.array_sort(F.collect_set("candidate"), longest).alias("__secrets"))
+        found.select(F.col("text_key").alias(key_name), "candidate")
+        .groupBy(key_name)
+        .agg(F.array_sort(F.collect_set("candidate"), longest).alias(list_name))
     )
     secrets = stored(secrets, "secrets")
     # Texts whose hash falls in no slot of a fixed bitmap hold no secret, and need no join.
     key = F.xxhash64(text_or_empty())
-    possible = may_hold(hash_bitmap(secrets.select(F.col("__secret_key").alias("hash"))), key)
-    joined = docs.where(possible).join(secrets, key == F.col("__secret_key"), "left")
-    clean = F.when(F.col("__secrets").isNull(), F.col("text")).otherwise(
-        F.aggregate("__secrets", F.col("text"), lambda text, secret: F.replace(text, secret, F.lit(mark)))
+    possible = may_hold(hash_bitmap(secrets.select(F.col(key_name).alias("hash"))), key)
+    joined = docs.where(possible).join(secrets, key == F.col(key_name), "left")
+    clean = F.when(F.col(list_name).isNull(), F.col("text")).otherwise(
+        F.aggregate(list_name, F.col("text"), lambda text, secret: without_secret(text, secret, mark))
     )
     changed = {"text": clean}
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
-        changed["n_chars"] = F.when(F.col("__secrets").isNull(), F.col("n_chars")).otherwise(F.length(clean).cast(kind))
-    return docs.where(~possible).unionByName(joined.withColumns(changed).select(*docs.columns))
+        changed["n_chars"] = F.when(F.col(list_name).isNull(), F.col("n_chars")).otherwise(F.length(clean).cast(kind))
+    return docs.where(~possible).unionByName(joined.withColumns(changed).select(*own_columns(docs)))
 
 
 def findings(docs: DataFrame, path: str | None = None) -> DataFrame:

@@ -113,11 +113,23 @@ def test_near_groups(documents, odd_rows, words, percent):
 
 def test_near_groups_at_the_deeper_prefix(documents, monkeypatch):
     monkeypatch.setattr(near_dedup, "WIDE", 1)
+    monkeypatch.setattr(near_dedup, "BLOCK", 3)
+    monkeypatch.setattr(near_dedup, "TILE", 2)
     rows = near_rows()
     got = near_dedup.near_groups(documents(rows), 2, 80).collect()
     assert sorted((tuple(r) for r in got), key=str) == near_expected(rows, 2, 80)
 
 
+def test_neighbours_go_deeper_in_large_regions():
+    key = np.array([1, 1, 2, 2, 2, 2, 2, 3])
+    deep = np.array([[9, 9, 9, 9], [8, 8, 8, 8], [1, 1, 1, 1], [1, 1, 1, 1], [1, 1, 1, 2], [1, 2, 3, 4], [5, 5, 5, 5], [5, 5, 5, 5]], np.int64)
+    deep = (deep << np.array([48, 32, 16, 0])).sum(1)
+    assert near_dedup.order_neighbours(key, deep, 64).tolist() == [1, 3, 4, 5, 6]
+    assert near_dedup.order_neighbours(key, deep, 4).tolist() == [1, 3, 4, 5]
+    assert near_dedup.order_neighbours(key, deep, 2).tolist() == [1, 3]
+    assert near_dedup.order_neighbours(key[:1], deep[:1], 2).tolist() == []
+
+
 def test_pairs_in_wide_groups_are_all_found(documents, monkeypatch):
     """Pairs just above the threshold that share prefixes of four minima but none of eight, each among texts that are a little farther."""
     monkeypatch.setattr(near_dedup, "WIDE", 1)

@@ -92,6 +92,26 @@ def test_repeated_candidates_and_labelled_findings(documents):
     assert secrets.findings(documents([])).collect() == []
 
 
+def test_secrets_go_only_where_they_were_found(spark):
+    cases = {
+        ("password=summer1 for the summer1time account and summer1 holidays", "summer1"): "password=[X] for the summer1time account and summer1 holidays",
+        ("use clientSecret=Zx9!kk, please", "Zx9!kk"): "use clientSecret=[X], please",
+        ("db_password:\n'hunter2x' and hunter2x", "hunter2x"): "db_password:\n'[X]' and hunter2x",
+        ("key q7Wm2Zx9Lk4Pv8Ts and q7Wm2Zx9Lk4Pv8Ts2 (q7Wm2Zx9Lk4Pv8Ts)", "q7Wm2Zx9Lk4Pv8Ts"): "key [X] and q7Wm2Zx9Lk4Pv8Ts2 ([X])",
+        ("a=9sdf8sdf7sdf==bcd then 9sdf8sdf7sdf==", "9sdf8sdf7sdf=="): "a=[X]bcd then [X]",
+        (r"token = a\E.*b$1c and aEb", r"a\E.*b$1c"): "token = [X] and aEb",
+    }
+    rows = spark.createDataFrame([(t, s) for t, s in cases], "text string, secret string")
+    got = rows.select("text", "secret", secrets.without_secret(rows["text"], rows["secret"], "[X]").alias("clean")).collect()
+    assert {(r["text"], r["secret"]): r["clean"] for r in got} == cases
+
+
+def test_credential_names_begin_at_changes_of_case(documents):
+    texts = {1: "clientSecret=Zx9!kk", 2: "set userPassword: hunter2x now", 3: 'json {"dbPassword":"m0nkey!"}', 4: "bypassword=abcdefg"}
+    found = {(r["doc_id"], r["candidate"]) for r in secrets.candidates(documents(list(texts.items()))).collect()}
+    assert found == {(1, "Zx9!kk"), (2, "hunter2x"), (3, "m0nkey!")}
+
+
 def test_secret_scan_runs_without_python_on_executors(documents):
     plan = secrets.findings(documents(secret_rows()[0]))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan

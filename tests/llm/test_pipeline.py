@@ -66,6 +66,28 @@ def test_run_packs_what_was_kept(spark, corpus):
     assert sorted(map(str, expected)) == sorted(str((r["doc_id"], r["start"], r["ids_crc32"], r["doc_tokens"])) for r in got)
 
 
+def test_stages_keep_columns_of_any_name(spark, corpus, odd_rows):
+    """Documents may bring columns named like those that the stages use themselves."""
+    folder, rows, *_ = corpus
+    names = (
+        "secret_key secrets __secret_key __secrets text_sha __sha found_id found_sha text_sha256 keep_id gone node component component_id "
+        "kept n n_shingles set_a set_b minima row_id hash key rank label fold toxic word words before after place value near candidate "
+        "occurrences score secret a.b group_size slot plain bits id"
+    ).split()
+    given = [(i, t, "src/a.txt", *(f"{name} {n}" for name in names)) for n, (i, t) in enumerate([*rows[::3], *odd_rows])]
+    docs = spark.createDataFrame(given, "doc_id long, text string, source string, " + ", ".join(f"`{n}` string" for n in names)).repartition(3)
+    bare = docs.select("doc_id", "text", "source")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        columns = docs.columns
+        docs, bare = stored(stage(spark, docs, folder), "test-named"), stored(stage(spark, bare, folder), "test-bare")
+        assert docs.columns == columns
+        key = lambda r: (r["doc_id"] is None, r["doc_id"] or 0, r["text"] or "")
+        got = sorted(docs.collect(), key=key)
+        assert [key(r) for r in got] == sorted(map(key, bare.collect())), name
+        assert all(len({r[n].removeprefix(n) for n in names}) == 1 for r in got)
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, folder).count() >= docs.count()
+
+
 def test_empty_corpus(spark, documents, tmp_path):
     documents([]).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "doc_id long, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
@@ -74,7 +96,7 @@ def test_empty_corpus(spark, documents, tmp_path):
 
 def test_every_operator_has_its_query():
     names = __spark_entry__.queries()
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(name.startswith(f"op{n}_") for name in names) == 1
     assert "pipeline" in names
     assert len(corpus_pipeline.STAGES) == 5
