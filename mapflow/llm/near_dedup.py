@@ -49,6 +49,7 @@ SORTED_ROWS = 1_000_000  # of a sorted partition that are looked at together
 BLOCK = 5000
 TASK_ROWS = 50_000
 TILE = 1000
+PARITY_BITS = 1024
 TABLE_SIZE = 100_000
 SETS = 500  # full sets that are handed on at a time
 FILTER_BITS = 24
@@ -90,6 +91,12 @@ def shingles(text: str | None, words: int) -> np.ndarray:
     return np.unique(value)
 
 
+def parities(values: np.ndarray) -> bytes:
+    """For each of `PARITY_BITS` slots whether an odd number of a set's shingles falls there."""
+    slots = (values >> np.uint64(20)) % np.uint64(PARITY_BITS)
+    return np.packbits(np.bincount(slots.astype(np.int64), minlength=PARITY_BITS) & 1).tobytes()
+
+
 def signature(values: np.ndarray) -> np.ndarray:
     """The 128 minima of a set (32 bits each)."""
     least = np.full(MINIMA, 2**32 - 1, np.uint64)
@@ -199,7 +206,7 @@ def _slot() -> Column:
 
 
 def full_sets(docs: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
-    """`node, shingles` for the documents named by `nodes`.
+    """`node, shingles, parities` for the documents named by `nodes`.
 
     A bitmap of fixed size (2 MB) says which hash slots are wanted, so other texts are
     passed over while scanning instead of being shuffled for a join; the join with
@@ -220,16 +227,18 @@ def full_sets(docs: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
             for at in range(0, len(rows), SETS):
                 part = batch.take(pa.array(rows[at : at + SETS]))
                 with np.errstate(over="ignore"):
-                    sets = [shingles(t.as_py(), words).view(np.int64) for t in part.column("text")]
+                    sets = [shingles(t.as_py(), words) for t in part.column("text")]
+                odd = pa.array(list(map(parities, sets)), pa.binary())
+                sets = [x.view(np.int64) for x in sets]
                 ends = np.cumsum([0, *map(len, sets)]).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(sets)))
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), lists], ["node", "shingles"])
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), lists, odd], ["node", "shingles", "parities"])
 
     found = (
         docs.where("doc_id is not null")
         .select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
         .withColumn("slot", _slot())
-        .mapInArrow(run, "node long, shingles array<long>")
+        .mapInArrow(run, "node long, shingles array<long>, parities binary")
     )
     return found.join(nodes.select("node"), "node", "left_semi")
 
@@ -237,7 +246,7 @@ def full_sets(docs: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
 def confirmed(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs `a, b` whose full sets are similar enough."""
     nodes = stored(pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct(), "compared")
-    sets = stored(full_sets(docs, nodes, words), "full-sets")
+    sets = stored(full_sets(docs, nodes, words).select("node", "shingles"), "full-sets")
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("set_a"))
     right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("set_b"))
     shared = F.size(F.array_intersect("set_a", "set_b"))
@@ -289,42 +298,46 @@ def by_rare_shingles(nodes: DataFrame, docs: DataFrame, words: int, percent: int
     among these nodes first: of the first ``n - ceil(percent * n / 100) + 1`` shingles of
     each set two linked sets share one, else too few are left. At the first shingle they
     share, all they share is still to come, so the rest of either set must be as large as
-    ``percent * (n_a + n_b) / (100 + percent)``: pairs are taken at shingles where it is.
+    ``percent * (n_a + n_b) / (100 + percent)``: pairs are taken at shingles where it is, and
+    where the parities of both sets do not show that too many shingles differ.
     """
-    each = full_sets(docs, nodes, words).select("node", F.xxhash64("shingles").alias("set"), F.size("shingles").alias("n"), F.explode("shingles").alias("key"))
-    each = stored(each, "open-shingles")
+    sets = full_sets(docs, nodes, words).select("node", F.xxhash64("shingles").alias("set"), F.size("shingles").alias("n"), "parities", "shingles")
+    sets = stored(sets.dropDuplicates(["node", "set"]), "open-sets")
+    each = sets.select("node", "set", F.explode("shingles").alias("key"))
     times = each.groupBy("key").agg(F.count(F.lit(1)).alias("times")).where("times > 1")
     # Shingles of one set alone come first in its order, and are only counted.
-    shared = each.join(times, "key").groupBy("node", "set", "n").agg(F.array_sort(F.collect_list(F.struct("times", "key"))).alias("shared"))
+    shared = each.join(times, "key").groupBy("node", "set").agg(F.array_sort(F.collect_list(F.struct("times", "key"))).alias("shared"))
     own = F.col("n") - F.size("shared")
     within = F.greatest(F.col("n") - F.ceil(F.col("n") * percent / 100) + 1 - own, F.lit(0)).cast("int")
     rare = (
-        shared.select("node", "n", own.alias("own"), F.slice("shared", F.lit(1), within).alias("rare"))
+        shared.join(sets.drop("shingles"), ["node", "set"])
+        .select("node", "n", "parities", own.alias("own"), F.slice("shared", F.lit(1), within).alias("rare"))
         .join(nodes, "node")
-        .select("node", "component", "n", "own", F.posexplode("rare").alias("at", "rare"))
-        .select(F.col("rare.key").alias("key"), "node", "component", "n", (F.col("n") - F.col("own") - F.col("at")).alias("left"))
+        .select("node", "component", "n", "parities", "own", F.posexplode("rare").alias("at", "rare"))
+        .select(F.col("rare.key").alias("key"), "node", "component", "n", (F.col("n") - F.col("own") - F.col("at")).alias("left"), "parities")
     )
     rare = stored(rare, "rare-shingles")
-    rare = stored(rare.join(_several(rare), "key", "left_semi"), "open-keys")
-    sizes = rare.groupBy("key").agg(F.count(F.lit(1)).alias("members")).where(F.col("members") > BLOCK)
-    sizes = sizes.select("key", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks"))
-    dealt = rare.join(sizes, "key", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
-    dealt = dealt.withColumn("block", F.pmod(F.xxhash64("node", "key"), F.col("blocks")).cast("int"))
+    members = rare.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("members"))
+    blocks = F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks")
+    keys = stored(members.where("low <> high").select("key", "members", blocks), "open-keys")
+    dealt = rare.join(keys.drop("members"), "key").withColumn("block", F.pmod(F.xxhash64("node", "key"), F.col("blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    dealt = dealt.select("*", other).withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")})
     # A member of a key with more than BLOCK goes to as many pairs of blocks as there are blocks.
-    dealt = stored(dealt.select("key", "low", "high", "block", "node", "component", "n", "left"), "dealt-keys")
-    tasks = max(1, -(-dealt.count() // TASK_ROWS))
+    dealt = dealt.select("*", other).withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")})
+    dealt = dealt.select("key", "low", "high", "block", "node", "component", "n", "left", "parities")
+    n_rows = keys.agg(F.coalesce(F.sum(F.col("members") * F.col("blocks")), F.lit(0))).first()[0]
+    tasks = max(1, -(-n_rows // TASK_ROWS))
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values(["key", "low", "high"], kind="stable")
         name = frame[["key", "low", "high"]].to_numpy()
         starts = np.flatnonzero(np.concatenate([[True], (name[1:] != name[:-1]).any(1)]))
         node, component, n, left, block = (frame[c].to_numpy() for c in ("node", "component", "n", "left", "block"))
+        odd = np.frombuffer(b"".join(frame["parities"]), "<u8").reshape(len(frame), -1)
         found = [np.empty((0, 2), np.int64)]
         for start, stop in zip(starts.tolist(), [*starts[1:].tolist(), len(frame)], strict=True):
             across = block[start:stop] if name[start, 1] != name[start, 2] else None
-            found += possible_links(node[start:stop], component[start:stop], n[start:stop], left[start:stop], across, percent)
+            found += possible_links(node[start:stop], component[start:stop], n[start:stop], left[start:stop], odd[start:stop], across, percent)
         pairs = np.unique(np.concatenate(found), axis=0)
         return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
 
@@ -332,8 +345,13 @@ def by_rare_shingles(nodes: DataFrame, docs: DataFrame, words: int, percent: int
     return dealt.select("*", task).groupBy("task").applyInPandas(run, "a long, b long").distinct()
 
 
-def possible_links(node: np.ndarray, component: np.ndarray, n: np.ndarray, left: np.ndarray, block: np.ndarray | None, percent: int) -> list[np.ndarray]:
-    """Pairs (smaller node first) of members of a shingle, of different components and of different blocks if those are given."""
+def possible_links(
+    node: np.ndarray, component: np.ndarray, n: np.ndarray, left: np.ndarray, odd: np.ndarray, block: np.ndarray | None, percent: int
+) -> list[np.ndarray]:
+    """Pairs (smaller node first) of members of a shingle, of different components and of different blocks if those are given.
+
+    Two sets differ in at least as many shingles as their parities do, which bounds what they share.
+    """
     fit = np.flatnonzero((100 + percent) * left >= percent * n)  # else too little is left whatever the other
     out = []
     for first in range(0, len(fit), TILE):
@@ -344,10 +362,15 @@ def possible_links(node: np.ndarray, component: np.ndarray, n: np.ndarray, left:
             good &= component[x][:, None] != component[y]
             if block is not None:
                 good &= block[x][:, None] != block[y]
+            if first == second:
+                good = np.triu(good, 1)
             i, j = np.nonzero(good)
-            if len(i):
-                pairs = np.column_stack([node[x[i]], node[y[j]]])
-                out.append(np.unique(np.sort(pairs, axis=1), axis=0))
+            for at in range(0, len(i), 50_000):
+                a, b = x[i[at : at + 50_000]], y[j[at : at + 50_000]]
+                both = n[a] + n[b]
+                differ = np.bitwise_count(odd[a] ^ odd[b]).sum(1, dtype=np.int64)
+                may = (100 + percent) * (both - differ) >= 2 * percent * both
+                out.append(np.sort(np.column_stack([node[a[may]], node[b[may]]]), axis=1))
     return out
 
 
