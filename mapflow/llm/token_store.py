@@ -15,21 +15,22 @@ whole, so a lost executor leaves nothing half written.
 from __future__ import annotations
 
 import zlib
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from mapflow.llm.bpe import encoded, encoder
-from mapflow.llm.common import hash_bitmap, may_hold, stored, text_or_empty
+from mapflow.llm.common import hash_bitmap, may_hold, text_or_empty
 
 BITS = 8
 RANK_BLOCK = 512
 SEGMENT_IDS = 1_000_000
 ENCODED = 256  # texts whose ids are handed on at a time
+SAMPLED = 50
 BEGINNING = 64  # characters by which the rows of a repeated doc_id are dealt
 LEVEL = pa.struct([("chunks", pa.binary()), ("bitmap", pa.binary()), ("ranks", pa.binary())])
 SEGMENT = pa.schema(
@@ -92,6 +93,18 @@ class Codes:
         return int(self.run(at, at + 1)[0])
 
 
+def _position(doc: int | None, order: str) -> tuple[bool, int, str]:
+    """Where a row stands: null ids first, then by id, then by text."""
+    return doc is not None, doc or 0, order
+
+
+def _bounds(keys: DataFrame, n_shards: int) -> list[tuple[bool, int, str]]:
+    """The first positions of all shards but one, from about `SAMPLED` rows a shard; they decide about sizes only."""
+    share = min(1.0, SAMPLED * n_shards / max(1, keys.count()))
+    rows = sorted(_position(*r) for r in keys.sample(share, seed=3).collect())
+    return sorted({rows[len(rows) * k // n_shards] for k in range(1, n_shards)}) if rows else []
+
+
 def write_ids(docs: DataFrame, tokenizer: str, path: str, end_id: int = 0, segment_ids: int = SEGMENT_IDS) -> None:
     """Encode documents, end each with `end_id`, and write them below `path` in ascending doc_id order.
 
@@ -105,16 +118,19 @@ def write_ids(docs: DataFrame, tokenizer: str, path: str, end_id: int = 0, segme
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = encoder(tokenizer)
         end = np.array([end_id], bpe.dtype).tobytes()
+        place = lambda doc, order: bisect_right(bounds, _position(doc, order[:BEGINNING]))
         for batch in batches:
             texts = batch.column("text").to_pylist()
             for at in range(0, len(texts), ENCODED):
                 part = batch.slice(at, ENCODED)
                 ids = [coded + end for coded in encoded(tokenizer, texts[at : at + ENCODED])]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("order"), pa.array(ids, pa.binary())], ["doc_id", "order", "ids"])
+                shards = map(place, part.column("doc_id").to_pylist(), part.column("order").to_pylist())
+                columns = [pa.array(shards, pa.int32()), part.column("doc_id"), part.column("order"), pa.array(ids, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["shard", "doc_id", "order", "ids"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = encoder(tokenizer).dtype
-        shard, segment = TaskContext.get().partitionId(), 0
+        shard, segment = 0, 0
         docs_in: list[int | None] = []
         data: list[bytes] = []
         size = 0
@@ -126,6 +142,8 @@ def write_ids(docs: DataFrame, tokenizer: str, path: str, end_id: int = 0, segme
             return pa.RecordBatch.from_pylist([row], SEGMENT)
 
         for batch in batches:
+            if batch.num_rows:
+                shard = batch.column("shard")[0].as_py()  # a task has one
             for doc, ids in zip(batch.column("doc_id").to_pylist(), batch.column("ids").to_pylist(), strict=True):
                 docs_in.append(doc)
                 data.append(ids)
@@ -140,10 +158,12 @@ def write_ids(docs: DataFrame, tokenizer: str, path: str, end_id: int = 0, segme
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
     several = texts.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.xxhash64("doc_id").alias("hash"))
     order = F.when(may_hold(hash_bitmap(several), F.xxhash64("doc_id")), F.col("text")).otherwise("")
-    # Written once: finding the ranges reads the rows a first time, and must not encode them again.
-    ids = stored(texts.select("doc_id", order.alias("order"), "text").mapInArrow(encode, "doc_id long, order string, ids binary"), "encoded")
+    keyed = texts.select("doc_id", order.alias("order"), "text")
+    n_shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    bounds = _bounds(keyed.select("doc_id", F.substring("order", 1, BEGINNING).alias("order")), n_shards)
     (
-        ids.repartitionByRange("doc_id", F.substring("order", 1, BEGINNING))
+        keyed.mapInArrow(encode, "shard int, doc_id long, order string, ids binary")
+        .repartitionById(n_shards, "shard")
         .sortWithinPartitions("doc_id", "order")
         .mapInArrow(run, SEGMENT_DDL)
         .write.parquet(f"{path}/segments")
