@@ -15,8 +15,8 @@
 - *Completion.* Components of what was confirmed need no more comparison within. Members of
   regions that still span several meet by an exact rule: sets with a link share one of
   their rarest shingles, and at the first they share enough must be left of both (see
-  `by_rare_shingles`). This leaves out no pair that a link joins, so the forest's own
-  recall (see README) decides about the work and not about the result.
+  `by_rare_shingles`). This leaves out no pair that a link joins, so what the neighbours
+  miss decides about the work and not about the result.
 - *Confirmation.* Links are confirmed on the whole sets: a link needs
   ``100 * intersection >= percent * union``.
 
