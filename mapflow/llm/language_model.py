@@ -16,163 +16,292 @@ the training documents, counts from the other tenth. For a and b those counts ar
 by bucket and by the quotient of the two estimates (steps of 1/16 of its binary logarithm,
 which is all that the method needs), so the driver sees a table of fixed size.
 
-What grows with the corpus stays in Spark: the vocabulary and all distinct bigrams and
-trigrams are counted in tasks, then summed; histories meet their counts by joins, and
-documents the values of their trigrams. Words outside the `KNOWN` most frequent are scored
-by a join with the vocabulary. In these tables words and trigrams are named by 64-bit
-hashes. The count tables of classes have fixed sizes, (2^10)^2 and 2^4 * 2^6 * 2^10 cells,
-and are summed in Spark before the driver sees them.
+What grows with the corpus stays in Spark. Texts are split once, into a stored table of
+chunks of about `CHUNK` tokens: a chunk's distinct words, and its tokens as numbers of
+them, compressed. Each chunk asks for the counts of its distinct n-grams of one to three
+words: sorted lists of their names with its own counts go to buckets by range of the name,
+a bucket adds them up and answers with the counts of the whole corpus in the order asked,
+so answers need no names. A common n-gram is asked for once a chunk, however often it
+occurs. The number of buckets grows with the corpus. Names are 96-bit hashes: among 10^13
+distinct n-grams two share one with a chance of 6e-4. The count tables of classes have
+fixed sizes, (2^10)^2 and 2^4 * 2^6 * 2^10 cells, and are summed in Spark before the
+driver sees them.
 
 Defined results: a null or empty text is its end alone. Without any training token, scores
 are the base scores. A row without doc_id is scored and not learned from; held_out false.
+Repeated rows are learned from and scored one by one. An empty table gives an empty result.
+A text of more than a chunk is split between words; its chunks' scores are added.
 """
 
 from __future__ import annotations
 
-from collections import Counter
+import re
 from collections.abc import Iterator
-from dataclasses import dataclass
-from itertools import repeat
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark import Broadcast
-from pyspark.sql import Column, DataFrame
+import zstandard
+from pyspark import Broadcast, TaskContext
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mapflow.llm.common import fold, stored, text_or_empty
+from mapflow.llm.common import WordNumbers, fold, stored, text_or_empty
 
 FOLDS = 10
 HELD_OUT = 0
 WEIGHTS_FOLD = 1
+ESTIMATED, DELETED, NEITHER = 0, 1, 2  # what a document is to the estimates
 ADDED = 0.1
-KNOWN = 262_144
 CLASSES = 1024  # class 0: all words that have no class of their own
 FAR, NEAR = 16, 64  # classes of the word before the last and of the last word in a history of two
-BUCKETS = 40
-END = b"\n"  # no word is white space
+BUCKETS = 40  # of the history's count
+END = b"\n"  # no word is white space; the end is word 0 of every chunk, and class 1
 ROUNDS = 25
 STEPS = 16  # of a quotient's binary logarithm
 NEVER = -100_000  # step of the quotient 0
-BUFFER = 500_000
-TABLE_SIZE = 200_000
+CHUNK = 1_000_000  # tokens of a chunk, and for each bucket of names
+PIECE = 2_000_000  # bytes of a text that are split at once
+BLANK = re.compile(rb"[\x20\x09-\x0D]")
 ODD = np.uint64(0x9E3779B97F4A7C15)
 
+CHUNK_SCHEMA = (
+    "chunk long, row_ids array<long>, doc_ids array<long>, held_out array<boolean>, parts array<int>, starts array<long>, "
+    "n_tokens long, words binary, tokens binary"
+)
 
-class _WordHashes(dict):
-    """Spark's xxhash64 of the words a worker has met, emptied when full."""
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > TABLE_SIZE:
-            self.clear()
-        value = self[word] = xxhash.xxh64_intdigest(word, 42)
-        return value
+def pieces(text: str | None, most: int = PIECE) -> Iterator[list[bytes]]:
+    """The tokens of a text, some megabytes at a time; the end is the last."""
+    data = (text or "").encode().lower()
+    at = 0
+    while len(data) - at > most and (blank := BLANK.search(data, at + most)):
+        yield data[at : blank.start()].split()
+        at = blank.start()
+    yield [*data[at:].split(), END]
 
 
-_HASHES = _WordHashes()
+def tokens(text: str | None) -> list[bytes]:
+    return [word for piece in pieces(text) for word in piece]
 
 
-def tokens(text: str | None) -> list[bytes]:
-    return [*(text or "").encode().lower().split(), END]
+def packed(numbers: np.ndarray) -> bytes:
+    """An array's bytes in order of their significance, compressed."""
+    planes = np.ascontiguousarray(numbers).view(np.uint8).reshape(-1, numbers.itemsize).T
+    return zstandard.ZstdCompressor(level=3).compress(planes.tobytes())
 
 
-def _folded(docs: DataFrame) -> DataFrame:
-    number = F.coalesce(fold(FOLDS), F.lit(HELD_OUT)).cast("int")
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"), number.alias("fold"))
+def unpacked(data: bytes, kind: type) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
 
 
-def vocabulary(docs: DataFrame) -> DataFrame:
-    """`word, estimated, deleted`: counts in the nine tenths and the tenth of the training documents."""
+class _ChunkWriter:
+    """Gathers texts until a chunk is full."""
+
+    def __init__(self) -> None:
+        self.numbers = WordNumbers({END: 0})
+        self.rows: list[tuple] = []
+        self.tokens: list[np.ndarray] = []
+        self.starts: list[int] = []
+        self.size = 0
+
+    def add(self, row: tuple, before: list[bytes], words: list[bytes]) -> None:
+        """A stretch of a row's tokens, with the two words before it."""
+        self.rows.append(row)
+        self.starts.append(self.size)
+        self.tokens.append(np.fromiter(map(self.numbers.__getitem__, before + words), np.uint32, 2 + len(words)))
+        self.size += 2 + len(words)
+
+    def batch(self, chunk: int) -> pa.RecordBatch:
+        row_ids, doc_ids, held_out, parts = map(list, zip(*self.rows, strict=True))
+        schema = pa.schema(
+            [
+                ("chunk", pa.int64()), ("row_ids", pa.list_(pa.int64())), ("doc_ids", pa.list_(pa.int64())),
+                ("held_out", pa.list_(pa.bool_())), ("parts", pa.list_(pa.int32())), ("starts", pa.list_(pa.int64())),
+                ("n_tokens", pa.int64()), ("words", pa.binary()), ("tokens", pa.binary()),
+            ]
+        )
+        words = zstandard.ZstdCompressor(level=3).compress(b" ".join(self.numbers))
+        values = [chunk, row_ids, doc_ids, held_out, parts, self.starts, self.size, words, packed(np.concatenate(self.tokens))]
+        return pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip(values, schema, strict=True)], schema=schema)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: tuple[Counter[bytes], Counter[bytes]] = (Counter(), Counter())
 
-        def out() -> pa.RecordBatch:
-            words = list(counts[0].keys() | counts[1].keys())
-            columns = [pa.array([c.get(w, 0) for w in words], pa.int64()) for c in counts]
-            return pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), *columns], ["word", "estimated", "deleted"])
+def chunks(docs: DataFrame, chunk_tokens: int = CHUNK, piece_bytes: int = PIECE) -> DataFrame:
+    """All documents as chunks of numbered tokens."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunk = TaskContext.get().partitionId() << 32
+        held = _ChunkWriter()
         for batch in batches:
-            for text, number in zip(batch.column("text"), batch.column("fold").to_pylist(), strict=True):
-                counts[number == WEIGHTS_FOLD].update(tokens(text.as_py()))
-            if sum(map(len, counts)) > 500_000:
-                yield out()
-                for c in counts:
-                    c.clear()
-        yield out()
+            rows = zip(*(batch.column(c).to_pylist() for c in ("row_id", "doc_id", "held_out", "part")), strict=True)
+            for row, text in zip(rows, batch.column("text"), strict=True):
+                before = [END, END]
+                for words in pieces(text.as_py(), piece_bytes):
+                    held.add(row, before, words)
+                    before = (before + words[-2:])[-2:]
+                    if held.size > chunk_tokens:
+                        yield held.batch(chunk)
+                        held = _ChunkWriter()
+                        chunk += 1
+        if held.rows:
+            yield held.batch(chunk)
+
+    number = F.coalesce(fold(FOLDS), F.lit(HELD_OUT))
+    part = F.when(number == HELD_OUT, NEITHER).when(number == WEIGHTS_FOLD, DELETED).otherwise(ESTIMATED)
+    marked = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.monotonically_increasing_id().alias("row_id"),
+        F.coalesce(fold(FOLDS) == HELD_OUT, F.lit(False)).alias("held_out"),
+        part.cast("int").alias("part"),
+        text_or_empty().alias("text"),
+    )
+    return marked.mapInArrow(run, CHUNK_SCHEMA)
 
-    train = _folded(docs).where(F.col("fold") != HELD_OUT).select("text", "fold")
-    parts = train.mapInArrow(run, "word binary, estimated long, deleted long")
-    return parts.groupBy("word").agg(F.sum("estimated").alias("estimated"), F.sum("deleted").alias("deleted"))
 
+def _mixed(words: list[np.ndarray]) -> np.ndarray:
+    """One hash of an n-gram from hashes of its words."""
+    key = np.full(len(words[0]), len(words), np.uint64)
+    with np.errstate(over="ignore"):
+        for word in words:
+            key = key * ODD + word
+            key = (key ^ (key >> np.uint64(31))) * ODD
+            key ^= key >> np.uint64(29)
+    return key
+
+
+class Chunk:
+    """A row of the table of chunks: its tokens and its distinct n-grams of one to three words."""
+
+    def __init__(self, row: dict) -> None:
+        self.words: list[bytes] = zstandard.ZstdDecompressor().decompress(row["words"]).split(b" ")
+        every = unpacked(row["tokens"], np.uint32).astype(np.int64)
+        starts = np.array(row["starts"], np.int64)
+        stretch = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(every))))
+        place = np.arange(len(every)) - starts[stretch]
+        self.every, self.place = every, place
+        self.at = np.flatnonzero(place >= 2)
+        self.stretch = stretch[self.at]
+        self.stretches = len(starts)
+        self.part = np.array(row["parts"], np.int64)[self.stretch]
+        self.u, self.v, self.w = every[self.at - 2], every[self.at - 1], every[self.at]
+
+    @cached_property
+    def _pairs(self) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct pairs of neighbours, those before a stretch included, and the pair that ends at each place."""
+        second = np.flatnonzero(self.place >= 1)
+        codes, found = np.unique(self.every[second - 1] * len(self.words) + self.every[second], return_inverse=True)
+        ends = np.full(len(self.every), -1)
+        ends[second] = found
+        return codes, ends
+
+    @cached_property
+    def _triples(self) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct trigrams (pair before, word), and each token's."""
+        return np.unique(self._pairs[1][self.at - 1] * len(self.words) + self.w, return_inverse=True)
+
+    @cached_property
+    def triples(self) -> dict[str, np.ndarray]:
+        """Of each distinct trigram: words u, v and w, and the pairs (u, v) and (v, w)."""
+        codes, each = self._triples
+        history, w = np.divmod(codes, len(self.words))
+        u, v = np.divmod(self._pairs[0][history], len(self.words))
+        pair = np.empty(len(codes), np.int64)
+        pair[each] = self._pairs[1][self.at]
+        return {"u": u, "v": v, "w": w, "history": history, "pair": pair}
+
+    def names(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Both parts of the names of words, pairs and trigrams, sorted, and the order."""
+        digests = b"".join(map(xxhash.xxh3_128_digest, self.words))
+        halves = np.frombuffer(digests, ">u8").reshape(-1, 2).astype(np.uint64)
+        first, second = np.divmod(self._pairs[0], len(self.words))
+        three = [self.triples[x] for x in "uvw"]
+        every = np.arange(len(self.words))
+        high, low = (
+            np.concatenate([_mixed([half[x] for x in gram]) for gram in ([every], [first, second], three)]) for half in halves.T
+        )
+        order = np.argsort(high, kind="stable")
+        return high[order], (low[order] >> np.uint64(32)).astype(np.uint32), order
+
+    def tally(self, each: np.ndarray, size: int) -> np.ndarray:
+        """How often each of something occurs in the two training parts: shape (size, 2)."""
+        return np.column_stack([np.bincount(each[self.part == p], minlength=size) for p in (ESTIMATED, DELETED)])
+
+    def counts(self) -> np.ndarray:
+        """Of words, pairs and trigrams, in this order."""
+        codes, each = self._triples
+        return np.concatenate(
+            [
+                self.tally(self.w, len(self.words)),
+                self.tally(self._pairs[1][self.at], len(self._pairs[0])),
+                self.tally(each, len(codes)),
+            ]
+        )
 
-@dataclass
-class Known:
-    """The frequent words in order of frequency, with their counts; those first in order are the classes."""
+    def classes(self, numbers: dict[bytes, int]) -> np.ndarray:
+        return np.array([numbers.get(w, 0) for w in self.words], np.int64)
 
-    index: dict[bytes, int]
-    counts: np.ndarray
 
-    def codes(self, words: list[bytes]) -> np.ndarray:
-        """Positions in the order, -1 for words outside."""
-        return np.fromiter(map(self.index.get, words, repeat(-1)), np.int64, len(words))
+def _each(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """Rows of chunks, one at a time."""
+    for batch in batches:
+        for at in range(batch.num_rows):
+            yield batch.slice(at, 1).to_pylist()[0]
 
 
-def _class_of(codes: np.ndarray, classes: int) -> np.ndarray:
-    """Class 0 for rare words, else the position in the order and one."""
-    return np.where((codes >= 0) & (codes < classes - 1), codes + 1, 0)
+def vocabulary(parts: DataFrame) -> DataFrame:
+    """`word, estimated, deleted`: counts in the nine tenths and the tenth of the training documents."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in _each(batches):
+            chunk = Chunk(row)
+            counts = chunk.tally(chunk.w, len(chunk.words))
+            met = np.flatnonzero(counts.any(axis=1))
+            words = pa.array([chunk.words[i] for i in met], pa.binary())
+            columns = [pa.array(counts[met, p].astype(np.int64)) for p in (0, 1)]
+            yield pa.RecordBatch.from_arrays([words, *columns], ["word", "estimated", "deleted"])
 
-def _histories(classes: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
-    """Cells of the two tables for every token of a document; what stands before it counts as ends."""
-    padded = np.concatenate([[end, end], classes])
-    far, near = padded[:-2], padded[1:-1]
-    two = near * CLASSES + classes
-    three = (np.where(far < FAR, far, 0) * NEAR + np.where(near < NEAR, near, 0)) * CLASSES + classes
-    return two, three
+    found = parts.mapInArrow(run, "word binary, estimated long, deleted long")
+    return found.groupBy("word").agg(F.sum("estimated").alias("estimated"), F.sum("deleted").alias("deleted"))
 
 
-def known_words(vocab: DataFrame, most: int = KNOWN) -> Known:
-    """As many of the most frequent words as a common lowest count allows, at most `most`, and the end."""
+def class_words(vocab: DataFrame) -> dict[bytes, int]:
+    """The words that are classes of their own: the end, then the most frequent ones, ties in byte order."""
     total = (F.col("estimated") + F.col("deleted")).alias("n")
-    steps = vocab.select(total).groupBy(F.least("n", F.lit(1_000_000)).alias("n")).agg(F.count(F.lit(1)).alias("words")).orderBy(F.desc("n"))
-    least, words = 1_000_001, 0
-    for row in steps.collect():  # one row for each distinct count, and those are few (at most a million)
-        words += row["words"]
-        if words > most:
-            break
-        least = row["n"]
-    rows = vocab.select("word", total).where((F.col("n") >= least) | (F.col("word") == F.lit(END))).collect()  # at most `most`
-    ordered = sorted(((-r["n"], bytes(r["word"])) for r in rows), key=lambda r: (r[1] != END, r))  # the end is class 1
-    return Known({w: i for i, (_, w) in enumerate(ordered)}, np.array([-n for n, _ in ordered], np.int64))
-
-
-def class_counts(docs: DataFrame, known: Broadcast) -> np.ndarray:
+    first = vocab.select("word", total).where(F.col("word") != F.lit(END)).orderBy(F.desc("n"), "word").limit(CLASSES - 2)
+    return {END: 1} | {bytes(r["word"]): i for i, r in enumerate(first.collect(), 2)}  # fewer than CLASSES
+
+
+def _cells(classes: np.ndarray, u: np.ndarray, v: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Cells of the two count tables of classes for words and the two before them."""
+    far, near, last = classes[u], classes[v], classes[w]
+    two = near * CLASSES + last
+    three = (np.where(far < FAR, far, 0) * NEAR + np.where(near < NEAR, near, 0)) * CLASSES + last
+    return two, three
+
+
+def class_counts(parts: DataFrame, classed: Broadcast) -> np.ndarray:
     """Counts of both tables, for both parts of the training documents: shape (2 parts, cells of two and three)."""
     cells = CLASSES * CLASSES
     size = cells + FAR * NEAR * CLASSES
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = known.value
-        end = int(_class_of(words.codes([END]), CLASSES)[0])
         counts = np.zeros((2, size), np.int64)
-        for batch in batches:
-            found: tuple[list, list] = ([], [])
-            for text, number in zip(batch.column("text"), batch.column("fold").to_pylist(), strict=True):
-                two, three = _histories(_class_of(words.codes(tokens(text.as_py())), CLASSES), end)
-                found[number == WEIGHTS_FOLD].extend((two, three + cells))
-            for part in (0, 1):
-                if found[part]:
-                    counts[part] += np.bincount(np.concatenate(found[part]), minlength=size)
+        for row in _each(batches):
+            chunk = Chunk(row)
+            two, three = _cells(chunk.classes(classed.value), chunk.u, chunk.v, chunk.w)
+            for part in (ESTIMATED, DELETED):
+                some = chunk.part == part
+                counts[part, :cells] += np.bincount(two[some], minlength=cells)
+                counts[part, cells:] += np.bincount(three[some], minlength=size - cells)
         flat = counts.reshape(-1)
         at = np.flatnonzero(flat)
         for first in range(0, len(at), 500_000):
             some = at[first : first + 500_000]
             yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(flat[some])], ["cell", "n"])
 
-    train = _folded(docs).where(F.col("fold") != HELD_OUT).select("text", "fold")
-    summed = train.mapInArrow(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
+    summed = parts.mapInArrow(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
     out = np.zeros(2 * size, np.int64)
     table = summed.toArrow()  # a row for each cell in use: at most 2 * 2.1 million, whatever the corpus
     out[table.column("cell").to_numpy()] = table.column("n").to_numpy()
@@ -180,7 +309,7 @@ def class_counts(docs: DataFrame, known: Broadcast) -> np.ndarray:
 
 
 def _bucket(seen: np.ndarray) -> np.ndarray:
-    return np.minimum(np.ceil(np.log2(seen + 1)), BUCKETS - 1).astype(np.int64)
+    return np.minimum(np.ceil(np.log2(seen + 1.0)), BUCKETS - 1).astype(np.int64)
 
 
 def mixture_weights(upper: np.ndarray, lower: np.ndarray, times: np.ndarray, buckets: np.ndarray) -> np.ndarray:
@@ -257,222 +386,173 @@ def unseen_share(rare: DataFrame) -> float:
     return float(1 - mixture_weights(likely, even, times, np.zeros(len(rows), np.int64))[0]) if times.sum() else 0.5
 
 
-def _grams(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Per token the name of its trigram and the hashes of the three words; what stands before a document counts as ends."""
-    end = _HASHES[END]
-    hashes = np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))
-    padded = np.concatenate([np.array([end, end], np.uint64), hashes])
-    key = np.zeros(len(words), np.uint64)
-    with np.errstate(over="ignore"):
-        for k in range(3):
-            key = key * ODD + padded[k : k + len(words)]
-            key = (key ^ (key >> np.uint64(31))) * ODD
-            key ^= key >> np.uint64(29)
-    return tuple(x.view(np.int64) for x in (key, padded[:-2].copy(), padded[1:-1].copy(), hashes))
-
-
-def _class_values(tables: tuple[np.ndarray, np.ndarray, np.ndarray], two: np.ndarray, three: np.ndarray) -> np.ndarray:
-    """P(class | u, v) of the cells of some tokens."""
-    lower, upper, left = tables
-    return upper.reshape(-1)[three] + left[three // CLASSES] * lower.reshape(-1)[two]
-
-
-def trigrams(docs: DataFrame, known: Broadcast, tables: Broadcast) -> DataFrame:
-    """Every distinct trigram of all documents: key, u, v, w, counts in both training parts, and its class's P by estimated and by all counts."""
+def requests(parts: DataFrame, buckets: int) -> DataFrame:
+    """Each chunk's n-grams by bucket: their names in order, as gaps and second parts, and its own counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = known.value
-        end = int(_class_of(words.codes([END]), CLASSES)[0])
-        held: list[tuple] = []
-        size = 0
-
-        def out() -> pa.RecordBatch:
-            key, u, v, w, part, by_estimated, by_all = (np.concatenate(x) for x in zip(*held, strict=True))
-            _, first, at = np.unique(key, return_index=True, return_inverse=True)
-            counts = [np.bincount(at[part == p], minlength=len(first)) for p in (0, 1)]
-            columns = [*(x[first] for x in (key, u, v, w)), *counts, by_estimated[first], by_all[first]]
-            return pa.RecordBatch.from_arrays(list(map(pa.array, columns)), ["key", "u", "v", "w", "estimated", "deleted", "c_est", "c_all"])
+        for row in _each(batches):
+            chunk = Chunk(row)
+            high, low, order = chunk.names()
+            counts = chunk.counts()[order].astype(np.uint32)
+            bucket = ((high >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+            found, first = np.unique(bucket, return_index=True)
+            slices = [slice(a, b) for a, b in zip(first, [*first[1:], len(high)], strict=True)]
+            columns = [
+                pa.array(found.astype(np.int64)),
+                pa.array([row["chunk"]] * len(found), pa.int64()),
+                pa.array([packed(np.diff(high[s], prepend=np.uint64(0))) for s in slices], pa.binary()),
+                pa.array([packed(low[s]) for s in slices], pa.binary()),
+                pa.array([packed(counts[s].ravel()) for s in slices], pa.binary()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, ["bucket", "chunk", "gaps", "low", "counts"])
+
+    return parts.mapInArrow(run, "bucket long, chunk long, gaps binary, low binary, counts binary")
+
+
+def added_up(asked: pa.Table) -> pa.Table:
+    """Answers of one bucket: for each request the counts over all of them, in its order."""
+    high = [np.cumsum(unpacked(x.as_py(), np.uint64), dtype=np.uint64) for x in asked.column("gaps")]
+    edges = np.cumsum([0, *map(len, high)])
+    high = np.concatenate(high)
+    low = np.concatenate([unpacked(x.as_py(), np.uint32) for x in asked.column("low")])
+    counts = np.concatenate([unpacked(x.as_py(), np.uint32).reshape(-1, 2) for x in asked.column("counts")])
+    order = np.lexsort((low, high))
+    high, low = high[order], low[order]
+    first = np.append(True, (high[1:] != high[:-1]) | (low[1:] != low[:-1]))
+    sums = np.add.reduceat(counts[order], np.flatnonzero(first), axis=0, dtype=np.uint64)
+    answer = np.empty((len(order), 2), np.uint64)
+    answer[order] = sums[np.cumsum(first) - 1]
+    blobs = pa.array([packed(answer[a:b].ravel()) for a, b in zip(edges, edges[1:], strict=False)], pa.binary())
+    return pa.table({"chunk": asked.column("chunk"), "bucket": asked.column("bucket"), "counts": blobs})
+
+
+def counted(parts: DataFrame, buckets: int) -> DataFrame:
+    """The chunks with the whole corpus's counts of their n-grams, in the order of `Chunk.names`."""
+    answers = requests(parts, buckets).groupBy("bucket").applyInArrow(added_up, "chunk long, bucket long, counts binary")
+    whole = answers.groupBy("chunk").agg(F.array_sort(F.collect_list(F.struct("bucket", "counts"))).alias("answers"))  # one chunk's
+    return parts.join(whole, "chunk").withColumn("answers", F.col("answers.counts"))
+
+
+def _known_counts(row: dict, chunk: Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Counts in both training parts of the whole corpus, of the chunk's words, pairs and trigrams."""
+    found = np.concatenate([unpacked(x, np.uint64) for x in row["answers"]]).reshape(-1, 2).astype(np.int64)
+    counts = np.empty_like(found)
+    counts[chunk.names()[2]] = found
+    words = len(chunk.words)
+    return np.split(counts, [words, words + len(chunk._pairs[0])])
+
+
+def _share(count: np.ndarray, of: np.ndarray) -> np.ndarray:
+    return np.divide(count, of, out=np.zeros(len(of)), where=of > 0)
+
+
+class Estimates:
+    """The estimates that are mixed for the distinct trigrams of a chunk, from estimated counts only or from all."""
+
+    def __init__(self, row: dict, chunk: Chunk, model: dict, every: bool) -> None:
+        grams = chunk.triples
+        words, pairs, triples = (x.sum(axis=1) if every else x[:, ESTIMATED] for x in _known_counts(row, chunk))
+        self.words = words
+        # What stands before a document was seen once a document, like the end.
+        self.seen_two = np.where(grams["v"] == 0, words[0], pairs[grams["history"]])
+        self.seen_one = words[grams["v"]]
+        self.three = _share(triples, self.seen_two)
+        self.two = _share(pairs[grams["pair"]], self.seen_one)
+        classes = chunk.classes(model["classes"])
+        lower, upper, left = model["tables"][int(every)]
+        two, three = _cells(classes, grams["u"], grams["v"], grams["w"])
+        by_class = upper.reshape(-1)[three].astype(float) + left[three // CLASSES] * lower.reshape(-1)[two].astype(float)
+        within = (1 - model["even"]) * words / max(1, model["masses"][int(every)]) + model["even"] / (model["types"] + 1)
+        self.classed = np.maximum(by_class * np.where(classes > 0, 1.0, within)[grams["w"]], 1e-30)
+
+    def pairs_mixed(self, weights: np.ndarray) -> np.ndarray:
+        b = np.where(self.seen_one > 0, weights[_bucket(self.seen_one)], 0.0)
+        return b * self.two + (1 - b) * self.classed
+
+    def mixed(self, b: np.ndarray, a: np.ndarray) -> np.ndarray:
+        a = np.where(self.seen_two > 0, a[_bucket(self.seen_two)], 0.0)
+        return a * self.three + (1 - a) * self.pairs_mixed(b)
+
+
+def held_out_weights(parts: DataFrame, model: Broadcast, pair_weights: np.ndarray | None = None) -> np.ndarray:
+    """Weights by bucket of the history's count, from the deleted counts of all n-grams: of pairs, or of trigrams where those of pairs are given."""
 
-        for batch in batches:
-            for text, number in zip(batch.column("text"), batch.column("fold").to_pylist(), strict=True):
-                found = tokens(text.as_py())
-                two, three = _histories(_class_of(words.codes(found), CLASSES), end)
-                part = 2 if number == HELD_OUT else int(number == WEIGHTS_FOLD)
-                held.append((*_grams(found), np.full(len(found), part), *(_class_values(t, two, three) for t in tables.value)))
-                size += len(found)
-                if size > BUFFER:
-                    yield out()
-                    held.clear()
-                    size = 0
-        if held:
-            yield out()
-
-    schema = "key long, u long, v long, w long, estimated long, deleted long, c_est float, c_all float"
-    sums = [F.sum("estimated").alias("estimated"), F.sum("deleted").alias("deleted"), F.max("c_est").alias("c_est"), F.max("c_all").alias("c_all")]
-    return _folded(docs).select("text", "fold").mapInArrow(run, schema).groupBy("key", "u", "v", "w").agg(*sums)
-
-
-def _bucket_column(seen: Column) -> Column:
-    return F.least(F.ceil(F.log2(seen + 1)), F.lit(BUCKETS - 1)).cast("int")
-
-
-def _share(count: str, of: str) -> Column:
-    return F.when(F.col(of) > 0, F.col(count) / F.col(of)).otherwise(0.0)
-
-
-def held_out_weights(counted: DataFrame, upper: Column, lower: Column, seen: str) -> np.ndarray:
-    """Weights of the upper estimate by bucket of the history's count, from the deleted counts of all n-grams."""
-    step = F.when(upper > 0, F.round(STEPS * F.log2(upper / lower)).cast("int")).otherwise(NEVER)
-    cells = (
-        counted.where("deleted > 0")
-        .groupBy(_bucket_column(F.col(seen)).alias("bucket"), F.greatest(F.lit(-1000), F.least(F.lit(1000), step)).alias("step"), (upper > 0).alias("met"))
-        .agg(F.sum("deleted").alias("times"))
-        .collect()  # at most BUCKETS * 2002 rows
-    )
-    quotient = np.array([2.0 ** (r["step"] / STEPS) if r["met"] else 0.0 for r in cells])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in _each(batches):
+            chunk = Chunk(row)
+            codes, each = chunk._triples
+            times = np.bincount(each[chunk.part == DELETED], minlength=len(codes))
+            known = Estimates(row, chunk, model.value, every=False)
+            if pair_weights is None:
+                upper, lower, seen = known.two, known.classed, known.seen_one
+            else:
+                upper, lower, seen = known.three, known.pairs_mixed(pair_weights), known.seen_two
+            met = upper > 0
+            step = np.full(len(codes), NEVER)
+            step[met] = np.clip(np.round(STEPS * np.log2(upper[met] / lower[met])), -1000, 1000)
+            some = np.flatnonzero(times)
+            cells, at = np.unique(np.column_stack([_bucket(seen)[some], step[some]]), axis=0, return_inverse=True)
+            sums = np.bincount(at.ravel(), times[some], len(cells)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (cells[:, 0].copy(), cells[:, 1].copy(), sums)], ["bucket", "step", "times"])
+
+    summed = parts.mapInArrow(run, "bucket long, step long, times long").groupBy("bucket", "step").agg(F.sum("times").alias("times"))
+    cells = summed.collect()  # at most BUCKETS * 2002 rows
+    quotient = np.array([2.0 ** (r["step"] / STEPS) if r["step"] != NEVER else 0.0 for r in cells])
     times = np.array([float(r["times"]) for r in cells])
     return mixture_weights(quotient, np.ones(len(cells)), times, np.array([r["bucket"] for r in cells], np.int64))
 
 
-def trigram_values(grams: DataFrame, within: DataFrame) -> DataFrame:
-    """`key, value`: log10 P(w | u, v) of every trigram. `within` has P(w | class) by hash, from estimated and from all counts."""
-    every = F.col("estimated") + F.col("deleted")
-
-    def summed(df: DataFrame, names: list[str], mark: str) -> DataFrame:
-        return df.groupBy(*names).agg(F.sum("estimated").alias(f"{mark}_est"), F.sum(every).alias(f"{mark}_all"))
-
-    histories = summed(grams, ["u", "v"], "h")
-    pairs = grams.groupBy("v", "w").agg(F.sum("estimated").alias("estimated"), F.sum("deleted").alias("deleted"))
-    pairs = stored(pairs, "bigrams")
-    pairs = pairs.join(summed(pairs, ["v"], "v"), "v").join(within, "w").select(
-        "v", "w", F.col("estimated").alias("p_est"), every.alias("p_all"), "v_est", "v_all", "w_est", "w_all"
-    )
-    counted = grams.join(pairs, ["v", "w"]).join(histories, ["u", "v"])
-    counted = stored(
-        counted.select(
-            "key", "estimated", "deleted", "h_est", "h_all", "p_est", "p_all", "v_est", "v_all",
-            (F.col("c_est") * F.col("w_est")).alias("c_est"), (F.col("c_all") * F.col("w_all")).alias("c_all"),
-        ),
-        "trigram-counts",
-    )
-    least = lambda name: F.greatest(F.col(name), F.lit(1e-30))
-
-    def mixed(weights: np.ndarray, upper: Column, lower: Column, seen: str) -> Column:
-        weight = F.get(F.array(*(F.lit(float(x)) for x in weights)), _bucket_column(F.col(seen)))
-        weight = F.when(F.col(seen) > 0, weight).otherwise(0.0)
-        return weight * upper + (1 - weight) * lower
-
-    b = held_out_weights(counted, _share("p_est", "v_est"), least("c_est"), "v_est")
-    lower = mixed(b, _share("p_est", "v_est"), least("c_est"), "v_est")
-    a = held_out_weights(counted, _share("estimated", "h_est"), lower, "h_est")
-    counted = counted.withColumn("both", every)
-    lower = mixed(b, _share("p_all", "v_all"), least("c_all"), "v_all")
-    return counted.select("key", F.log10(mixed(a, _share("both", "h_all"), lower, "h_all")).alias("value"))
-
-
-def scores(docs: DataFrame) -> DataFrame:
+def scores(docs: DataFrame, chunk_tokens: int = CHUNK, piece_bytes: int = PIECE) -> DataFrame:
     """Per row: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
-    spark = docs.sparkSession
-    context = spark.sparkContext
-    vocab = stored(vocabulary(docs), "vocabulary")
-    sums = vocab.agg(F.coalesce(F.sum(F.col("estimated") + F.col("deleted")), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
+    context = docs.sparkSession.sparkContext
+    parts = stored(chunks(docs, chunk_tokens, piece_bytes), "chunks")
+    vocab = stored(vocabulary(parts), "vocabulary")
+    total = F.col("estimated") + F.col("deleted")
+    sums = vocab.agg(F.coalesce(F.sum(total), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
     n, v = int(sums["n"]), int(sums["v"])
     divisor = n + ADDED * (v + 1)
-    known = known_words(vocab)
-    shared = context.broadcast(known)  # at most KNOWN words
-    single = [w for w, i in known.index.items() if i < CLASSES - 1]
-    classed = spark.createDataFrame(pa.table({"word": pa.array(single, pa.binary())}))  # fewer than CLASSES rows
-    rare_words = vocab.join(F.broadcast(classed), "word", "left_anti")
-    even = unseen_share(rare_words)
-    rest = rare_words.agg(F.coalesce(F.sum(F.col("estimated") + F.col("deleted")), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
-    rare_mass, rare_types = max(1, int(rest["n"])), int(rest["v"])
-    counts = class_counts(docs, shared)
-    tables = context.broadcast((interpolated(counts, 1), interpolated(counts)))  # 18 MB, whatever the corpus
-    alone = F.col("alone").isNotNull()  # classes of their own
-    total = F.col("estimated") + F.col("deleted")
-    estimated_mass = rare_words.agg(F.coalesce(F.sum("estimated"), F.lit(0))).first()[0]
-    spread = lambda count, mass: F.when(alone, 1.0).otherwise((1 - even) * count / max(1, mass) + even / (rare_types + 1))
-    within = vocab.join(F.broadcast(classed.withColumn("alone", F.lit(True))), "word", "left").select(
-        F.xxhash64("word").alias("w"), spread(F.col("estimated"), estimated_mass).alias("w_est"), spread(total, rare_mass).alias("w_all")
+    classes = class_words(vocab)
+    rare = vocab.where(~F.col("word").isin([F.lit(w) for w in classes]))
+    masses = rare.agg(*(F.coalesce(F.sum(x), F.lit(0)) for x in (F.col("estimated"), total)), F.count(F.lit(1))).first()
+    counts = class_counts(parts, context.broadcast(classes))
+    model = context.broadcast(  # 18 MB, whatever the corpus
+        {
+            "classes": classes,
+            "tables": (interpolated(counts, 1), interpolated(counts)),
+            "even": unseen_share(rare),
+            "masses": (int(masses[0]), int(masses[1])),
+            "types": int(masses[2]),
+        }
     )
-    grams = stored(trigrams(docs, shared, tables), "trigrams")
-    unseen = F.lit(even / (rare_types + 1))
-    # Words of no training document are in no vocabulary.
-    new_words = grams.select("w").distinct().join(within, "w", "left_anti").select("w", unseen.alias("w_est"), unseen.alias("w_all"))
-    values = trigram_values(grams, stored(within.dropDuplicates(["w"]).unionByName(new_words), "words-within"))
+    size = parts.agg(F.coalesce(F.sum("n_tokens"), F.lit(0))).first()[0]
+    known = stored(counted(parts, max(1, -(-size // chunk_tokens))), "counted-chunks")
+    b = held_out_weights(known, model)
+    a = held_out_weights(known, model, b)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = shared.value
-        base = np.log10((words.counts + ADDED) / divisor)
-        for batch in batches:
-            rows: list[dict] = []
-            for text in batch.column("text"):
-                found = tokens(text.as_py())
-                codes = words.codes(found)
-                keys, times = np.unique(_grams(found)[0], return_counts=True)
-                seen = codes[codes >= 0]
-                other = Counter(found[i] for i in np.flatnonzero(codes < 0).tolist())
-                rows.append(
-                    {
-                        "n_tokens": len(found),
-                        "n_known": len(seen),
-                        "base": float(base[seen].sum()),
-                        "keys": keys,
-                        "times": times,
-                        "others": [{"word": w, "times": k} for w, k in other.items()],
-                    }
-                )
-            kind = pa.struct(
-                [
-                    ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base", pa.float64()),
-                    ("keys", pa.list_(pa.int64())), ("times", pa.list_(pa.int64())),
-                    ("others", pa.list_(pa.struct([("word", pa.binary()), ("times", pa.int64())]))),
-                ]
-            )
-            columns = pa.array(rows, kind).flatten()
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("row_id"), batch.column("held_out"), *columns],
-                ["doc_id", "row_id", "held_out", *(kind.field(i).name for i in range(kind.num_fields))],
-            )
-
-    marked = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
-        F.monotonically_increasing_id().alias("row_id"),
-        F.coalesce(fold(FOLDS) == HELD_OUT, F.lit(False)).alias("held_out"),
-        text_or_empty().alias("text"),
-    )
-    first = stored(
-        marked.mapInArrow(
-            run,
-            "doc_id long, row_id long, held_out boolean, n_tokens long, n_known long, base double, "
-            "keys array<long>, times array<long>, others array<struct<word: binary, times: long>>",
-        ),
-        "scored",
-    )
-    # Words outside the frequent ones meet their counts by a join; each is rare or unseen, so none is hot.
-    each = first.select("row_id", F.explode("others").alias("other")).select("row_id", "other.word", "other.times")
-    count = F.coalesce(F.col("estimated") + F.col("deleted"), F.lit(0))
-    met = (
-        each.join(vocab, "word", "left")
-        .select(
-            "row_id",
-            F.when(count > 0, F.col("times")).otherwise(0).alias("known"),
-            (F.col("times") * F.log10((count + ADDED) / divisor)).alias("base"),
-        )
-        .groupBy("row_id")
-        .agg(F.sum("known").alias("more_known"), F.sum("base").alias("more_base"))
-    )
-    # Every trigram of a document meets its value; a row for each distinct one, so a common trigram has one side to split.
-    each = first.select("row_id", F.explode(F.arrays_zip("keys", "times")).alias("gram")).select("row_id", F.col("gram.keys").alias("key"), "gram.times")
-    summed = each.join(values, "key").groupBy("row_id").agg(F.sum(F.col("times") * F.col("value")).alias("model"))
-    base = F.col("base") + F.coalesce("more_base", F.lit(0.0))
-    model = F.col("model")
-    return first.drop("others", "keys", "times").join(met, "row_id", "left").join(summed, "row_id").select(
+        for row in _each(batches):
+            chunk = Chunk(row)
+            found = Estimates(row, chunk, model.value, every=True)
+            summed = lambda values: np.bincount(chunk.stretch, values, chunk.stretches)  # noqa: E731, B023
+            base = np.log10((found.words + ADDED) / divisor)[chunk.w]
+            value = np.log10(found.mixed(b, a))[chunk._triples[1]] if n else base
+            columns = [
+                pa.array(row["row_ids"], pa.int64()),
+                pa.array(row["doc_ids"], pa.int64()),
+                pa.array(row["held_out"], pa.bool_()),
+                *(pa.array(summed(x).astype(np.int64)) for x in (np.ones(len(base)), (found.words > 0)[chunk.w])),
+                *(pa.array(summed(x)) for x in (base, value)),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, ["row_id", "doc_id", "held_out", "n_tokens", "n_known", "base", "model"])
+
+    schema = "row_id long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, model double"
+    rows = known.mapInArrow(run, schema).groupBy("row_id", "doc_id", "held_out")  # more than one only where a text has several chunks
+    return rows.agg(*(F.sum(x).alias(x) for x in ("n_tokens", "n_known", "base", "model"))).select(
         "doc_id",
         "held_out",
         "n_tokens",
-        (F.col("n_known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
+        "n_known",
         F.lit(n).cast("long").alias("train_tokens"),
-        base.alias("base_score"),
-        (model if n else base).alias("score"),
+        F.col("base").alias("base_score"),
+        F.col("model").alias("score"),
     )

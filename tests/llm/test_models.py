@@ -12,6 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from mapflow.llm import language_model, neighbours, secrets, toxicity
+from mapflow.llm.common import stored
 from tests.llm.texts import prose
 
 HEX = "0123456789abcdef"
@@ -202,19 +203,104 @@ def test_word_pairs_outside_the_classes_are_learned(documents):
     assert together["score"] > apart["score"] + 100
 
 
-def test_every_distinct_trigram_is_counted(spark, documents, odd_rows):
-    rows = odd_rows + [(n, prose(n, 60)) for n in range(30, 60)]
-    docs = documents(rows)
-    known = spark.sparkContext.broadcast(language_model.known_words(language_model.vocabulary(docs)))
-    counts = language_model.class_counts(docs, known)
-    tables = spark.sparkContext.broadcast((language_model.interpolated(counts, 1), language_model.interpolated(counts)))
-    got = language_model.trigrams(docs, known, tables).collect()
-    expected = Counter()
+def ngrams(rows):
+    """Counts of one to three words in both training parts, by plain loops."""
+    counts = {}
     for doc, text in rows:
         words = [b"\n", b"\n", *language_model.tokens(text)]
+        number = zlib.crc32(str(doc).encode()) % 10 if doc is not None else 0
+        for at in range(2, len(words)):
+            for size in (1, 2, 3):
+                cell = counts.setdefault(tuple(words[at + 1 - size : at + 1]), [0, 0])
+                if number:
+                    cell[number == 1] += 1
+    return counts
+
+
+def test_every_ngram_is_counted_over_all_chunks(documents, odd_rows):
+    rows = odd_rows + [(n, prose(n, 60)) for n in range(30, 60)]
+    expected = ngrams(rows)
+    parts = stored(language_model.chunks(documents(rows), chunk_tokens=300, piece_bytes=100), "chunks")
+    known = language_model.counted(parts, 5).collect()
+    assert len(known) > 5
+    met = set()
+    for row in known:
+        chunk = language_model.Chunk(row.asDict())
+        found = language_model._known_counts(row.asDict(), chunk)
+        word = chunk.words.__getitem__
+        pairs = [divmod(int(c), len(chunk.words)) for c in chunk._pairs[0]]
+        grams = [(w,) for w in chunk.words], [tuple(map(word, p)) for p in pairs], [
+            tuple(map(word, g)) for g in zip(*(chunk.triples[x].tolist() for x in "uvw"), strict=True)
+        ]
+        for names, counts in zip(grams, found, strict=True):
+            for name, count in zip(names, counts.tolist(), strict=True):
+                assert count == expected.get(name, [0, 0])
+                met.add(name)
+    assert met >= set(expected)
+
+
+def test_scores_equal_the_formula(documents, odd_rows):
+    lm = language_model
+    rows = odd_rows + [(n, prose(n, 80)) for n in range(30, 160)]
+    got = {(r["doc_id"], r["n_tokens"]): r["score"] for r in lm.scores(documents(rows), chunk_tokens=1500, piece_bytes=200).collect()}
+    counts = ngrams(rows)
+    end = (b"\n",)
+    frequent = sorted(((-sum(c), g[0]) for g, c in counts.items() if len(g) == 1 and g != end and sum(c)))[: lm.CLASSES - 2]
+    classes = {b"\n": 1} | {w: i for i, (_, w) in enumerate(frequent, 2)}
+    number = lambda w: classes.get(w, 0)
+
+    def cells(u, v, w):
+        u, v, w = map(number, (u, v, w))
+        return v * lm.CLASSES + w, ((u if u < lm.FAR else 0) * lm.NEAR + (v if v < lm.NEAR else 0)) * lm.CLASSES + w
+
+    tables = np.zeros((2, lm.CLASSES**2 + lm.FAR * lm.NEAR * lm.CLASSES), np.int64)
+    for gram, count in counts.items():
+        if len(gram) == 3:
+            two, three = cells(*gram)
+            for part in (0, 1):
+                tables[part, two] += count[part]
+                tables[part, lm.CLASSES**2 + three] += count[part]
+    class_tables = {True: lm.interpolated(tables), False: lm.interpolated(tables, 1)}
+    rare = [c for g, c in counts.items() if len(g) == 1 and g[0] not in classes and sum(c)]
+    known, deleted = (np.array([float(c[part]) for c in rare]) for part in (0, 1))
+    mass, types = known.sum(), int((known > 0).sum())
+    even = 0.5
+    if mass and deleted.sum():
+        even = 1 - lm.mixture_weights(known / mass, np.full(len(rare), 1 / (types + 1)), deleted, np.zeros(len(rare), int))[0]
+
+    def levels(gram, every):
+        """(estimate, how often its history was seen) of trigram and bigram, and the class's estimate."""
+        value = (lambda c: sum(c)) if every else (lambda c: c[0])
+        of = lambda g: value(counts.get(g, [0, 0]))
+        u, v, w = gram
+        history = of(end) if v == b"\n" else of((u, v))
+        lower, upper, left = class_tables[every]
+        two, three = cells(*gram)
+        by_class = float(upper.reshape(-1)[three]) + float(left[three // lm.CLASSES]) * float(lower.reshape(-1)[two])
+        whole = sum(map(value, rare))
+        within = 1.0 if number(w) else (1 - even) * of((w,)) / max(1, whole) + even / (len(rare) + 1)
+        ratio = lambda a, b: a / b if b else 0.0
+        return (ratio(of(gram), history), history), (ratio(of(gram[1:]), of((v,))), of((v,))), max(by_class * within, 1e-30)
+
+    bucket = lambda seen: int(lm._bucket(np.array([seen]))[0])
+
+    def learned(values):
+        steps = [2.0 ** (max(-1000, min(1000, round(lm.STEPS * np.log2(u / l)))) / lm.STEPS) if u > 0 else 0.0 for u, l, _, _ in values]
+        return lm.mixture_weights(
+            np.array(steps), np.ones(len(steps)), np.array([float(t) for *_, t in values]), np.array([bucket(s) for _, _, s, _ in values])
+        )
+
+    held = [(levels(g, False), c[1]) for g, c in counts.items() if len(g) == 3 and c[1]]
+    b = learned([(two[0], low, two[1], times) for (_, two, low), times in held])
+    mix = lambda weights, upper, low: low if not upper[1] else weights[bucket(upper[1])] * upper[0] + (1 - weights[bucket(upper[1])]) * low
+    a = learned([(three[0], mix(b, two, low), three[1], times) for (three, two, low), times in held])
+    for doc, text in rows:
+        words = [b"\n", b"\n", *lm.tokens(text)]
+        total = 0.0
         for gram in zip(words, words[1:], words[2:], strict=False):
-            expected[gram] += doc is not None and not held_out(doc, 10)
-    assert sorted(r["estimated"] + r["deleted"] for r in got) == sorted(expected.values())
+            three, two, low = levels(gram, True)
+            total += np.log10(mix(a, three, mix(b, two, low)))
+        assert abs(got[doc, len(words) - 2] - total) < 1e-6 * (1 + abs(total))
 
 
 def test_language_model_without_training(documents):
@@ -223,6 +309,14 @@ def test_language_model_without_training(documents):
     assert language_model.scores(documents([])).collect() == []
 
 
+def test_texts_longer_than_a_chunk_are_one_row(documents):
+    rows = [(n, prose(n, 60)) for n in range(30)] + [(77, prose(5, 900)), (78, "\n" * 500 + "w" * 900), (79, "  \t" * 300)]
+    whole = sorted(tuple(r) for r in language_model.scores(documents(rows)).collect())
+    split = sorted(tuple(r) for r in language_model.scores(documents(rows), chunk_tokens=100, piece_bytes=50).collect())
+    assert len(split) == len(rows) and [r[:5] for r in split] == [r[:5] for r in whole]
+    assert np.allclose([r[5:] for r in split], [r[5:] for r in whole], rtol=1e-9)
+
+
 def test_interpolated_tables_are_probabilities():
     rng = np.random.default_rng(0)
     size = language_model.CLASSES**2 + language_model.FAR * language_model.NEAR * language_model.CLASSES
