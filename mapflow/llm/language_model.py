@@ -18,12 +18,15 @@ which is all that the method needs), so the driver sees a table of fixed size.
 
 What grows with the corpus stays in Spark. Texts are split once, into a stored table of
 chunks of about `CHUNK` tokens: a chunk's distinct words, and its tokens as numbers of
-them, compressed. Each chunk asks for the counts of its distinct n-grams of one to three
-words: sorted lists of their names with its own counts go to buckets by range of the name,
-a bucket adds them up and answers with the counts of the whole corpus in the order asked,
-so answers need no names. A common n-gram is asked for once a chunk, however often it
-occurs. The number of buckets grows with the corpus. Names are 96-bit hashes: among 10^13
-distinct n-grams two share one with a chance of 6e-4. The count tables of classes have
+them, compressed. Counts of the whole corpus come in three rounds, for words, pairs and
+trigrams: each chunk sends its distinct n-grams with its own counts to buckets by a hash of
+the n-gram, a bucket adds them up and answers in the order asked, so answers need no names;
+it also says whether another chunk has asked for the same. The first round also gives every word a number, so n-grams are named exactly, by their
+words' numbers, and sorted lists of them compress well. A chunk asks for a pair only where
+both words, and for a trigram only where both pairs, are shared with other chunks: elsewhere
+its own counts are the corpus's. A common n-gram is asked for once a chunk, however often
+it occurs. The number of buckets grows with the corpus. Tables by chunk are bucketed by
+chunk, so that joining answers to chunks moves neither. The count tables of classes have
 fixed sizes, (2^10)^2 and 2^4 * 2^6 * 2^10 cells, and are summed in Spark before the
 driver sees them.
 
@@ -44,10 +47,11 @@ import pyarrow as pa
 import xxhash
 import zstandard
 from pyspark import Broadcast, TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mapflow.llm.common import WordNumbers, fold, stored, text_or_empty
+from mapflow.session import scratch_path
 
 FOLDS = 10
 HELD_OUT = 0
@@ -65,11 +69,13 @@ CHUNK = 1_000_000  # tokens of a chunk, and for each bucket of names
 PIECE = 2_000_000  # bytes of a text that are split at once
 BLANK = re.compile(rb"[\x20\x09-\x0D]")
 ODD = np.uint64(0x9E3779B97F4A7C15)
+NUMBER_BITS = 42  # of a word's number; a trigram's name is three of them in two 64-bit integers
 
 CHUNK_SCHEMA = (
     "chunk long, row_ids array<long>, doc_ids array<long>, held_out array<boolean>, parts array<int>, starts array<long>, "
     "n_tokens long, words binary, tokens binary"
 )
+CHUNK_COLUMNS = ["chunk", "row_ids", "doc_ids", "held_out", "parts", "starts", "n_tokens", "words", "tokens"]
 
 
 def pieces(text: str | None, most: int = PIECE) -> Iterator[list[bytes]]:
@@ -160,25 +166,49 @@ def chunks(docs: DataFrame, chunk_tokens: int = CHUNK, piece_bytes: int = PIECE)
     return marked.mapInArrow(run, CHUNK_SCHEMA)
 
 
-def _mixed(words: list[np.ndarray]) -> np.ndarray:
-    """One hash of an n-gram from hashes of its words."""
-    key = np.full(len(words[0]), len(words), np.uint64)
+def _bucket_of(high: np.ndarray, low: np.ndarray, buckets: int) -> np.ndarray:
+    """Bucket of each name, by a hash of its two integers."""
     with np.errstate(over="ignore"):
-        for word in words:
-            key = key * ODD + word
-            key = (key ^ (key >> np.uint64(31))) * ODD
-            key ^= key >> np.uint64(29)
-    return key
+        key = (high * ODD) ^ (high >> np.uint64(29))
+        key = (key + low) * ODD
+        key = (key ^ (key >> np.uint64(32))) * ODD
+    return ((key >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+
+
+def _in_order(bucket: np.ndarray, answers: list[np.ndarray]) -> np.ndarray:
+    """Answers of the buckets, put where their questions stood."""
+    out = np.empty((len(bucket), answers[0].shape[1] if answers else 3), np.int64)
+    if len(bucket):
+        out[np.argsort(bucket, kind="stable")] = np.concatenate(answers)
+    return out
+
+
+def _columns(blob: bytes, width: int) -> np.ndarray:
+    return unpacked(blob, np.uint64).reshape(width, -1).T
 
 
 class Chunk:
-    """A row of the table of chunks: its tokens and its distinct n-grams of one to three words."""
+    """A row of the table of chunks, with the answers joined to it: its tokens and its distinct n-grams."""
 
-    def __init__(self, row: dict) -> None:
+    def __init__(self, row: dict, buckets: int = 1) -> None:
+        self.row, self.buckets = row, buckets
         self.words: list[bytes] = zstandard.ZstdDecompressor().decompress(row["words"]).split(b" ")
         every = unpacked(row["tokens"], np.uint32).astype(np.int64)
+        self.end = 0
+        if row.get("word_answers"):
+            answers = row["word_answers"]
+            found = np.concatenate([np.column_stack([unpacked(a["numbers"], np.uint64), _columns(a["counts"], 3)]) for a in answers])
+            found = _in_order(self.word_buckets(), [found])
+            # From here on the chunk's own numbers stand in the order of the corpus's.
+            order = np.argsort(found[:, 0])
+            rank = np.empty_like(order)
+            rank[order] = np.arange(len(order))
+            every, self.end = rank[every], int(rank[0])
+            self.numbers = found[order, 0].astype(np.uint64)
+            self.word_counts, self.shared_words = found[order, 1:3], found[order, 3] > 0
         starts = np.array(row["starts"], np.int64)
-        stretch = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(every))))
+        ends = np.append(starts[1:], len(every))
+        stretch = np.repeat(np.arange(len(starts)), ends - starts)
         place = np.arange(len(every)) - starts[stretch]
         self.every, self.place = every, place
         self.at = np.flatnonzero(place >= 2)
@@ -187,6 +217,14 @@ class Chunk:
         self.part = np.array(row["parts"], np.int64)[self.stretch]
         self.u, self.v, self.w = every[self.at - 2], every[self.at - 1], every[self.at]
 
+    def word_buckets(self) -> np.ndarray:
+        hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, self.words), np.uint64, len(self.words))
+        return ((hashes >> np.uint64(32)) * np.uint64(self.buckets)) >> np.uint64(32)
+
+    def tally(self, each: np.ndarray, size: int) -> np.ndarray:
+        """How often each of something occurs in the two training parts: shape (size, 2)."""
+        return np.column_stack([np.bincount(each[self.part == p], minlength=size) for p in (ESTIMATED, DELETED)])
+
     @cached_property
     def _pairs(self) -> tuple[np.ndarray, np.ndarray]:
         """Distinct pairs of neighbours, those before a stretch included, and the pair that ends at each place."""
@@ -211,36 +249,52 @@ class Chunk:
         pair[each] = self._pairs[1][self.at]
         return {"u": u, "v": v, "w": w, "history": history, "pair": pair}
 
-    def names(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Both parts of the names of words, pairs and trigrams, sorted, and the order."""
-        digests = b"".join(map(xxhash.xxh3_128_digest, self.words))
-        halves = np.frombuffer(digests, ">u8").reshape(-1, 2).astype(np.uint64)
-        first, second = np.divmod(self._pairs[0], len(self.words))
-        three = [self.triples[x] for x in "uvw"]
-        every = np.arange(len(self.words))
-        high, low = (
-            np.concatenate([_mixed([half[x] for x in gram]) for gram in ([every], [first, second], three)]) for half in halves.T
-        )
-        order = np.argsort(high, kind="stable")
-        return high[order], (low[order] >> np.uint64(32)).astype(np.uint32), order
+    @cached_property
+    def own_pairs(self) -> np.ndarray:
+        return self.tally(self._pairs[1][self.at], len(self._pairs[0]))
 
-    def tally(self, each: np.ndarray, size: int) -> np.ndarray:
-        """How often each of something occurs in the two training parts: shape (size, 2)."""
-        return np.column_stack([np.bincount(each[self.part == p], minlength=size) for p in (ESTIMATED, DELETED)])
+    @cached_property
+    def own_triples(self) -> np.ndarray:
+        return self.tally(self._triples[1], len(self._triples[0]))
 
-    def counts(self) -> np.ndarray:
-        """Of words, pairs and trigrams, in this order."""
-        codes, each = self._triples
-        return np.concatenate(
-            [
-                self.tally(self.w, len(self.words)),
-                self.tally(self._pairs[1][self.at], len(self._pairs[0])),
-                self.tally(each, len(codes)),
-            ]
-        )
+    @cached_property
+    def asked_pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Those whose words are shared, and their names."""
+        v, w = np.divmod(self._pairs[0], len(self.words))
+        asked = np.flatnonzero(self.shared_words[v] & self.shared_words[w])
+        return asked, self.numbers[v[asked]], self.numbers[w[asked]]
+
+    def _answered(self, kind: str) -> tuple[np.ndarray, np.ndarray]:
+        """Counts of the whole corpus, and which are shared with other chunks."""
+        asked, high, low = getattr(self, f"asked_{kind}s")
+        answers = _in_order(_bucket_of(high, low, self.buckets), [_columns(x, 3) for x in self.row[f"{kind}_answers"] or []])
+        counts = getattr(self, f"own_{kind}s").copy()
+        shared = np.zeros(len(counts), bool)
+        counts[asked], shared[asked] = answers[:, :2], answers[:, 2] > 0
+        return counts, shared
+
+    @cached_property
+    def _pair_answers(self) -> tuple[np.ndarray, np.ndarray]:
+        return self._answered("pair")
+
+    @property
+    def pair_counts(self) -> np.ndarray:
+        return self._pair_answers[0]
 
-    def classes(self, numbers: dict[bytes, int]) -> np.ndarray:
-        return np.array([numbers.get(w, 0) for w in self.words], np.int64)
+    @cached_property
+    def asked_triples(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Those whose pairs are shared, and their names."""
+        shared = self._pair_answers[1]
+        asked = np.flatnonzero(shared[self.triples["history"]] & shared[self.triples["pair"]])
+        u, v, w = (self.numbers[self.triples[x][asked]] for x in "uvw")
+        rest = NUMBER_BITS - (64 - NUMBER_BITS)  # bits of v beside w
+        high = (u << np.uint64(64 - NUMBER_BITS)) | (v >> np.uint64(rest))
+        low = ((v & np.uint64(2**rest - 1)) << np.uint64(NUMBER_BITS)) | w
+        return asked, high, low
+
+    @cached_property
+    def triple_counts(self) -> np.ndarray:
+        return self._answered("triple")[0]
 
 
 def _each(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
@@ -250,27 +304,156 @@ def _each(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
             yield batch.slice(at, 1).to_pylist()[0]
 
 
-def vocabulary(parts: DataFrame) -> DataFrame:
-    """`word, estimated, deleted`: counts in the nine tenths and the tenth of the training documents."""
+def by_chunk(df: DataFrame, label: str) -> DataFrame:
+    """A stored table that is bucketed by chunk: joins by chunk with others of its kind move no rows."""
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
+    name = "mapflow_" + re.sub(r"\W", "_", path.rstrip("/").rsplit("/", 1)[-1])
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.bucketBy(partitions, "chunk").option("path", path).saveAsTable(name)
+    return spark.table(name)
+
+
+def _slices(bucket: np.ndarray) -> tuple[np.ndarray, list[slice]]:
+    """Buckets in use and their stretches, of sorted bucket numbers."""
+    found, first = np.unique(bucket, return_index=True)
+    return found.astype(np.int64), [slice(a, b) for a, b in zip(first, np.append(first, len(bucket))[1:], strict=True)]
+
+
+def numbered_words(parts: DataFrame, buckets: int) -> DataFrame:
+    """Of every bucket, for each chunk the numbers and counts of its words; with a null chunk all the bucket's words."""
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in _each(batches):
+            chunk = Chunk(row, buckets)
+            bucket = chunk.word_buckets()
+            order = np.argsort(bucket, kind="stable")
+            found, slices = _slices(bucket[order])
+            counts = chunk.tally(chunk.w, len(chunk.words))[order].astype(np.uint64)
+            words = [b" ".join([chunk.words[i] for i in order[s]]) for s in slices]
+            columns = [
+                pa.array(found),
+                pa.array([row["chunk"]] * len(found), pa.int64()),
+                pa.array(map(zstandard.ZstdCompressor(level=3).compress, words), pa.binary()),
+                pa.array([packed(counts[s].T.ravel()) for s in slices], pa.binary()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, ["bucket", "chunk", "words", "counts"])
+
+    def answer(asked: pa.Table) -> pa.Table:
+        asked = asked.sort_by("chunk")  # the same numbers whenever a task is run again
+        bucket = asked.column("bucket")[0].as_py()
+        numbers = WordNumbers()
+        lists = [zstandard.ZstdDecompressor().decompress(x.as_py()).split(b" ") for x in asked.column("words")]
+        ids = [np.fromiter(map(numbers.__getitem__, x), np.int64, len(x)) for x in lists]
+        counts = np.zeros((len(numbers), 3), np.uint64)
+        for at, blob in zip(ids, asked.column("counts"), strict=True):
+            counts[at, :2] += _columns(blob.as_py(), 2)  # a chunk's words are distinct
+            counts[at, 2] += np.uint64(1)
+        counts[:, 2] = counts[:, 2] > 1  # shared
+        called = lambda at: (1 + at * buckets + bucket).astype(np.uint64)
+        rows = [
+            {"chunk": c.as_py(), "bucket": bucket, "numbers": packed(called(at)), "counts": packed(counts[at].T.ravel()), "words": None}
+            for c, at in zip(asked.column("chunk"), ids, strict=True)
+        ]
+        words = zstandard.ZstdCompressor(level=3).compress(b" ".join(numbers))
+        every = {"chunk": None, "bucket": bucket, "numbers": packed(called(np.arange(len(numbers)))), "counts": packed(counts.T.ravel()), "words": words}
+        kinds = [("chunk", pa.int64()), ("bucket", pa.int64()), ("numbers", pa.binary()), ("counts", pa.binary()), ("words", pa.binary())]
+        return pa.Table.from_pylist([*rows, every], pa.schema(kinds))
+
+    asked = parts.mapInArrow(ask, "bucket long, chunk long, words binary, counts binary")
+    return asked.groupBy("bucket").applyInArrow(answer, "chunk long, bucket long, numbers binary, counts binary, words binary")
+
+
+def vocabulary(answers: DataFrame) -> DataFrame:
+    """`word, number, estimated, deleted`: counts in the nine tenths and the tenth of the training documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _each(batches):
-            chunk = Chunk(row)
-            counts = chunk.tally(chunk.w, len(chunk.words))
-            met = np.flatnonzero(counts.any(axis=1))
-            words = pa.array([chunk.words[i] for i in met], pa.binary())
-            columns = [pa.array(counts[met, p].astype(np.int64)) for p in (0, 1)]
-            yield pa.RecordBatch.from_arrays([words, *columns], ["word", "estimated", "deleted"])
+            words = zstandard.ZstdDecompressor().decompress(row["words"]).split(b" ")
+            numbers, counts = unpacked(row["numbers"], np.uint64).astype(np.int64), _columns(row["counts"], 3).astype(np.int64)
+            columns = [pa.array(words, pa.binary()), *(pa.array(x.copy()) for x in (numbers, counts[:, 0], counts[:, 1]))]
+            yield pa.RecordBatch.from_arrays(columns, ["word", "number", "estimated", "deleted"])
+
+    rows = answers.where(F.col("chunk").isNull()).select("words", "numbers", "counts")
+    return rows.mapInArrow(run, "word binary, number long, estimated long, deleted long")
+
 
-    found = parts.mapInArrow(run, "word binary, estimated long, deleted long")
-    return found.groupBy("word").agg(F.sum("estimated").alias("estimated"), F.sum("deleted").alias("deleted"))
+def asked_counts(parts: DataFrame, kind: str, buckets: int) -> DataFrame:
+    """`chunk, <kind>_answers`: counts over all chunks of what each asks for, `kind` being pair or triple."""
 
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in _each(batches):
+            chunk = Chunk(row, buckets)
+            asked, high, low = getattr(chunk, f"asked_{kind}s")
+            bucket = _bucket_of(high, low, buckets)
+            order = np.argsort(bucket, kind="stable")
+            found, slices = _slices(bucket[order])
+            high, low, counts = high[order], low[order], getattr(chunk, f"own_{kind}s")[asked][order].astype(np.uint32)
+            middle, last = (low >> np.uint64(NUMBER_BITS)).astype(np.uint32), low & np.uint64(2**NUMBER_BITS - 1)
+            columns = [
+                pa.array(found),
+                pa.array([row["chunk"]] * len(found), pa.int64()),
+                pa.array([packed(np.diff(high[s], prepend=np.uint64(0))) for s in slices], pa.binary()),
+                pa.array([packed(np.diff(middle[s], prepend=np.uint32(0))) for s in slices], pa.binary()),
+                pa.array([packed(last[s]) for s in slices], pa.binary()),
+                pa.array([packed(counts[s].T.ravel()) for s in slices], pa.binary()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, ["bucket", "chunk", "high", "middle", "last", "counts"])
 
-def class_words(vocab: DataFrame) -> dict[bytes, int]:
-    """The words that are classes of their own: the end, then the most frequent ones, ties in byte order."""
-    total = (F.col("estimated") + F.col("deleted")).alias("n")
-    first = vocab.select("word", total).where(F.col("word") != F.lit(END)).orderBy(F.desc("n"), "word").limit(CLASSES - 2)
-    return {END: 1} | {bytes(r["word"]): i for i, r in enumerate(first.collect(), 2)}  # fewer than CLASSES
+    asked = parts.mapInArrow(ask, "bucket long, chunk long, high binary, middle binary, last binary, counts binary")
+    answers = asked.groupBy("bucket").applyInArrow(added_up, "chunk long, bucket long, counts binary")
+    return answers.groupBy("chunk").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("bucket", "counts"))), lambda x: x["counts"]).alias(f"{kind}_answers")
+    )  # the answers to one chunk
+
+
+def added_up(asked: pa.Table) -> pa.Table:
+    """Answers of one bucket: for each question the counts over all of them and whether it is shared, in its order."""
+    sums = lambda name, kind: [np.cumsum(unpacked(x.as_py(), kind), dtype=kind) for x in asked.column(name)]
+    high, middle = sums("high", np.uint64), np.concatenate(sums("middle", np.uint32)).astype(np.uint64)
+    edges = np.cumsum([0, *map(len, high)])
+    high = np.concatenate(high)
+    low = (middle << np.uint64(NUMBER_BITS)) | np.concatenate([unpacked(x.as_py(), np.uint64) for x in asked.column("last")])
+    counts = np.concatenate([unpacked(x.as_py(), np.uint32).reshape(2, -1).T for x in asked.column("counts")])
+    order = np.lexsort((low, high))
+    high, low = high[order], low[order]
+    first = np.append(True, (high[1:] != high[:-1]) | (low[1:] != low[:-1]))
+    total = np.add.reduceat(counts[order], np.flatnonzero(first), axis=0, dtype=np.uint64)
+    askers = np.diff(np.append(np.flatnonzero(first), len(order)))
+    answer = np.empty((len(order), 3), np.uint64)
+    answer[order] = np.column_stack([total, askers > 1])[np.cumsum(first) - 1]
+    blobs = pa.array([packed(answer[a:b].T.ravel()) for a, b in zip(edges, edges[1:], strict=False)], pa.binary())
+    return pa.table({"chunk": asked.column("chunk"), "bucket": asked.column("bucket"), "counts": blobs})
+
+
+def with_counts(docs: DataFrame, chunk_tokens: int = CHUNK, piece_bytes: int = PIECE) -> tuple[DataFrame, DataFrame, int]:
+    """The chunks with the counts that `Chunk` reads, the vocabulary, and the number of buckets."""
+    parts = by_chunk(chunks(docs, chunk_tokens, piece_bytes), "chunks")
+    size = parts.agg(F.coalesce(F.sum("n_tokens"), F.lit(0))).first()[0]
+    buckets = max(1, -(-size // chunk_tokens))
+    numbered = stored(numbered_words(parts, buckets), "words")
+    answers = F.array_sort(F.collect_list(F.struct("bucket", "numbers", "counts"))).alias("word_answers")
+    words = by_chunk(numbered.where(F.col("chunk").isNotNull()).groupBy("chunk").agg(answers), "word-answers")
+    parts = parts.join(words, "chunk")
+    for kind in ("pair", "triple"):
+        parts = parts.join(by_chunk(asked_counts(parts, kind, buckets), f"{kind}-answers"), "chunk", "left")
+    return parts, vocabulary(numbered), buckets
+
+
+def class_words(vocab: DataFrame) -> list[int]:
+    """Numbers of the words that are classes 1, 2, ...: the end, then the most frequent ones, ties in byte order."""
+    total = F.col("estimated") + F.col("deleted")
+    is_end = F.col("word") == F.lit(END)
+    first = vocab.where((total > 0) | is_end).orderBy(F.desc(is_end), F.desc(total), "word").limit(CLASSES - 1)
+    return [r["number"] for r in first.select("number").collect()]  # fewer than CLASSES
+
+
+def _classes(chunk: Chunk, classed: list[int]) -> np.ndarray:
+    """Class of each of the chunk's words."""
+    numbers = np.array(classed, np.uint64)
+    order = np.argsort(numbers)
+    at = np.minimum(np.searchsorted(numbers[order], chunk.numbers), len(numbers) - 1)
+    return np.where(numbers[order][at] == chunk.numbers, order[at] + 1, 0)
 
 
 def _cells(classes: np.ndarray, u: np.ndarray, v: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -281,30 +464,36 @@ def _cells(classes: np.ndarray, u: np.ndarray, v: np.ndarray, w: np.ndarray) ->
     return two, three
 
 
-def class_counts(parts: DataFrame, classed: Broadcast) -> np.ndarray:
+def class_counts(parts: DataFrame, classed: list[int], buckets: int) -> np.ndarray:
     """Counts of both tables, for both parts of the training documents: shape (2 parts, cells of two and three)."""
     cells = CLASSES * CLASSES
     size = cells + FAR * NEAR * CLASSES
+    ranges = 64
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros((2, size), np.int64)
         for row in _each(batches):
-            chunk = Chunk(row)
-            two, three = _cells(chunk.classes(classed.value), chunk.u, chunk.v, chunk.w)
+            chunk = Chunk(row, buckets)
+            two, three = _cells(_classes(chunk, classed), chunk.u, chunk.v, chunk.w)
             for part in (ESTIMATED, DELETED):
                 some = chunk.part == part
                 counts[part, :cells] += np.bincount(two[some], minlength=cells)
                 counts[part, cells:] += np.bincount(three[some], minlength=size - cells)
-        flat = counts.reshape(-1)
-        at = np.flatnonzero(flat)
-        for first in range(0, len(at), 500_000):
-            some = at[first : first + 500_000]
-            yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(flat[some])], ["cell", "n"])
-
-    summed = parts.mapInArrow(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
-    out = np.zeros(2 * size, np.int64)
-    table = summed.toArrow()  # a row for each cell in use: at most 2 * 2.1 million, whatever the corpus
-    out[table.column("cell").to_numpy()] = table.column("n").to_numpy()
+        if counts.any():
+            blobs = pa.array([packed(x) for x in np.split(counts.reshape(-1), ranges)], pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(range(ranges), pa.int64()), blobs], ["range", "counts"])
+
+    def summed(some: pa.Table) -> pa.Table:
+        counts = np.zeros(2 * size // ranges, np.int64)
+        for blob in some.column("counts"):
+            counts += unpacked(blob.as_py(), np.int64)
+        return pa.table({"range": some.column("range")[:1], "counts": pa.array([packed(counts)], pa.binary())})
+
+    schema = "range long, counts binary"
+    table = parts.mapInArrow(run, schema).groupBy("range").applyInArrow(summed, schema).collect()  # 64 rows, 34 MB unpacked
+    out = np.zeros((ranges, 2 * size // ranges), np.int64)
+    for row in table:
+        out[row["range"]] = unpacked(row["counts"], np.int64)
     return out.reshape(2, size)
 
 
@@ -386,62 +575,6 @@ def unseen_share(rare: DataFrame) -> float:
     return float(1 - mixture_weights(likely, even, times, np.zeros(len(rows), np.int64))[0]) if times.sum() else 0.5
 
 
-def requests(parts: DataFrame, buckets: int) -> DataFrame:
-    """Each chunk's n-grams by bucket: their names in order, as gaps and second parts, and its own counts."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row in _each(batches):
-            chunk = Chunk(row)
-            high, low, order = chunk.names()
-            counts = chunk.counts()[order].astype(np.uint32)
-            bucket = ((high >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
-            found, first = np.unique(bucket, return_index=True)
-            slices = [slice(a, b) for a, b in zip(first, [*first[1:], len(high)], strict=True)]
-            columns = [
-                pa.array(found.astype(np.int64)),
-                pa.array([row["chunk"]] * len(found), pa.int64()),
-                pa.array([packed(np.diff(high[s], prepend=np.uint64(0))) for s in slices], pa.binary()),
-                pa.array([packed(low[s]) for s in slices], pa.binary()),
-                pa.array([packed(counts[s].ravel()) for s in slices], pa.binary()),
-            ]
-            yield pa.RecordBatch.from_arrays(columns, ["bucket", "chunk", "gaps", "low", "counts"])
-
-    return parts.mapInArrow(run, "bucket long, chunk long, gaps binary, low binary, counts binary")
-
-
-def added_up(asked: pa.Table) -> pa.Table:
-    """Answers of one bucket: for each request the counts over all of them, in its order."""
-    high = [np.cumsum(unpacked(x.as_py(), np.uint64), dtype=np.uint64) for x in asked.column("gaps")]
-    edges = np.cumsum([0, *map(len, high)])
-    high = np.concatenate(high)
-    low = np.concatenate([unpacked(x.as_py(), np.uint32) for x in asked.column("low")])
-    counts = np.concatenate([unpacked(x.as_py(), np.uint32).reshape(-1, 2) for x in asked.column("counts")])
-    order = np.lexsort((low, high))
-    high, low = high[order], low[order]
-    first = np.append(True, (high[1:] != high[:-1]) | (low[1:] != low[:-1]))
-    sums = np.add.reduceat(counts[order], np.flatnonzero(first), axis=0, dtype=np.uint64)
-    answer = np.empty((len(order), 2), np.uint64)
-    answer[order] = sums[np.cumsum(first) - 1]
-    blobs = pa.array([packed(answer[a:b].ravel()) for a, b in zip(edges, edges[1:], strict=False)], pa.binary())
-    return pa.table({"chunk": asked.column("chunk"), "bucket": asked.column("bucket"), "counts": blobs})
-
-
-def counted(parts: DataFrame, buckets: int) -> DataFrame:
-    """The chunks with the whole corpus's counts of their n-grams, in the order of `Chunk.names`."""
-    answers = requests(parts, buckets).groupBy("bucket").applyInArrow(added_up, "chunk long, bucket long, counts binary")
-    whole = answers.groupBy("chunk").agg(F.array_sort(F.collect_list(F.struct("bucket", "counts"))).alias("answers"))  # one chunk's
-    return parts.join(whole, "chunk").withColumn("answers", F.col("answers.counts"))
-
-
-def _known_counts(row: dict, chunk: Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Counts in both training parts of the whole corpus, of the chunk's words, pairs and trigrams."""
-    found = np.concatenate([unpacked(x, np.uint64) for x in row["answers"]]).reshape(-1, 2).astype(np.int64)
-    counts = np.empty_like(found)
-    counts[chunk.names()[2]] = found
-    words = len(chunk.words)
-    return np.split(counts, [words, words + len(chunk._pairs[0])])
-
-
 def _share(count: np.ndarray, of: np.ndarray) -> np.ndarray:
     return np.divide(count, of, out=np.zeros(len(of)), where=of > 0)
 
@@ -449,16 +582,17 @@ def _share(count: np.ndarray, of: np.ndarray) -> np.ndarray:
 class Estimates:
     """The estimates that are mixed for the distinct trigrams of a chunk, from estimated counts only or from all."""
 
-    def __init__(self, row: dict, chunk: Chunk, model: dict, every: bool) -> None:
+    def __init__(self, chunk: Chunk, model: dict, every: bool) -> None:
         grams = chunk.triples
-        words, pairs, triples = (x.sum(axis=1) if every else x[:, ESTIMATED] for x in _known_counts(row, chunk))
+        counts = chunk.word_counts, chunk.pair_counts, chunk.triple_counts
+        words, pairs, triples = (x.sum(axis=1) if every else x[:, ESTIMATED] for x in counts)
         self.words = words
         # What stands before a document was seen once a document, like the end.
-        self.seen_two = np.where(grams["v"] == 0, words[0], pairs[grams["history"]])
+        self.seen_two = np.where(grams["v"] == chunk.end, words[chunk.end], pairs[grams["history"]])
         self.seen_one = words[grams["v"]]
         self.three = _share(triples, self.seen_two)
         self.two = _share(pairs[grams["pair"]], self.seen_one)
-        classes = chunk.classes(model["classes"])
+        classes = _classes(chunk, model["classes"])
         lower, upper, left = model["tables"][int(every)]
         two, three = _cells(classes, grams["u"], grams["v"], grams["w"])
         by_class = upper.reshape(-1)[three].astype(float) + left[three // CLASSES] * lower.reshape(-1)[two].astype(float)
@@ -474,47 +608,50 @@ class Estimates:
         return a * self.three + (1 - a) * self.pairs_mixed(b)
 
 
-def held_out_weights(parts: DataFrame, model: Broadcast, pair_weights: np.ndarray | None = None) -> np.ndarray:
-    """Weights by bucket of the history's count, from the deleted counts of all n-grams: of pairs, or of trigrams where those of pairs are given."""
+def held_out_estimates(parts: DataFrame, model: Broadcast, buckets: int) -> DataFrame:
+    """Of every deleted trigram: how often (`times`), buckets of its histories, and its estimates over the class's."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _each(batches):
-            chunk = Chunk(row)
-            codes, each = chunk._triples
-            times = np.bincount(each[chunk.part == DELETED], minlength=len(codes))
-            known = Estimates(row, chunk, model.value, every=False)
-            if pair_weights is None:
-                upper, lower, seen = known.two, known.classed, known.seen_one
-            else:
-                upper, lower, seen = known.three, known.pairs_mixed(pair_weights), known.seen_two
-            met = upper > 0
-            step = np.full(len(codes), NEVER)
-            step[met] = np.clip(np.round(STEPS * np.log2(upper[met] / lower[met])), -1000, 1000)
+            chunk = Chunk(row, buckets)
+            times = chunk.own_triples[:, DELETED]
             some = np.flatnonzero(times)
-            cells, at = np.unique(np.column_stack([_bucket(seen)[some], step[some]]), axis=0, return_inverse=True)
-            sums = np.bincount(at.ravel(), times[some], len(cells)).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (cells[:, 0].copy(), cells[:, 1].copy(), sums)], ["bucket", "step", "times"])
+            known = Estimates(chunk, model.value, every=False)
+            columns = [
+                _bucket(known.seen_one[some]).astype(np.int32),
+                _bucket(known.seen_two[some]).astype(np.int32),
+                (known.two / known.classed)[some].astype(np.float32),
+                (known.three / known.classed)[some].astype(np.float32),
+                times[some].astype(np.int32),
+            ]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["seen_one", "seen_two", "two", "three", "times"])
+
+    return parts.mapInArrow(run, "seen_one int, seen_two int, two float, three float, times int")
 
-    summed = parts.mapInArrow(run, "bucket long, step long, times long").groupBy("bucket", "step").agg(F.sum("times").alias("times"))
-    cells = summed.collect()  # at most BUCKETS * 2002 rows
-    quotient = np.array([2.0 ** (r["step"] / STEPS) if r["step"] != NEVER else 0.0 for r in cells])
+
+def held_out_weights(held: DataFrame, seen: str, quotient: Column) -> np.ndarray:
+    """Weights of the upper estimate by bucket of the history's count, from its quotients to the lower one."""
+    step = F.greatest(F.lit(-1000), F.least(F.lit(1000), F.round(STEPS * F.log2(quotient)).cast("int")))
+    step = F.when(quotient > 0, step).otherwise(NEVER)
+    cells = held.groupBy(F.col(seen).alias("bucket"), step.alias("step")).agg(F.sum("times").alias("times")).collect()  # at most BUCKETS * 2002 rows
+    values = np.array([2.0 ** (r["step"] / STEPS) if r["step"] != NEVER else 0.0 for r in cells])
     times = np.array([float(r["times"]) for r in cells])
-    return mixture_weights(quotient, np.ones(len(cells)), times, np.array([r["bucket"] for r in cells], np.int64))
+    return mixture_weights(values, np.ones(len(cells)), times, np.array([r["bucket"] for r in cells], np.int64))
 
 
 def scores(docs: DataFrame, chunk_tokens: int = CHUNK, piece_bytes: int = PIECE) -> DataFrame:
     """Per row: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     context = docs.sparkSession.sparkContext
-    parts = stored(chunks(docs, chunk_tokens, piece_bytes), "chunks")
-    vocab = stored(vocabulary(parts), "vocabulary")
+    parts, vocab, buckets = with_counts(docs, chunk_tokens, piece_bytes)
     total = F.col("estimated") + F.col("deleted")
-    sums = vocab.agg(F.coalesce(F.sum(total), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
+    whole = lambda x: F.coalesce(F.sum(x), F.lit(0))
+    sums = vocab.agg(whole(total).alias("n"), F.count_if(total > 0).alias("v")).first()
     n, v = int(sums["n"]), int(sums["v"])
     divisor = n + ADDED * (v + 1)
     classes = class_words(vocab)
-    rare = vocab.where(~F.col("word").isin([F.lit(w) for w in classes]))
-    masses = rare.agg(*(F.coalesce(F.sum(x), F.lit(0)) for x in (F.col("estimated"), total)), F.count(F.lit(1))).first()
-    counts = class_counts(parts, context.broadcast(classes))
+    rare = vocab.where((total > 0) & ~F.col("number").isin(classes))
+    masses = rare.agg(whole(F.col("estimated")), whole(total), F.count(F.lit(1))).first()
+    counts = class_counts(parts.select(*CHUNK_COLUMNS, "word_answers"), classes, buckets)
     model = context.broadcast(  # 18 MB, whatever the corpus
         {
             "classes": classes,
@@ -524,15 +661,15 @@ def scores(docs: DataFrame, chunk_tokens: int = CHUNK, piece_bytes: int = PIECE)
             "types": int(masses[2]),
         }
     )
-    size = parts.agg(F.coalesce(F.sum("n_tokens"), F.lit(0))).first()[0]
-    known = stored(counted(parts, max(1, -(-size // chunk_tokens))), "counted-chunks")
-    b = held_out_weights(known, model)
-    a = held_out_weights(known, model, b)
+    held = stored(held_out_estimates(parts, model, buckets), "held-out")
+    b = held_out_weights(held, "seen_one", F.col("two").cast("double"))
+    weight = F.get(F.array(*(F.lit(float(x) if i else 0.0) for i, x in enumerate(b))), F.col("seen_one"))  # bucket 0: never seen
+    a = held_out_weights(held, "seen_two", F.col("three").cast("double") / (weight * F.col("two") + 1 - weight))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _each(batches):
-            chunk = Chunk(row)
-            found = Estimates(row, chunk, model.value, every=True)
+            chunk = Chunk(row, buckets)
+            found = Estimates(chunk, model.value, every=True)
             summed = lambda values: np.bincount(chunk.stretch, values, chunk.stretches)  # noqa: E731, B023
             base = np.log10((found.words + ADDED) / divisor)[chunk.w]
             value = np.log10(found.mixed(b, a))[chunk._triples[1]] if n else base
@@ -546,7 +683,7 @@ def scores(docs: DataFrame, chunk_tokens: int = CHUNK, piece_bytes: int = PIECE)
             yield pa.RecordBatch.from_arrays(columns, ["row_id", "doc_id", "held_out", "n_tokens", "n_known", "base", "model"])
 
     schema = "row_id long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, model double"
-    rows = known.mapInArrow(run, schema).groupBy("row_id", "doc_id", "held_out")  # more than one only where a text has several chunks
+    rows = parts.mapInArrow(run, schema).groupBy("row_id", "doc_id", "held_out")  # more than one only where a text has several chunks
     return rows.agg(*(F.sum(x).alias(x) for x in ("n_tokens", "n_known", "base", "model"))).select(
         "doc_id",
         "held_out",

@@ -12,7 +12,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from mapflow.llm import language_model, neighbours, secrets, toxicity
-from mapflow.llm.common import stored
 from tests.llm.texts import prose
 
 HEX = "0123456789abcdef"
@@ -217,24 +216,28 @@ def ngrams(rows):
     return counts
 
 
-def test_every_ngram_is_counted_over_all_chunks(documents, odd_rows):
-    rows = odd_rows + [(n, prose(n, 60)) for n in range(30, 60)]
+@pytest.mark.parametrize(("chunk_tokens", "piece_bytes"), [(300, 100), (1500, 200)])
+def test_every_ngram_is_counted_over_all_chunks(documents, odd_rows, chunk_tokens, piece_bytes):
+    rows = odd_rows + [(n, prose(n, 60)) for n in range(30, 130)]
     expected = ngrams(rows)
-    parts = stored(language_model.chunks(documents(rows), chunk_tokens=300, piece_bytes=100), "chunks")
-    known = language_model.counted(parts, 5).collect()
-    assert len(known) > 5
+    parts, vocab, buckets = language_model.with_counts(documents(rows), chunk_tokens, piece_bytes)
+    named = {r["number"]: bytes(r["word"]) for r in vocab.collect()}
+    assert len(named) == vocab.count() == sum(len(g) == 1 for g in expected)
+    known = [r.asDict(recursive=True) for r in parts.collect()]
+    assert len(known) > 5 and buckets > 5
     met = set()
     for row in known:
-        chunk = language_model.Chunk(row.asDict())
-        found = language_model._known_counts(row.asDict(), chunk)
-        word = chunk.words.__getitem__
+        chunk = language_model.Chunk(row, buckets)
+        word = [named[int(n)] for n in chunk.numbers].__getitem__
         pairs = [divmod(int(c), len(chunk.words)) for c in chunk._pairs[0]]
-        grams = [(w,) for w in chunk.words], [tuple(map(word, p)) for p in pairs], [
-            tuple(map(word, g)) for g in zip(*(chunk.triples[x].tolist() for x in "uvw"), strict=True)
-        ]
-        for names, counts in zip(grams, found, strict=True):
-            for name, count in zip(names, counts.tolist(), strict=True):
-                assert count == expected.get(name, [0, 0])
+        grams = {
+            "word": [(word(at),) for at in range(len(chunk.words))],
+            "pair": [tuple(map(word, p)) for p in pairs],
+            "triple": [tuple(map(word, g)) for g in zip(*(chunk.triples[x].tolist() for x in "uvw"), strict=True)],
+        }
+        for kind, names in grams.items():
+            for name, count in zip(names, getattr(chunk, f"{kind}_counts").tolist(), strict=True):
+                assert count == expected.get(name, [0, 0]), (kind, name)
                 met.add(name)
     assert met >= set(expected)
 
