@@ -65,7 +65,8 @@ END = b"\n"  # no word is white space; the end is word 0 of every chunk, and cla
 ROUNDS = 25
 STEPS = 16  # of a quotient's binary logarithm
 NEVER = -100_000  # step of the quotient 0
-CHUNK = 1_000_000  # tokens of a chunk, and for each bucket of names
+CHUNK = 500_000  # tokens of a chunk
+BUCKET_CHUNKS = 2  # chunks for each bucket of names
 PIECE = 2_000_000  # bytes of a text that are split at once
 BLANK = re.compile(rb"[\x20\x09-\x0D]")
 ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -95,7 +96,7 @@ def tokens(text: str | None) -> list[bytes]:
 def packed(numbers: np.ndarray) -> bytes:
     """An array's bytes in order of their significance, compressed."""
     planes = np.ascontiguousarray(numbers).view(np.uint8).reshape(-1, numbers.itemsize).T
-    return zstandard.ZstdCompressor(level=3).compress(planes.tobytes())
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
 
 
 def unpacked(data: bytes, kind: type) -> np.ndarray:
@@ -129,7 +130,7 @@ class _ChunkWriter:
                 ("n_tokens", pa.int64()), ("words", pa.binary()), ("tokens", pa.binary()),
             ]
         )
-        words = zstandard.ZstdCompressor(level=3).compress(b" ".join(self.numbers))
+        words = zstandard.ZstdCompressor(level=1).compress(b" ".join(self.numbers))
         values = [chunk, row_ids, doc_ids, held_out, parts, self.starts, self.size, words, packed(np.concatenate(self.tokens))]
         return pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip(values, schema, strict=True)], schema=schema)
 
@@ -334,7 +335,7 @@ def numbered_words(parts: DataFrame, buckets: int) -> DataFrame:
             columns = [
                 pa.array(found),
                 pa.array([row["chunk"]] * len(found), pa.int64()),
-                pa.array(map(zstandard.ZstdCompressor(level=3).compress, words), pa.binary()),
+                pa.array(map(zstandard.ZstdCompressor(level=1).compress, words), pa.binary()),
                 pa.array([packed(counts[s].T.ravel()) for s in slices], pa.binary()),
             ]
             yield pa.RecordBatch.from_arrays(columns, ["bucket", "chunk", "words", "counts"])
@@ -355,7 +356,7 @@ def numbered_words(parts: DataFrame, buckets: int) -> DataFrame:
             {"chunk": c.as_py(), "bucket": bucket, "numbers": packed(called(at)), "counts": packed(counts[at].T.ravel()), "words": None}
             for c, at in zip(asked.column("chunk"), ids, strict=True)
         ]
-        words = zstandard.ZstdCompressor(level=3).compress(b" ".join(numbers))
+        words = zstandard.ZstdCompressor(level=1).compress(b" ".join(numbers))
         every = {"chunk": None, "bucket": bucket, "numbers": packed(called(np.arange(len(numbers)))), "counts": packed(counts.T.ravel()), "words": words}
         kinds = [("chunk", pa.int64()), ("bucket", pa.int64()), ("numbers", pa.binary()), ("counts", pa.binary()), ("words", pa.binary())]
         return pa.Table.from_pylist([*rows, every], pa.schema(kinds))
@@ -415,7 +416,7 @@ def added_up(asked: pa.Table) -> pa.Table:
     high = np.concatenate(high)
     low = (middle << np.uint64(NUMBER_BITS)) | np.concatenate([unpacked(x.as_py(), np.uint64) for x in asked.column("last")])
     counts = np.concatenate([unpacked(x.as_py(), np.uint32).reshape(2, -1).T for x in asked.column("counts")])
-    order = np.lexsort((low, high))
+    order = np.lexsort((low, high)) if (high | low).max() >> np.uint64(32) else np.argsort((high << np.uint64(32)) | low, kind="stable")
     high, low = high[order], low[order]
     first = np.append(True, (high[1:] != high[:-1]) | (low[1:] != low[:-1]))
     total = np.add.reduceat(counts[order], np.flatnonzero(first), axis=0, dtype=np.uint64)
@@ -430,7 +431,7 @@ def with_counts(docs: DataFrame, chunk_tokens: int = CHUNK, piece_bytes: int = P
     """The chunks with the counts that `Chunk` reads, the vocabulary, and the number of buckets."""
     parts = by_chunk(chunks(docs, chunk_tokens, piece_bytes), "chunks")
     size = parts.agg(F.coalesce(F.sum("n_tokens"), F.lit(0))).first()[0]
-    buckets = max(1, -(-size // chunk_tokens))
+    buckets = max(1, -(-size // (chunk_tokens * BUCKET_CHUNKS)))
     numbered = stored(numbered_words(parts, buckets), "words")
     answers = F.array_sort(F.collect_list(F.struct("bucket", "numbers", "counts"))).alias("word_answers")
     words = by_chunk(numbered.where(F.col("chunk").isNotNull()).groupBy("chunk").agg(answers), "word-answers")
@@ -580,24 +581,22 @@ def _share(count: np.ndarray, of: np.ndarray) -> np.ndarray:
 
 
 class Estimates:
-    """The estimates that are mixed for the distinct trigrams of a chunk, from estimated counts only or from all."""
-
-    def __init__(self, chunk: Chunk, model: dict, every: bool) -> None:
-        grams = chunk.triples
-        counts = chunk.word_counts, chunk.pair_counts, chunk.triple_counts
-        words, pairs, triples = (x.sum(axis=1) if every else x[:, ESTIMATED] for x in counts)
-        self.words = words
-        # What stands before a document was seen once a document, like the end.
-        self.seen_two = np.where(grams["v"] == chunk.end, words[chunk.end], pairs[grams["history"]])
-        self.seen_one = words[grams["v"]]
+    """The estimates that are mixed for some trigrams u, v, w, from counts of them, their pairs (v, w) and (u, v) and all words."""
+
+    def __init__(
+        self, chunk: Chunk, model: dict, every: bool, gram: list[np.ndarray], words: np.ndarray, counts: list[np.ndarray]
+    ) -> None:
+        triples, pairs, self.seen_two = counts
+        u, v, w = gram
+        self.seen_one = words[v]
         self.three = _share(triples, self.seen_two)
-        self.two = _share(pairs[grams["pair"]], self.seen_one)
+        self.two = _share(pairs, self.seen_one)
         classes = _classes(chunk, model["classes"])
         lower, upper, left = model["tables"][int(every)]
-        two, three = _cells(classes, grams["u"], grams["v"], grams["w"])
+        two, three = _cells(classes, u, v, w)
         by_class = upper.reshape(-1)[three].astype(float) + left[three // CLASSES] * lower.reshape(-1)[two].astype(float)
         within = (1 - model["even"]) * words / max(1, model["masses"][int(every)]) + model["even"] / (model["types"] + 1)
-        self.classed = np.maximum(by_class * np.where(classes > 0, 1.0, within)[grams["w"]], 1e-30)
+        self.classed = np.maximum(by_class * np.where(classes > 0, 1.0, within)[w], 1e-30)
 
     def pairs_mixed(self, weights: np.ndarray) -> np.ndarray:
         b = np.where(self.seen_one > 0, weights[_bucket(self.seen_one)], 0.0)
@@ -608,25 +607,45 @@ class Estimates:
         return a * self.three + (1 - a) * self.pairs_mixed(b)
 
 
-def held_out_estimates(parts: DataFrame, model: Broadcast, buckets: int) -> DataFrame:
-    """Of every deleted trigram: how often (`times`), buckets of its histories, and its estimates over the class's."""
+HELD = {"seen_one": np.int32, "seen_two": np.int32, "two": np.float32, "three": np.float32, "times": np.int32}
+
+
+def token_counts(parts: DataFrame, model: Broadcast, buckets: int) -> DataFrame:
+    """Per chunk, as packed arrays: of each token the counts of its trigram, pair and history, and of each deleted trigram
+    how often (`times`), buckets of its histories, and its estimates over the class's."""
+    names = ["triples", "pairs", "histories", *HELD]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _each(batches):
             chunk = Chunk(row, buckets)
+            grams, each = chunk.triples, chunk._triples[1]
+
+            def counted(words: np.ndarray, pairs: np.ndarray, triples: np.ndarray) -> list[np.ndarray]:
+                # What stands before a document was seen once a document, like the end.
+                before = np.where(grams["v"] == chunk.end, words[chunk.end], pairs[grams["history"]])  # noqa: B023
+                return [triples, pairs[grams["pair"]], before]  # noqa: B023
+
+            known = chunk.word_counts, chunk.pair_counts, chunk.triple_counts
+            every = counted(*(x.sum(axis=1) for x in known))
             times = chunk.own_triples[:, DELETED]
             some = np.flatnonzero(times)
-            known = Estimates(chunk, model.value, every=False)
-            columns = [
-                _bucket(known.seen_one[some]).astype(np.int32),
-                _bucket(known.seen_two[some]).astype(np.int32),
-                (known.two / known.classed)[some].astype(np.float32),
-                (known.three / known.classed)[some].astype(np.float32),
-                times[some].astype(np.int32),
-            ]
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["seen_one", "seen_two", "two", "three", "times"])
+            estimated = [x[some] for x in counted(*(x[:, ESTIMATED] for x in known))]
+            found = Estimates(chunk, model.value, False, [grams[x][some] for x in "uvw"], known[0][:, ESTIMATED], estimated)
+            held = [_bucket(found.seen_one), _bucket(found.seen_two), found.two / found.classed, found.three / found.classed, times[some]]
+            blobs = [packed(x[each].astype(np.uint64)) for x in every] + [packed(x.astype(k)) for x, k in zip(held, HELD.values(), strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array([x]) for x in (row["chunk"], *blobs)], ["chunk", *names])
+
+    return parts.mapInArrow(run, "chunk long, " + ", ".join(f"{n} binary" for n in names))
+
+
+def held_out_estimates(counts: DataFrame) -> DataFrame:
+    """The deleted trigrams of `token_counts` as rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in _each(batches):
+            yield pa.RecordBatch.from_arrays([pa.array(unpacked(row[n], k)) for n, k in HELD.items()], list(HELD))
 
-    return parts.mapInArrow(run, "seen_one int, seen_two int, two float, three float, times int")
+    return counts.select(*HELD).mapInArrow(run, "seen_one int, seen_two int, two float, three float, times int")
 
 
 def held_out_weights(held: DataFrame, seen: str, quotient: Column) -> np.ndarray:
@@ -661,7 +680,8 @@ def scores(docs: DataFrame, chunk_tokens: int = CHUNK, piece_bytes: int = PIECE)
             "types": int(masses[2]),
         }
     )
-    held = stored(held_out_estimates(parts, model, buckets), "held-out")
+    counts = by_chunk(token_counts(parts, model, buckets), "token-counts")
+    held = held_out_estimates(counts)
     b = held_out_weights(held, "seen_one", F.col("two").cast("double"))
     weight = F.get(F.array(*(F.lit(float(x) if i else 0.0) for i, x in enumerate(b))), F.col("seen_one"))  # bucket 0: never seen
     a = held_out_weights(held, "seen_two", F.col("three").cast("double") / (weight * F.col("two") + 1 - weight))
@@ -669,21 +689,24 @@ def scores(docs: DataFrame, chunk_tokens: int = CHUNK, piece_bytes: int = PIECE)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _each(batches):
             chunk = Chunk(row, buckets)
-            found = Estimates(chunk, model.value, every=True)
+            known = [unpacked(row[n], np.uint64).astype(np.int64) for n in ("triples", "pairs", "histories")]
+            words = chunk.word_counts.sum(axis=1)
+            found = Estimates(chunk, model.value, True, [chunk.u, chunk.v, chunk.w], words, known)
             summed = lambda values: np.bincount(chunk.stretch, values, chunk.stretches)  # noqa: E731, B023
-            base = np.log10((found.words + ADDED) / divisor)[chunk.w]
-            value = np.log10(found.mixed(b, a))[chunk._triples[1]] if n else base
+            base = np.log10((words + ADDED) / divisor)[chunk.w]
+            value = np.log10(found.mixed(b, a)) if n else base
             columns = [
                 pa.array(row["row_ids"], pa.int64()),
                 pa.array(row["doc_ids"], pa.int64()),
                 pa.array(row["held_out"], pa.bool_()),
-                *(pa.array(summed(x).astype(np.int64)) for x in (np.ones(len(base)), (found.words > 0)[chunk.w])),
+                *(pa.array(summed(x).astype(np.int64)) for x in (np.ones(len(base)), (words > 0)[chunk.w])),
                 *(pa.array(summed(x)) for x in (base, value)),
             ]
             yield pa.RecordBatch.from_arrays(columns, ["row_id", "doc_id", "held_out", "n_tokens", "n_known", "base", "model"])
 
     schema = "row_id long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, model double"
-    rows = parts.mapInArrow(run, schema).groupBy("row_id", "doc_id", "held_out")  # more than one only where a text has several chunks
+    known = parts.select(*CHUNK_COLUMNS, "word_answers").join(counts.select("chunk", "triples", "pairs", "histories"), "chunk")
+    rows = known.mapInArrow(run, schema).groupBy("row_id", "doc_id", "held_out")  # more than one only where a text has several chunks
     return rows.agg(*(F.sum(x).alias(x) for x in ("n_tokens", "n_known", "base", "model"))).select(
         "doc_id",
         "held_out",
