@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,8 +11,8 @@ from pyspark.sql import functions as F
 # A side may be broadcast without keys only up to this many rows.
 MAX_CROSS_ROWS = 10_000
 
-# Characters of the stretches by which texts and parts meet.
-GRAM = 3
+# The shortest lengths of parts, so many at most, are looked up as whole stretches of the texts.
+WHOLE_LENGTHS = 8
 
 
 class CrossJoinError(ValueError):
@@ -64,24 +65,33 @@ def join_contains(
 ) -> DataFrame:
     """Pairs in which ``text`` contains ``part``, tagged ``EXACT`` or ``CONTAINS``.
 
-    Instead of testing all pairs, distinct texts and parts are indexed by their stretches of
-    ``GRAM`` characters (fewer if a part is shorter). A part meets the texts that hold the one
-    of its stretches which the fewest texts hold, and those are tested. A text emits no more
-    rows than it has characters, whatever the lengths of the parts. Every text contains an
-    empty part.
+    Instead of testing all pairs, distinct texts are indexed by their stretches. Parts of the
+    ``WHOLE_LENGTHS`` shortest lengths are themselves such stretches, so they meet the texts
+    that contain them and no others. A longer part meets the texts that hold the one of its
+    stretches of the last of these lengths which the fewest texts hold, and those are tested.
+    A text emits no more rows than it has characters for each of these lengths, whatever the
+    number of parts and their lengths. Every text contains an empty part.
     """
     needles = parts.select(F.col(part).alias("_part")).where("_part is not null").distinct()
     haystack = texts.select(F.col(text).alias("_text")).where("_text is not null").distinct()
-    shortest = needles.agg(F.min(F.nullif(F.length("_part"), F.lit(0)))).first()[0]
-    held = grams_of(haystack, "_text", min(GRAM, shortest or GRAM))
-    asked = grams_of(needles, "_part", min(GRAM, shortest or GRAM))
+    size = F.length("_part").alias("size")
+    sizes = [r["size"] for r in needles.select(size).where("size > 0").distinct().orderBy("size").limit(WHOLE_LENGTHS).collect()]
+    last = max(sizes, default=1)
+    held = reduce(DataFrame.unionByName, [grams_of(haystack, "_text", n) for n in sizes or [last]])
+    whole = held.join(needles.where(F.length("_part") <= last), F.col("_gram") == F.col("_part")).select("_text", "_part")
+    held = grams_of(haystack, "_text", last)
+    asked = grams_of(needles.where(F.length("_part") > last), "_part", last)
     times = held.join(asked.select("_gram").distinct(), "_gram", "left_semi").groupBy("_gram").agg(F.count(F.lit(1)).alias("_n"))
     # A stretch that no text holds has no count: its part is in no text.
     weighed = asked.join(times, "_gram", "left").withColumn("_n", F.coalesce("_n", F.lit(0)))
     rarest = weighed.groupBy("_part").agg(F.min(F.struct("_n", "_gram")).alias("_rarest")).where("_rarest._n > 0")
     met = held.join(rarest.select("_part", F.col("_rarest._gram").alias("_gram")), "_gram")
+    longer = met.where(F.contains("_text", F.col("_part"))).select("_text", "_part")
     empty = haystack.join(F.broadcast(needles.where("_part = ''").limit(1)), F.length("_text") >= F.length("_part"))
-    pairs = met.where(F.contains("_text", F.col("_part"))).select("_text", "_part").unionByName(empty)
+    # Without longer parts, their branch would still read the texts.
+    pairs = whole.unionByName(empty)
+    if len(sizes) == WHOLE_LENGTHS and not needles.where(F.length("_part") > last).isEmpty():
+        pairs = pairs.unionByName(longer)
     tagged = pairs.withColumn(
         kind, F.when(F.col("_text") == F.col("_part"), "EXACT").otherwise("CONTAINS")
     )

@@ -154,6 +154,26 @@ def test_substring_index_emits_a_row_per_character_at_most(frame):
     assert sorted((r["t"], r["p"]) for r in got.collect()) == [(1, 1), (1, 3), (2, 4)]
 
 
+def test_short_parts_meet_the_texts_that_contain_them_only(frame):
+    texts = frame([(i, str(i)) for i in range(1, 400)], "t int, text string")
+    parts = frame([(i, str(i)) for i in range(1, 40)], "p int, part string")
+    got = joins.join_contains(texts, "text", parts, "part")
+    expected = {(t, p) for t in range(1, 400) for p in range(1, 40) if str(p) in str(t)}
+    assert {(r["t"], r["p"]) for r in got.collect()} == expected and got.count() == len(expected)
+    # No text is tested against a part, as pairs by a common digit would have to be.
+    assert "Contains(" not in got._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_parts_of_many_lengths_meet_by_their_rarest_stretch(frame):
+    pick = random.Random(8)
+    word = lambda n: "".join(pick.choice("ab") for _ in range(n))
+    texts = [(i, word(pick.randrange(10, 40))) for i in range(80)]
+    parts = [(i, x[a : a + n]) for i, (n, (_, x)) in enumerate(zip([*range(1, 14)] * 4, texts, strict=False)) for a in [pick.randrange(0, 10)]]
+    got = joins.join_contains(frame(texts, "t int, text string"), "text", frame(parts, "p int, part string"), "part")
+    assert len({len(y) for _, y in parts}) > joins.WHOLE_LENGTHS
+    assert sorted((r["t"], r["p"]) for r in got.collect()) == sorted((t, p) for t, x in texts for p, y in parts if y in x)
+
+
 def test_links_do_not_form_pairs(frame):
     pick = random.Random(7)
     parties = [(i, pick.choice([None, None, 1, 2, 3]), pick.randrange(5)) for i in range(30)]
