@@ -50,6 +50,9 @@ FLOW_STEPS = {
 # Fixed value: hours after which an uncompleted delivery is late.
 DELAY_HOURS = 36
 
+# Triggers that a task of the split holds, about.
+ROWS_PER_TASK = 250_000
+
 TRIGGER_NAME_PARTS = [
     "dial_consumer_name",
     "dial_source_system",
@@ -88,21 +91,36 @@ def match_triggers(triggers: DataFrame, meta: DataFrame) -> DataFrame:
     return triggers.join(expected, on, "left").withColumn("trigger_file_name", trigger_name())
 
 
+SPLIT_COLUMNS = [
+    "trigger_file_name",
+    "dial_source_system",
+    "dial_source_file_name",
+    "dial_source_file_snapshot_datetime",
+]
+
+
 def split_triggers(matched: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Distinct triggers to load, and distinct triggers to archive."""
-    columns = [
-        "trigger_file_name",
-        "dial_source_system",
-        "dial_source_file_name",
-        "dial_source_file_snapshot_datetime",
-    ]
     known = F.col("SourceFileName").isNotNull()
     return (
-        matched.where(known).select(*columns).distinct(),
-        matched.where(~known).select(*columns).distinct(),
+        matched.where(known).select(*SPLIT_COLUMNS).distinct(),
+        matched.where(~known).select(*SPLIT_COLUMNS).distinct(),
     )
 
 
+def triggers_by_target(triggers: DataFrame, meta: DataFrame) -> DataFrame:
+    """Distinct triggers with their ``target``, `load` or `archive`, in one pass over them.
+
+    They are dealt by file and day, once for the join and for the comparison of rows, to as
+    many tasks as ``ROWS_PER_TASK`` asks for: what a task holds does not grow with the input,
+    unless one file has more triggers of a day than that.
+    """
+    tasks = max(1, -(-triggers.count() // ROWS_PER_TASK))
+    dealt = triggers.repartition(tasks, "dial_source_file_name", "dial_source_file_snapshot_datetime")
+    target = F.when(F.col("SourceFileName").isNotNull(), "load").otherwise("archive")
+    return match_triggers(dealt, meta).select(*SPLIT_COLUMNS, target.alias("target")).distinct()
+
+
 def row_count_check(data: DataFrame, source: str, announced: DataFrame) -> DataFrame:
     """Actual against announced rows of every source in one pass.
 

@@ -52,12 +52,7 @@ def delivery_match_triggers(spark: SparkSession, t: Tables) -> DataFrame:
         dial_source_system, dial_source_file_name, dial_source_file_snapshot_datetime FROM matched""",
 )
 def delivery_split_matched(spark: SparkSession, t: Tables) -> DataFrame:
-    load, archive = delivery.split_triggers(
-        delivery.match_triggers(trigger_rows(t), expected_deliveries(t))
-    )
-    return load.withColumn("target", F.lit("load")).unionByName(
-        archive.withColumn("target", F.lit("archive"))
-    )
+    return delivery.triggers_by_target(trigger_rows(t), expected_deliveries(t))
 
 
 @query("delivery_trigger_name", f"{MATCH_SQL} SELECT dial_notification_datetime AS id, trigger_file_name FROM matched")

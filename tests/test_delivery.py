@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime
+import re
 
 import pytest
 from conftest import rows
@@ -37,6 +38,23 @@ def test_triggers_match_open_deliveries_only(matched):
     ]
 
 
+def test_triggers_by_target_in_one_pass_with_bounded_tasks(frame, monkeypatch):
+    monkeypatch.setattr(delivery, "ROWS_PER_TASK", 10)
+    data = [("to" if i % 3 else None, "sys", f"V{i % 20}", "202503", str(i % 100), "p", "5") for i in range(200)]
+    triggers = frame(data, TRIGGER)
+    meta = frame(
+        [(f"V{i}", "202503", i % 9, "a") for i in range(10)] + [("V8", "202503", 0, "b"), ("V8", "202503", 8, "c")],
+        "SourceFileName string, SnapshotDate string, FileDeliveryStep int, StgTableName string",
+    )
+    got = delivery.triggers_by_target(triggers, meta)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 1 and re.search(r"RepartitionByExpression \[dial_source_file_name.*\], 20", plan)
+    load, archive = delivery.split_triggers(delivery.match_triggers(triggers, meta))
+    expected = [(*r, "load") for r in load.collect()] + [(*r, "archive") for r in archive.collect()]
+    assert sorted(map(str, (tuple(r) for r in got.collect()))) == sorted(map(str, expected))
+    assert {r[-1] for r in expected} == {"load", "archive"}
+
+
 def test_split(matched):
     load, archive = delivery.split_triggers(matched)
     assert [r[2] for r in rows(load)] == ["V2", "V3"]
