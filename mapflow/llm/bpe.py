@@ -11,7 +11,8 @@ concatenated. Three kinds of certain cuts are used, coarse to fine:
 
 Since words repeat, every encoded piece (stretch, for texts that need the file's own
 pre-tokenizer) is remembered in a bounded table, and so are the fragments of those that hold
-cuts. The tables outlive a batch and are emptied when full: results never depend on them.
+cuts. The tables outlive a batch; a full one is emptied, but for the pieces of the texts at hand:
+results never depend on them.
 
 Defined results: a null text counts as empty and has no ids; texts that contain the
 name of an added token get that token's id, as in the library.
@@ -24,6 +25,7 @@ import re
 from array import array
 from collections.abc import Iterable, Iterator
 from functools import cache
+from itertools import accumulate, chain, pairwise
 
 import numpy as np
 
@@ -34,12 +36,24 @@ PLAIN = re.compile("[\t\n\r\x20-\x7e\xa0-\xb1\xb4-\xb8\xba\xbb\xbf-įı-ɏ‐-
 #: A stretch with the space before it, as byte-level patterns take them.
 STRETCH = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
 PLAIN_STRETCH = re.compile(r" ?\S+|\s+(?!\S)|\s+")
-#: The two pre-tokenizer patterns for such texts, in the terms of Python's own expressions.
+
+def _plain_class(kind: str) -> str:
+    """The characters of plain texts, lower-cased ones too, that `kind` matches, as one set of single characters.
+
+    Python's expressions look a character up in such a set at once, where `[^\\W\\d_]` asks for its properties.
+    """
+    plain = {c for c in map(chr, range(0x2100)) if PLAIN.fullmatch(c)}
+    return "[" + "".join(map(re.escape, sorted(c for c in plain | set("".join(plain).lower()) if re.fullmatch(kind, c)))) + "]"
+
+
+#: The two pre-tokenizer patterns for such texts, in the terms of Python's own expressions. Short
+#: forms only have to come before signs, as no letter or digit begins one.
 SHORT_FORMS = "'s|'t|'re|'ve|'m|'ll|'d"
-WORDS = re.compile(SHORT_FORMS + r"|[^\W\d_]+|\d|(?:[^\s\w]|_)+")
-SPACED_WORDS = re.compile(SHORT_FORMS + r"| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+")
+LETTER, DIGIT, SIGN, BLANK = map(_plain_class, (r"[^\W\d_]", r"\d", r"[^\s\w]|_", r"\s"))
+WORDS = re.compile(f"{LETTER}+|{DIGIT}|{SHORT_FORMS}|{SIGN}+")
+SPACED_WORDS = re.compile(f" ?{LETTER}+| ?{DIGIT}+|{SHORT_FORMS}| ?{SIGN}+|{BLANK}+")
 #: Both with the white space between, as the second takes it, over whole texts.
-PLAIN_PIECE = re.compile(SPACED_WORDS.pattern.removesuffix(r"|\s+") + r"|\s+(?!\S)|\s+")
+PLAIN_PIECE = re.compile(SPACED_WORDS.pattern.removesuffix(f"|{BLANK}+") + r"|\s+(?!\S)|\s+")
 TABLE_SIZE = 500_000
 FRAGMENTS = 100_000
 #: Above every byte symbol (256 bytes, of which fewer than 256 are shown as characters from 256 on).
@@ -190,14 +204,22 @@ class ForcedBoundaryBPE:
     def encode_many(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian unsigned integers of `dtype`."""
         parts = [self._parts(text) if text else [] for text in texts]
-        table = self.table
-        for held, most in ((table, self.table_size), (self.inner_ids, FRAGMENTS), (self.final_ids, FRAGMENTS)):
-            if len(held) > most:
+        pieces = list(chain.from_iterable(parts))
+        if len(self.table) > self.table_size:  # what is needed now, all frequent pieces among it, stays
+            self.table = {s: self.table[s] for s in set(pieces).intersection(self.table)}
+        for held in (self.inner_ids, self.final_ids):
+            if len(held) > FRAGMENTS:
                 held.clear()
-        missing = [s for s in set().union(*parts) if s not in table]
+        table = self.table
+        coded = list(map(table.get, pieces))
+        holes = [i for i, ids in enumerate(coded) if ids is None]
+        missing = {pieces[i] for i in holes}
         table.update((s, s) for s in missing if isinstance(s, bytes))
         self._learn([s for s in missing if isinstance(s, str)])
-        return [b"".join(map(table.__getitem__, p)) for p in parts]
+        for i in holes:
+            coded[i] = table[pieces[i]]
+        ends = list(accumulate(map(len, parts), initial=0))
+        return [b"".join(coded[a:b]) for a, b in pairwise(ends)]
 
     def encode(self, text: str | None) -> np.ndarray:
         return np.frombuffer(self.encode_many([text])[0], self.dtype)
@@ -210,13 +232,17 @@ class ForcedBoundaryBPE:
 
 
 @cache
-def encoder(path: str) -> ForcedBoundaryBPE:
-    """One encoder for each file and Python worker."""
-    return ForcedBoundaryBPE(path)
+def _encoder(path: str, table_size: int) -> ForcedBoundaryBPE:
+    return ForcedBoundaryBPE(path, table_size)
+
+
+def encoder(path: str, table_size: int = TABLE_SIZE) -> ForcedBoundaryBPE:
+    """One encoder for each file, size of table and Python worker."""
+    return _encoder(path, table_size)
 
 
-def encoded(path: str, texts: list[str | None], block: int = 256) -> Iterator[bytes]:
+def encoded(path: str, texts: list[str | None], block: int = 256, table_size: int = TABLE_SIZE) -> Iterator[bytes]:
     """Ids of texts, a block of them at a time, by the worker's encoder."""
-    bpe = encoder(path)
+    bpe = encoder(path, table_size)
     for at in range(0, len(texts), block):
         yield from bpe.encode_many(texts[at : at + block])

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import re
 import zlib
 from collections import defaultdict
 
@@ -10,7 +11,7 @@ import numpy as np
 import pytest
 from tokenizers import Tokenizer
 
-from mapflow.llm import encoding, packing, token_store
+from mapflow.llm import bpe, encoding, packing, token_store
 from mapflow.llm.bpe import ForcedBoundaryBPE
 from mapflow.llm.common import tokenizer_path
 from mapflow.session import scratch_path
@@ -62,6 +63,24 @@ def test_fragments_are_cut_where_no_token_can_be(name):
     assert cut > 0
 
 
+@pytest.mark.parametrize("name", FILES)
+def test_a_full_table_keeps_what_the_texts_need(name):
+    own = ForcedBoundaryBPE(tokenizer_path(name), table_size=3)
+    own.encode("one two three four five")
+    held = dict(own.table)
+    assert len(held) > own.table_size
+    own._learn, learned = (lambda new: (learned.extend(new), type(own)._learn(own, new))), []
+    assert own.encode("one two six").tolist() == library(name).encode("one two six", add_special_tokens=False).ids
+    assert len(learned) == 1 and len(own.table) < len(held)
+
+
+def test_classes_of_plain_characters_are_those_of_the_patterns():
+    plain = {c for c in map(chr, range(0x3000)) if bpe.PLAIN.fullmatch(c)}
+    for own, kind in ((bpe.LETTER, r"[^\W\d_]"), (bpe.DIGIT, r"\d"), (bpe.SIGN, r"[^\s\w]|_"), (bpe.BLANK, r"\s")):
+        for c in plain | set("".join(plain).lower()):
+            assert bool(re.fullmatch(own, c)) == bool(re.fullmatch(kind, c)), c
+
+
 def test_digests_of_documents(documents, odd_rows):
     whole = library(FILES[0])
     expected = []
