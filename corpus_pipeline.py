@@ -18,6 +18,9 @@ from mapflow.llm import exact_dedup, near_dedup, packing, secrets, toxicity
 from mapflow.llm.common import stored, table, tokenizer_path
 
 
+REMEMBERED = 150_000
+
+
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.without_toxic(docs, table(spark, sf_dir, "labels"))
 
@@ -35,7 +38,8 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack_documents(docs, tokenizer_path("word_bpe_49k.json"))
+    # Executors have grown by the stages before: workers remember fewer encoded pieces here.
+    return packing.pack_documents(docs, tokenizer_path("word_bpe_49k.json"), table_size=REMEMBERED)
 
 
 STAGES = [

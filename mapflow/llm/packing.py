@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mapflow.llm.bpe import encoded, encoder
+from mapflow.llm.bpe import TABLE_SIZE, encoded, encoder
 from mapflow.llm.common import stored, text_or_empty
 
 WINDOW = 4096
@@ -30,7 +30,7 @@ BALANCE = 1024
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, row_id long"
 
 
-def pieces(docs: DataFrame, path: str, end_id: int = 2, window: int = WINDOW) -> DataFrame:
+def pieces(docs: DataFrame, path: str, end_id: int = 2, window: int = WINDOW, table_size: int = TABLE_SIZE) -> DataFrame:
     """Every document's ids and `end_id`, cut at each full window, with a crc32 for each piece.
 
     A null or empty text is the end id alone. Rows are kept one for one: `row_id` tells
@@ -40,11 +40,12 @@ def pieces(docs: DataFrame, path: str, end_id: int = 2, window: int = WINDOW) ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         end = np.array([end_id], "<u4")
         for batch in batches:
-            dtype = encoder(path).dtype
+            dtype = encoder(path, table_size).dtype
             rows: list[tuple] = []
             ids = batch.column("doc_id").to_pylist()
             numbers = batch.column("row_id").to_pylist()
-            for doc, number, data in zip(ids, numbers, encoded(path, batch.column("text").to_pylist()), strict=True):
+            coded = encoded(path, batch.column("text").to_pylist(), table_size=table_size)
+            for doc, number, data in zip(ids, numbers, coded, strict=True):
                 tokens = np.append(np.frombuffer(data, dtype).astype("<u4"), end)
                 total = len(tokens)
                 for at in range(0, total, window):
@@ -156,6 +157,11 @@ def pack(cut: DataFrame, window: int = WINDOW, group_size: int = PIECES_PER_GROU
     return packed.unionByName(alone)
 
 
-def pack_documents(docs: DataFrame, path: str, end_id: int = 2, window: int = WINDOW) -> DataFrame:
-    """Pieces of all documents with their places: each id lies in exactly one piece."""
-    return pack(stored(pieces(docs, path, end_id, window), "pieces"), window).drop("row_id")
+def pack_documents(
+    docs: DataFrame, path: str, end_id: int = 2, window: int = WINDOW, table_size: int = TABLE_SIZE
+) -> DataFrame:
+    """Pieces of all documents with their places: each id lies in exactly one piece.
+
+    `table_size` bounds the encoded pieces that a worker remembers; results do not depend on it.
+    """
+    return pack(stored(pieces(docs, path, end_id, window, table_size), "pieces"), window).drop("row_id")

@@ -27,6 +27,7 @@ either label says so.
 from __future__ import annotations
 
 import re
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -58,7 +59,7 @@ REPORTING = {"said", "says", "quote", "quoted", "quotes", "called", "word", "wor
 INSIDE_WORD = re.compile(r"(?<=\w)['’](?=\w)")  # an apostrophe quotes nothing
 MISSPELLED = 0.8  # part of a term's weight
 CHANCE = 0.001  # of the clean documents
-MOST_STATES = 4_000
+MOST_STATES = 20_000
 TABLE_SIZE = 100_000
 
 
@@ -88,12 +89,15 @@ class FuzzyLexicon:
                 self.room[node] = max(self.room[node], edits)
             ends[node] = term
         self.start = self._closed({(0, 0)})
-        #: States met so far, each kept once, with the steps from it.
-        self.states: dict[frozenset, tuple[frozenset, dict[str, frozenset]]] = {}
+        #: States met so far: the steps from each, the stem that ends there and the nearest whole word.
+        self.states: dict[bytes, tuple[dict[str, bytes], str | None, tuple[int, str] | None]] = {}
         self.table: dict[str, tuple[str, int] | None] = {}
 
-    def _closed(self, pairs: set[tuple[int, int]]) -> frozenset:
-        """With the letters of terms that the word may leave out; only the fewest edits of a node matter."""
+    def _closed(self, pairs: set[tuple[int, int]]) -> bytes:
+        """With the letters of terms that the word may leave out; only the fewest edits of a node matter.
+
+        A pair takes four bytes, as thousands of states are kept: its node, and its edits in the last two bits.
+        """
         best: dict[int, int] = {}
         todo = list(pairs)
         while todo:
@@ -102,45 +106,47 @@ class FuzzyLexicon:
                 continue
             best[node] = spent
             todo += [(child, spent + 1) for child in self.children[node].values()]
-        return frozenset(best.items())
+        return array("I", sorted(node << 2 | spent for node, spent in best.items())).tobytes()
+
+    @staticmethod
+    def _pairs(state: bytes) -> list[tuple[int, int]]:
+        return [(code >> 2, code & 3) for code in array("I", state)]
 
-    def _step(self, state: frozenset, letter: str) -> frozenset:
+    def _step(self, state: bytes, letter: str) -> bytes:
         reached: set[tuple[int, int]] = set()
-        for node, spent in state:
+        for node, spent in self._pairs(state):
             reached.add((node, spent + 1))
             for key, child in self.children[node].items():
                 reached.add((child, spent if key == letter else spent + 1))
         return self._closed(reached)
 
-    def _next(self, state: frozenset, letter: str) -> frozenset:
-        if len(self.states) > MOST_STATES:
-            self.states.clear()
-        _, steps = self.states.setdefault(state, (state, {}))
-        following = steps.get(letter)
-        if following is None:
-            found = self._step(state, letter)
-            following = steps[letter] = self.states.setdefault(found, (found, {}))[0]
-        return following
+    def _known(self, state: bytes) -> tuple[dict[str, bytes], str | None, tuple[int, str] | None]:
+        """What is kept of a state."""
+        if state not in self.states:
+            if len(self.states) > MOST_STATES:
+                self.states.clear()
+            pairs = self._pairs(state)
+            stem = next((self.stem_at[n] for n, spent in pairs if spent == 0 and n in self.stem_at), None)
+            words = ((spent, self.word_at[n]) for n, spent in pairs if n in self.word_at)
+            word = min((x for x in words if x[0] <= allowed_edits(len(x[1]))), default=None)
+            self.states[state] = {}, stem, word
+        return self.states[state]
 
     def match(self, word: str) -> tuple[str, int] | None:
         """The nearest term and its edits (of equals the first in order); a stem counts without edits."""
         if word in self.table:
             return self.table[word]
         state, stem = self.start, None
+        steps, _, found = self._known(state)
         for letter in word:
-            state = self._next(state, letter)
+            following = steps.get(letter)
+            if following is None:
+                following = steps[letter] = self._step(state, letter)
+            state = following
+            steps, ends, found = self._known(state)
             if not state:
                 break
-            if self.stem_at:
-                stem = stem or next((self.stem_at[n] for n, spent in state if spent == 0 and n in self.stem_at), None)
-        found = min(
-            (
-                (spent, self.word_at[node])
-                for node, spent in state
-                if node in self.word_at and spent <= allowed_edits(len(self.word_at[node]))
-            ),
-            default=None,
-        )
+            stem = stem or ends
         if stem is not None and (found is None or found[0] > 0):
             found = (0, stem)
         result = (found[1], found[0]) if found else None

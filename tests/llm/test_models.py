@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 import zlib
 from collections import Counter
 from math import log10
@@ -422,3 +423,17 @@ def test_lexicon_automaton_equals_edit_distance():
         if word.startswith("bbca") and (best is None or best[0]):
             best = (0, "bbca")
         assert lexicon.match(word) == ((best[1], best[0]) if best else None)
+
+
+def test_states_of_the_lexicon_are_small():
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choices("abcdefghiklmnoprstuv", k=rng.randint(4, 12)))
+    terms, words = sorted({word() for _ in range(400)}), [word() for _ in range(1500)]
+    tracemalloc.start()
+    try:
+        lexicon = toxicity.FuzzyLexicon(terms, [])
+        for x in words:
+            lexicon.match(x)
+        assert tracemalloc.get_traced_memory()[0] < 1500 * len(lexicon.states)
+    finally:
+        tracemalloc.stop()
