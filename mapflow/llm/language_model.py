@@ -21,8 +21,9 @@ chunks of about `CHUNK` tokens: a chunk's distinct words, and its tokens as numb
 them, compressed. Counts of the whole corpus come in three rounds, for words, pairs and
 trigrams: each chunk sends its distinct n-grams with its own counts to buckets by a hash of
 the n-gram, a bucket adds them up and answers in the order asked, so answers need no names;
-it also says whether another chunk has asked for the same. The first round also gives every word a number, so n-grams are named exactly, by their
-words' numbers, and sorted lists of them compress well. A chunk asks for a pair only where
+it also says whether another chunk has asked for the same. The first round also gives every
+word a number, small ones to frequent words, so n-grams are named exactly, by their words'
+numbers, and sorted lists of them compress well. A chunk asks for a pair only where
 both words, and for a trigram only where both pairs, are shared with other chunks: elsewhere
 its own counts are the corpus's. A common n-gram is asked for once a chunk, however often
 it occurs. The number of buckets grows with the corpus. Tables by chunk are bucketed by
@@ -66,7 +67,7 @@ ROUNDS = 25
 STEPS = 16  # of a quotient's binary logarithm
 NEVER = -100_000  # step of the quotient 0
 CHUNK = 500_000  # tokens of a chunk
-BUCKET_CHUNKS = 2  # chunks for each bucket of names
+BUCKET_CHUNKS = 4  # chunks for each bucket of names
 PIECE = 2_000_000  # bytes of a text that are split at once
 BLANK = re.compile(rb"[\x20\x09-\x0D]")
 ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -74,9 +75,9 @@ NUMBER_BITS = 42  # of a word's number; a trigram's name is three of them in two
 
 CHUNK_SCHEMA = (
     "chunk long, row_ids array<long>, doc_ids array<long>, held_out array<boolean>, parts array<int>, starts array<long>, "
-    "n_tokens long, words binary, tokens binary"
+    "n_tokens long, words binary, tokens binary, end long"
 )
-CHUNK_COLUMNS = ["chunk", "row_ids", "doc_ids", "held_out", "parts", "starts", "n_tokens", "words", "tokens"]
+CHUNK_COLUMNS = ["chunk", "row_ids", "doc_ids", "held_out", "parts", "starts", "n_tokens", "words", "tokens", "end"]
 
 
 def pieces(text: str | None, most: int = PIECE) -> Iterator[list[bytes]]:
@@ -93,15 +94,51 @@ def tokens(text: str | None) -> list[bytes]:
     return [word for piece in pieces(text) for word in piece]
 
 
+def _narrow(numbers: np.ndarray) -> np.ndarray:
+    """Integers from 0 on in as few bytes as hold the largest."""
+    most = int(numbers.max()) if len(numbers) else 0
+    return numbers.astype(f"u{next(w for w in (1, 2, 4, 8) if not most >> (8 * w))}", copy=False)
+
+
 def packed(numbers: np.ndarray) -> bytes:
-    """An array's bytes in order of their significance, compressed."""
+    """An array's bytes in order of their significance, those beyond the largest integer left out, compressed."""
+    if numbers.dtype.kind != "f":
+        numbers = _narrow(numbers)
     planes = np.ascontiguousarray(numbers).view(np.uint8).reshape(-1, numbers.itemsize).T
-    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+    return bytes([numbers.itemsize]) + compressed(planes.tobytes())
 
 
 def unpacked(data: bytes, kind: type) -> np.ndarray:
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(np.dtype(kind).itemsize, -1)
-    return np.ascontiguousarray(planes.T).view(kind).ravel()
+    planes = np.frombuffer(decompressed(memoryview(data)[1:]), np.uint8).reshape(data[0], -1)
+    numbers = np.ascontiguousarray(planes.T)
+    return numbers.view(kind).ravel() if np.dtype(kind).kind == "f" else numbers.view(f"u{data[0]}").ravel().astype(kind)
+
+
+def compressed(data: bytes) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(data)
+
+
+def decompressed(data: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(data)
+
+
+def _hashes(words: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+
+
+def _distinct(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct codes from 0 on, and which each is: one sort of plain integers, the places in their low bits."""
+    bits = len(codes).bit_length()
+    if len(codes) and int(codes.max()).bit_length() + bits > 64:
+        return np.unique(codes, return_inverse=True)
+    keyed = (codes.astype(np.uint64) << np.uint64(bits)) | np.arange(len(codes), dtype=np.uint64)
+    keyed.sort()
+    codes = (keyed >> np.uint64(bits)).astype(np.int64)
+    first = np.ones(len(codes), bool)
+    first[1:] = codes[1:] != codes[:-1]
+    each = np.empty(len(codes), np.int32)
+    each[(keyed & np.uint64((1 << bits) - 1)).astype(np.int64)] = np.cumsum(first, dtype=np.int32) - 1
+    return codes[first], each
 
 
 class _ChunkWriter:
@@ -127,11 +164,16 @@ class _ChunkWriter:
             [
                 ("chunk", pa.int64()), ("row_ids", pa.list_(pa.int64())), ("doc_ids", pa.list_(pa.int64())),
                 ("held_out", pa.list_(pa.bool_())), ("parts", pa.list_(pa.int32())), ("starts", pa.list_(pa.int64())),
-                ("n_tokens", pa.int64()), ("words", pa.binary()), ("tokens", pa.binary()),
+                ("n_tokens", pa.int64()), ("words", pa.binary()), ("tokens", pa.binary()), ("end", pa.int64()),
             ]
         )
-        words = zstandard.ZstdCompressor(level=1).compress(b" ".join(self.numbers))
-        values = [chunk, row_ids, doc_ids, held_out, parts, self.starts, self.size, words, packed(np.concatenate(self.tokens))]
+        words = list(self.numbers)
+        order = np.argsort(_hashes(words))
+        rank = np.empty(len(words), np.uint32)
+        rank[order] = np.arange(len(words), dtype=np.uint32)
+        # In order of their hashes, the words of a bucket stand together, however many buckets there will be.
+        joined = compressed(b" ".join([words[i] for i in order.tolist()]))
+        values = [chunk, row_ids, doc_ids, held_out, parts, self.starts, self.size, joined, packed(rank[np.concatenate(self.tokens)]), int(rank[0])]
         return pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip(values, schema, strict=True)], schema=schema)
 
 
@@ -167,20 +209,28 @@ def chunks(docs: DataFrame, chunk_tokens: int = CHUNK, piece_bytes: int = PIECE)
     return marked.mapInArrow(run, CHUNK_SCHEMA)
 
 
-def _bucket_of(high: np.ndarray, low: np.ndarray, buckets: int) -> np.ndarray:
-    """Bucket of each name, by a hash of its two integers."""
+def _mixed(high: np.ndarray, low: np.ndarray) -> np.ndarray:
+    """A hash of names of two integers."""
     with np.errstate(over="ignore"):
         key = (high * ODD) ^ (high >> np.uint64(29))
         key = (key + low) * ODD
-        key = (key ^ (key >> np.uint64(32))) * ODD
-    return ((key >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+        return (key ^ (key >> np.uint64(32))) * ODD
+
+
+def _bucket_of(hashes: np.ndarray, buckets: int) -> np.ndarray:
+    return ((hashes >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+
+
+def _by_bucket(bucket: np.ndarray) -> np.ndarray:
+    """The order of the buckets, the same names' own order within."""
+    return np.argsort(_narrow(bucket), kind="stable")  # up to 16 bits are sorted by their digits
 
 
 def _in_order(bucket: np.ndarray, answers: list[np.ndarray]) -> np.ndarray:
     """Answers of the buckets, put where their questions stood."""
     out = np.empty((len(bucket), answers[0].shape[1] if answers else 3), np.int64)
     if len(bucket):
-        out[np.argsort(bucket, kind="stable")] = np.concatenate(answers)
+        out[_by_bucket(bucket)] = np.concatenate(answers)
     return out
 
 
@@ -193,34 +243,38 @@ class Chunk:
 
     def __init__(self, row: dict, buckets: int = 1) -> None:
         self.row, self.buckets = row, buckets
-        self.words: list[bytes] = zstandard.ZstdDecompressor().decompress(row["words"]).split(b" ")
-        every = unpacked(row["tokens"], np.uint32).astype(np.int64)
-        self.end = 0
+        every = unpacked(row["tokens"], np.int32)
+        self.end = row["end"]
         if row.get("word_answers"):
-            answers = row["word_answers"]
-            found = np.concatenate([np.column_stack([unpacked(a["numbers"], np.uint64), _columns(a["counts"], 3)]) for a in answers])
-            found = _in_order(self.word_buckets(), [found])
+            answers = row["word_answers"]  # in order of the buckets, as the words are
+            numbers = np.concatenate([unpacked(a["numbers"], np.uint64) for a in answers])
+            counts = np.concatenate([_columns(a["counts"], 3) for a in answers])
             # From here on the chunk's own numbers stand in the order of the corpus's.
-            order = np.argsort(found[:, 0])
-            rank = np.empty_like(order)
-            rank[order] = np.arange(len(order))
-            every, self.end = rank[every], int(rank[0])
-            self.numbers = found[order, 0].astype(np.uint64)
-            self.word_counts, self.shared_words = found[order, 1:3], found[order, 3] > 0
+            order = np.argsort(numbers)
+            rank = np.empty(len(order), np.int32)
+            rank[order] = np.arange(len(order), dtype=np.int32)
+            every, self.end = rank[every], int(rank[self.end])
+            self.numbers, counts = numbers[order], counts[order].astype(np.int64)
+            self.word_counts, self.shared_words = counts[:, :2], counts[:, 2] > 0
         starts = np.array(row["starts"], np.int64)
-        ends = np.append(starts[1:], len(every))
-        stretch = np.repeat(np.arange(len(starts)), ends - starts)
-        place = np.arange(len(every)) - starts[stretch]
+        lengths = np.diff(starts, append=len(every))
+        stretch = np.repeat(np.arange(len(starts), dtype=np.int32), lengths)
+        place = np.arange(len(every), dtype=np.int32)
+        place -= np.repeat(starts, lengths)
         self.every, self.place = every, place
         self.at = np.flatnonzero(place >= 2)
         self.stretch = stretch[self.at]
         self.stretches = len(starts)
-        self.part = np.array(row["parts"], np.int64)[self.stretch]
+        self.part = np.array(row["parts"], np.int8)[self.stretch]
         self.u, self.v, self.w = every[self.at - 2], every[self.at - 1], every[self.at]
 
-    def word_buckets(self) -> np.ndarray:
-        hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, self.words), np.uint64, len(self.words))
-        return ((hashes >> np.uint64(32)) * np.uint64(self.buckets)) >> np.uint64(32)
+    @cached_property
+    def words(self) -> list[bytes]:
+        return decompressed(self.row["words"]).split(b" ")
+
+    @cached_property
+    def n_words(self) -> int:
+        return len(self.numbers) if self.row.get("word_answers") else len(self.words)
 
     def tally(self, each: np.ndarray, size: int) -> np.ndarray:
         """How often each of something occurs in the two training parts: shape (size, 2)."""
@@ -230,23 +284,23 @@ class Chunk:
     def _pairs(self) -> tuple[np.ndarray, np.ndarray]:
         """Distinct pairs of neighbours, those before a stretch included, and the pair that ends at each place."""
         second = np.flatnonzero(self.place >= 1)
-        codes, found = np.unique(self.every[second - 1] * len(self.words) + self.every[second], return_inverse=True)
-        ends = np.full(len(self.every), -1)
+        codes, found = _distinct(self.every[second - 1] * np.int64(self.n_words) + self.every[second])
+        ends = np.full(len(self.every), -1, np.int32)
         ends[second] = found
         return codes, ends
 
     @cached_property
     def _triples(self) -> tuple[np.ndarray, np.ndarray]:
         """Distinct trigrams (pair before, word), and each token's."""
-        return np.unique(self._pairs[1][self.at - 1] * len(self.words) + self.w, return_inverse=True)
+        return _distinct(self._pairs[1][self.at - 1] * np.int64(self.n_words) + self.w)
 
     @cached_property
     def triples(self) -> dict[str, np.ndarray]:
         """Of each distinct trigram: words u, v and w, and the pairs (u, v) and (v, w)."""
         codes, each = self._triples
-        history, w = np.divmod(codes, len(self.words))
-        u, v = np.divmod(self._pairs[0][history], len(self.words))
-        pair = np.empty(len(codes), np.int64)
+        history, w = np.divmod(codes, self.n_words)
+        u, v = np.divmod(self._pairs[0][history], self.n_words)
+        pair = np.empty(len(codes), np.int32)
         pair[each] = self._pairs[1][self.at]
         return {"u": u, "v": v, "w": w, "history": history, "pair": pair}
 
@@ -261,14 +315,14 @@ class Chunk:
     @cached_property
     def asked_pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Those whose words are shared, and their names."""
-        v, w = np.divmod(self._pairs[0], len(self.words))
+        v, w = np.divmod(self._pairs[0], self.n_words)
         asked = np.flatnonzero(self.shared_words[v] & self.shared_words[w])
         return asked, self.numbers[v[asked]], self.numbers[w[asked]]
 
     def _answered(self, kind: str) -> tuple[np.ndarray, np.ndarray]:
         """Counts of the whole corpus, and which are shared with other chunks."""
         asked, high, low = getattr(self, f"asked_{kind}s")
-        answers = _in_order(_bucket_of(high, low, self.buckets), [_columns(x, 3) for x in self.row[f"{kind}_answers"] or []])
+        answers = _in_order(_bucket_of(_mixed(high, low), self.buckets), [_columns(x, 3) for x in self.row[f"{kind}_answers"] or []])
         counts = getattr(self, f"own_{kind}s").copy()
         shared = np.zeros(len(counts), bool)
         counts[asked], shared[asked] = answers[:, :2], answers[:, 2] > 0
@@ -327,36 +381,37 @@ def numbered_words(parts: DataFrame, buckets: int) -> DataFrame:
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _each(batches):
             chunk = Chunk(row, buckets)
-            bucket = chunk.word_buckets()
-            order = np.argsort(bucket, kind="stable")
-            found, slices = _slices(bucket[order])
-            counts = chunk.tally(chunk.w, len(chunk.words))[order].astype(np.uint64)
-            words = [b" ".join([chunk.words[i] for i in order[s]]) for s in slices]
+            found, slices = _slices(_bucket_of(_hashes(chunk.words), buckets))
+            counts = chunk.tally(chunk.w, chunk.n_words)
+            words = [b" ".join(chunk.words[s]) for s in slices]
             columns = [
                 pa.array(found),
                 pa.array([row["chunk"]] * len(found), pa.int64()),
-                pa.array(map(zstandard.ZstdCompressor(level=1).compress, words), pa.binary()),
+                pa.array(map(compressed, words), pa.binary()),
                 pa.array([packed(counts[s].T.ravel()) for s in slices], pa.binary()),
             ]
             yield pa.RecordBatch.from_arrays(columns, ["bucket", "chunk", "words", "counts"])
 
     def answer(asked: pa.Table) -> pa.Table:
-        asked = asked.sort_by("chunk")  # the same numbers whenever a task is run again
+        asked = asked.sort_by("chunk")  # the same numbers whenever a task is run again; frequent words get small ones
         bucket = asked.column("bucket")[0].as_py()
         numbers = WordNumbers()
-        lists = [zstandard.ZstdDecompressor().decompress(x.as_py()).split(b" ") for x in asked.column("words")]
+        lists = [decompressed(x.as_py()).split(b" ") for x in asked.column("words")]
         ids = [np.fromiter(map(numbers.__getitem__, x), np.int64, len(x)) for x in lists]
         counts = np.zeros((len(numbers), 3), np.uint64)
         for at, blob in zip(ids, asked.column("counts"), strict=True):
             counts[at, :2] += _columns(blob.as_py(), 2)  # a chunk's words are distinct
             counts[at, 2] += np.uint64(1)
+        order = np.lexsort((-counts[:, :2].sum(axis=1).astype(np.int64), -counts[:, 2].astype(np.int64)))
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
         counts[:, 2] = counts[:, 2] > 1  # shared
-        called = lambda at: (1 + at * buckets + bucket).astype(np.uint64)
+        called = lambda at: (1 + place[at] * buckets + bucket).astype(np.uint64)
         rows = [
             {"chunk": c.as_py(), "bucket": bucket, "numbers": packed(called(at)), "counts": packed(counts[at].T.ravel()), "words": None}
             for c, at in zip(asked.column("chunk"), ids, strict=True)
         ]
-        words = zstandard.ZstdCompressor(level=1).compress(b" ".join(numbers))
+        words = compressed(b" ".join(numbers))
         every = {"chunk": None, "bucket": bucket, "numbers": packed(called(np.arange(len(numbers)))), "counts": packed(counts.T.ravel()), "words": words}
         kinds = [("chunk", pa.int64()), ("bucket", pa.int64()), ("numbers", pa.binary()), ("counts", pa.binary()), ("words", pa.binary())]
         return pa.Table.from_pylist([*rows, every], pa.schema(kinds))
@@ -370,7 +425,7 @@ def vocabulary(answers: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _each(batches):
-            words = zstandard.ZstdDecompressor().decompress(row["words"]).split(b" ")
+            words = decompressed(row["words"]).split(b" ")
             numbers, counts = unpacked(row["numbers"], np.uint64).astype(np.int64), _columns(row["counts"], 3).astype(np.int64)
             columns = [pa.array(words, pa.binary()), *(pa.array(x.copy()) for x in (numbers, counts[:, 0], counts[:, 1]))]
             yield pa.RecordBatch.from_arrays(columns, ["word", "number", "estimated", "deleted"])
@@ -386,16 +441,16 @@ def asked_counts(parts: DataFrame, kind: str, buckets: int) -> DataFrame:
         for row in _each(batches):
             chunk = Chunk(row, buckets)
             asked, high, low = getattr(chunk, f"asked_{kind}s")
-            bucket = _bucket_of(high, low, buckets)
-            order = np.argsort(bucket, kind="stable")
+            bucket = _bucket_of(_mixed(high, low), buckets)
+            order = _by_bucket(bucket)
             found, slices = _slices(bucket[order])
-            high, low, counts = high[order], low[order], getattr(chunk, f"own_{kind}s")[asked][order].astype(np.uint32)
+            high, low, counts = high[order], low[order], getattr(chunk, f"own_{kind}s")[asked[order]]
             middle, last = (low >> np.uint64(NUMBER_BITS)).astype(np.uint32), low & np.uint64(2**NUMBER_BITS - 1)
             columns = [
                 pa.array(found),
                 pa.array([row["chunk"]] * len(found), pa.int64()),
                 pa.array([packed(np.diff(high[s], prepend=np.uint64(0))) for s in slices], pa.binary()),
-                pa.array([packed(np.diff(middle[s], prepend=np.uint32(0))) for s in slices], pa.binary()),
+                pa.array([packed(middle[s]) for s in slices], pa.binary()),
                 pa.array([packed(last[s]) for s in slices], pa.binary()),
                 pa.array([packed(counts[s].T.ravel()) for s in slices], pa.binary()),
             ]
@@ -408,22 +463,38 @@ def asked_counts(parts: DataFrame, kind: str, buckets: int) -> DataFrame:
     )  # the answers to one chunk
 
 
+def _equal_names(high: np.ndarray, low: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order in which equal names stand together, and whether each is the first of its kind there."""
+    wide = (high | low).max() >> np.uint64(32)
+    key = _mixed(high, low) if wide else (high << np.uint64(32)) | low
+    order = np.argsort(key)
+    key, high, low = key[order], high[order], low[order]
+    first = np.append(True, (high[1:] != high[:-1]) | (low[1:] != low[:-1]))
+    if (first[1:] & (key[1:] == key[:-1])).any():  # different names of one hash
+        again = np.lexsort((low, high))
+        order, high, low = order[again], high[again], low[again]
+        first = np.append(True, (high[1:] != high[:-1]) | (low[1:] != low[:-1]))
+    return order, first
+
+
 def added_up(asked: pa.Table) -> pa.Table:
     """Answers of one bucket: for each question the counts over all of them and whether it is shared, in its order."""
-    sums = lambda name, kind: [np.cumsum(unpacked(x.as_py(), kind), dtype=kind) for x in asked.column(name)]
-    high, middle = sums("high", np.uint64), np.concatenate(sums("middle", np.uint32)).astype(np.uint64)
+    lists = lambda name: [unpacked(x.as_py(), np.uint64) for x in asked.column(name)]
+    high = [np.cumsum(x, dtype=np.uint64) for x in lists("high")]
     edges = np.cumsum([0, *map(len, high)])
     high = np.concatenate(high)
-    low = (middle << np.uint64(NUMBER_BITS)) | np.concatenate([unpacked(x.as_py(), np.uint64) for x in asked.column("last")])
+    low = (np.concatenate(lists("middle")) << np.uint64(NUMBER_BITS)) | np.concatenate(lists("last"))
     counts = np.concatenate([unpacked(x.as_py(), np.uint32).reshape(2, -1).T for x in asked.column("counts")])
-    order = np.lexsort((low, high)) if (high | low).max() >> np.uint64(32) else np.argsort((high << np.uint64(32)) | low, kind="stable")
-    high, low = high[order], low[order]
-    first = np.append(True, (high[1:] != high[:-1]) | (low[1:] != low[:-1]))
-    total = np.add.reduceat(counts[order], np.flatnonzero(first), axis=0, dtype=np.uint64)
-    askers = np.diff(np.append(np.flatnonzero(first), len(order)))
-    answer = np.empty((len(order), 3), np.uint64)
-    answer[order] = np.column_stack([total, askers > 1])[np.cumsum(first) - 1]
-    blobs = pa.array([packed(answer[a:b].T.ravel()) for a, b in zip(edges, edges[1:], strict=False)], pa.binary())
+    order, first = _equal_names(high, low)
+    del high, low
+    starts = np.flatnonzero(first)
+    total = np.add.reduceat(counts[order], starts, axis=0, dtype=np.uint64)
+    askers = np.diff(starts, append=len(order))
+    found = np.empty(len(order), np.int64)
+    found[order] = np.cumsum(first) - 1
+    sums = _narrow(total.T.ravel()).reshape(2, -1)
+    answer = np.stack([sums[0], sums[1], (askers > 1).astype(sums.dtype)])
+    blobs = pa.array([packed(answer[:, found[a:b]].ravel()) for a, b in zip(edges, edges[1:], strict=False)], pa.binary())
     return pa.table({"chunk": asked.column("chunk"), "bucket": asked.column("bucket"), "counts": blobs})
 
 
@@ -632,7 +703,7 @@ def token_counts(parts: DataFrame, model: Broadcast, buckets: int) -> DataFrame:
             estimated = [x[some] for x in counted(*(x[:, ESTIMATED] for x in known))]
             found = Estimates(chunk, model.value, False, [grams[x][some] for x in "uvw"], known[0][:, ESTIMATED], estimated)
             held = [_bucket(found.seen_one), _bucket(found.seen_two), found.two / found.classed, found.three / found.classed, times[some]]
-            blobs = [packed(x[each].astype(np.uint64)) for x in every] + [packed(x.astype(k)) for x, k in zip(held, HELD.values(), strict=True)]
+            blobs = [packed(_narrow(x)[each]) for x in every] + [packed(x.astype(k)) for x, k in zip(held, HELD.values(), strict=True)]
             yield pa.RecordBatch.from_arrays([pa.array([x]) for x in (row["chunk"], *blobs)], ["chunk", *names])
 
     return parts.mapInArrow(run, "chunk long, " + ", ".join(f"{n} binary" for n in names))

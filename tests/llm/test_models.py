@@ -243,6 +243,52 @@ def test_every_ngram_is_counted_over_all_chunks(documents, odd_rows, chunk_token
     assert met >= set(expected)
 
 
+def test_a_chunk_takes_few_bytes_a_token():
+    rng = np.random.default_rng(5)
+    words = [b"w%d" % n for n in (rng.zipf(1.3, 200_000) % 50_000).tolist()]
+    writer = language_model._ChunkWriter()
+    for at in range(0, len(words), 500):
+        writer.add((at, at, False, 0), [b"\n", b"\n"], words[at : at + 500])
+    (row,) = writer.batch(0).to_pylist()
+    tracemalloc.start()
+    chunk = language_model.Chunk(row)
+    grams = chunk.triples
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(grams["w"]) > 100_000
+    assert most < 110 * len(words), most / len(words)
+
+
+def test_integers_are_packed_in_the_bytes_they_need():
+    lm = language_model
+    for most in (0, 1, 255, 256, 2**16, 2**33):
+        numbers = np.array([0, most, 1], np.uint64)
+        data = lm.packed(numbers)
+        assert data[0] == next(w for w in (1, 2, 4, 8) if most < 256**w)
+        assert lm.unpacked(data, np.uint64).tolist() == numbers.tolist()
+    assert lm.unpacked(lm.packed(np.array([], np.uint64)), np.int64).tolist() == []
+    assert lm.unpacked(lm.packed(np.array([0.5, -2.0], np.float32)), np.float32).tolist() == [0.5, -2.0]
+
+
+def test_distinct_codes_and_equal_names(monkeypatch):
+    lm = language_model
+    rng = np.random.default_rng(6)
+    for most in (1, 40, 2**62):
+        codes = rng.integers(0, most, 500)
+        found, each = lm._distinct(codes)
+        expected, of = np.unique(codes, return_inverse=True)
+        assert found.tolist() == expected.tolist() and each.tolist() == of.tolist()
+    assert [len(x) for x in lm._distinct(np.array([], np.int64))] == [0, 0]
+    for mixed in (lm._mixed, lambda high, low: high % np.uint64(2)):  # hashes that meet, too
+        monkeypatch.setattr(lm, "_mixed", mixed)
+        for wide in (1, 2**40):
+            high, low = rng.integers(0, 9, (2, 300)).astype(np.uint64) * np.uint64(wide)
+            order, first = lm._equal_names(high, low)
+            names = list(zip(high[order].tolist(), low[order].tolist(), strict=True))
+            assert sum(first) == len(set(names))
+            assert [n for n, f in zip(names, first, strict=True) if f] == list(dict.fromkeys(names))
+
+
 def test_scores_equal_the_formula(documents, odd_rows):
     lm = language_model
     rows = odd_rows + [(n, prose(n, 80)) for n in range(30, 160)]
