@@ -10,7 +10,7 @@ concatenated. Three kinds of certain cuts are used, coarse to fine:
 3. byte pairs that occur in no token (`ForcedBoundaryBPE.fragments`).
 
 Since words repeat, every encoded piece (stretch, for texts that need the file's own
-pre-tokenizer) is remembered in a bounded table, and so are the fragments of those that hold
+pre-tokenizer; bytes of plain texts' pieces, which are found by array operations over many texts) is remembered in a bounded table, and so are the fragments of those that hold
 cuts. The tables outlive a batch; a full one is emptied, but for the pieces of the texts at hand:
 results never depend on them.
 
@@ -25,9 +25,10 @@ import re
 from array import array
 from collections.abc import Iterable, Iterator
 from functools import cache
-from itertools import accumulate, chain, pairwise
+from itertools import accumulate, chain, islice, pairwise
 
 import numpy as np
+import pyarrow as pa
 
 #: White space as Unicode's White_Space property, which the tokenizers' patterns mean by \s.
 SPACE = "\t-\r \x85\xa0  -     　"
@@ -54,12 +55,44 @@ WORDS = re.compile(f"{LETTER}+|{DIGIT}|{SHORT_FORMS}|{SIGN}+")
 SPACED_WORDS = re.compile(f" ?{LETTER}+| ?{DIGIT}+|{SHORT_FORMS}| ?{SIGN}+|{BLANK}+")
 #: Both with the white space between, as the second takes it, over whole texts.
 PLAIN_PIECE = re.compile(SPACED_WORDS.pattern.removesuffix(f"|{BLANK}+") + r"|\s+(?!\S)|\s+")
+#: What each 16-bit character of a plain text is to the second pattern, and how many bytes UTF-8 takes for it.
+OTHER, BETWEEN, WHITE = 0, 1, 2
+KINDS = np.zeros(1 << 16, np.uint8)
+KINDS[0] = BETWEEN  # no plain text holds it, so it may stand between texts
+for _number, _kind in enumerate((BLANK, LETTER, DIGIT, SIGN), WHITE):
+    KINDS[[c for c in range(0x2100) if re.fullmatch(_kind, chr(c))]] = _number
+WIDTHS = np.where(np.arange(1 << 16) < 0x80, 1, np.where(np.arange(1 << 16) < 0x800, 2, 3)).astype(np.uint8)
 TABLE_SIZE = 500_000
 FRAGMENTS = 100_000
+BLOCK = 2_000_000  # characters of plain texts that are cut at once
+SINGLE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 #: Above every byte symbol (256 bytes, of which fewer than 256 are shown as characters from 256 on).
 SEPARATOR = 512
 
 
+def plain_starts(data: np.ndarray) -> np.ndarray:
+    """Where the second pattern's pieces begin in plain texts, each with a zero after it, given as 16-bit characters."""
+    kind = KINDS[data]
+    starts = np.ones(len(data), bool)
+    np.not_equal(kind[1:], kind[:-1], out=starts[1:])
+    starts[kind == BETWEEN] = True
+    # The last blank before something else stands apart; a space belongs to what follows.
+    last = np.flatnonzero((kind[:-1] == WHITE) & (kind[1:] > WHITE))
+    starts[last] = True
+    starts[last[data[last] == ord(" ")] + 1] = False
+    sign = np.flatnonzero(data[:-1] == ord("'"))
+    sign = sign[starts[sign]]
+    one, two = data[sign + 1], data[np.minimum(sign + 2, len(data) - 1)]
+    short = np.isin(one, [ord(c) for c in "stmd"])
+    long = np.zeros(len(sign), bool)
+    for a, b in ("re", "ve", "ll"):
+        long |= (one == ord(a)) & (two == ord(b))
+    form = sign[short | long]
+    starts[form + 1] = False
+    starts[form + np.where(long, 3, 2)[short | long]] = True
+    return np.flatnonzero(starts)
+
+
 def byte_symbols() -> list[str]:
     """The character that stands for each byte: itself if it prints, else the next one from 256 on."""
     shown = [*range(ord("!"), ord("~") + 1), *range(ord("¡"), ord("¬") + 1), *range(ord("®"), ord("ÿ") + 1)]
@@ -110,7 +143,8 @@ class ForcedBoundaryBPE:
         self.separator = chr(SEPARATOR)
         self.inside_table, self.ending_table = self._table(self.inside), self._table(self.ending)
         self.table_size = table_size
-        self.table: dict[str, bytes] = {}
+        self.table: dict[str | bytes | tuple[bytes], bytes] = {}
+        self.joined_symbols = self.symbols | {0: self.separator}
         self.inner_ids = _Fragments(self.inner)
         self.final_ids = _Fragments(self.final) if self.suffix else self.inner_ids
 
@@ -165,8 +199,10 @@ class ForcedBoundaryBPE:
             return [w.encode().decode("latin-1").translate(self.symbols) for w in self.words.findall(stretch)]
         return [w for w, _ in self.pre_tokenizer.pre_tokenize_str(stretch)]
 
-    def _learn(self, stretches: list[str]) -> None:
+    def _learn(self, stretches: list[str] | list[bytes]) -> None:
         """Encode stretches that the table lacks."""
+        if stretches and isinstance(stretches[0], bytes):
+            return self._learn_plain(stretches)
         pieces = [self._words(s) for s in stretches]
         words = [w for piece in pieces for w in piece]
         uncut = iter(self._uncut(words).tolist() if words else ())
@@ -190,31 +226,118 @@ class ForcedBoundaryBPE:
             return WORDS.findall(text.lower())
         return [x for x in self.normalizer.normalize_str(text).split(" ") if x]
 
-    def _parts(self, text: str) -> list[str | bytes]:
-        """Stretches of a text, and the ids of the added tokens between them."""
+    def _parts(self, text: str) -> list[str | tuple[bytes]]:
+        """Stretches of a text, and the ids of the added tokens between them, as tuples."""
         if self.added_pattern is None or not self.added_pattern.search(text):
             return self._stretches(text)
-        out: list[str | bytes] = []
+        out: list[str | tuple[bytes]] = []
         at = 0
         for found in self.added_pattern.finditer(text):
-            out += [*self._stretches(text[at : found.start()]), array(self.code, [self.added[found[0]]]).tobytes()]
+            out += [*self._stretches(text[at : found.start()]), (array(self.code, [self.added[found[0]]]).tobytes(),)]
             at = found.end()
         return [*out, *self._stretches(text[at:])]
 
+    def _learn_plain(self, pieces: list[bytes]) -> None:
+        """Encode pieces of plain texts that the table lacks, all at once up to the model's merges."""
+        joined = b"\0".join(pieces).decode("latin-1").translate(self.joined_symbols)
+        data = np.frombuffer(joined.encode("utf-16-le"), "<u2")
+        cuts = np.flatnonzero(~self.inside_table[data[:-1], data[1:]])
+        each = np.cumsum(data == SEPARATOR)[cuts]
+        n_fragments = (1 + np.bincount(each, minlength=len(pieces))).tolist()
+        fragments = iter(np.insert(data, cuts + 1, SEPARATOR).tobytes().decode("utf-16-le").split(self.separator))
+        whole, held, code = self.final.tokenize, self.final_ids, self.code
+        for piece, n in zip(pieces, n_fragments, strict=True):
+            if n == 1:
+                ids = [t.id for t in whole(next(fragments))]
+            else:
+                ids = list(chain.from_iterable([held[f] for f in islice(fragments, n)]))
+            self.table[piece] = array(code, ids).tobytes()
+
+    def _encode_plain(self, texts: list[str]) -> list[bytes]:
+        """Ids of plain texts: pieces are cut, and equal ones found, for all texts at once; the table is asked once for each."""
+        joined = "\0".join(texts) + "\0"
+        data = np.frombuffer(joined.encode("utf-16-le"), "<u2")
+        starts = plain_starts(data)
+        written = joined.encode()
+        if len(written) > len(data):
+            starts = (np.cumsum(WIDTHS[data], dtype=np.int32) - WIDTHS[data])[starts]
+        edges = np.append(starts, len(written)).astype(np.int32)
+        coded = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(edges), pa.py_buffer(written)]).dictionary_encode()
+        pieces, each = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+        between = pieces.index(b"\0")
+        self._make_room(pieces)
+        ids = list(map(self.table.get, pieces))
+        ids[between] = b""
+        holes = [i for i, known in enumerate(ids) if known is None]
+        if holes:
+            self._learn([pieces[i] for i in holes])
+        for i in holes:
+            ids[i] = self.table[pieces[i]]
+        width = self.dtype.itemsize
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // width
+        flat = np.frombuffer(b"".join(ids), self.dtype)
+        n = sizes[each]
+        until = np.cumsum(n)
+        # Piece after piece, where its ids stand among those of the distinct pieces.
+        places = np.repeat((np.cumsum(sizes) - sizes)[each] - (until - n), n) + np.arange(until[-1])
+        out = flat[places].tobytes()
+        return [out[a:b] for a, b in pairwise([0, *(until[each == between] * width).tolist()])]
+
+    def _encode_blocks(self, texts: list[str]) -> list[bytes]:
+        """The same, about `BLOCK` characters at a time; longer texts are cut before a single space, where a piece begins."""
+        out: list[list[bytes]] = [[] for _ in texts]
+        block: list[tuple[int, str]] = []
+        size = 0
+
+        def encode() -> None:
+            for (of, _), ids in zip(block, self._encode_plain([x for _, x in block]), strict=True):
+                out[of].append(ids)
+
+        for of, text in enumerate(texts):
+            at = 0
+            while at < len(text):
+                cut = SINGLE_SPACE.search(text, at + BLOCK) if len(text) - at > BLOCK else None
+                until = cut.start() if cut else len(text)
+                block.append((of, text[at:until]))
+                size, at = size + until - at, until
+                if size >= BLOCK:
+                    encode()
+                    block, size = [], 0
+        if block:
+            encode()
+        return [b"".join(x) for x in out]
+
     def encode_many(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian unsigned integers of `dtype`."""
-        parts = [self._parts(text) if text else [] for text in texts]
-        pieces = list(chain.from_iterable(parts))
+        if self.normalizer is not None or self.suffix:
+            return self._encode_any(texts)
+        named = self.added_pattern.search if self.added_pattern else lambda text: None
+        plain = {i: text for i, text in enumerate(texts) if text and PLAIN.fullmatch(text) and not named(text)}
+        out = self._encode_any([None if i in plain else text for i, text in enumerate(texts)])
+        for i, ids in zip(plain, self._encode_blocks(list(plain.values())), strict=True):
+            out[i] = ids
+        return out
+
+    def _make_room(self, pieces: Iterable[str | bytes | tuple[bytes]]) -> None:
+        """Empty full tables, but for these pieces."""
         if len(self.table) > self.table_size:  # what is needed now, all frequent pieces among it, stays
             self.table = {s: self.table[s] for s in set(pieces).intersection(self.table)}
         for held in (self.inner_ids, self.final_ids):
             if len(held) > FRAGMENTS:
                 held.clear()
+
+    def _encode_any(self, texts: list[str | None]) -> list[bytes]:
+        """The same, stretch by stretch."""
+        parts = [self._parts(text) if text else [] for text in texts]
+        pieces = list(chain.from_iterable(parts))
+        if not pieces:
+            return [b""] * len(texts)
+        self._make_room(pieces)
         table = self.table
         coded = list(map(table.get, pieces))
         holes = [i for i, ids in enumerate(coded) if ids is None]
         missing = {pieces[i] for i in holes}
-        table.update((s, s) for s in missing if isinstance(s, bytes))
+        table.update((s, s[0]) for s in missing if isinstance(s, tuple))
         self._learn([s for s in missing if isinstance(s, str)])
         for i in holes:
             coded[i] = table[pieces[i]]

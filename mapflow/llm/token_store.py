@@ -29,7 +29,7 @@ from mapflow.llm.common import hash_bitmap, may_hold, text_or_empty
 BITS = 8
 RANK_BLOCK = 512
 SEGMENT_IDS = 1_000_000
-ENCODED = 256  # texts whose ids are handed on at a time
+ENCODED = 512  # texts whose ids are handed on at a time
 SAMPLED = 50
 BEGINNING = 64  # characters by which the rows of a repeated doc_id are dealt
 LEVEL = pa.struct([("chunks", pa.binary()), ("bitmap", pa.binary()), ("ranks", pa.binary())])
@@ -123,7 +123,7 @@ def write_ids(docs: DataFrame, tokenizer: str, path: str, end_id: int = 0, segme
             texts = batch.column("text").to_pylist()
             for at in range(0, len(texts), ENCODED):
                 part = batch.slice(at, ENCODED)
-                ids = [coded + end for coded in encoded(tokenizer, texts[at : at + ENCODED])]
+                ids = [coded + end for coded in encoded(tokenizer, texts[at : at + ENCODED], ENCODED)]
                 shards = map(place, part.column("doc_id").to_pylist(), part.column("order").to_pylist())
                 columns = [pa.array(shards, pa.int32()), part.column("doc_id"), part.column("order"), pa.array(ids, pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns, ["shard", "doc_id", "order", "ids"])

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 import zlib
 from collections import defaultdict
@@ -74,6 +75,34 @@ def test_a_full_table_keeps_what_the_texts_need(name):
     assert len(learned) == 1 and len(own.table) < len(held)
 
 
+def plain_texts(seed: int, n: int) -> list[str]:
+    """Short forms, runs of white space and signs, digits and letters of one to three bytes in any order."""
+    rng = random.Random(seed)
+    parts = ["'s", "'t", "'re", "'ve", "'ll", "'d", "'m", "'", "''", "'S", "'r", "'l", " ", "  ", "\n", "\r\n", "\t", "\xa0", ".", "_", "-–", "€", "é", "ß", "Œ", "a", "re", "Word", "7", "42", "‧"]
+    return ["".join(rng.choices(parts, k=rng.randrange(1, 30))) for _ in range(n)]
+
+
+def test_pieces_of_plain_texts_are_those_of_the_pattern():
+    texts = plain_texts(1, 5000)
+    assert all(map(bpe.PLAIN.fullmatch, texts))
+    for some in ([texts[0]], texts):
+        joined = "\0".join(some) + "\0"
+        starts = bpe.plain_starts(np.frombuffer(joined.encode("utf-16-le"), "<u2")).tolist()
+        pieces = [joined[a:b] for a, b in zip(starts, [*starts[1:], len(joined)], strict=True)]
+        assert pieces == [p for text in some for p in [*bpe.PLAIN_PIECE.findall(text), "\0"]]
+
+
+def test_plain_texts_among_others_and_in_blocks(monkeypatch):
+    own, whole = ForcedBoundaryBPE(tokenizer_path(FILES[1]), table_size=50), library(FILES[1])
+    texts = [*plain_texts(2, 400), None, "", "漢字 and\0 <|endoftext|>\x1c", "<|endoftext|> plain", "x" * 90, " ".join(plain_texts(3, 60))]
+    random.Random(4).shuffle(texts)
+    expected = [whole.encode(text or "", add_special_tokens=False).ids for text in texts]
+    for block in (bpe.BLOCK, 40):
+        monkeypatch.setattr(bpe, "BLOCK", block)
+        for _ in range(2):
+            assert [np.frombuffer(x, own.dtype).tolist() for x in own.encode_many(texts)] == expected
+
+
 def test_classes_of_plain_characters_are_those_of_the_patterns():
     plain = {c for c in map(chr, range(0x3000)) if bpe.PLAIN.fullmatch(c)}
     for own, kind in ((bpe.LETTER, r"[^\W\d_]"), (bpe.DIGIT, r"\d"), (bpe.SIGN, r"[^\s\w]|_"), (bpe.BLANK, r"\s")):
