@@ -263,6 +263,7 @@ class Chunk:
         place -= np.repeat(starts, lengths)
         self.every, self.place = every, place
         self.at = np.flatnonzero(place >= 2)
+        self.firsts = np.flatnonzero(place[self.at] == 2)  # each stretch's first token
         self.stretch = stretch[self.at]
         self.stretches = len(starts)
         self.part = np.array(row["parts"], np.int8)[self.stretch]
@@ -278,7 +279,7 @@ class Chunk:
 
     def tally(self, each: np.ndarray, size: int) -> np.ndarray:
         """How often each of something occurs in the two training parts: shape (size, 2)."""
-        return np.column_stack([np.bincount(each[self.part == p], minlength=size) for p in (ESTIMATED, DELETED)])
+        return np.bincount(each * 3 + self.part, minlength=3 * size).reshape(size, 3)[:, : DELETED + 1]
 
     @cached_property
     def _pairs(self) -> tuple[np.ndarray, np.ndarray]:
@@ -682,8 +683,9 @@ HELD = {"seen_one": np.int32, "seen_two": np.int32, "two": np.float32, "three":
 
 
 def token_counts(parts: DataFrame, model: Broadcast, buckets: int) -> DataFrame:
-    """Per chunk, as packed arrays: of each token the counts of its trigram, pair and history, and of each deleted trigram
-    how often (`times`), buckets of its histories, and its estimates over the class's."""
+    """Per chunk, as packed arrays: of each token the counts of its trigram and pair, of each stretch's first one the count
+    of its history (of the others, that is the count of the pair before), and of each deleted trigram how often (`times`),
+    buckets of its histories, and its estimates over the class's."""
     names = ["triples", "pairs", "histories", *HELD]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -703,7 +705,8 @@ def token_counts(parts: DataFrame, model: Broadcast, buckets: int) -> DataFrame:
             estimated = [x[some] for x in counted(*(x[:, ESTIMATED] for x in known))]
             found = Estimates(chunk, model.value, False, [grams[x][some] for x in "uvw"], known[0][:, ESTIMATED], estimated)
             held = [_bucket(found.seen_one), _bucket(found.seen_two), found.two / found.classed, found.three / found.classed, times[some]]
-            blobs = [packed(_narrow(x)[each]) for x in every] + [packed(x.astype(k)) for x, k in zip(held, HELD.values(), strict=True)]
+            tokens = each, each, each[chunk.firsts]
+            blobs = [packed(_narrow(x)[at]) for x, at in zip(every, tokens, strict=True)] + [packed(x.astype(k)) for x, k in zip(held, HELD.values(), strict=True)]
             yield pa.RecordBatch.from_arrays([pa.array([x]) for x in (row["chunk"], *blobs)], ["chunk", *names])
 
     return parts.mapInArrow(run, "chunk long, " + ", ".join(f"{n} binary" for n in names))
@@ -760,7 +763,9 @@ def scores(docs: DataFrame, chunk_tokens: int = CHUNK, piece_bytes: int = PIECE)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _each(batches):
             chunk = Chunk(row, buckets)
-            known = [unpacked(row[n], np.uint64).astype(np.int64) for n in ("triples", "pairs", "histories")]
+            known = [unpacked(row[n], np.int64) for n in ("triples", "pairs")]
+            known.append(np.roll(known[1], 1))
+            known[2][chunk.firsts] = unpacked(row["histories"], np.int64)
             words = chunk.word_counts.sum(axis=1)
             found = Estimates(chunk, model.value, True, [chunk.u, chunk.v, chunk.w], words, known)
             summed = lambda values: np.bincount(chunk.stretch, values, chunk.stretches)  # noqa: E731, B023
