@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import heapq
 import random
 import tracemalloc
 import zlib
@@ -167,6 +168,84 @@ def test_neighbours_with_odd_and_equal_vectors(spark):
     assert neighbours.nearest(table_of(spark, odd), F.col("vec_id") > 0).collect() == []
 
 
+def test_neighbours_rows_and_queries_are_not_copied_by_leaf(spark, monkeypatch):
+    frame, passed = type(spark.range(0)), []
+    real = frame.mapInArrow
+    monkeypatch.setattr(frame, "mapInArrow", lambda self, f, *a, **b: passed.append((self, f)) or real(self, f, *a, **b))
+    neighbours.nearest(table_of(spark, vectors(1, 1500)), F.col("vec_id") % 2 == 0, k=10, leaf_rows=50)
+    assert len(passed) == 2
+    for df, function in passed:
+        (batch,) = df.toArrow().combine_chunks().to_batches()
+        out = list(function(iter([batch])))
+        assert sum(x.num_rows for x in out) == batch.num_rows >= 750
+        assert sum(x.nbytes for x in out) < 2 * batch.nbytes
+
+
+def queue_search(forest, vector, visit):
+    """Leaves by a priority queue of (border, tree, node)."""
+    point = np.append(vector, 0.0) / np.linalg.norm(vector) * forest.longest
+    first = np.cumsum([0, *(t.leaves for t in forest.trees)])
+    queue, found = [(-1.0, n, 0 if len(t.cuts) else -1) for n, t in enumerate(forest.trees)], []
+    while queue and len(found) < max(len(forest.trees), int(np.ceil(visit * first[-1]))):
+        border, tree, node = heapq.heappop(queue)
+        while node >= 0:
+            side = (forest.trees[tree].lines @ point - forest.trees[tree].cuts)[node]
+            left, right = forest.trees[tree].children[node].tolist()
+            node, far = (right, left) if side > 0 else (left, right)
+            heapq.heappush(queue, (max(border, abs(side)), tree, far))
+        found.append(int(first[tree]) - node - 1)
+    return sorted(found)
+
+
+@pytest.mark.parametrize("width", [1, 2, 8])
+def test_neighbours_search_takes_the_leaves_of_a_priority_queue(width):
+    rng = np.random.default_rng(width)
+    points = rng.integers(-3, 4, (400, width)).astype(float)  # many equal distances
+    points = points[(points != 0).any(axis=1)]
+    forest = neighbours.Forest([], float(np.linalg.norm(points, axis=1).max()))
+    forest.trees = [neighbours.grow(forest.lifted(points), 24, np.random.default_rng(t)) for t in range(5)]
+    queries = np.unique(points, axis=0)[:60]
+    for visit in (0.01, 0.14, 0.5, 2.0):
+        found = forest.search(queries, visit)
+        assert [np.flatnonzero(x).tolist() for x in found] == [queue_search(forest, q, visit) for q in queries]
+
+
+def test_neighbours_best_rows_with_ties_repeated_ids_and_any_length():
+    rng = np.random.default_rng(5)
+    rows = rng.integers(-2, 3, (6000, 6)).astype(float)
+    rows[rng.integers(0, 6000, 40)] += 1e-9  # closer than single precision tells apart
+    ids, leaves = rng.integers(0, 5000, 6000), rng.integers(0, 40, (6000, 3)).astype(np.int32)
+    queries, seen = rng.normal(size=(530, 6)), rng.random((530, 40)) < 0.3
+    queries[:30] = rows[:30] + 0.5
+    visits = np.packbits(seen, axis=1, bitorder="little")
+    for scale in (1.0, 1e-25, 1e140, 1e-145, 1e-158, 1e-170, 1e155):
+        q, i, score = neighbours.best_rows(queries * scale, visits, ids, rows * scale, leaves, 7)
+        for at in [0, 1, 29, 30, 200, 511, 512, 529]:
+            every = seen[at][leaves].any(axis=1)
+            with np.errstate(all="ignore"):
+                products = np.einsum("ij,ij->i", np.repeat(queries[at : at + 1] * scale, 6000, axis=0), rows * scale)
+            best = {}
+            for j, x in zip(ids[every].tolist(), products[every].tolist(), strict=True):
+                best[j] = max(best.get(j, x), x)
+            expected = sorted(best.items(), key=lambda x: (-x[1], x[0]))[:7]
+            if scale < 1e155:  # beyond, products are not numbers
+                assert list(zip(i[q == at].tolist(), score[q == at].tolist(), strict=True)) == expected
+            else:
+                assert np.count_nonzero(q == at) == 7
+
+
+@pytest.mark.parametrize("element", ["float", "double"])
+def test_neighbours_over_several_blocks_are_those_of_all_rows(spark, monkeypatch, element):
+    monkeypatch.setattr(neighbours, "BLOCK_NUMBERS", 16 * 200)
+    rows = [(i, [float(np.float32(x)) for x in v]) for i, v in vectors(2, 900)]
+    table = table_of(spark, rows).withColumn("embedding", F.col("embedding").cast(f"array<{element}>"))
+    got = neighbours.nearest(table, F.col("vec_id") % 3 == 0, k=5, visit=1.0, leaf_rows=50).collect()
+    found = {}
+    for r in sorted(got, key=lambda r: (r["query_id"], r["rank"])):
+        found.setdefault(r["query_id"], []).append(r["vec_id"])
+    assert found == exact_neighbours(rows, 5, 3)
+
+
 def held_out(doc, folds):
     return doc is not None and zlib.crc32(str(doc).encode()) % folds == 0
 
