@@ -166,13 +166,14 @@ class Forest:
             far[children[:, 0]] = np.where(right, border, far[nodes])
             far[children[:, 1]] = np.where(right, far[nodes], border)
         out = np.empty((len(vectors), n_leaves), bool)
+        far, sides = np.ascontiguousarray(far.T), np.ascontiguousarray(sides.T)
         for at in range(len(vectors)):
-            leaf = far[counts[-1] :, at].copy()
+            leaf = far[at, counts[-1] :]
             last = np.partition(leaf, wanted - 1)[wanted - 1]
             out[at] = leaf <= last
             if np.count_nonzero(out[at]) > wanted:
                 out[at] = leaf < last
-                out[at, self._first_at(last, sides[:, at], far[:, at], wanted - np.count_nonzero(out[at]))] = True
+                out[at, self._first_at(last, sides[at], far[at], wanted - np.count_nonzero(out[at]))] = True
         return out
 
     def _first_at(self, border: float, sides: np.ndarray, far: np.ndarray, wanted: int) -> list[int]:
